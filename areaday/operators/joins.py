@@ -19,9 +19,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
 def left_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """All rows of ``left`` with the matching ones of ``right``; null keys match null keys."""
-    columns = [right[c] for c in right.columns if c not in on]
-    keys = [left[c].eqNullSafe(right[c]) for c in on]
-    return left.join(right, keys, "left").select(*[left[c] for c in left.columns], *columns)
+    keys = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in on]
+    added = [f"r.{c}" for c in right.columns if c not in on]
+    return left.alias("l").join(right.alias("r"), keys, "left").select("l.*", *added)
 
 
 def lookup(df: DataFrame, mapping: DataFrame, key: str, mapping_key: str, value: str) -> DataFrame:

@@ -39,11 +39,10 @@ def dense_counts(communes: DataFrame, counts: DataFrame, bounds: DataFrame) -> D
     n = wide_partitions(communes.sparkSession)
     limit = bounds.select(F.struct("lo", "hi")).scalar()
     day = date_of_parts_or_null(F.col("an"), F.col("mois"), F.col("jour"))
-    area = communes_by_code(communes).repartition(n, "dep", "com")
+    area = communes_by_code(communes)
     counted = (
         counts.select("dep", "com", COUNT, F.when(F.col(COUNT) > 0, day).alias("day"))
         .filter(F.col("day").isNotNull())
-        .repartition(n, "dep", "com")
     )
     in_area = Window.partitionBy("dep", "com").orderBy("day")
     stretches = (
@@ -57,7 +56,8 @@ def dense_counts(communes: DataFrame, counts: DataFrame, bounds: DataFrame) -> D
             }
         )
     )
-    days = stretches.select(
+    spread = stretches.repartition(n, "dep", "com", "day")
+    days = spread.select(
         "com", "population", "dep", "day", COUNT, F.explode(F.sequence("_from", "_to")).alias("date")
     )
     filled = F.when(F.col("date") == F.col("day"), F.col(COUNT)).otherwise(0).cast("int")

@@ -1 +1,362 @@
-QUERIES = {}
+"""Files and tables: what Spark writes from the given tables is read back by the sources."""
+
+from __future__ import annotations
+
+import uuid
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from areaday import schemas
+from areaday.functions.dates import date_of_parts
+from areaday.ml.training import days_by_commune
+from areaday.operators.ranking import first_seen_index, latest_rows
+from areaday.plans.catalogue import data_files
+from areaday.plans.counts import accident_counts
+from areaday.plans.map_layer import map_extent
+from areaday.registered import given
+from areaday.registered.relational import FIRST_SEEN
+from areaday.registered.scalars import DATA_FILES, RESOURCES, resources
+from areaday.session import new_path
+from areaday.sinks import files as out
+from areaday.sinks.tables import Audit, load
+from areaday.sources import documents, files
+
+AUDIT = Audit(datetime(2025, 3, 8, 6, 30), "elt", "load_accidents")
+STRINGS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+
+
+def landed_text(rows: DataFrame, text: Column, name: str) -> str:
+    path = new_path(rows.sparkSession, name)
+    rows.select(text.alias("value")).write.text(path)
+    return path
+
+
+def csv_strings_scan(spark, sf):
+    path = new_path(spark, "strings")
+    out.write_csv(given.table(spark, sf, "orders").select(*STRINGS), path, sep=";")
+    return files.read_strings(spark, path)
+
+
+def csv_typed_scan(spark, sf):
+    path = out.write_csv(given.weather_hourly(spark, sf), new_path(spark, "hourly"))
+    return files.read_weather_hourly(spark, path)
+
+
+def recent_files_counts(spark, sf):
+    """Accident files by year, of which the two latest are read, united and counted."""
+    folder = new_path(spark, "accidents")
+    rows = given.accidents(spark, sf).withColumn("caracteristiques", F.col("an"))
+    rows.write.partitionBy("caracteristiques").option("header", True).option("sep", ";").csv(folder)
+    return accident_counts(files.read_accidents(spark, folder))
+
+
+def listed_files(spark, sf):
+    folder = new_path(spark, "listing")
+    years = given.accidents(spark, sf).withColumn("car", F.col("an"))
+    years.write.partitionBy("car").option("header", True).csv(folder)
+    return files.with_year(files.list_files(spark, folder)).select("name", "year")
+
+
+def catalogue_scan(spark, sf):
+    rows = resources(spark, sf)
+    missing = F.when(~F.col("title").startswith("Lieux"), F.col("title"))
+    resource = F.struct(missing.alias("title"), "url", F.when(F.col("format") == "csv", F.col("format")).alias("format"))
+    path = landed_text(rows, F.to_json(F.struct(F.array(resource).alias("resources"))), "catalogue")
+    return documents.read_catalogue(spark, path, multi_line=False)
+
+
+def catalogue_scan_filter(spark, sf):
+    row = F.struct("title", "url", "format")
+    path = landed_text(resources(spark, sf), F.to_json(F.struct(F.array(row).alias("resources"))), "catalogue")
+    return data_files(documents.read_catalogue(spark, path, multi_line=False))
+
+
+def json_map_last_wins(spark, sf):
+    """One document per order: its date and priority. The order with the highest key wins a date."""
+    orders = given.table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.to_json(F.create_map(F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority")).alias("document"),
+    )
+    return documents.holidays_of_maps(orders, "document", "o_orderkey")
+
+
+def json_records_flatten(spark, sf):
+    """One document per supplier: its range as a school holiday, in school years from 1995 to 2001."""
+    rows = given.school_holidays(spark, sf)
+    year = F.year("start_date")
+    iso = "yyyy-MM-dd'T'HH:mm:ssXXX"
+    fields = F.struct(
+        F.concat_ws("-", year.cast("string"), (year + 1).cast("string")).alias("annee_scolaire"),
+        F.col("zone").alias("zones"),
+        F.col("type").alias("description"),
+        F.date_format("start_date", iso).alias("start_date"),
+        F.date_format("end_date", iso).alias("end_date"),
+    )
+    record = F.struct(fields.alias("fields"))
+    path = landed_text(rows, F.to_json(F.struct(F.array(record).alias("records"))), "school")
+    read = documents.read_school_holidays(spark, path, 2000, multi_line=False)
+    time = "yyyy-MM-dd HH:mm:ss"
+    return read.withColumns({c: F.date_format(c, time) for c in ("start_date", "end_date")})
+
+
+def commune_documents(spark: SparkSession, sf: str) -> str:
+    code = F.col("c_custkey").cast("string")
+    commune = F.struct(
+        F.col("c_name").alias("nom"),
+        F.col("c_nationkey").cast("string").alias("codeRegion"),
+        code.alias("code"),
+        F.floor("c_acctbal").cast("int").alias("population"),
+        F.array(code, F.col("c_nationkey").cast("string")).alias("codesPostaux"),
+    )
+    return landed_text(given.table(spark, sf, "customer"), F.to_json(F.array(commune)), "communes")
+
+
+def communes_scan(spark, sf):
+    return documents.read_communes(spark, commune_documents(spark, sf), multi_line=False)
+
+
+def postal_codes(spark, sf):
+    return documents.read_postal_codes(spark, commune_documents(spark, sf), multi_line=False)
+
+
+def html_rows(spark, sf):
+    """One search result per customer: a table with a heading, one full row and one short one."""
+    rows = F.concat(
+        F.lit("<table><tr><th>Name</th></tr><tr class='x'><td> <a href='#'>"),
+        F.col("c_name"),
+        F.lit("</a>\n</td><td>R&amp;D &eacute;"),
+        F.col("c_nationkey").cast("string"),
+        F.lit("</td><td>"),
+        F.col("c_mktsegment"),
+        F.lit("</td></tr><tr><td>short</td></tr></table>"),
+    )
+    # to_json of the array gives ["..."]; the text between the brackets is the JSON string.
+    quoted = F.regexp_replace(F.to_json(F.array(rows)), r"^\[|\]$", "")
+    payload = F.concat(F.lit('[{"command":"settings"},{"data":{"a":1}},{"data":"  "},{"data":'), quoted, F.lit("}]"))
+    path = landed_text(given.table(spark, sf, "customer"), payload, "html")
+    return documents.fire_brigades(spark.read.text(path), "value")
+
+
+def html_cells(spark, sf):
+    """The list items of each whole page, joined by bars."""
+    cells = F.regexp_extract_all("html", F.lit("(?s)<li[^>]*>(.*?)</li>"), 1)
+    return given.table(spark, sf, "pages").select(
+        "page_id", F.size(cells).alias("n"), F.array_join(cells, "|").alias("cells")
+    )
+
+
+def geojson(spark: SparkSession, sf: str) -> DataFrame:
+    """One feature collection per customer, a triangle placed by key and balance."""
+    x = (F.col("c_custkey") % 360 - 180).cast("double")
+    y = F.col("c_acctbal") / 1000
+    ring = F.array(F.array(x, y), F.array(x + 1, y), F.array(x, y + 1), F.array(x, y))
+    feature = F.struct(
+        F.struct(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("nom")).alias("properties"),
+        F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"),
+    )
+    document = F.struct(F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features"))
+    path = landed_text(given.table(spark, sf, "customer"), F.to_json(document), "geojson")
+    return documents.read_geojson(spark, path, multi_line=False)
+
+
+def geojson_scan(spark, sf):
+    return geojson(spark, sf).select(
+        "code", "nom", F.col("geometry.type").alias("kind"), F.size(F.flatten("geometry.coordinates")).alias("points")
+    )
+
+
+def map_extent_of_features(spark, sf):
+    return given.rounded(map_extent(geojson(spark, sf)))
+
+
+def table_name(name: str) -> str:
+    return f"areaday_{name}_{uuid.uuid4().hex}"
+
+
+def load_replace(spark, sf):
+    """Two loads of one table: the second replaces the first."""
+    table, path = table_name("replace"), new_path(spark, "table")
+    rows = given.accidents(spark, sf)
+    load(rows.filter(F.col("dep") == given.DEPARTMENT), table, AUDIT, path=path)
+    load(rows, table, AUDIT, path=path)
+    return spark.table(table)
+
+
+def load_append(spark, sf):
+    """Two loads of one table: the second adds to the first, with a choice of columns."""
+    table, path = table_name("append"), new_path(spark, "table")
+    rows = given.accidents(spark, sf)
+    for _ in range(2):
+        load(rows, table, AUDIT, mode="append", columns=["Num_Acc", "com"], path=path)
+    return spark.table(table)
+
+
+def load_metrics(spark, sf):
+    result = load(given.accidents(spark, sf), table_name("metrics"), AUDIT, path=new_path(spark, "table"))
+    return spark.createDataFrame([result], "rows_inserted BIGINT, execution_time STRING")
+
+
+def table_scan_top(spark, sf):
+    table = table_name("scan")
+    load(given.accidents(spark, sf), table, AUDIT, path=new_path(spark, "table"))
+    return latest_rows(spark.table(table), ties=["com", "Num_Acc"])
+
+
+def publish_if_absent(spark, sf):
+    """The second publication finds the first and leaves it."""
+    path = new_path(spark, "published")
+    orders = given.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    out.write_parquet(orders, path, mode="ignore")
+    out.write_parquet(orders.limit(0), path, mode="ignore")
+    return spark.read.parquet(path)
+
+
+def publish_replace(spark, sf):
+    path = new_path(spark, "published")
+    customer = given.table(spark, sf, "customer").select("c_custkey", "c_name")
+    out.write_csv(given.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), path)
+    out.write_csv(customer, path)
+    return files.read_typed(spark, path, "c_custkey BIGINT, c_name STRING")
+
+
+def json_records(spark, sf):
+    return out.json_records(given.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
+
+
+def json_round_trip(spark, sf):
+    orders = given.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return spark.read.schema(orders.schema).json(out.write_json(orders, new_path(spark, "json")))
+
+
+def mapping_round_trip(spark, sf):
+    mapping = first_seen_index(given.table(spark, sf, "orders"), "o_custkey", "o_orderkey")
+    named = mapping.select(F.col("o_custkey").cast("string").alias("commune"), "id")
+    path = out.write_csv(named, new_path(spark, "mapping"))
+    return files.read_typed(spark, path, schemas.COMMUNE_MAPPING)
+
+
+def predictions_round_trip(spark, sf):
+    rows = given.dated_predictions(spark, sf)
+    path = out.write_csv(rows, new_path(spark, "predictions"))
+    return files.read_predictions(spark, path, rows.schema)
+
+
+def days_by_commune_round_trip(spark, sf):
+    days = days_by_commune(given.dated_predictions(spark, sf)).withColumn(
+        "day", F.array_join(F.col("day").cast("array<string>"), " ")
+    )
+    path = out.write_csv(days, new_path(spark, "days"))
+    return files.read_typed(spark, path, "com STRING, day STRING")
+
+
+def landed_dates(spark, sf):
+    """Dates through a file as text, built anew from their parts."""
+    parts = given.accidents(spark, sf).select("Num_Acc", "jour", "mois", "an")
+    path = out.write_csv(parts, new_path(spark, "dates"))
+    read = files.read_strings(spark, path, ",")
+    return read.select("Num_Acc", date_of_parts(F.col("an"), F.col("mois"), F.col("jour")).alias("date"))
+
+
+AUDITED = "'2025-03-08 06:30:00' AS execution_date, 'elt' AS dag_id, 'load_accidents' AS task_id"
+ORDERED = "an DESC NULLS FIRST, mois DESC NULLS FIRST, jour DESC NULLS FIRST, com, Num_Acc"
+
+QUERIES = {
+    "csv_strings_scan": (
+        csv_strings_scan,
+        "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in STRINGS) + " FROM orders",
+    ),
+    "csv_typed_scan": (csv_typed_scan, given.HOURLY),
+    "recent_files_counts": (
+        recent_files_counts,
+        f"SELECT * FROM ({given.COUNTS}) WHERE an > (SELECT max(an) - 2 FROM ({given.COUNTS}))",
+    ),
+    "listed_files": (
+        listed_files,
+        f"SELECT DISTINCT 'car=' || CAST(an AS VARCHAR) AS name, an AS year FROM ({given.ACCIDENTS})",
+    ),
+    "catalogue_scan": (
+        catalogue_scan,
+        f"""SELECT CASE WHEN starts_with(title, 'Lieux') THEN 'noname' ELSE title END AS title, url,
+                   CASE WHEN format = 'csv' THEN format ELSE '' END AS format FROM ({RESOURCES})""",
+    ),
+    "catalogue_scan_filter": (catalogue_scan_filter, f"SELECT title, url, format, name FROM ({DATA_FILES})"),
+    "json_map_last_wins": (
+        json_map_last_wins,
+        """SELECT CAST(o_orderdate AS DATE) AS date, arg_max(o_orderpriority, o_orderkey) AS public_holiday
+           FROM orders GROUP BY 1""",
+    ),
+    "json_records_flatten": (
+        json_records_flatten,
+        f"""SELECT zone, type, strftime(start_date, '%Y-%m-%d %H:%M:%S') AS start_date,
+                   strftime(end_date, '%Y-%m-%d %H:%M:%S') AS end_date
+            FROM ({given.SCHOOL}) WHERE year(start_date) BETWEEN 1996 AND 2001""",
+    ),
+    "communes_scan": (
+        communes_scan,
+        """SELECT c_name AS commune, CAST(c_nationkey AS VARCHAR) AS code_region, CAST(c_custkey AS VARCHAR) AS code,
+                  CAST(floor(c_acctbal) AS INTEGER) AS population FROM customer""",
+    ),
+    "postal_codes": (
+        postal_codes,
+        """SELECT c_name AS commune, CAST(c_custkey AS VARCHAR) || ', ' || CAST(c_nationkey AS VARCHAR) AS postal_codes
+           FROM customer""",
+    ),
+    "html_rows": (
+        html_rows,
+        """SELECT c_name AS name, 'R&D é' || CAST(c_nationkey AS VARCHAR) AS city, c_mktsegment AS department
+           FROM customer""",
+    ),
+    "html_cells": (
+        html_cells,
+        """SELECT page_id, CAST(len(c) AS INTEGER) AS n, array_to_string(c, '|') AS cells
+           FROM (SELECT page_id, regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1) AS c FROM pages)""",
+    ),
+    "geojson_scan": (
+        geojson_scan,
+        "SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS nom, 'Polygon' AS kind, 4 AS points FROM customer",
+    ),
+    "map_extent": (
+        map_extent_of_features,
+        """WITH p AS (SELECT CAST(c_custkey % 360 - 180 AS DOUBLE) AS x, c_acctbal / 1000 AS y FROM customer)
+           SELECT round(min(x), 9) AS min_x, round(min(y), 9) AS min_y, round(max(x) + 1, 9) AS max_x,
+                  round(max(y) + 1, 9) AS max_y, round((min(x) + max(x) + 1) / 2, 9) AS centre_x,
+                  round((min(y) + max(y) + 1) / 2, 9) AS centre_y FROM p""",
+    ),
+    "load_replace": (load_replace, f"SELECT *, {AUDITED} FROM ({given.ACCIDENTS})"),
+    "load_append": (
+        load_append,
+        f"SELECT Num_Acc, com, {AUDITED} FROM ({given.ACCIDENTS}) CROSS JOIN (SELECT unnest([1, 2]))",
+    ),
+    "load_metrics": (
+        load_metrics,
+        f"SELECT count(*) AS rows_inserted, '2025-03-08 06:30:00' AS execution_time FROM ({given.ACCIDENTS})",
+    ),
+    "table_scan_top": (
+        table_scan_top,
+        f"SELECT *, {AUDITED} FROM ({given.ACCIDENTS}) ORDER BY {ORDERED} LIMIT 100",
+    ),
+    "publish_if_absent": (publish_if_absent, "SELECT o_orderkey, o_custkey FROM orders"),
+    "publish_replace": (publish_replace, "SELECT c_custkey, c_name FROM customer"),
+    "json_records": (
+        json_records,
+        """SELECT CAST(to_json({'o_orderkey': o_orderkey, 'o_custkey': o_custkey, 'o_orderstatus': o_orderstatus})
+                  AS VARCHAR) AS record FROM orders""",
+    ),
+    "json_round_trip": (json_round_trip, "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders"),
+    "mapping_round_trip": (
+        mapping_round_trip,
+        f"SELECT CAST(o_custkey AS VARCHAR) AS commune, id FROM ({FIRST_SEEN})",
+    ),
+    "predictions_round_trip": (predictions_round_trip, given.DATED_PREDICTIONS),
+    "days_by_commune": (
+        days_by_commune_round_trip,
+        f"""SELECT com, array_to_string(list_sort(list(DISTINCT day)), ' ') AS day
+            FROM ({given.DATED_PREDICTIONS}) WHERE accident = 1 GROUP BY 1""",
+    ),
+    "landed_dates": (
+        landed_dates,
+        "SELECT CAST(o_orderkey AS VARCHAR) AS Num_Acc, CAST(o_orderdate AS DATE) AS date FROM orders",
+    ),
+}
