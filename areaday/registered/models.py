@@ -1 +1,120 @@
-QUERIES = {}
+"""Trained models over the given tables. Fitted trees have no SQL form; their inputs do."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from areaday.fixed import COUNT, WEATHER
+from areaday.functions.dates import calendar_parts
+from areaday.ml import features, training
+from areaday.operators.aggregates import year_bounds
+from areaday.operators.ranking import latest_rows
+from areaday.plans.calendar import calendar
+from areaday.plans.counts import accident_counts
+from areaday.plans.panel import with_weather
+from areaday.plans.weather import weather_daily
+from areaday.registered import given
+from areaday.session import new_path
+
+FLAGS = ["public_holidays", "zone_a", "zone_b", "zone_c"]
+COMPONENTS = 64
+
+
+def one_hot(spark, sf):
+    """The vector place and length that each order's priority gets."""
+    orders = given.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    fitted = Pipeline(stages=features.preprocessing(orders, [], ["o_orderpriority"])).fit(orders)
+    vector = vector_to_array("features")
+    return fitted.transform(orders).select(
+        "o_orderkey",
+        (F.array_position(vector, 1.0) - 1).cast("int").alias("place"),
+        F.size(vector).alias("length"),
+    )
+
+
+def vectors(spark: SparkSession, sf: str) -> DataFrame:
+    parts = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(COMPONENTS)]
+    return given.table(spark, sf, "embeddings").select("vec_id", "label", *parts)
+
+
+def forest_scores(spark, sf):
+    """A forest trained on all vectors, saved, loaded again, and applied to all of them."""
+    rows = vectors(spark, sf)
+    trained = training.train_forest(rows, "vec_id", "label", weighted=True)
+    path = training.save_model(trained, new_path(spark, "forest"), spark)
+    model, signature = training.load_model(path, spark)
+    return training.score(model, rows.drop("vec_id", "label"), signature.fieldNames(), "predicted")
+
+
+def daily_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Accidents per day with the day's weather, as text-keyed rows to train on."""
+    counts = accident_counts(given.accidents(spark, sf))
+    per_day = counts.groupBy("jour", "mois", "an").agg(F.sum(COUNT).cast("int").alias(COUNT))
+    return with_weather(per_day, weather_daily(given.weather_hourly(spark, sf)))
+
+
+def forest_latest_days(spark, sf):
+    """Scores of a forest trained on the 100 latest days, as one row per metric."""
+    latest = latest_rows(daily_totals(spark, sf))
+    keyed = latest.withColumn("day_key", F.date_format("date", "yyyy-MM-dd"))
+    trained = training.train_forest(keyed, "day_key", weighted=True)
+    return training.metric_rows(trained.scores, "forest_latest_days")
+
+
+def rows_to_boost(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order with its day's flags and weather; its count is 1 if it is urgent."""
+    day = F.to_date("o_orderdate")
+    orders = given.table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.col("o_custkey").cast("string").alias("com"),
+        "o_totalprice",
+        day.alias("date"),
+        *[c.alias(n) for n, c in calendar_parts(day).items()],
+        (F.col("o_orderpriority") == "1-URGENT").cast("int").alias(COUNT),
+    )
+    days = calendar(year_bounds(orders), given.public_holidays(spark, sf), given.school_holidays(spark, sf))
+    weather = weather_daily(given.weather_hourly(spark, sf))
+    dated = days.select("date", *FLAGS).join(weather, "date", "left")
+    return orders.join(F.broadcast(dated), "date").select(*orders.columns, *FLAGS, *WEATHER)
+
+
+def boosting_features(spark, sf):
+    numbered, _ = training.imbalanced_features(rows_to_boost(spark, sf), FLAGS, "o_orderkey")
+    return given.rounded(numbered)
+
+
+def boosted_predictions(spark, sf):
+    """The held-out orders with probability and class from boosted trees."""
+    numbered, _ = training.imbalanced_features(rows_to_boost(spark, sf), FLAGS, "o_orderkey")
+    return training.train_boosted(numbered, "o_orderkey").predictions
+
+
+QUERIES = {
+    "one_hot": (
+        one_hot,
+        """WITH p AS (SELECT o_orderpriority, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS place
+                      FROM orders GROUP BY 1)
+           SELECT o_orderkey, CAST(place AS INTEGER) AS place, CAST((SELECT count(*) FROM p) AS INTEGER) AS length
+           FROM orders JOIN p USING (o_orderpriority)""",
+    ),
+    "boosting_features": (
+        boosting_features,
+        f"""WITH cal AS ({given.calendar_sql(given.SPINE)}), w AS ({given.DAILY}),
+                 ids AS (SELECT o_custkey, CAST(row_number() OVER (ORDER BY min(o_orderkey)) - 1 AS INTEGER) AS id
+                         FROM orders GROUP BY 1)
+            SELECT o_orderkey, id AS com, round(o_totalprice, 9) AS o_totalprice,
+                   CAST(public_holidays AS INTEGER) AS public_holidays, CAST(zone_a AS INTEGER) AS zone_a,
+                   CAST(zone_b AS INTEGER) AS zone_b, CAST(zone_c AS INTEGER) AS zone_c, w.* EXCLUDE (date),
+                   CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS accident, cal.an AS year, cal.mois AS month,
+                   cal.jour AS day, CAST(isodow(cal.date) - 1 AS INTEGER) AS weekday,
+                   CAST(isodow(cal.date) >= 6 AS INTEGER) AS weekend
+            FROM orders JOIN ids USING (o_custkey) JOIN cal ON cal.date = CAST(o_orderdate AS DATE)
+            LEFT JOIN w ON w.date = cal.date""",
+    ),
+    "forest_scores": (forest_scores, None),
+    "forest_latest_days": (forest_latest_days, None),
+    "boosted_predictions": (boosted_predictions, None),
+}

@@ -1 +1,72 @@
-QUERIES = {}
+"""Incremental loads over the given tables."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from areaday.fixed import WEATHER
+from areaday.functions.dates import reading_time
+from areaday.registered import given
+from areaday.session import new_path
+from areaday.sinks.files import write_csv
+from areaday.sinks.tables import Audit
+from areaday.streaming.ingest import csv_stream, ingest_once, stream_daily, stream_load
+
+AUDIT = Audit(datetime(2025, 3, 8, 6, 30), "elt", "stream_accidents")
+EVENTS = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
+
+
+def stream_ingest_once(spark, sf):
+    """Purchases arrive after the other events; a run between them finds nothing new."""
+    landing, out, checkpoint = (new_path(spark, name) for name in ("landing", "ingested", "checkpoint"))
+    events = given.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    write_csv(events.filter(F.col("event_type") != "purchase"), landing, mode="append")
+    ingest_once(csv_stream(spark, landing, EVENTS), out, checkpoint)
+    ingest_once(csv_stream(spark, landing, EVENTS), out, checkpoint)
+    write_csv(events.filter(F.col("event_type") == "purchase"), landing, mode="append")
+    ingest_once(csv_stream(spark, landing, EVENTS), out, checkpoint)
+    return spark.read.parquet(out)
+
+
+def event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    schema = given.table(spark, sf, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+def stream_append_audit(spark, sf):
+    out, checkpoint = new_path(spark, "loaded"), new_path(spark, "checkpoint")
+    stream = event_stream(spark, sf).select("event_id", "user_id", "event_type")
+    stream_load(stream, out, checkpoint, AUDIT)
+    stream_load(stream, out, checkpoint, AUDIT)
+    return spark.read.parquet(out)
+
+
+def stream_daily_window(spark, sf):
+    """Readings land as text in two parts, as for the batch form, and arrive through two runs."""
+    landing, out, checkpoint = (new_path(spark, name) for name in ("readings", "daily", "checkpoint"))
+    hourly = given.weather_hourly(spark, sf)
+    schema = "dt_iso STRING, " + ", ".join(f"{c} DOUBLE" for c in WEATHER)
+    for part in (F.col("temp") < 20, F.col("temp") >= 20):
+        write_csv(hourly.filter(part), landing, mode="append")
+        readings = csv_stream(spark, landing, schema).withColumn("dt", reading_time(F.col("dt_iso")))
+        stream_daily(readings, out, checkpoint, watermark="60 days")
+    return given.rounded(spark.read.parquet(out))
+
+
+QUERIES = {
+    "stream_ingest_once": (stream_ingest_once, "SELECT event_id, user_id, event_type, value FROM events"),
+    "stream_append_audit": (
+        stream_append_audit,
+        """SELECT event_id, user_id, event_type, '2025-03-08 06:30:00' AS execution_date, 'elt' AS dag_id,
+                  'stream_accidents' AS task_id, 0 AS batch_id FROM events""",
+    ),
+    "stream_daily_window": (
+        stream_daily_window,
+        f"""SELECT d.*, n.readings FROM ({given.DAILY}) d JOIN (
+              SELECT CAST(substr(dt_iso, 1, 10) AS DATE) AS date, count(*) AS readings FROM ({given.HOURLY}) GROUP BY 1) n
+            USING (date)""",
+    ),
+}
