@@ -15,7 +15,7 @@ def french_date(text: Column) -> Column:
 
 def reading_time(dt_iso: Column) -> Column:
     """The time in a reading's text, without its offset and zone name; null if there is none."""
-    return F.to_timestamp(first_match(dt_iso, READING_TIME), "yyyy-MM-dd HH:mm:ss")
+    return F.to_timestamp(first_match(dt_iso, READING_TIME))
 
 
 def utc_instant(text: Column) -> Column:
@@ -29,7 +29,8 @@ def date_of_parts(year: Column, month: Column, day: Column) -> Column:
 
 
 def date_of_parts_or_null(year: Column, month: Column, day: Column) -> Column:
-    return F.try_to_date(F.concat_ws("-", year, month, day), "y-M-d")
+    zero = F.lit(0)
+    return F.to_date(F.try_make_timestamp(year, month, day, zero, zero, zero))
 
 
 def days_between(first: Column, last: Column) -> Column:

@@ -26,8 +26,8 @@ def zero_pad(text: Column, width: int = 2) -> Column:
 
 
 def first_match(text: Column, pattern: str, group: int = 1) -> Column:
-    """The group of the first match, null where nothing matches."""
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.regexp_extract(text, pattern, group))
+    """The group of the first match, null where nothing matches. The group must not be empty."""
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
 def snake(text: Column) -> Column:

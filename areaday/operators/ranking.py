@@ -35,15 +35,15 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFram
 
 
 def running_index(df: DataFrame, order: str, name: str) -> DataFrame:
-    """Number the rows from 0 by the numeric column ``order``, which must be unique.
+    """Number the rows from 0 by the numeric column ``order``, which must be unique and not null.
 
     Quantiles cut the order into ranges of about equal size; each range is numbered by its own task
     and shifted by the rows of the ranges before it. There are as many ranges as partitions, so the
     table of shifts is small whatever the data.
     """
     kept = materialise(df)
-    n = wide_partitions(df.sparkSession)
-    cuts = sorted(set(kept.approxQuantile(order, [i / n for i in range(1, n)], 0.5 / n)))
+    n = max(2, wide_partitions(df.sparkSession))
+    cuts = sorted(set(kept.approxQuantile(order, [i / n for i in range(1, n)], 0.5 / n))) or [0.0]
     ranged = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol="_order", outputCol="_range"
     ).transform(kept.withColumn("_order", F.col(order).cast("double")))
@@ -72,6 +72,7 @@ def stratified_split(
 ) -> DataFrame:
     """Add a flag that puts ``ceil(share * rows)`` rows of each class into the test part.
 
+    ``key`` must be unique.
     A class takes its rows with the smallest hashes. The hash of the last row it takes is found from
     counts per hash prefix, and only rows with that one prefix are ranked; then each row compares its
     own hash with its class's limit. The rows themselves are not shuffled, and a class that holds most

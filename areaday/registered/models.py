@@ -40,7 +40,7 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
     return given.table(spark, sf, "embeddings").select("vec_id", "label", *parts)
 
 
-def forest_scores(spark, sf):
+def rf_score(spark, sf):
     """A forest trained on all vectors, saved, loaded again, and applied to all of them."""
     rows = vectors(spark, sf)
     trained = training.train_forest(rows, "vec_id", "label", weighted=True)
@@ -86,7 +86,7 @@ def boosting_features(spark, sf):
     return given.rounded(numbered)
 
 
-def boosted_predictions(spark, sf):
+def gbt_threshold_score(spark, sf):
     """The held-out orders with probability and class from boosted trees."""
     numbered, _ = training.imbalanced_features(rows_to_boost(spark, sf), FLAGS, "o_orderkey")
     return training.train_boosted(numbered, "o_orderkey").predictions
@@ -114,7 +114,7 @@ QUERIES = {
             FROM orders JOIN ids USING (o_custkey) JOIN cal ON cal.date = CAST(o_orderdate AS DATE)
             LEFT JOIN w ON w.date = cal.date""",
     ),
-    "forest_scores": (forest_scores, None),
+    "rf_score": (rf_score, None),
     "forest_latest_days": (forest_latest_days, None),
-    "boosted_predictions": (boosted_predictions, None),
+    "gbt_threshold_score": (gbt_threshold_score, None),
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from areaday.functions.text import zero_pad
 from areaday.operators.aggregates import year_bounds
+from areaday.operators.intervals import flag_days
 from areaday.plans import calendar as cal
 from areaday.plans import panel as pan
 from areaday.plans.counts import accident_counts as count_accidents
@@ -42,6 +43,13 @@ def calendar_flags(spark, sf):
     return cal.calendar(order_bounds(spark, sf), given.public_holidays(spark, sf), given.school_holidays(spark, sf))
 
 
+def interval_exists(spark, sf):
+    """Days of the orders that lie in any range at all, and in one of zone A."""
+    bounds = order_bounds(spark, sf)
+    flags = {"any_zone": F.col("zone").isNotNull(), "zone_a": F.col("zone") == "Zone A"}
+    return flag_days(cal.date_spine(bounds), given.school_holidays(spark, sf), flags, bounds)
+
+
 def weather_daily(spark, sf):
     return given.rounded(daily(given.weather_hourly(spark, sf)))
 
@@ -79,7 +87,7 @@ def panel_counts(spark, sf):
 def left_join_date(spark, sf):
     daily_counts = count_accidents(given.accidents(spark, sf))
     per_day = daily_counts.groupBy("jour", "mois", "an").agg(F.sum("nombre_d_accidents").alias("nombre_d_accidents"))
-    return given.rounded(pan.with_weather(per_day, daily(given.weather_hourly(spark, sf))))
+    return pan.with_weather(per_day, weather_daily(spark, sf))
 
 
 def training(spark: SparkSession, sf: str, dep: str | None) -> DataFrame:
@@ -88,27 +96,25 @@ def training(spark: SparkSession, sf: str, dep: str | None) -> DataFrame:
         count_accidents(given.accidents(spark, sf), dep),
         given.public_holidays(spark, sf),
         given.school_holidays(spark, sf),
-        daily(given.weather_hourly(spark, sf)),
+        weather_daily(spark, sf),
     )
 
 
 def training_set(spark, sf):
-    return given.rounded(training(spark, sf, given.DEPARTMENT))
+    return training(spark, sf, given.DEPARTMENT)
 
 
 def training_set_by_month(spark, sf):
     """The training set of all departments, summed up per department and month."""
-    rows = training(spark, sf, None)
-    return given.rounded(
-        rows.groupBy("dep", "an", zero_pad(F.col("mois").cast("string")).alias("mois")).agg(
-            F.count(F.lit(1)).alias("area_days"),
-            F.sum("nombre_d_accidents").alias("accidents"),
-            F.count_if("public_holidays").alias("public_holidays"),
-            F.count_if(F.col("zone_a") | F.col("zone_b") | F.col("zone_c")).alias("school_holidays"),
-            F.count("temp").alias("with_weather"),
-            F.min("temp_min").alias("temp_min"),
-        )
+    per_month = training(spark, sf, None).groupBy("dep", "an", "mois").agg(
+        F.count(F.lit(1)).alias("area_days"),
+        F.sum("nombre_d_accidents").alias("accidents"),
+        F.count_if("public_holidays").alias("public_holidays"),
+        F.count_if(F.col("zone_a") | F.col("zone_b") | F.col("zone_c")).alias("school_holidays"),
+        F.count("temp").alias("with_weather"),
+        F.min("temp_min").alias("temp_min"),
     )
+    return per_month.withColumn("mois", zero_pad(F.col("mois").cast("string")))
 
 
 DEP = given.DEPARTMENT
@@ -131,6 +137,15 @@ QUERIES = {
     ),
     "date_spine": (date_spine, given.SPINE),
     "calendar_flags": (calendar_flags, given.calendar_sql(given.SPINE)),
+    "interval_exists": (
+        interval_exists,
+        f"""SELECT d.date,
+                   EXISTS (SELECT 1 FROM ({given.SCHOOL}) s
+                           WHERE CAST(d.date AS TIMESTAMP) BETWEEN s.start_date AND s.end_date) AS any_zone,
+                   EXISTS (SELECT 1 FROM ({given.SCHOOL}) s WHERE s.zone = 'Zone A'
+                           AND CAST(d.date AS TIMESTAMP) BETWEEN s.start_date AND s.end_date) AS zone_a
+            FROM ({given.SPINE}) d""",
+    ),
     "weather_daily": (weather_daily, given.DAILY),
     "panel_zero_fill": (panel_dense, f"SELECT com, population, dep, date, nombre_d_accidents FROM ({PANEL})"),
     "panel": (

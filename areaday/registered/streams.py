@@ -32,8 +32,7 @@ def stream_ingest_once(spark, sf):
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = given.table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return spark.readStream.schema(given.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
 def stream_append_audit(spark, sf):
