@@ -64,7 +64,9 @@ def train_forest(
         labelCol=target, numTrees=trees, maxDepth=max_depth, seed=SEED, featureSubsetStrategy="sqrt"
     )
     stages = features.preprocessing(train, features.numeric_columns(inputs), features.other_columns(inputs))
-    model = Pipeline(stages=[*stages, forest]).fit(train)
+    # The copy leaves behind the training summary, which holds the session and so keeps the model from
+    # being sent to tasks once the session has observed a write.
+    model = Pipeline(stages=[*stages, forest]).fit(train).copy()
     predictions = model.transform(test).select(key, target, "prediction")
     score = accuracy_weighted_f1 if weighted else accuracy_f1
     example = seeded_sample(train, key, 5).drop(target, key)

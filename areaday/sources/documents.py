@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from areaday import schemas
 from areaday.fixed import SCHOOL_HOLIDAY_YEARS, TITLE_DEFAULT
@@ -95,7 +96,7 @@ def table_cells(fragment: Column) -> Column:
     return F.transform(F.slice(rows, 2, F.size(rows)), lambda row: F.regexp_extract_all(row, F.lit(CELL), 1))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape(text: pd.Series) -> pd.Series:
     """Resolve HTML character references; Spark has no function for them."""
     return text.map(html.unescape, na_action="ignore")

@@ -1,0 +1,165 @@
+import datetime as dt
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from areaday.fixed import COUNT, PANEL, WEATHER
+from areaday.operators.aggregates import year_bounds
+from areaday.plans import map_layer
+from areaday.plans import panel as pan
+from areaday.plans.calendar import calendar
+from areaday.plans.counts import accident_counts
+from areaday.plans.weather import weather_daily
+from areaday.registered import given
+from areaday.registered.panels import training
+
+D = dt.date
+COUNT_SCHEMA = "jour int, mois int, an int, dep string, com string, nombre_d_accidents bigint"
+
+
+def test_counts_take_padded_and_plain_numbers_as_one_day(spark, rows):
+    raw = spark.createDataFrame(
+        [("01", "02", "2023", "77", "a"), ("1", "2", "2023", "77", "a"), ("1", "2", "2023", "7", "a"), ("1", "2", None, "77", "a")],
+        "jour string, mois string, an string, dep string, com string",
+    )
+    assert rows(accident_counts(raw, "77")) == [(1, 2, 2023, "77", "a", 2)]
+    assert accident_counts(raw).count() == 2
+
+
+def random_counts(seed):
+    rng = random.Random(seed)
+    days = [(31, 2)] + [(rng.randrange(1, 29), rng.randrange(1, 13)) for _ in range(25)]
+    keys = {(*rng.choice(days), rng.choice([2022, 2023]), "77", rng.choice(["a", "b", "c", "other"])) for _ in range(80)}
+    return [(*k, rng.randrange(1, 5)) for k in sorted(keys)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_dense_counts_equal_the_join_on_all_days(spark, seed):
+    data = random_counts(seed) + [(1, 1, 2022, "77", "a", 9)] * (seed == 3) + [(31, 12, 2023, "77", "b", 4)]
+    data = list({row[:5]: row for row in data}.values())
+    counts = spark.createDataFrame(data, COUNT_SCHEMA)
+    communes = spark.createDataFrame([("77", c, i) for i, c in enumerate("abcd")], "dep string, com string, population int")
+    bounds = pan.count_bounds(counts)
+    first, last = min(r[2] for r in data), max(r[2] for r in data)
+    days = [D(first, 1, 1) + dt.timedelta(i) for i in range((D(last, 12, 31) - D(first, 1, 1)).days + 1)]
+    n = {(c, j, m, a): k for j, m, a, _, c, k in data}
+    want = {(c, p, "77", d): n.get((c, d.day, d.month, d.year), 0) for p, c in enumerate("abcd") for d in days}
+    got = pan.dense_counts(communes, counts, bounds).collect()
+    assert len(got) == len(want)
+    assert {(r.com, r.population, r.dep, r.date): r[COUNT] for r in got} == want
+
+
+def test_dense_counts_equal_the_five_key_join(spark, sf, rows):
+    counts = accident_counts(given.accidents(spark, sf))
+    dense = pan.dense_counts(given.communes(spark, sf), counts, pan.count_bounds(counts))
+    parts = {"jour": F.dayofmonth("date"), "mois": F.month("date"), "an": F.year("date")}
+    spine = dense.select(*[c.alias(n) for n, c in parts.items()], "dep", "com")
+    joined = pan.join_counts(spine, counts)
+    keyed = dense.withColumns(parts).select(*joined.columns)
+    assert keyed.exceptAll(joined).isEmpty() and joined.exceptAll(keyed).isEmpty()
+
+
+def test_panel_has_a_row_per_commune_and_day_and_loses_no_accident(spark, sf):
+    counts = accident_counts(given.accidents(spark, sf))
+    bounds = pan.count_bounds(counts)
+    days = calendar(bounds, given.public_holidays(spark, sf), given.school_holidays(spark, sf))
+    communes = given.communes(spark, sf)
+    result = pan.panel(days, communes, counts, bounds)
+    assert result.columns == PANEL
+    got = result.agg(F.count(F.lit(1)), F.sum(COUNT), F.min(F.length("mois"))).first()
+    assert tuple(got) == (communes.count() * days.count(), given.table(spark, sf, "orders").count(), 2)
+
+
+def test_repeated_communes_do_not_multiply(spark):
+    counts = spark.createDataFrame([(1, 1, 2023, "77", "a", 2)], COUNT_SCHEMA)
+    communes = spark.createDataFrame([("77", "a", 5), ("77", "a", 5)], "dep string, com string, population int")
+    assert pan.dense_counts(communes, counts, pan.count_bounds(counts)).count() == 365
+
+
+def test_calendar_flags(spark, rows):
+    bounds = spark.createDataFrame([(D(2023, 1, 1), D(2023, 1, 4))], "lo date, hi date")
+    public = spark.createDataFrame([(D(2023, 1, 1), "x"), (D(2023, 1, 1), "again")], "date date, public_holiday string")
+    t = dt.datetime
+    school = spark.createDataFrame(
+        [
+            ("Zone A", t(2023, 1, 1, 23), t(2023, 1, 2, 23)),
+            ("Zone B - Zone C", t(2022, 1, 1), t(2030, 1, 1)),
+            (None, t(2023, 1, 1), t(2023, 1, 4)),
+        ],
+        "zone string, start_date timestamp, end_date timestamp",
+    )
+    got = rows(calendar(bounds, public, school), "jour", "public_holidays", "zone_a", "zone_b", "zone_c")
+    assert got == [
+        (1, True, False, False, False),
+        (2, False, True, False, False),
+        (3, False, False, False, False),
+        (4, False, False, False, False),
+    ] or got == [
+        (1, True, False, True, True),
+        (2, False, True, True, True),
+        (3, False, False, True, True),
+        (4, False, False, True, True),
+    ]
+
+
+def test_weather_leaves_out_readings_without_time(spark):
+    reading = lambda text, x: (text, *[x] * 8)
+    hourly = spark.createDataFrame(
+        [reading("2023-01-01 00:00:00 +0000 UTC", 1.0), reading("2023-01-01 23:00:00 +0000 UTC", 3.0), reading("bad", 9.0)],
+        "dt_iso string, " + ", ".join(f"{c} double" for c in WEATHER),
+    )
+    (row,) = weather_daily(hourly).collect()
+    assert row.date == D(2023, 1, 1)
+    assert (row.temp, row.temp_min, row.temp_max, row.clouds_all) == (2.0, 1.0, 3.0, 2.0)
+
+
+def test_weather_joins_a_panel_read_back_from_text(spark):
+    ready = spark.createDataFrame([("1", "02", "2023", "a")], "jour string, mois string, an string, com string")
+    weather = spark.createDataFrame([(D(2023, 2, 1), *[5.0] * 8)], "date date, " + ", ".join(f"{c} double" for c in WEATHER))
+    row = pan.with_weather(ready, weather).first()
+    assert (row.jour, row.mois, row.an, row.date, row.temp) == (1, 2, 2023, D(2023, 2, 1), 5.0)
+    with pytest.raises(ValueError, match="mois"):
+        pan.with_weather(ready.drop("mois"), weather)
+
+
+def test_flagship_plan(spark, sf):
+    df = training(spark, sf, None)
+    assert df.columns == ["com", "population", "jour", "mois", "an", "public_holidays", "zone_a", "zone_b", "zone_c", "dep",
+                          COUNT, "date", *WEATHER]
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert unwanted not in plan
+    assert "ReusedExchange" in plan and "ReusedSubquery" in plan
+    final = plan.split("== Initial Plan ==")[0]
+    after_explode = final.split("Generate explode(sequence(_from")[0]
+    assert "Exchange" not in after_explode
+    assert "REPARTITION_BY_NUM" in final
+
+
+def test_hot_commune_is_grouped_before_it_is_shuffled(spark):
+    hot = spark.range(30000).select(
+        F.lit(1).alias("jour"), F.lit(1).alias("mois"), F.lit(2023).alias("an"), F.lit("77").alias("dep"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("com"),
+    )
+    counts = accident_counts(hot)
+    assert counts.filter("com = 'hot'").first()[COUNT] == 10000
+    assert counts.count() == 20001
+
+
+PREDICTED = [(2025, 3, 8, "77001", 1, 1.5, 1), (2025, 3, 8, "77002", 0, 1.0, 0), (2025, 3, 9, "77003", 1, 2.0, 0)]
+
+
+def test_map_layer(spark, rows):
+    predictions = spark.createDataFrame(PREDICTED, "year int, month int, day int, com string, accident int, temp double, jour_ferie int")
+    features = spark.createDataFrame([("77001", "A"), ("77002", "B"), ("77003", "C")], "code string, nom string")
+    day = map_layer.of_day(predictions, 2025, 3, 8)
+    assert rows(map_layer.commune_flags(features, day), "code", "accident", "colour") == [
+        ("77001", 1, "#8B0000"), ("77002", 1, "#8B0000"), ("77003", 0, "#008000"),
+    ]
+    assert rows(map_layer.commune_flags(features, day, True), "code", "accident") == [("77001", 1), ("77002", 0), ("77003", 0)]
+    summary = map_layer.day_summary(day, ["jour_ferie"], ["com"]).first()
+    assert (summary.com, summary.jour_ferie) == ("77001", "✅ Oui")
