@@ -27,7 +27,7 @@ from areaday.functions.dates import calendar_features
 from areaday.ml import features
 from areaday.operators.aggregates import distinct_per_group
 from areaday.operators.evaluation import accuracy_f1, accuracy_weighted_f1, class_ratio, confusion_matrix
-from areaday.operators.joins import lookup
+from areaday.operators.joins import broadcast_if_small, lookup
 from areaday.operators.ranking import first_seen_index, seeded_sample, stratified_split
 from areaday.schemas import conform
 from areaday.session import materialise, shared_dir
@@ -43,8 +43,14 @@ class Trained(NamedTuple):
 
 
 def split_parts(df: DataFrame, label: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """Training and test part, written out once so that the rounds of a fit do not compute them anew."""
+    """Training and test part, written out once so that the rounds of a fit do not compute them anew.
+
+    Rows from fewer partitions than there are cores are spread over all of them.
+    """
     marked = materialise(stratified_split(df, label, key))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if marked.rdd.getNumPartitions() < cores:
+        marked = marked.repartition(cores, key)
     return marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test")
 
 
@@ -80,7 +86,7 @@ def imbalanced_features(df: DataFrame, flags: list[str], order: str) -> tuple[Da
     """
     labelled = features.binary_label(df, COUNT, "accident").drop(COUNT, "jour", "mois", "an")
     dated = labelled.withColumns(calendar_features(F.col("date"))).drop("date")
-    mapping = first_seen_index(dated, "com", order)
+    mapping = broadcast_if_small(first_seen_index(dated, "com", order))
     numbered = lookup(features.flags_as_int(dated, flags), mapping, "com", "com", "id")
     return numbered, mapping.withColumnRenamed("com", "commune")
 

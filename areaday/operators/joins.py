@@ -1,5 +1,9 @@
-"""Joins. Sides that grow with the data carry no hint: Spark broadcasts them below its size
-threshold, and beyond it shuffles both sides and splits hot partitions (adaptive skew join)."""
+"""Joins.
+
+Landed tables carry no hint: Spark knows the size of their files and broadcasts them below its
+threshold. Of a derived table it knows no size, so ``broadcast_if_small`` writes it out and counts it.
+In both cases a larger side is shuffled, and the adaptive skew join splits hot partitions.
+"""
 
 from __future__ import annotations
 
@@ -32,8 +36,9 @@ def lookup(df: DataFrame, mapping: DataFrame, key: str, mapping_key: str, value:
 
 def membership_flag(df: DataFrame, members: DataFrame, key: str, flag: str) -> DataFrame:
     """Add a boolean: does ``key`` occur in the one column of ``members``?"""
-    known = members.toDF(key).filter(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
-    return df.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False))).select(*df.columns, flag)
+    known = broadcast_if_small(members.toDF(key).filter(F.col(key).isNotNull()).distinct())
+    marked = known.withColumn(flag, F.lit(True))
+    return df.join(marked, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False))).select(*df.columns, flag)
 
 
 def not_in_store(candidates: DataFrame, stored: DataFrame, key: str) -> DataFrame:

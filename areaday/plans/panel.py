@@ -9,7 +9,7 @@ from areaday.fixed import COUNT, COUNT_KEYS, PANEL, WEATHER, ZONES
 from areaday.functions.dates import date_of_parts, date_of_parts_or_null
 from areaday.functions.text import zero_pad
 from areaday.operators.aggregates import year_bounds
-from areaday.operators.joins import left_join
+from areaday.operators.joins import broadcast_if_small, left_join
 from areaday.plans.calendar import calendar
 from areaday.schemas import require_columns
 from areaday.session import wide_partitions
@@ -81,7 +81,8 @@ def with_weather(ready: DataFrame, weather: DataFrame) -> DataFrame:
     require_columns(ready, ["jour", "mois", "an"])
     numbers = {c: F.col(c).cast("int") for c in ("jour", "mois", "an")}
     dated = ready.withColumns(numbers).withColumn("date", date_of_parts(F.col("an"), F.col("mois"), F.col("jour")))
-    return dated.join(weather.select("date", *WEATHER), "date", "left").select(*dated.columns, *WEATHER)
+    per_day = broadcast_if_small(weather.select("date", *WEATHER))
+    return dated.join(per_day, "date", "left").select(*dated.columns, *WEATHER)
 
 
 def training_set(

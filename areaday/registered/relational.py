@@ -84,7 +84,7 @@ def first_seen_index(spark, sf):
 
 def dim_lookup(spark, sf):
     orders = given.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    mapping = ranking.first_seen_index(orders, "o_custkey", "o_orderkey")
+    mapping = joins.broadcast_if_small(ranking.first_seen_index(orders, "o_custkey", "o_orderkey"))
     return joins.lookup(orders, mapping, "o_custkey", "o_custkey", "id")
 
 

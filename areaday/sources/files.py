@@ -65,11 +65,12 @@ def recent_files(files: DataFrame, n: int = FILES_READ, name: str = "name") -> D
 def files_by_year(files: DataFrame, name: str = "name") -> DataFrame:
     """The files of each year, one row per file, with how many the year has.
 
-    Rows rather than one list per year, so that a year with very many files is no single value.
+    Rows rather than one list per year, so that a year with very many files is no single value. Years
+    have four digits, which bounds the broadcast side.
     """
     named = with_year(files, name).select("year", name).distinct()
     per_year = named.groupBy("year").agg(F.count(F.lit(1)).alias("files_in_year"))
-    return named.join(per_year, "year").orderBy("year", name)
+    return named.join(F.broadcast(per_year), "year").orderBy("year", name)
 
 
 def read_union(spark: SparkSession, paths: list[str], sep: str = ";") -> DataFrame:
