@@ -13,6 +13,7 @@ from areaday.plans import panel as pan
 from areaday.plans.counts import accident_counts as count_accidents
 from areaday.plans.weather import weather_daily as daily
 from areaday.registered import given
+from areaday.session import wide_partitions
 
 
 def order_bounds(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,22 +67,32 @@ def panel(spark, sf):
     return pan.panel(days, given.communes(spark, sf, given.DEPARTMENT), counts, bounds)
 
 
-def commune_days(spark: SparkSession, sf: str) -> DataFrame:
-    """A ready panel without counts: every commune of the department on every day of the orders."""
+def commune_days(spark: SparkSession, sf: str, dep: str | None) -> DataFrame:
+    """A ready panel without counts: every commune on every day of the orders."""
     limit = order_bounds(spark, sf).select(F.struct("lo", "hi")).scalar()
-    spread = given.communes(spark, sf, given.DEPARTMENT).withColumn("_limit", limit)
-    days = spread.select("dep", "com", F.explode(F.sequence("_limit.lo", "_limit.hi")).alias("date"))
+    spread = given.communes(spark, sf, dep).repartition(wide_partitions(spark), "com")
+    days = spread.withColumn("_limit", limit).select("dep", "com", F.explode(F.sequence("_limit.lo", "_limit.hi")).alias("date"))
     return days.select(
         F.dayofmonth("date").alias("jour"), F.month("date").alias("mois"), F.year("date").alias("an"), "dep", "com"
     )
 
 
 def panel_cross(spark, sf):
-    return commune_days(spark, sf)
+    return commune_days(spark, sf, given.DEPARTMENT)
 
 
 def panel_counts(spark, sf):
-    return pan.join_counts(commune_days(spark, sf), department_counts(spark, sf))
+    return pan.join_counts(commune_days(spark, sf, given.DEPARTMENT), department_counts(spark, sf))
+
+
+def panel_counts_by_commune(spark, sf):
+    """The five-key join for all departments, summed up per commune and year."""
+    joined = pan.join_counts(commune_days(spark, sf, None), count_accidents(given.accidents(spark, sf)))
+    return joined.groupBy("dep", "com", "an").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.sum("nombre_d_accidents").alias("accidents"),
+        F.count_if(F.col("nombre_d_accidents") > 0).alias("days_with_accidents"),
+    )
 
 
 def left_join_date(spark, sf):
@@ -165,6 +176,15 @@ QUERIES = {
             SELECT p.*, CAST(coalesce(n.nombre_d_accidents, 0) AS INTEGER) AS nombre_d_accidents
             FROM p LEFT JOIN ({DEP_COUNTS}) n USING (jour, mois, an, dep, com)""",
     ),
+    "panel_counts_by_commune": (
+        panel_counts_by_commune,
+        f"""WITH y AS (SELECT CAST(year(date) AS INTEGER) AS an, count(*) AS days FROM ({given.SPINE}) GROUP BY 1),
+                 n AS (SELECT dep, com, an, CAST(sum(nombre_d_accidents) AS BIGINT) AS accidents, count(*) AS busy
+                       FROM ({given.COUNTS}) GROUP BY ALL)
+            SELECT c.dep, c.com, y.an, y.days, coalesce(n.accidents, 0) AS accidents,
+                   coalesce(n.busy, 0) AS days_with_accidents
+            FROM ({given.COMMUNES}) c CROSS JOIN y LEFT JOIN n ON n.dep = c.dep AND n.com = c.com AND n.an = y.an""",
+    ),
     "left_join_date": (
         left_join_date,
         f"""WITH d AS (SELECT jour, mois, an, CAST(count(*) AS BIGINT) AS nombre_d_accidents

@@ -32,7 +32,8 @@ def stream_ingest_once(spark, sf):
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.readStream.schema(given.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf)
+    """The events as a stream; written as a pattern, the path may be one file or a folder of them."""
+    return spark.readStream.schema(given.SCHEMAS["events"]).parquet(f"{sf}/event[s].parquet")
 
 
 def stream_append_audit(spark, sf):

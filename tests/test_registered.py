@@ -22,3 +22,10 @@ def test_query_equals_its_sql(spark, sf, con, name):
 
 def test_entry_has_a_row_per_customer_and_day(spark):
     assert entry(spark).count() == 150 * 2557
+
+
+def test_stream_takes_a_folder_of_files_as_well(spark, sf, tmp_path):
+    from areaday.registered import given
+
+    given.table(spark, sf, "events").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    assert queries()["stream_append_audit"](spark, str(tmp_path)).count() == given.table(spark, sf, "events").count()
