@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,6 +20,7 @@ from areaday.fixed import (
     COUNT,
     FOREST_TREES,
     NOT_FEATURES,
+    ROWS_FOR_TRAINING,
     SEED,
     THRESHOLD,
 )
@@ -28,7 +29,7 @@ from areaday.ml import features
 from areaday.operators.aggregates import distinct_per_group
 from areaday.operators.evaluation import accuracy_f1, accuracy_weighted_f1, class_ratio, confusion_matrix
 from areaday.operators.joins import broadcast_if_small, lookup
-from areaday.operators.ranking import first_seen_index, seeded_sample, stratified_split
+from areaday.operators.ranking import first_seen_index, latest_rows, seeded_sample, stratified_split
 from areaday.schemas import conform
 from areaday.session import materialise, shared_dir
 
@@ -79,6 +80,13 @@ def train_forest(
     return Trained(model, inputs.columns, predictions, score(predictions, target, "prediction"), inputs.schema, example)
 
 
+def train_from_table(spark: SparkSession, table: str, n: int = ROWS_FOR_TRAINING, weighted: bool = True) -> Trained:
+    """Train a forest on the ``n`` latest rows of a loaded training table."""
+    latest = latest_rows(spark.table(table), n, ["dep", "com"])
+    keyed = latest.withColumn("row_key", F.concat_ws("-", "dep", "com", "an", "mois", "jour"))
+    return train_forest(keyed, "row_key", weighted=weighted)
+
+
 def imbalanced_features(df: DataFrame, flags: list[str], order: str) -> tuple[DataFrame, DataFrame]:
     """The training set as plain numbers with label ``accident``, and the mapping of communes to ids.
 
@@ -147,7 +155,7 @@ def metric_rows(scores: DataFrame, run_id: str) -> DataFrame:
     return scores.unpivot([], scores.columns, "metric", "value").select(F.lit(run_id).alias("run_id"), "metric", "value")
 
 
-def save_model(trained: Trained, path: str, spark) -> str:
+def save_model(trained: Trained, path: str, spark: SparkSession) -> str:
     """Model and input signature below ``path``, replacing what is there."""
     trained.model.write().overwrite().save(f"{path}/model")
     signature = spark.createDataFrame([(trained.signature.json(),)], "value STRING")
@@ -155,7 +163,7 @@ def save_model(trained: Trained, path: str, spark) -> str:
     return path
 
 
-def load_model(path: str, spark) -> tuple[PipelineModel, StructType]:
+def load_model(path: str, spark: SparkSession) -> tuple[PipelineModel, StructType]:
     text = spark.read.text(f"{path}/signature").first().value
     return PipelineModel.load(f"{path}/model"), StructType.fromJson(json.loads(text))
 

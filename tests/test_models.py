@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import uuid
 
 import pytest
 from pyspark.ml import Pipeline
@@ -10,12 +11,13 @@ from pyspark.sql import functions as F
 from areaday.fixed import COUNT
 from areaday.ml import features, training
 from areaday.session import new_path
+from areaday.sinks.tables import Audit, load
 
 
 def test_scaling_by_population_deviation_with_nulls_and_constants(spark):
-    frame = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (None, 5.0)], "a double, b double")
-    got = features.standardise(frame, ["a", "b"]).collect()
-    assert [tuple(r) for r in got] == [(-1.0, 0.0), (1.0, 0.0), (None, 0.0)]
+    frame = spark.createDataFrame([(1.0, 5.0, -3.0), (3.0, 5.0, -1.0), (None, 5.0, None)], "a double, b double, c double")
+    got = features.standardise(frame, ["a", "b", "c"]).collect()
+    assert [tuple(r) for r in got] == [(-1.0, 0.0, -1.0), (1.0, 0.0, 1.0), (None, 0.0, None)]
 
 
 def test_unknown_and_null_categories_are_all_zeros(spark):
@@ -88,3 +90,14 @@ def test_boosting_finds_the_rare_class(spark):
 def test_days_by_commune(spark, rows):
     frame = spark.createDataFrame([("a", 3, 1), ("a", 1, 1), ("a", 3, 1), ("a", 2, 0), ("b", 9, 0)], "com string, day int, accident int")
     assert rows(training.days_by_commune(frame)) == [("a", [1, 3])]
+
+
+def test_training_from_a_loaded_table(spark, sf):
+    table = f"t_{uuid.uuid4().hex}"
+    rows = panel_rows(spark).withColumns({"dep": F.lit("77"), "population": F.col("row").cast("int") % 9}).drop("row")
+    unique = rows.dropDuplicates(["com", "date"])
+    load(unique, table, Audit(dt.datetime(2025, 3, 8), "elt", "load"), path=new_path(spark, "table"))
+    trained = training.train_from_table(spark, table)
+    assert not {"execution_date", "dag_id", "task_id", "date", "row_key", COUNT} & set(trained.features)
+    assert 20 <= trained.predictions.count() <= 21
+    assert 0 <= trained.scores.first().f1 <= 1

@@ -135,6 +135,14 @@ def test_flagship_plan(spark, sf):
     assert "REPARTITION_BY_NUM" in final
 
 
+def test_department_and_columns_reach_the_scan(spark, sf, tmp_path):
+    given.accidents(spark, sf).withColumn("unused", F.lit("x")).write.parquet(str(tmp_path / "a"))
+    counts = accident_counts(spark.read.parquet(str(tmp_path / "a")), "7")
+    scan = [x for x in counts._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
+    assert len(scan) == 1 and "EqualTo(dep,7)" in scan[0]
+    assert "unused" not in scan[0] and "Num_Acc" not in scan[0]
+
+
 def test_hot_commune_is_grouped_before_it_is_shuffled(spark):
     hot = spark.range(30000).select(
         F.lit(1).alias("jour"), F.lit(1).alias("mois"), F.lit(2023).alias("an"), F.lit("77").alias("dep"),
