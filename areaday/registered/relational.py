@@ -64,7 +64,7 @@ def null_safe_left_join(spark, sf):
     documents, labels = given.table(spark, sf, "documents"), given.table(spark, sf, "labels")
     quality = documents.join(labels, "doc_id", "left").select("doc_id", "lang", "quality")
     names = quality.groupBy("quality").agg(F.count(F.lit(1)).alias("documents"))
-    return joins.left_join(quality, names, ["quality"])
+    return joins.left_join(quality, joins.broadcast_if_small(names), ["quality"])
 
 
 def membership_flag(spark, sf):

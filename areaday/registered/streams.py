@@ -52,7 +52,7 @@ def stream_daily_window(spark, sf):
     for part in (F.col("temp") < 20, F.col("temp") >= 20):
         write_csv(hourly.filter(part), landing, mode="append")
         readings = csv_stream(spark, landing, schema).withColumn("dt", reading_time(F.col("dt_iso")))
-        stream_daily(readings, out, checkpoint, watermark="60 days")
+        stream_daily(readings, out, checkpoint)
     return given.rounded(spark.read.parquet(out))
 
 

@@ -16,8 +16,12 @@ from areaday.sinks.tables import Audit, with_audit
 CSV_OPTIONS = {"header": True, "mode": "FAILFAST", "enforceSchema": False}
 
 
-def csv_stream(spark: SparkSession, folder: str, schema: StructType | str, sep: str = ",") -> DataFrame:
-    return spark.readStream.schema(schema).options(**CSV_OPTIONS).option("sep", sep).csv(folder)
+def csv_stream(
+    spark: SparkSession, folder: str, schema: StructType | str, sep: str = ",", files_per_batch: int | None = None
+) -> DataFrame:
+    """The files of a folder as a stream; with ``files_per_batch`` a large backlog comes in several batches."""
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS).option("sep", sep)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).csv(folder)
 
 
 def ingest_once(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
@@ -42,14 +46,16 @@ def stream_load(stream: DataFrame, out: str, checkpoint: str, audit: Audit) -> S
     return _run(stream, write, checkpoint)
 
 
-def stream_daily(hourly: DataFrame, out: str, checkpoint: str, watermark: str = "1 day") -> StreamingQuery:
+def stream_daily(hourly: DataFrame, out: str, checkpoint: str, watermark: str | None = None) -> StreamingQuery:
     """Daily weather kept up to date from a stream of readings with an instant ``dt``.
 
-    Whenever readings of a day arrive, its row is written again. Readings later than the watermark
-    behind the newest one are not counted any more; choose it longer than any delay that occurs.
+    Whenever readings of a day arrive, its row is written again. The state is one row per day, so by
+    default it is kept and a reading counts however late it comes. With a watermark, days further
+    behind the newest reading are forgotten, and readings for them are not counted any more.
     """
+    readings = hourly.withWatermark("dt", watermark) if watermark else hourly
     daily = (
-        hourly.withWatermark("dt", watermark)
+        readings.filter(F.col("dt").isNotNull())
         .groupBy(F.window("dt", "1 day"))
         .agg(*daily_measures(), F.count(F.lit(1)).alias("readings"))
         .select(F.to_date("window.start").alias("date"), "*")

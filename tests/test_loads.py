@@ -99,21 +99,43 @@ def test_stream_load_adds_batches_and_repeats_none(spark, tmp_path, rows):
     assert rows(spark.read.parquet(target), "id", "batch_id") == [(1, 0), (2, 1)]
 
 
-def test_daily_stream_equals_batch_with_late_readings(spark, tmp_path, rows):
-    folder, target, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
-    header = "dt_iso," + ",".join(WEATHER)
-    schema = "dt_iso STRING, " + ", ".join(f"{c} DOUBLE" for c in WEATHER)
-    reading = lambda day, hour, x: f"2023-01-{day:02} {hour:02}:00:00 +0000 UTC," + ",".join([str(float(x))] * 8)
+def readings(day, hour, x):
+    return f"2023-01-{day:02} {hour:02}:00:00 +0000 UTC," + ",".join([str(float(x))] * 8)
 
-    def run():
-        stream = csv_stream(spark, str(folder), schema).withColumn("dt", reading_time(F.col("dt_iso")))
-        stream_daily(stream, target, checkpoint, watermark="3 days")
 
-    land(folder, "a.csv", [reading(1, 0, 1), reading(1, 23, 3), reading(3, 5, 7)], header)
-    run()
-    land(folder, "b.csv", [reading(1, 12, 11), reading(4, 1, 2)], header)
-    run()
-    hourly = spark.read.option("header", True).schema(schema).csv(str(folder))
+READINGS = "dt_iso STRING, " + ", ".join(f"{c} DOUBLE" for c in WEATHER)
+READINGS_HEADER = "dt_iso," + ",".join(WEATHER)
+
+
+def run_daily(spark, folder, target, checkpoint, **options):
+    stream = csv_stream(spark, str(folder), READINGS).withColumn("dt", reading_time(F.col("dt_iso")))
+    stream_daily(stream, target, checkpoint, **options)
+
+
+@pytest.mark.parametrize("watermark", [None, "10 days"])
+def test_daily_stream_equals_batch_with_late_readings(spark, tmp_path, rows, watermark):
+    folder, target, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    land(folder, "a.csv", [readings(1, 0, 1), readings(1, 23, 3), readings(9, 5, 7), "bad" + "," * 8], READINGS_HEADER)
+    run_daily(spark, folder, target, checkpoint, watermark=watermark)
+    land(folder, "b.csv", [readings(1, 12, 11), readings(10, 1, 2)], READINGS_HEADER)
+    run_daily(spark, folder, target, checkpoint, watermark=watermark)
+    hourly = spark.read.option("header", True).schema(READINGS).csv(str(folder))
     want = rows(weather_daily(hourly), "date", *WEATHER)
     assert rows(spark.read.parquet(target), "date", *WEATHER) == want
     assert len(want) == 3
+
+
+def test_readings_behind_the_watermark_are_not_counted(spark, tmp_path, rows):
+    folder, target, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    for name, lines in (("a", [readings(1, 0, 1), readings(9, 5, 7)]), ("b", [readings(1, 12, 11), readings(9, 6, 8)])):
+        land(folder, f"{name}.csv", lines, READINGS_HEADER)
+        run_daily(spark, folder, target, checkpoint, watermark="1 day")
+    assert rows(spark.read.parquet(target), "date", "readings") == [(dt.date(2023, 1, 1), 1), (dt.date(2023, 1, 9), 2)]
+
+
+def test_a_backlog_comes_in_batches(spark, tmp_path, rows):
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    for i in range(4):
+        land(folder, f"{i}.csv", [f"{i},x"])
+    stream_load(csv_stream(spark, str(folder), "id INT, v STRING", files_per_batch=2), target, str(tmp_path / "cp"), AUDIT)
+    assert sorted(b for _, b in rows(spark.read.parquet(target), "id", "batch_id")) == [0, 0, 1, 1]
