@@ -14,7 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -56,9 +55,14 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` out reliably and go on from the written copy."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to a table in the shared folder and go on from there.
+
+    Unlike a checkpoint, the table carries no partitioning over from the plan that made it, so a join
+    shuffles it afresh and adaptive execution can split hot partitions; and Spark knows its size.
+    """
+    path = new_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def wide_partitions(spark: SparkSession) -> int:
