@@ -15,6 +15,10 @@ def of_day(predictions: DataFrame, year: int, month: int, day: int) -> DataFrame
     return predictions.filter((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
 
 
+def colour(flagged: Column) -> Column:
+    return F.when(flagged, COLOUR_FLAGGED).otherwise(COLOUR_CLEAR)
+
+
 def commune_flags(features: DataFrame, day_rows: DataFrame, predicted_only: bool = False) -> DataFrame:
     """Features with ``accident`` (0 or 1) and a colour.
 
@@ -26,7 +30,7 @@ def commune_flags(features: DataFrame, day_rows: DataFrame, predicted_only: bool
     return flagged.withColumns(
         {
             "accident": F.col("accident").cast("int"),
-            "colour": F.when(F.col("accident"), COLOUR_FLAGGED).otherwise(COLOUR_CLEAR),
+            "colour": colour(F.col("accident")),
         }
     )
 

@@ -15,6 +15,11 @@ from areaday.schemas import require_columns
 from areaday.session import wide_partitions
 
 
+def department_communes(communes: DataFrame, dep: str) -> DataFrame:
+    """The communes of one department as the panel takes them."""
+    return communes.select(F.lit(dep).alias("dep"), F.col("code").alias("com"), "population")
+
+
 def communes_by_code(communes: DataFrame) -> DataFrame:
     """One row per department and commune code."""
     return communes.groupBy("dep", "com").agg(F.max("population").alias("population"))

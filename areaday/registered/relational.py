@@ -37,7 +37,7 @@ def conditional_labels(spark, sf):
     return rows.select(
         "id",
         map_layer.yes_no(F.col("jour_ferie")).alias("holiday"),
-        F.when(F.col("accident") == 1, "#8B0000").otherwise("#008000").alias("colour"),
+        map_layer.colour(F.col("accident") == 1).alias("colour"),
     )
 
 
