@@ -37,7 +37,7 @@ def commune_flags(features: DataFrame, day_rows: DataFrame, predicted_only: bool
 
 def map_extent(features: DataFrame) -> DataFrame:
     """Extent and centre of all polygons."""
-    points = F.flatten("geometry.coordinates")
+    points = F.flatten(F.flatten("polygons"))
     return bounding_box(
         features, F.transform(points, lambda p: p[0]), F.transform(points, lambda p: p[1])
     )

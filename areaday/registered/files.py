@@ -148,22 +148,35 @@ def html_cells(spark, sf):
 
 
 def geojson(spark: SparkSession, sf: str) -> DataFrame:
-    """One feature collection per customer, a triangle placed by key and balance."""
+    """One feature collection per customer, a triangle placed by key and balance, twice where the key is even."""
     x = (F.col("c_custkey") % 360 - 180).cast("double")
     y = F.col("c_acctbal") / 1000
     ring = F.array(F.array(x, y), F.array(x + 1, y), F.array(x, y + 1), F.array(x, y))
-    feature = F.struct(
-        F.struct(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("nom")).alias("properties"),
-        F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"),
+    polygon = F.to_json(F.array(ring))
+    double = F.concat(F.lit("["), polygon, F.lit(","), polygon, F.lit("]"))
+    even = F.col("c_custkey") % 2 == 0
+    geometry = F.concat(
+        F.lit('{"type":"'),
+        F.when(even, "MultiPolygon").otherwise("Polygon"),
+        F.lit('","coordinates":'),
+        F.when(even, double).otherwise(polygon),
+        F.lit("}"),
     )
-    document = F.struct(F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features"))
-    path = landed_text(given.table(spark, sf, "customer"), F.to_json(document), "geojson")
+    properties = F.to_json(F.struct(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("nom")))
+    document = F.concat(
+        F.lit('{"type":"FeatureCollection","features":[{"properties":'),
+        properties,
+        F.lit(',"geometry":'),
+        geometry,
+        F.lit("}]}"),
+    )
+    path = landed_text(given.table(spark, sf, "customer"), document, "geojson")
     return documents.read_geojson(spark, path, multi_line=False)
 
 
 def geojson_scan(spark, sf):
     return geojson(spark, sf).select(
-        "code", "nom", F.col("geometry.type").alias("kind"), F.size(F.flatten("geometry.coordinates")).alias("points")
+        "code", "nom", F.col("type").alias("kind"), F.size(F.flatten(F.flatten("polygons"))).alias("points")
     )
 
 
@@ -315,7 +328,9 @@ QUERIES = {
     ),
     "geojson_scan": (
         geojson_scan,
-        "SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS nom, 'Polygon' AS kind, 4 AS points FROM customer",
+        """SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS nom,
+                  CASE WHEN c_custkey % 2 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind,
+                  CASE WHEN c_custkey % 2 = 0 THEN 8 ELSE 4 END AS points FROM customer""",
     ),
     "map_extent": (
         map_extent_of_features,

@@ -23,13 +23,14 @@ SCHOOL_JSON = (
     "records ARRAY<STRUCT<fields: STRUCT<annee_scolaire: STRING, zones: STRING, description: STRING,"
     " start_date: STRING, end_date: STRING>>>"
 )
-COMMUNES_JSON = (
-    "nom STRING, codeRegion STRING, code STRING, population INT, codesPostaux ARRAY<STRING>"
-)
+COMMUNES_JSON = "nom STRING, codeRegion STRING, code STRING, population INT, codesPostaux ARRAY<STRING>"
+# The depth of the coordinates depends on the type, so they are first read as text.
 GEOJSON = (
     "features ARRAY<STRUCT<properties: STRUCT<code: STRING, nom: STRING>,"
-    " geometry: STRUCT<type: STRING, coordinates: ARRAY<ARRAY<ARRAY<DOUBLE>>>>>>"
+    " geometry: STRUCT<type: STRING, coordinates: STRING>>>"
 )
+POLYGON = "ARRAY<ARRAY<ARRAY<DOUBLE>>>"
+MULTI_POLYGON = f"ARRAY<{POLYGON}>"
 
 
 class ColumnDiff(NamedTuple):

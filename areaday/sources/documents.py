@@ -121,6 +121,14 @@ def read_fire_brigades(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_geojson(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """``code``, ``nom`` and geometry of the features of GeoJSON documents."""
+    """``code``, ``nom``, ``type`` and ``polygons`` of the features of GeoJSON documents.
+
+    A polygon comes as a list of one, so that single and multiple ones have the same form: polygons of
+    rings of points of coordinates.
+    """
     documents = spark.read.schema(schemas.GEOJSON).option("multiLine", multi_line).json(path)
-    return documents.select(F.explode("features").alias("f")).select("f.properties.*", "f.geometry")
+    feature = documents.select(F.explode("features").alias("f")).select("f.properties.*", "f.geometry.*")
+    polygons = F.when(
+        F.col("type") == "MultiPolygon", F.from_json("coordinates", schemas.MULTI_POLYGON)
+    ).when(F.col("type") == "Polygon", F.array(F.from_json("coordinates", schemas.POLYGON)))
+    return feature.select("code", "nom", "type", polygons.alias("polygons"))

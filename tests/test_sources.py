@@ -162,6 +162,11 @@ GEO = {
             "properties": {"code": "77002", "nom": "B"},
             "geometry": {"type": "Polygon", "coordinates": [[[1.0, 47.0], [1.5, 47.5]]]},
         },
+        {
+            "type": "Feature",
+            "properties": {"code": "77003", "nom": "C"},
+            "geometry": {"type": "MultiPolygon", "coordinates": [[[[2.0, 47.0], [2.5, 47.5]]], [[[2.0, 47.0], [5.0, 51.0]]]]},
+        },
     ],
 }
 
@@ -171,8 +176,10 @@ def test_geojson_and_extent(spark, tmp_path):
 
     (tmp_path / "g.geojson").write_text(json.dumps(GEO, indent=1))
     read = documents.read_geojson(spark, str(tmp_path / "g.geojson"))
-    assert sorted((r.code, r.nom) for r in read.collect()) == [("77001", "A"), ("77002", "B")]
-    assert tuple(map_extent(read).first()) == (1.0, 47.0, 3.5, 49.0, 2.25, 48.0)
+    assert sorted((r.code, r.nom, len(r.polygons)) for r in read.collect()) == [
+        ("77001", "A", 1), ("77002", "B", 1), ("77003", "C", 2),
+    ]
+    assert tuple(map_extent(read).first()) == (1.0, 47.0, 5.0, 51.0, 3.0, 49.0)
 
 
 def test_file_sinks(spark, tmp_path, rows):
@@ -183,3 +190,25 @@ def test_file_sinks(spark, tmp_path, rows):
     assert files.read_strings(spark, path).count() == 2
     assert sorted(r.record for r in out.json_records(frame).collect()) == ['{"a":1,"b":"é;x"}', '{"a":2}']
     assert spark.read.json(out.write_json(frame, str(tmp_path / "j"))).count() == 2
+
+
+PUBLISHED = [
+    (schemas.PUBLIC_HOLIDAYS, [(dt.date(2023, 1, 1), "Jour de l'an")]),
+    (schemas.SCHOOL_HOLIDAYS, [("Zone A", "Hiver", dt.datetime(2023, 2, 17, 23), dt.datetime(2023, 3, 5, 23))]),
+    (schemas.COMMUNES, [("Ambérieu", "84", "01004", 14000), ("Ajaccio", "94", "2A004", None)]),
+    (schemas.WEATHER_DAILY, [(dt.date(2023, 1, 1), 1.5, *[0.1] * 7)]),
+    (schemas.ACCIDENT_COUNTS, [(1, 2, 2023, "2A", "2A004", 3)]),
+]
+
+
+@pytest.mark.parametrize("schema, data", PUBLISHED)
+def test_published_tables_read_back_with_their_schema(spark, tmp_path, schema, data):
+    path = out.write_csv(spark.createDataFrame(data, schema), str(tmp_path / "t"))
+    assert sorted(tuple(r) for r in files.read_typed(spark, path, schema).collect()) == sorted(data)
+
+
+def test_school_holidays_with_offsets_as_text(spark, tmp_path):
+    text = "zone,type,start_date,end_date\nZone A,Hiver,2023-02-18T00:00:00+01:00,2023-03-06\n"
+    (tmp_path / "s.csv").write_text(text)
+    (row,) = files.read_typed(spark, str(tmp_path / "s.csv"), schemas.SCHOOL_HOLIDAYS).collect()
+    assert (row.start_date, row.end_date) == (dt.datetime(2023, 2, 17, 23), dt.datetime(2023, 3, 6))
