@@ -44,13 +44,14 @@ class Trained(NamedTuple):
 
 
 def split_parts(df: DataFrame, label: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """Training and test part, written out once so that the rounds of a fit do not compute them anew.
+    """Training and test part of ``df``, which is written out once for all the passes over it.
 
     Rows from fewer partitions than there are cores are spread over all of them.
     """
-    marked = materialise(stratified_split(df, label, key))
+    kept = materialise(df)
+    marked = stratified_split(kept, label, key)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if marked.rdd.getNumPartitions() < cores:
+    if kept.rdd.getNumPartitions() < cores:
         marked = marked.repartition(cores, key)
     return marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test")
 

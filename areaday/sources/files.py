@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from urllib.parse import urlparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -40,7 +41,12 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     name. Only names are read, not contents.
     """
     root = urlparse(folder).path.rstrip("/") + "/"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no folder {folder}") from error
     inside = F.substring_index("path", root, -1)
     names = files.select(F.split_part(inside, F.lit("/"), F.lit(1)).alias("name")).distinct()
     listed = names.filter(~F.col("name").rlike(r"^[_.]")).withColumn(

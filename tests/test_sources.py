@@ -46,6 +46,8 @@ def test_listing_of_flat_files_and_of_an_empty_folder(spark, tmp_path, rows):
     (tmp_path / "empty").mkdir()
     with pytest.raises(FileNotFoundError):
         files.list_files(spark, str(tmp_path / "empty"))
+    with pytest.raises(FileNotFoundError):
+        files.list_files(spark, str(tmp_path / "missing"))
 
 
 def test_recent_counts_files_and_not_years(spark, rows):
