@@ -1,8 +1,10 @@
 import pytest
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from areaday.registered import all_queries
 
+SQL = {name: sql for name, (_, sql) in all_queries().items() if sql is not None}
 NO_SQL = {"rf_score", "forest_latest_days", "gbt_threshold_score"}
 
 
@@ -12,12 +14,12 @@ def con(sf):
 
 
 def test_all_but_fitted_models_have_sql():
-    assert set(queries()) - set(oracle_sql()) == NO_SQL
+    assert set(all_queries()) - set(SQL) == NO_SQL
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_its_sql(spark, sf, con, name):
-    assert check.compare(queries()[name](spark, sf), con, oracle_sql()[name]) == []
+    assert check.compare(queries()[name](spark, sf), con, SQL[name]) == []
 
 
 def test_entry_has_a_row_per_customer_and_day(spark):
