@@ -58,6 +58,15 @@ def record(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.record_batch([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
 
+def carried(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """``row``, a struct of the columns to keep, and the whole ``text``: no added column can clash with theirs."""
+    return docs.select(F.struct(*[docs[name].alias(name) for name in keep]).alias("row"), whole_text(docs).alias("text"))
+
+
+def row_type(docs: DataFrame, keep: tuple[str, ...]) -> str:
+    return f"struct<{', '.join(f'`{name}`: {docs.schema[name].dataType.simpleString()}' for name in keep)}>"
+
+
 SKETCH_BITS = 20
 _BLOCK = 1 << 14
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import string
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from areaday.llm.common import table
+from areaday.llm.decontamination import contaminated, contamination, hit_words
 from areaday.llm.exact_dedup import exact_dedup
+from areaday.llm.packing import pack_documents
 
 _LOWERED = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
@@ -22,3 +26,16 @@ OP7_SQL = f"""
            doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
     FROM t WINDOW w AS (PARTITION BY norm)
 """
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("n_hit", hit_words()).select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )

@@ -5,5 +5,7 @@ from __future__ import annotations
 from areaday.llm import queries as q
 
 QUERIES = {
+    "op2_best_fit_packing": (q.op2_best_fit_packing, None),
+    "op5_decontamination": (q.op5_decontamination, None),
     "op7_exact_dedup": (q.op7_exact_dedup, q.OP7_SQL),
 }
