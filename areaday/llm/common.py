@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from areaday.session import materialise
+
 BATCH_ROWS = 1000
 BATCH_BYTES = "16m"
 
@@ -58,9 +60,10 @@ def record(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.record_batch([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
 
-def carried(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """``row``, a struct of the columns to keep, and the whole ``text``: no added column can clash with theirs."""
-    return docs.select(F.struct(*[docs[name].alias(name) for name in keep]).alias("row"), whole_text(docs).alias("text"))
+def carried(docs: DataFrame, keep: tuple[str, ...], **others: Column) -> DataFrame:
+    """``row``, a struct of the columns to keep, the whole ``text``, and ``others``: no added column can clash with theirs."""
+    named = [column.alias(name) for name, column in others.items()]
+    return docs.select(F.struct(*[docs[name].alias(name) for name in keep]).alias("row"), whole_text(docs).alias("text"), *named)
 
 
 def row_type(docs: DataFrame, keep: tuple[str, ...]) -> str:
@@ -71,36 +74,44 @@ SKETCH_BITS = 20
 _BLOCK = 1 << 14
 
 
-def sketch(hashes: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
-    """How many of the 64-bit numbers in ``hashes`` fall in each of 2^``bits`` buckets, by their top bits.
+def summed(frame: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int, kind=np.int64) -> np.ndarray:
+    """The sum over all tasks of the array of ``size`` 64-bit numbers that ``count`` makes of a task's batches.
 
-    ``hashes`` has one column, ``hash``, a binary of 64-bit numbers. Tasks count into arrays and Spark sums blocks of
-    them, so what reaches the driver has a fixed size (8 MB at 20 bits) whatever the input.
+    Spark sums blocks of the arrays, so what reaches the driver has a fixed size whatever the input.
     """
 
-    def count(frames):
-        counts, waiting, held = np.zeros(1 << bits, np.int64), [], 0
+    def emit(frames):
+        counts = count(frames).astype(kind)
+        for block, part in blocks_of(counts):
+            yield pa.record_batch([pa.array([block]), pa.array([part])], names=["block", "counts"])
+
+    return add_blocks(frame.mapInArrow(emit, "block long, counts binary"), size, kind)
+
+
+def blocks_of(counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """The first place and the bytes of every part of an array that is not all 0."""
+    for block in range(0, len(counts), _BLOCK):
+        part = counts[block : block + _BLOCK]
+        if part.any():
+            yield block, part.tobytes()
+
+
+def add_blocks(blocks: DataFrame, size: int, kind=np.int64) -> np.ndarray:
+    """The array whose parts ``blocks`` holds: rows of ``block`` and ``counts``, as ``blocks_of`` gives them."""
+
+    def add(frames):
+        total: dict[int, np.ndarray] = {}
         for columns in batches(frames):
-            waiting += [blob for blob in columns["hash"] if blob]
-            held = sum(map(len, waiting))
-            if held > 1 << 24:
-                counts += bucket_counts(b"".join(waiting), bits)
-                waiting = []
-        counts += bucket_counts(b"".join(waiting), bits)
-        for block in range(0, len(counts), _BLOCK):
-            part = counts[block : block + _BLOCK]
-            if part.any():
-                yield pa.record_batch([pa.array([block]), pa.array([part.tobytes()])], names=["block", "counts"])
-
-    def add(frame):
-        total = sum(np.frombuffer(blob, np.int64) for blob in frame["counts"].to_pylist())
-        return pa.table({"block": frame["block"][:1], "counts": [total.tobytes()]})
-
-    schema = "block long, counts binary"
-    summed = hashes.mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema)
-    whole = np.zeros(1 << bits, np.int64)
-    for row in summed.collect():
-        part = np.frombuffer(row["counts"], np.int64)
+            for block, counts in zip(columns["block"], columns["counts"], strict=True):
+                part = np.frombuffer(counts, kind)
+                total[block] = total[block] + part if block in total else part
+        if total:
+            yield pa.record_batch([pa.array(list(total)), pa.array([x.tobytes() for x in total.values()])], names=["block", "counts"])
+
+    whole = np.zeros(size, kind)
+    dealt = blocks.repartition(max(1, min(64, size // _BLOCK)), "block")
+    for row in dealt.mapInArrow(add, "block long, counts binary").collect():
+        part = np.frombuffer(row["counts"], kind)
         whole[row["block"] : row["block"] + len(part)] = part
     return whole
 
@@ -109,5 +120,36 @@ def bucket_of(hashes: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def bucket_counts(blob: bytes, bits: int) -> np.ndarray:
-    return np.bincount(bucket_of(np.frombuffer(blob, np.uint64), bits), minlength=1 << bits)
+def bucket_counts(hashes: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """How many of the 64-bit numbers fall in each of 2^``bits`` buckets."""
+    return np.bincount(bucket_of(hashes, bits), minlength=1 << bits)
+
+
+def sketch(numbers: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
+    """``bucket_counts`` of the one long column of ``numbers``."""
+
+    def count(frames):
+        counts = np.zeros(1 << bits, np.int64)
+        for frame in frames:
+            np.add.at(counts, bucket_of(frame.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits), 1)
+        return counts
+
+    return summed(numbers, count, 1 << bits)
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, limit: int, folds: int = 4, held: int = 2) -> DataFrame:
+    """``text, label`` of about ``limit`` labelled documents at most, spread by a hash of the id, without fold ``held``.
+
+    Rows without an id or a label count as not labelled; a document is 1 if any of its labels is.
+    """
+    known = (
+        labels.filter(labels["doc_id"].isNotNull() & labels[label].isNotNull() & (fold(labels["doc_id"], folds) != held))
+        .groupBy("doc_id")
+        .agg(F.max(labels[label].cast("int")).alias("label"))
+    )
+    share = min(1.0, limit / max(1, known.count()))
+    # The hash as a number from 0 to 1; the sample is broadcast, its size follows from the limit.
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))
+    texts = docs.select(docs["doc_id"].alias("doc_id"), whole_text(docs).alias("text"))
+    chosen = texts.join(F.broadcast(known.filter(place < share)), "doc_id")
+    return materialise(chosen.select("text", "label"))

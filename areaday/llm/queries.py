@@ -8,10 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaday.llm.common import table
+from areaday.llm.common import fold, table
 from areaday.llm.decontamination import contaminated, contamination, hit_words
 from areaday.llm.exact_dedup import exact_dedup
+from areaday.llm.jaccard_join import jaccard_join
+from areaday.llm.line_dedup import line_dedup
+from areaday.llm.lm_scoring import score
 from areaday.llm.packing import pack_documents
+from areaday.llm.pii import PATTERNS, all_spans, find, joined
+from areaday.llm.quality import good, quality
+from areaday.llm.quality import train as train_quality
+from areaday.llm.toxicity import rejected, toxicity
+from areaday.llm.toxicity import train as train_toxicity
+from areaday.llm.url_filters import host_of, judge, parents
 
 _LOWERED = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
@@ -39,3 +48,67 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
+
+
+def _predictions(scored: DataFrame, positive) -> DataFrame:
+    doc_id = F.col("row.doc_id")
+    return scored.select(
+        doc_id, (fold(doc_id, 4) == 2).alias("held_out"), "score", positive(F.col("score")).cast("int").alias("predicted")
+    )
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _predictions(toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels"))), rejected)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _predictions(quality(docs, train_quality(docs, table(spark, sf_dir, "labels"))), good)
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its lines, how many go and which, and a digest of the text that is left."""
+    return line_dedup(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
+_ACTIONS = ("block", "allow", "clear")
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as captures, judged by dated entries for each of their hosts and domains.
+
+    The tables have neither times of fetches nor lists, so both are derived: a page is fetched on the day that its id
+    falls on in a year, and each host and domain has three entries with a day and an action by its crc32.
+    """
+    day = lambda number: F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(number, F.lit(365)).cast("int"))
+    pages = table(spark, sf_dir, "pages")
+    captures = pages.select("page_id", "url", day(F.col("page_id")).alias("fetched"))
+    keys = captures.select(F.explode(parents(host_of(F.col("url")))).alias("p")).filter("p.labels > 1").select("p.key").distinct()
+    numbered = keys.select("key", F.explode(F.array(*map(F.lit, range(3)))).alias("n"))
+    code = F.crc32(F.concat(F.col("key"), F.lit("#"), F.col("n").cast("string")).cast("binary"))
+    action = F.element_at(F.array(*map(F.lit, _ACTIONS)), (F.pmod(code, F.lit(7)) % 3 + 1).cast("int"))
+    return judge(captures, numbered.select("key", action.alias("action"), day(code).alias("day")))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find(table(spark, sf_dir, "documents"))
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(number, PATTERNS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(all_spans()).alias("spans")
+    )
+
+
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"))

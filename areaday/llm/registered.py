@@ -5,7 +5,14 @@ from __future__ import annotations
 from areaday.llm import queries as q
 
 QUERIES = {
+    "op1_toxicity": (q.op1_toxicity, None),
     "op2_best_fit_packing": (q.op2_best_fit_packing, None),
+    "op3_lm_scoring": (q.op3_lm_scoring, None),
+    "op4_quality": (q.op4_quality, None),
     "op5_decontamination": (q.op5_decontamination, None),
+    "op6_jaccard_join": (q.op6_jaccard_join, None),
     "op7_exact_dedup": (q.op7_exact_dedup, q.OP7_SQL),
+    "op8_line_dedup": (q.op8_line_dedup, None),
+    "op9_url_filters": (q.op9_url_filters, None),
+    "op10_pii": (q.op10_pii, None),
 }

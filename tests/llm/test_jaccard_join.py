@@ -1,0 +1,127 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from areaday.llm import jaccard_join as jj
+from areaday.llm import linking
+
+
+def words(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else " " if c in "\t\n\x0b\x0c\r" else c for c in text or "").split(" ")
+
+
+def shingles(text, size=5):
+    w = [x for x in words(text) if x]
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def brute(pairs, share=80, size=5):
+    sets = [shingles(text, size) for _, text in pairs]
+    parent = list(range(len(pairs)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    index = {}
+    for i, s in enumerate(sets):
+        seen = {j for x in s for j in index.get(x, ())}
+        for j in seen:
+            if 100 * len(s & sets[j]) >= share * len(s | sets[j]):
+                parent[root(i)] = root(j)
+        for x in s:
+            index.setdefault(x, []).append(i)
+    names = {}
+    for i, (doc_id, _) in enumerate(pairs):
+        if sets[i] and doc_id is not None:
+            names[root(i)] = min(doc_id, names.get(root(i), doc_id))
+    return sorted(
+        ((doc_id, len(sets[i]), names.get(root(i)) if sets[i] else doc_id) for i, (doc_id, _) in enumerate(pairs)), key=repr
+    )
+
+
+def run(documents, rows, pairs, **options):
+    return rows(jj.jaccard_join(documents(pairs), **options), "doc_id", "n_shingles", "component_id")
+
+
+def near_copies(seed, groups=6, copies=12, length=60, common=0):
+    """Groups of texts with a few changed words each, some with a passage that all groups share."""
+    rng = random.Random(seed)
+    passage = [f"p{i}" for i in range(common)]
+    out = []
+    for g in range(groups):
+        base = [f"g{g}w{i}" for i in range(length)] + passage
+        for _ in range(copies):
+            text = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 3, 5])):
+                text[rng.randrange(len(text))] = f"x{rng.randrange(10**6)}"
+            out.append(" ".join(text[: rng.choice([len(text), len(text), len(text) - 4])]))
+    rng.shuffle(out)
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("seed, common", [(1, 0), (2, 40)])
+def test_equals_brute_force(documents, rows, seed, common):
+    pairs = near_copies(seed, common=common)
+    assert run(documents, rows, pairs) == brute(pairs)
+
+
+@pytest.mark.parametrize("hot", [3, 40])
+def test_frequent_shingles_take_the_other_way(documents, rows, monkeypatch, hot):
+    monkeypatch.setattr(linking, "HOT", hot)
+    pairs = near_copies(5, groups=3, copies=30, common=30)
+    assert run(documents, rows, pairs) == brute(pairs)
+
+
+def test_odd_texts(documents, rows):
+    pairs = [
+        (1, None), (2, ""), (3, " \n "), (4, "one two"), (5, "ONE\ttwo"), (6, "one two three"), (7, "É a b c d e"),
+        (8, "é a b c d e"), (9, "a b c d e f"), (9, "a b c d e f"), (None, "a B c d e f"), (None, "only here"),
+        (11, "w " * 50_000), (10, "w w w w w w"),
+    ]
+    assert run(documents, rows, pairs) == brute(pairs)
+
+
+def test_empty_table_and_extra_columns(documents, rows):
+    assert run(documents, rows, []) == []
+    docs = documents(["a b c d e f", "a b c d e f"]).withColumn("item", F.lit(1)).withColumn("component_id", F.lit(2))
+    assert rows(jj.jaccard_join(docs), "component_id") == [(0,), (0,)]
+
+
+def test_given_documents(documents, rows, spark, sf):
+    pairs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    expected = brute(pairs)
+    assert run(documents, rows, pairs) == expected and any(doc != name for doc, _, name in expected)
+
+
+def test_divide_skip_equals_intersections():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        query = np.unique(rng.integers(0, 60, 40)).astype(np.uint64)
+        block = [np.unique(rng.integers(0, 60, rng.integers(1, 50))).astype(np.uint64) for _ in range(rng.integers(1, 30))]
+        needed = [int(rng.integers(1, 30)) for _ in block]
+        expected = [len(np.intersect1d(query, s)) >= n for s, n in zip(block, needed, strict=True)]
+        assert jj.divide_skip(query, block, needed) == expected
+
+
+def test_overlap_bounds_are_exact():
+    for n in range(1, 60):
+        for m in range(1, 60):
+            for i in range(min(n, m) + 1):
+                linked = 100 * i >= 80 * (n + m - i)
+                assert linked == (i >= jj.least_overlap(n, m, 80))
+                assert linked == (m <= int(jj.largest_partner(n, np.array([i]), 80)[0]))
+
+
+def test_components(spark, rows):
+    rng = random.Random(1)
+    links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)]
+    found = dict(rows(linking.components(spark.createDataFrame(links, "one long, other long")), "item", "component"))
+    label = {x: x for pair in links for x in pair}
+    for _ in label:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    assert found == {x: label[x] for a, b in links if a != b for x in (a, b)}
