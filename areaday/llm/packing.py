@@ -12,7 +12,9 @@ is. Other columns are not read. An empty table gives no pieces.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,43 +28,86 @@ from areaday.session import materialise
 CAPACITY = 2048
 END_ID = 0
 GROUP_PIECES = 50_000
-_CACHED_WORDS = 300_000
-_CACHED_BYTES = 100
+_CACHED_PARTS = 500_000
+_AT_ONCE = 1000
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
+_PLAIN = re.compile("[ \t\n\r\x0b\x0c!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+_PART = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ \t\n\r\x0b\x0c0-9{_LETTERS}]+")
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids", pa.binary())])
 
 
 class WordTokenizer:
-    """Ids of texts by a tokenizer that drops white space and never joins across it: each word is looked up once.
+    """Ids of texts by a tokenizer that first cuts a text into parts that it never joins, as little-endian numbers.
 
-    Words are kept as their ids in little-endian unsigned 32-bit numbers, up to a bounded number of short words.
+    Parts are runs of letters, digits, runs of other signs, and English endings; white space is dropped. Texts of plain
+    Latin letters are cut by one pattern, others word by word. Only parts that are not known yet are encoded, many at
+    once; the tokenizer marks the last id of each. Words beyond plain Latin letters, and special tokens, are encoded as
+    they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        ids = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(ids.values()) + 1, bool)
+        self.ends[[i for token, i in ids.items() if token.endswith("</w>")]] = True
+        self.parts: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.encode().split() for text in texts]
-        if len(self.known) > _CACHED_WORDS:
-            self.known = {}
-        new = list(set().union(*split) - self.known.keys())
-        ids = self.tokenizer.encode_batch([word.decode() for word in new], add_special_tokens=False)
-        found = {word: np.array(x.ids, "<u4").tobytes() for word, x in zip(new, ids, strict=True)}
-        long = {word: found.pop(word) for word in new if len(word) > _CACHED_BYTES}
-        self.known.update(found)
-        look = (lambda word: long.get(word) or self.known.get(word, b"")) if long else self.known.__getitem__
-        return [b"".join(map(look, words)) for words in split]
-
-
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
+        if len(self.parts) > _CACHED_PARTS:
+            self.parts = {}
+        cut = [self.cut(text) for text in texts]
+        wanted = sorted(set().union(*cut) - self.parts.keys())
+        for start in range(0, len(wanted), _AT_ONCE):
+            self.learn(wanted[start : start + _AT_ONCE])
+        look = self.parts.__getitem__
+        return [b"".join(map(look, parts)) for parts in cut]
+
+    def cut(self, text: str) -> list[str]:
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return _PART.findall(text.lower())
+        parts = []
+        for word in _ASCII_SPACE.split(text):
+            if word and _PLAIN.fullmatch(word) and "<|" not in word:
+                parts += _PART.findall(word.lower())
+            elif word:
+                # The mark keeps a word that is encoded as it is apart from parts, which hold no white space.
+                if f" {word}" not in self.parts:
+                    self.parts[f" {word}"] = self.whole(word)
+                parts.append(f" {word}")
+        return parts
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, parts: list[str]) -> None:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(parts):
+            self.parts.update((part, self.whole(part)) for part in parts)
+            return
+        blob, start = ids.tobytes(), 0
+        for part, end in zip(parts, (4 * ends).tolist(), strict=True):
+            self.parts[part] = blob[start:end]
+            start = end
+
+
+@cache
+def tokenizer(path: str) -> WordTokenizer:
+    """One per Python worker, so that tasks that follow one another share what it knows."""
+    return WordTokenizer(path)
+
+
+def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids`` of every document; ``ids`` are little-endian unsigned 32-bit numbers."""
     small_batches(docs.sparkSession)
     end, step = np.array([END_ID], "<u4").tobytes(), 4 * capacity
 
     def cut(frames):
-        words = WordTokenizer(tokenizer)
+        words = tokenizer(vocabulary)
         for columns in batches(frames):
             out = {name: [] for name in PIECES.names}
             for doc_id, ids in zip(columns["doc_id"], words.encode(columns["text"]), strict=True):
@@ -171,7 +216,7 @@ def sequences(packed: DataFrame, ids: DataFrame) -> DataFrame:
     return one.groupBy("sequence_id").agg(joined.alias("ids"))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece."""
-    cut = pieces(docs, tokenizer, capacity)
+    cut = pieces(docs, vocabulary, capacity)
     return pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), capacity)

@@ -12,7 +12,7 @@ from areaday.llm import packing
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
     "", None, " ", "Hello  World", "it's we'll I'VE 1234 a.b!!", "H̱ é x   y", "<|endoftext|> a<|endoftext|>b",
-    "ΑΣ ΣΑΣ", "日本語 テキスト", "x" * 5000, "word " * 3000, "same", "same", "\x1c\x1d a\x0bb\x0cc", "🙂🙃 ok",
+    "ΑΣ ΣΑΣ", "日本語 テキスト", "x" * 5000, "word " * 3000, "same", "same", "\x1c\x1d a\x0bb\x0cc", "🙂🙃 ok", "'sun ''s \"'s 'll've l'été", "Ünïcödé×÷ ²³ STRASSE straße ÿŸ", "a–b … “q” don’t",
 ]
 
 
