@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areaday.llm.common import whole_text
+from areaday.llm.common import carried, whole_text
 from areaday.session import materialise
 
 CONTEXT_CHARS = 80
@@ -201,8 +201,8 @@ def sanitised(text: Column) -> Column:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` sanitised."""
-    found = find(docs).select(F.col("doc_id").alias("of"), "hash", "base", "terms").distinct()
-    text = whole_text(docs)
-    same = docs["doc_id"].eqNullSafe(F.col("of")) & (F.xxhash64(text) == F.col("hash"))
-    clean = sanitised(text).alias("text")
-    return docs.join(found, same).select(*[clean if name == "text" else docs[name] for name in docs.columns])
+    found = find(docs).select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"), "base", "terms").distinct()
+    rows = carried(docs, tuple(docs.columns), id=docs["doc_id"], hash=F.xxhash64(whole_text(docs)))
+    both = rows.join(found, F.col("id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash")))
+    clean = sanitised(F.col("text"))
+    return both.select(*[(clean if name == "text" else F.col(f"row.`{name}`")).alias(name) for name in docs.columns])

@@ -50,6 +50,28 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP5_SQL = rf"""
+    WITH texts AS (
+        SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    items AS (
+        SELECT item_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item_id, w[i:i + 12] AS phrase FROM items, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(i)
+        WHERE len(w) > 0),
+    places AS (
+        SELECT doc_id, i, n, w[i:i + n - 1] AS phrase
+        FROM texts, (SELECT DISTINCT len(phrase) AS n FROM windows) AS sizes, unnest(range(1, len(w) - n + 2)) AS t(i)),
+    found AS (SELECT doc_id, i, n, item_id FROM places JOIN windows USING (phrase)),
+    hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM found, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
+    named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+    FROM texts LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 def _predictions(scored: DataFrame, positive) -> DataFrame:
     doc_id = F.col("row.doc_id")
     return scored.select(
@@ -71,6 +93,24 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+OP6_SQL = rf"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(string_split_regex({_LOWERED}, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, w[i:i + 4] AS s FROM words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i)
+        WHERE len(w) > 0),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    links AS (
+        SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+        JOIN sizes n ON n.doc_id = a.doc_id JOIN sizes m ON m.doc_id = b.doc_id
+        GROUP BY a.doc_id, b.doc_id, n.n, m.n HAVING 100 * count(*) >= 80 * (n.n + m.n - count(*))),
+    reached(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other)
+    SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(other) AS component_id
+    FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its lines, how many go and which, and a digest of the text that is left."""
     return line_dedup(table(spark, sf_dir, "documents")).select(
@@ -87,18 +127,44 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as captures, judged by dated entries for each of their hosts and domains.
 
     The tables have neither times of fetches nor lists, so both are derived: a page is fetched on the day that its id
-    falls on in a year, and each host and domain has three entries with a day and an action by its crc32.
+    falls on in a year, and each host and domain has three entries with a day and an action by its md5.
     """
     day = lambda number: F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(number, F.lit(365)).cast("int"))
     pages = table(spark, sf_dir, "pages")
     captures = pages.select("page_id", "url", day(F.col("page_id")).alias("fetched"))
     keys = captures.select(F.explode(parents(host_of(F.col("url")))).alias("p")).filter("p.labels > 1").select("p.key").distinct()
     numbered = keys.select("key", F.explode(F.array(*map(F.lit, range(3)))).alias("n"))
-    code = F.crc32(F.concat(F.col("key"), F.lit("#"), F.col("n").cast("string")).cast("binary"))
-    action = F.element_at(F.array(*map(F.lit, _ACTIONS)), (F.pmod(code, F.lit(7)) % 3 + 1).cast("int"))
+    digest = F.md5(F.concat(F.col("key"), F.lit("#"), F.col("n").cast("string")))
+    code = F.conv(F.substring(digest, 1, 6), 16, 10).cast("long")
+    action = F.element_at(F.array(*map(F.lit, _ACTIONS)), (code % 7 % 3 + 1).cast("int"))
     return judge(captures, numbered.select("key", action.alias("action"), day(code).alias("day")))
 
 
+OP9_SQL = r"""
+    WITH captures AS (
+        SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 365 AS INTEGER) AS fetched,
+               nullif(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '\.+$', ''), '') AS host
+        FROM pages),
+    split AS (SELECT host, string_split(host, '.') AS labels FROM (SELECT DISTINCT host FROM captures WHERE host IS NOT NULL)),
+    parents AS (
+        SELECT host, array_to_string(labels[i:], '.') AS key, len(labels) - i + 1 AS n
+        FROM split, unnest(range(1, len(labels) + 1)) AS t(i)),
+    coded AS (
+        SELECT key, CAST('0x' || substr(md5(key || '#' || m), 1, 6) AS INTEGER) AS code
+        FROM (SELECT DISTINCT key FROM parents WHERE n > 1), unnest(range(3)) AS t(m)),
+    daily AS (
+        SELECT key, DATE '2024-01-01' + code % 365 AS since, max([3, 2, 1][code % 7 % 3 + 1]) AS strict FROM coded GROUP BY ALL),
+    spans AS (SELECT *, lead(since) OVER (PARTITION BY key ORDER BY since) AS until FROM daily),
+    active AS (
+        SELECT c.host, c.fetched, max({'n': p.n, 'key': s.key, 'strict': s.strict, 'since': s.since}) AS best
+        FROM (SELECT DISTINCT host, fetched FROM captures) c JOIN parents p USING (host) JOIN spans s USING (key)
+        WHERE s.strict > 1 AND s.since <= c.fetched AND (s.until IS NULL OR c.fetched < s.until) GROUP BY ALL)
+    SELECT page_id, url, fetched, host, coalesce(['', 'allow', 'block'][best.strict], 'pass') AS verdict,
+           best.key AS matched, best.since AS since
+    FROM captures LEFT JOIN active USING (host, fetched)
+"""
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(table(spark, sf_dir, "documents"))
 

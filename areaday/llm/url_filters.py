@@ -76,10 +76,10 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     best = F.max(F.struct("labels", "key", "action", "since")).alias("best")
     decided = materialise(keys.join(materialise(listed), ["key", "month"]).filter(in_force).groupBy("host", "day").agg(best))
     verdicts = decided.select(F.col("host").alias("of"), F.col("day").alias("on"), "best")
-    same = (F.col("host") == F.col("of")) & (F.col("fetched").cast("date") == F.col("on"))
+    same = (rows["host"] == verdicts["of"]) & (rows["fetched"].cast("date") == verdicts["on"])
     return rows.join(verdicts, same, "left").select(
         *[rows[name] for name in rows.columns],
-        F.coalesce("best.action", F.lit("pass")).alias("verdict"),
-        F.col("best.key").alias("matched"),
-        F.col("best.since").alias("since"),
+        F.coalesce(verdicts["best"]["action"], F.lit("pass")).alias("verdict"),
+        verdicts["best"]["key"].alias("matched"),
+        verdicts["best"]["since"].alias("since"),
     )

@@ -46,7 +46,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are linked by a Jaccard similarity of 0.8 or more, the one with the smallest ``doc_id``."""
     other = jaccard_join(docs).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("other"))
-    return docs.join(materialise(other.distinct()), docs["doc_id"] == F.col("other"), "left_anti")
+    other = materialise(other.distinct())
+    return docs.join(other, docs["doc_id"] == other["other"], "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
