@@ -45,3 +45,6 @@ COLOUR_FLAGGED = "#8B0000"
 COLOUR_CLEAR = "#008000"
 LABEL_YES = "✅ Oui"
 LABEL_NO = "❌ Non"
+
+# Years that dates may lie in; a date outside is taken for an error, as a table of all days up to it would be made.
+YEARS = (1900, 2100)

@@ -9,6 +9,7 @@ from areaday.functions.dates import years_around
 from areaday.plans.counts import accident_counts
 from areaday.plans.panel import department_communes, training_set
 from areaday.plans.weather import weather_daily
+from areaday.sinks.files import write_csv
 from areaday.sinks.tables import Audit, LoadResult, load
 from areaday.sources import documents, files
 
@@ -32,7 +33,21 @@ def training_set_from_files(
 
 
 def run(
-    spark: SparkSession, landing: str, table: str, audit: Audit, dep: str, year: int, path: str | None = None
+    spark: SparkSession,
+    landing: str,
+    table: str,
+    audit: Audit,
+    dep: str,
+    year: int,
+    path: str | None = None,
+    n_files: int = FILES_READ,
+    publish: str | None = None,
 ) -> LoadResult:
-    """Build the training set and replace ``table`` with it; ``path`` is where a new table's files go."""
-    return load(training_set_from_files(spark, landing, dep, year), table, audit, path=path)
+    """Build the training set and replace ``table`` with it; ``path`` is where a new table's files go.
+
+    With ``publish`` the loaded rows are also written there as CSV.
+    """
+    loaded = load(training_set_from_files(spark, landing, dep, year, n_files), table, audit, path=path, partition_by=["an"])
+    if publish:
+        write_csv(spark.table(table), publish)
+    return loaded

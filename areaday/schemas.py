@@ -16,7 +16,7 @@ FIRE_BRIGADE = ["name", "city", "department"]
 WEATHER_HOURLY = "dt_iso STRING, " + ", ".join(f"{c} DOUBLE" for c in WEATHER)
 WEATHER_DAILY = "date DATE, " + ", ".join(f"{c} DOUBLE" for c in WEATHER)
 ACCIDENT_COUNTS = "jour INT, mois INT, an INT, dep STRING, com STRING, nombre_d_accidents BIGINT"
-COMMUNE_MAPPING = "commune STRING, id INT"
+COMMUNE_MAPPING = "commune STRING, id BIGINT"
 
 CATALOGUE_JSON = "resources ARRAY<STRUCT<title: STRING, url: STRING, format: STRING>>"
 SCHOOL_JSON = (
@@ -29,8 +29,6 @@ GEOJSON = (
     "features ARRAY<STRUCT<properties: STRUCT<code: STRING, nom: STRING>,"
     " geometry: STRUCT<type: STRING, coordinates: STRING>>>"
 )
-POLYGON = "ARRAY<ARRAY<ARRAY<DOUBLE>>>"
-MULTI_POLYGON = f"ARRAY<{POLYGON}>"
 
 
 class ColumnDiff(NamedTuple):

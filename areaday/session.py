@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -34,7 +37,8 @@ def build_session(app: str = "areaday", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, from ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it gets a fresh temporary folder.
+    Only a session within one process may go without the setting; it gets a temporary folder, which goes when the
+    process ends. What is written to a configured folder stays until the folder is cleared.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,9 +47,11 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(configured)
         return configured.rstrip("/")
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="areaday-"))
+        folder = tempfile.mkdtemp(prefix="areaday-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir().rstrip("/")
 
 

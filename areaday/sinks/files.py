@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> str:
-    """A CSV dataset with headers. ``overwrite`` replaces what is there; ``ignore`` leaves it."""
-    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    """A CSV dataset with headers, quotes within quotes doubled. ``overwrite`` replaces what is there; ``ignore`` leaves it.
+
+    Texts keep the white space at their ends.
+    """
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(header=True, sep=sep, quote='"', escape='"', **spaces).csv(path)
     return path
 
 

@@ -39,16 +39,20 @@ def load(
     mode: str = "overwrite",
     columns: list[str] | None = None,
     path: str | None = None,
+    partition_by: list[str] | None = None,
 ) -> LoadResult:
     """Write ``df`` with audit columns to ``table`` and count its rows in the same pass.
 
     ``overwrite`` replaces the table with the schema of the data; ``append`` adds to it by column
-    name. ``columns`` names the columns to load; ``path`` puts a new table's files there.
+    name. ``columns`` names the columns to load; ``path`` puts a new table's files there, and ``partition_by`` lays
+    them out by columns of few values, such as the year.
     """
     loaded = with_audit(require_columns(df, columns).select(*columns) if columns else df, audit)
     counted = Observation()
     writer = loaded.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if path:
         writer = writer.option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
     return LoadResult(counted.get["rows"], str(audit.execution_date))

@@ -1,4 +1,4 @@
-"""Landed JSON and HTML payloads as rows."""
+"""Landed JSON and HTML payloads as rows. A document that is cut off or has values of another type raises an error."""
 
 from __future__ import annotations
 
@@ -19,11 +19,14 @@ from areaday.operators.aggregates import last_wins
 ROW = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
 CELL = r"(?is)<td\b[^>]*>(.*?)</td\s*>"
 TAG = r"(?s)<[^>]*>"
+FAIL = {"mode": "FAILFAST"}
+# How many levels of lists lie above a point in each type of geometry.
+GEOMETRY_DEPTHS = {"Point": 0, "MultiPoint": 1, "LineString": 1, "MultiLineString": 2, "Polygon": 2, "MultiPolygon": 3}
 
 
 def read_catalogue(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The resources of catalogue documents, with defaults for missing fields."""
-    documents = spark.read.schema(schemas.CATALOGUE_JSON).option("multiLine", multi_line).json(path)
+    documents = spark.read.schema(schemas.CATALOGUE_JSON).options(mode="FAILFAST", multiLine=multi_line).json(path)
     resource = documents.select(F.explode("resources").alias("r"))
     return resource.select(
         F.coalesce("r.title", F.lit(TITLE_DEFAULT)).alias("title"),
@@ -35,16 +38,19 @@ def read_catalogue(spark: SparkSession, path: str, multi_line: bool = True) -> D
 def holidays_of_maps(documents: DataFrame, text: str, order: str) -> DataFrame:
     """Documents that map dates to names, merged: the document last by ``order`` wins a date."""
     entries = documents.select(
-        F.col(order).alias("_order"), F.explode(F.from_json(text, "map<string,string>")).alias("date", "public_holiday")
+        F.col(order).alias("_order"), F.explode(F.from_json(text, "map<string,string>", FAIL)).alias("date", "public_holiday")
     )
     merged = last_wins(entries, "date", "public_holiday", F.col("_order"))
     return merged.withColumn("date", F.to_date("date"))
 
 
 def read_public_holidays(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
-    """One JSON map per year, in files named by year: the years ``first`` to ``last``, by date."""
-    documents = spark.read.text(path, wholetext=True)
-    year = F.regexp_extract("_metadata.file_name", r"(\d{4})", 1)
+    """One JSON map per year, in files named by year: the years ``first`` to ``last``, by date.
+
+    A dataset that Spark wrote counts as one file, under its folder's name.
+    """
+    documents = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    year = F.regexp_extract("_metadata.file_path", r"(\d{4})[^/]*(?:/part-[^/]*)?$", 1)
     dated = documents.select("value", F.when(year != "", year).cast("int").alias("year"))
     return holidays_of_maps(dated.filter(F.col("year").between(first, last)), "value", "year").orderBy("date")
 
@@ -53,7 +59,7 @@ def read_school_holidays(
     spark: SparkSession, path: str, year: int, span: tuple[int, int] = SCHOOL_HOLIDAY_YEARS, multi_line: bool = True
 ) -> DataFrame:
     """School holidays of the school years around ``year``, one row per zone and range."""
-    documents = spark.read.schema(schemas.SCHOOL_JSON).option("multiLine", multi_line).json(path)
+    documents = spark.read.schema(schemas.SCHOOL_JSON).options(mode="FAILFAST", multiLine=multi_line).json(path)
     fields = documents.select(F.explode("records").alias("r")).select("r.fields.*")
     first, last = years_around(year, span)
     in_span = part(F.col("annee_scolaire"), "-", 1).cast("int").between(first, last)
@@ -67,14 +73,14 @@ def read_school_holidays(
 
 def read_communes(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Communes from any number of files, each an array of objects."""
-    documents = spark.read.schema(schemas.COMMUNES_JSON).option("multiLine", multi_line).json(path)
+    documents = spark.read.schema(schemas.COMMUNES_JSON).options(mode="FAILFAST", multiLine=multi_line).json(path)
     return documents.select(
         F.col("nom").alias("commune"), F.col("codeRegion").alias("code_region"), "code", "population"
     )
 
 
 def read_postal_codes(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    documents = spark.read.schema(schemas.COMMUNES_JSON).option("multiLine", multi_line).json(path)
+    documents = spark.read.schema(schemas.COMMUNES_JSON).options(mode="FAILFAST", multiLine=multi_line).json(path)
     return documents.select(
         F.col("nom").alias("commune"), F.array_join("codesPostaux", ", ").alias("postal_codes")
     )
@@ -82,7 +88,7 @@ def read_postal_codes(spark: SparkSession, path: str, multi_line: bool = True) -
 
 def first_html(payload: Column) -> Column:
     """The first non-blank text among the ``data`` fields of a JSON array of objects."""
-    items = F.from_json(payload, "array<struct<data: variant>>")
+    items = F.from_json(payload, "array<struct<data: variant>>", FAIL)
     texts = F.transform(
         F.filter(items, lambda x: F.schema_of_variant(x["data"]) == "STRING"),
         lambda x: x["data"].cast("string"),
@@ -123,12 +129,24 @@ def read_fire_brigades(spark: SparkSession, path: str) -> DataFrame:
 def read_geojson(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """``code``, ``nom``, ``type`` and ``polygons`` of the features of GeoJSON documents.
 
-    A polygon comes as a list of one, so that single and multiple ones have the same form: polygons of
-    rings of points of coordinates.
+    All geometries come in the form of multi-polygons, lists of polygons of rings of points of coordinates: a polygon as
+    a list of one, lines as rings, points as rings of one point. A feature without a geometry has null.
     """
-    documents = spark.read.schema(schemas.GEOJSON).option("multiLine", multi_line).json(path)
+    documents = spark.read.schema(schemas.GEOJSON).options(mode="FAILFAST", multiLine=multi_line).json(path)
     feature = documents.select(F.explode("features").alias("f")).select("f.properties.*", "f.geometry.*")
-    polygons = F.when(
-        F.col("type") == "MultiPolygon", F.from_json("coordinates", schemas.MULTI_POLYGON)
-    ).when(F.col("type") == "Polygon", F.array(F.from_json("coordinates", schemas.POLYGON)))
-    return feature.select("code", "nom", "type", polygons.alias("polygons"))
+    def coordinates(depth: int) -> Column:
+        """The coordinates as nested lists that many levels above a point, wrapped up to the depth of multi-polygons."""
+        kind = "double"
+        for _ in range(depth + 1):
+            kind = f"array<{kind}>"
+        nested = F.from_json("coordinates", kind, FAIL)
+        for _ in range(3 - depth):
+            nested = F.array(nested)
+        return nested
+
+    polygons = F.lit(None)
+    for name, depth in GEOMETRY_DEPTHS.items():
+        polygons = F.when(F.col("type") == name, coordinates(depth)).otherwise(polygons)
+    known = F.col("type").isNull() | F.col("type").isin(*GEOMETRY_DEPTHS)
+    unknown = F.raise_error(F.concat(F.lit("geometry of type "), "type")).cast("array<array<array<array<double>>>>")
+    return feature.select("code", "nom", "type", F.when(known, polygons).otherwise(unknown).alias("polygons"))

@@ -15,14 +15,24 @@ from areaday.fixed import FILES_READ, YEAR_IN_FILE_NAME
 from areaday.functions.text import first_match
 
 
-def read_strings(spark: SparkSession, path: str | list[str], sep: str = ";") -> DataFrame:
-    """A delimited file with a header, every column a string."""
-    return spark.read.option("header", True).option("sep", sep).csv(path)
+#: Quotes within quotes are doubled. Rows with too many or too few fields raise an error; they can only be told when all
+#: columns are parsed.
+CSV_DIALECT = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST", "columnPruning": False}
 
 
-def read_typed(spark: SparkSession, path: str | list[str], schema: StructType | str, sep: str = ",") -> DataFrame:
+def read_strings(spark: SparkSession, path: str | list[str], sep: str = ";", multi_line: bool = False) -> DataFrame:
+    """A delimited file with a header, every column a string.
+
+    With ``multi_line`` fields may hold line breaks; a file is then read by one task.
+    """
+    return spark.read.options(**CSV_DIALECT, sep=sep, multiLine=multi_line).csv(path)
+
+
+def read_typed(
+    spark: SparkSession, path: str | list[str], schema: StructType | str, sep: str = ",", multi_line: bool = False
+) -> DataFrame:
     """A delimited file with a header that must match ``schema``; malformed rows raise an error."""
-    options = {"header": True, "sep": sep, "mode": "FAILFAST", "enforceSchema": False}
+    options = {**CSV_DIALECT, "sep": sep, "multiLine": multi_line, "enforceSchema": False}
     return spark.read.schema(schema).options(**options).csv(path)
 
 

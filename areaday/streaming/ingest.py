@@ -12,15 +12,20 @@ from pyspark.sql.types import StructType
 
 from areaday.plans.weather import daily_measures
 from areaday.sinks.tables import Audit, with_audit
-
-CSV_OPTIONS = {"header": True, "mode": "FAILFAST", "enforceSchema": False}
+from areaday.sources.files import CSV_DIALECT
 
 
 def csv_stream(
-    spark: SparkSession, folder: str, schema: StructType | str, sep: str = ",", files_per_batch: int | None = None
+    spark: SparkSession,
+    folder: str,
+    schema: StructType | str,
+    sep: str = ",",
+    files_per_batch: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """The files of a folder as a stream; with ``files_per_batch`` a large backlog comes in several batches."""
-    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS).option("sep", sep)
+    options = {**CSV_DIALECT, "sep": sep, "multiLine": multi_line, "enforceSchema": False}
+    reader = spark.readStream.schema(schema).options(**options)
     return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).csv(folder)
 
 
@@ -32,18 +37,33 @@ def ingest_once(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return query
 
 
-def stream_load(stream: DataFrame, out: str, checkpoint: str, audit: Audit) -> StreamingQuery:
-    """Append new rows with audit columns and their batch number.
+def load_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream and keeps in its checkpoint: another checkpoint has another one."""
+    return spark.read.schema("id STRING").json(f"{checkpoint}/metadata").first().id
+
+
+def stream_load(stream: DataFrame, table: str, checkpoint: str, audit: Audit, path: str | None = None) -> StreamingQuery:
+    """Append new rows to ``table`` with audit columns, the id of the load and their batch number.
 
-    Each batch owns the partition of its number and overwrites it, so a repeated batch adds nothing.
+    Each batch owns the partition of its load and number and overwrites it, so a repeated batch adds nothing, and
+    loads with checkpoints of their own leave each other alone. ``path`` is where a new table's files go.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        numbered = with_audit(batch, audit).withColumn("batch_id", F.lit(batch_id))
-        writer = numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("batch_id").parquet(out)
-
-    return _run(stream, write, checkpoint)
+        spark = batch.sparkSession
+        marks = {"load_id": F.lit(load_id(spark, checkpoint)), "batch_id": F.lit(batch_id)}
+        numbered = with_audit(batch, audit).withColumns(marks)
+        if not spark.catalog.tableExists(table):
+            creator = numbered.limit(0).write.partitionBy(*marks)
+            (creator.option("path", path) if path else creator).saveAsTable(table)
+        # The session of the batch is the stream's own: only the partitions of the batch are overwritten.
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        numbered.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+
+    query = _run(stream, write, checkpoint)
+    if stream.sparkSession.catalog.tableExists(table):
+        stream.sparkSession.catalog.refreshTable(table)
+    return query
 
 
 def stream_daily(hourly: DataFrame, out: str, checkpoint: str, watermark: str | None = None) -> StreamingQuery:

@@ -82,21 +82,30 @@ def test_each_file_is_ingested_once(spark, tmp_path):
     assert count() == 3
 
 
-def test_stream_load_adds_batches_and_repeats_none(spark, tmp_path, rows):
-    folder, target, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
-    run = lambda cp: stream_load(csv_stream(spark, str(folder), "id INT, v STRING"), target, cp, AUDIT)
+def test_stream_load_adds_batches_and_repeats_none(spark, tmp_path, target, rows):
+    folder, (table, path), checkpoint = tmp_path / "in", target, str(tmp_path / "cp")
+    run = lambda cp: stream_load(csv_stream(spark, str(folder), "id INT, v STRING"), table, cp, AUDIT, path)
     land(folder, "a.csv", ["1,x"])
     run(checkpoint)
     land(folder, "b.csv", ["2,y"])
     run(checkpoint)
-    assert rows(spark.read.parquet(target), "id", "batch_id", "dag_id") == [(1, 0, "elt"), (2, 1, "elt")]
+    assert rows(spark.table(table), "id", "batch_id", "dag_id") == [(1, 0, "elt"), (2, 1, "elt")]
     # A batch that failed after its write is run again with its number: it replaces its own rows.
     import shutil
 
     lost = str(tmp_path / "lost")
     shutil.copytree(checkpoint, lost, ignore=lambda folder, names: [n for n in names if folder.endswith("commits") and n in ("1", ".1.crc")])
     run(lost)
-    assert rows(spark.read.parquet(target), "id", "batch_id") == [(1, 0), (2, 1)]
+    assert rows(spark.table(table), "id", "batch_id") == [(1, 0), (2, 1)]
+
+
+def test_loads_with_checkpoints_of_their_own_keep_what_is_there(spark, tmp_path, target, rows):
+    table, path = target
+    for name in "ab":
+        land(tmp_path / name, "x.csv", [f"1,{name}"])
+        stream_load(csv_stream(spark, str(tmp_path / name), "id INT, v STRING"), table, str(tmp_path / f"cp{name}"), AUDIT, path)
+    assert rows(spark.table(table), "id", "v", "batch_id") == [(1, "a", 0), (1, "b", 0)]
+    assert spark.table(table).select("load_id").distinct().count() == 2
 
 
 def readings(day, hour, x):
@@ -133,9 +142,9 @@ def test_readings_behind_the_watermark_are_not_counted(spark, tmp_path, rows):
     assert rows(spark.read.parquet(target), "date", "readings") == [(dt.date(2023, 1, 1), 1), (dt.date(2023, 1, 9), 2)]
 
 
-def test_a_backlog_comes_in_batches(spark, tmp_path, rows):
-    folder, target = tmp_path / "in", str(tmp_path / "out")
+def test_a_backlog_comes_in_batches(spark, tmp_path, target, rows):
+    folder, (table, path) = tmp_path / "in", target
     for i in range(4):
         land(folder, f"{i}.csv", [f"{i},x"])
-    stream_load(csv_stream(spark, str(folder), "id INT, v STRING", files_per_batch=2), target, str(tmp_path / "cp"), AUDIT)
-    assert sorted(b for _, b in rows(spark.read.parquet(target), "id", "batch_id")) == [0, 0, 1, 1]
+    stream_load(csv_stream(spark, str(folder), "id INT, v STRING", files_per_batch=2), table, str(tmp_path / "cp"), AUDIT, path)
+    assert sorted(b for _, b in rows(spark.table(table), "id", "batch_id")) == [0, 0, 1, 1]

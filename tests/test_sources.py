@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +215,81 @@ def test_school_holidays_with_offsets_as_text(spark, tmp_path):
     (tmp_path / "s.csv").write_text(text)
     (row,) = files.read_typed(spark, str(tmp_path / "s.csv"), schemas.SCHOOL_HOLIDAYS).collect()
     assert (row.start_date, row.end_date) == (dt.datetime(2023, 2, 17, 23), dt.datetime(2023, 3, 6))
+
+
+TEXT_ROWS = [
+    ("1", 'say "hi", ok', "a;b"), ("2", "two\nlines\n", " spaces "), ("3", '"', ""), ("4", '""x""', "é"), ("5", ",", '\\"back\\'),
+]
+
+
+def test_csv_dialect_is_that_of_pandas(spark, tmp_path, rows):
+    frame = spark.createDataFrame(TEXT_ROWS, "id string, a string, b string")
+    path = out.write_csv(frame.coalesce(1), str(tmp_path / "spark"), sep=";")
+    (part,) = (tmp_path / "spark").glob("part-*")
+    read = pd.read_csv(part, sep=";", dtype=str, keep_default_na=False)
+    assert [tuple(r) for r in read.itertuples(index=False)] == TEXT_ROWS
+    whole = [(i, a, b or None) for i, a, b in TEXT_ROWS]
+    back = files.read_strings(spark, path, multi_line=True).fillna("", ["b"])
+    assert rows(back) == sorted(TEXT_ROWS, key=repr)
+    pd.DataFrame(TEXT_ROWS, columns=["id", "a", "b"]).to_csv(tmp_path / "pandas.csv", sep=";", index=False)
+    assert rows(files.read_strings(spark, str(tmp_path / "pandas.csv"), multi_line=True)) == sorted(whole, key=repr)
+
+
+def test_doubled_quotes_do_not_swallow_separators(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('id;rue;com\n1;"rue ""A""; B";77001\n')
+    assert rows(files.read_strings(spark, str(tmp_path / "a.csv"))) == [("1", 'rue "A"; B', "77001")]
+
+
+@pytest.mark.parametrize("line", ["1;a;EXTRA", "1"])
+def test_rows_of_another_length_raise(spark, tmp_path, line):
+    (tmp_path / "a.csv").write_text(f"id;v\n1;a\n{line}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_strings(spark, str(tmp_path / "a.csv")).select("id").collect()
+
+
+LANDED = {
+    "catalogue": (documents.read_catalogue, {"resources": [{"title": "t", "url": "u", "format": "csv"}]}),
+    "communes": (documents.read_communes, [{"nom": "n", "codeRegion": "1", "code": "c", "population": 5}]),
+    "postal": (documents.read_postal_codes, [{"nom": "n", "codesPostaux": ["1"]}]),
+    "geojson": (documents.read_geojson, GEO),
+    "school": (
+        lambda spark, path: documents.read_school_holidays(spark, path, 2000),
+        {"records": [{"fields": {"annee_scolaire": "2000-2001", "zones": "A", "description": "d", "start_date": "2000-01-01", "end_date": "2000-01-02"}}]},
+    ),
+    "public": (lambda spark, path: documents.read_public_holidays(spark, path, 2000, 2002), {"2001-01-01": "x"}),
+    "brigades": (documents.read_fire_brigades, [{"data": "<table><tr></tr><tr><td>a</td><td>b</td><td>c</td></tr></table>"}]),
+}
+
+
+@pytest.mark.parametrize("name", LANDED)
+def test_documents_that_are_cut_off_raise(spark, tmp_path, name):
+    read, document = LANDED[name]
+    text = json.dumps(document, indent=1)
+    (tmp_path / "2001.json").write_text(text)
+    assert read(spark, str(tmp_path / "2001.json")).count() >= 1
+    (tmp_path / "2001.json").write_text(text[: len(text) - 4])
+    with pytest.raises(Exception):
+        read(spark, str(tmp_path / "2001.json")).collect()
+
+
+def test_values_of_another_type_raise(spark, tmp_path):
+    (tmp_path / "c.json").write_text(json.dumps([{"nom": "n", "codeRegion": "1", "code": "c", "population": 5.5}]))
+    with pytest.raises(Exception):
+        documents.read_communes(spark, str(tmp_path / "c.json")).collect()
+
+
+def test_extent_takes_all_types_of_geometry(spark, tmp_path):
+    from areaday.plans.map_layer import map_extent
+
+    shapes = {
+        "Point": [1, 2], "MultiPoint": [[3, 4], [5, 6]], "LineString": [[0, 9], [7, 1]], "MultiLineString": [[[2, 2], [8, 3]]],
+    }
+    features = [{"properties": {"code": k, "nom": k}, "geometry": {"type": k, "coordinates": c}} for k, c in shapes.items()]
+    features.append({"properties": {"code": "none", "nom": "none"}, "geometry": None})
+    (tmp_path / "g.json").write_text(json.dumps({"features": features}))
+    read = documents.read_geojson(spark, str(tmp_path / "g.json"))
+    assert read.count() == 5 and tuple(map_extent(read).first())[:4] == (0.0, 1.0, 8.0, 9.0)
+    features[0]["geometry"]["type"] = "Blob"
+    (tmp_path / "g.json").write_text(json.dumps({"features": features}))
+    with pytest.raises(Exception, match="Blob"):
+        documents.read_geojson(spark, str(tmp_path / "g.json")).collect()
