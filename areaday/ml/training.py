@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +29,10 @@ from areaday.functions.dates import calendar_features
 from areaday.ml import features
 from areaday.operators.aggregates import distinct_per_group
 from areaday.operators.evaluation import accuracy_f1, accuracy_weighted_f1, class_ratio, confusion_matrix
-from areaday.operators.joins import broadcast_if_small, lookup
-from areaday.operators.ranking import first_seen_index, latest_rows, seeded_sample, stratified_split
+from areaday.operators.joins import lookup
+from areaday.operators.ranking import first_seen_index, latest_rows_by_year, seeded_sample, stratified_split
 from areaday.schemas import conform
-from areaday.session import materialise, shared_dir
+from areaday.session import materialise, shared_dir, wide_partitions
 
 
 class Trained(NamedTuple):
@@ -44,16 +45,10 @@ class Trained(NamedTuple):
 
 
 def split_parts(df: DataFrame, label: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """Training and test part of ``df``, which is written out once for all the passes over it.
-
-    Rows from fewer partitions than there are cores are spread over all of them.
-    """
-    kept = materialise(df)
-    marked = stratified_split(kept, label, key)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if kept.rdd.getNumPartitions() < cores:
-        marked = marked.repartition(cores, key)
-    return marked.filter(~F.col("is_test")).drop("is_test"), marked.filter("is_test").drop("is_test")
+    """Training and test part of ``df``, written out once for all the passes over them and spread over all cores."""
+    marked = stratified_split(materialise(df), label, key)
+    kept = materialise(marked.repartition(wide_partitions(df.sparkSession), key))
+    return kept.filter(~F.col("is_test")).drop("is_test"), kept.filter("is_test").drop("is_test")
 
 
 def train_forest(
@@ -62,19 +57,27 @@ def train_forest(
     """Scale, encode and fit a random forest on all columns but ``key``, target and audit columns.
 
     ``key`` is a unique column that the split and the example rows are drawn by. The target holds
-    class numbers from 0. Depth 30 is the most Spark allows. With ``weighted`` the F1 score averages
+    numbers, each of which is a class, however many there are. Depth 30 is the most Spark allows. With ``weighted`` the F1 score averages
     over all classes, otherwise it is that of class 1.
     """
     used = features.integers_as_double(df.drop(*NOT_FEATURES).withColumn(key, F.col(key).cast("string")))
     inputs = used.drop(target, key)
     train, test = split_parts(used, target, key)
+    classes = StringIndexer(inputCol=target, outputCol="_class", stringOrderType="alphabetAsc").fit(train)
     forest = RandomForestClassifier(
-        labelCol=target, numTrees=trees, maxDepth=max_depth, seed=SEED, featureSubsetStrategy="sqrt"
+        labelCol="_class",
+        predictionCol="_predicted",
+        numTrees=trees,
+        maxDepth=max_depth,
+        seed=SEED,
+        featureSubsetStrategy="sqrt",
     )
+    named = IndexToString(inputCol="_predicted", outputCol="_name", labels=classes.labels)
+    number = SQLTransformer(statement="SELECT *, CAST(_name AS DOUBLE) AS prediction FROM __THIS__")
     stages = features.preprocessing(train, features.numeric_columns(inputs), features.other_columns(inputs))
     # The copy leaves behind the training summary, which holds the session and so keeps the model from
     # being sent to tasks once the session has observed a write.
-    model = Pipeline(stages=[*stages, forest]).fit(train).copy()
+    model = Pipeline(stages=[*stages, forest, named, number]).fit(classes.transform(train)).copy()
     predictions = model.transform(test).select(key, target, "prediction")
     score = accuracy_weighted_f1 if weighted else accuracy_f1
     example = seeded_sample(train, key, 5).drop(target, key)
@@ -83,7 +86,7 @@ def train_forest(
 
 def train_from_table(spark: SparkSession, table: str, n: int = ROWS_FOR_TRAINING, weighted: bool = True) -> Trained:
     """Train a forest on the ``n`` latest rows of a loaded training table."""
-    latest = latest_rows(spark.table(table), n, ["dep", "com"])
+    latest = latest_rows_by_year(spark.table(table), n, ["dep", "com"])
     keyed = latest.withColumn("row_key", F.concat_ws("-", "dep", "com", "an", "mois", "jour"))
     return train_forest(keyed, "row_key", weighted=weighted)
 
@@ -95,7 +98,7 @@ def imbalanced_features(df: DataFrame, flags: list[str], order: str) -> tuple[Da
     """
     labelled = features.binary_label(df, COUNT, "accident").drop(COUNT, "jour", "mois", "an")
     dated = labelled.withColumns(calendar_features(F.col("date"))).drop("date")
-    mapping = broadcast_if_small(first_seen_index(dated, "com", order))
+    mapping = materialise(first_seen_index(dated, "com", order))
     numbered = lookup(features.flags_as_int(dated, flags), mapping, "com", "com", "id")
     return numbered, mapping.withColumnRenamed("com", "commune")
 

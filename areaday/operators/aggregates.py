@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from areaday.fixed import YEARS
+
 
 def count_by(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Rows per group; rows with a null key are left out."""
@@ -61,8 +63,15 @@ def bounding_box(df: DataFrame, x: Column, y: Column) -> DataFrame:
     )
 
 
-def year_bounds(df: DataFrame, year: str = "an") -> DataFrame:
-    """One row: 1 January of the first year to 31 December of the last, as ``lo`` and ``hi``."""
-    return df.agg(F.min(year).alias("first"), F.max(year).alias("last")).select(
+def year_bounds(df: DataFrame, year: str = "an", allowed: tuple[int, int] = YEARS) -> DataFrame:
+    """One row: 1 January of the first year to 31 December of the last, as ``lo`` and ``hi``.
+
+    A year outside ``allowed`` raises an error, so no table of days grows beyond those years.
+    """
+    ends = df.agg(F.min(year).alias("first"), F.max(year).alias("last"))
+    outside = (F.col("first") < allowed[0]) | (F.col("last") > allowed[1])
+    found = F.concat_ws(" to ", "first", "last")
+    wrong = F.raise_error(F.concat(F.lit(f"years outside {allowed[0]} to {allowed[1]}: "), found)).cast("int")
+    return ends.select(F.when(outside, wrong).otherwise(F.col("first")).alias("first"), "last").select(
         F.make_date("first", F.lit(1), F.lit(1)).alias("lo"), F.make_date("last", F.lit(12), F.lit(31)).alias("hi")
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areaday.session import materialise
+
 
 def class_ratio(df: DataFrame, label: str) -> DataFrame:
     """Rows of class 0 and of class 1, and how many of the first come on one of the second."""
@@ -49,8 +51,15 @@ def accuracy_weighted_f1(df: DataFrame, truth: str, predicted: str) -> DataFrame
 
 
 def confusion_matrix(df: DataFrame, truth: str, predicted: str) -> DataFrame:
-    """One row per true class, one column per predicted one."""
-    cells = df.groupBy(F.col(truth).alias("truth")).pivot(predicted, [0, 1]).agg(F.count(F.lit(1)))
-    return cells.select(
-        "truth", F.coalesce("0", F.lit(0)).alias("predicted_0"), F.coalesce("1", F.lit(0)).alias("predicted_1")
+    """``truth, predicted, n`` for each pair of the classes that occur as either, with 0 where a pair does not.
+
+    The number of classes is that of a classifier, so the list of them is small; null is no class.
+    """
+    cells = df.groupBy(F.col(truth).cast("double").alias("truth"), F.col(predicted).cast("double").alias("predicted")).agg(
+        F.count(F.lit(1)).alias("n")
     )
+    cells = materialise(cells.dropna())
+    classes = cells.select(F.explode(F.array("truth", "predicted")).alias("truth")).distinct()
+    known = classes.agg(F.collect_set("truth").alias("known")).scalar()
+    grid = classes.select("truth", F.explode(known).alias("predicted"))
+    return grid.join(cells, ["truth", "predicted"], "left").select("truth", "predicted", F.coalesce("n", F.lit(0)).alias("n"))

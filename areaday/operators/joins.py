@@ -1,8 +1,8 @@
 """Joins.
 
-Landed tables carry no hint: Spark knows the size of their files and broadcasts them below its
-threshold. Of a derived table it knows no size, so ``broadcast_if_small`` writes it out and counts it.
-In both cases a larger side is shuffled, and the adaptive skew join splits hot partitions.
+No side carries a hint. Spark knows the size of files and broadcasts them below its threshold; a derived side is written
+out first (``materialise``), so that its size is known as well. Larger sides are shuffled, and the adaptive skew join
+splits hot partitions.
 """
 
 from __future__ import annotations
@@ -12,14 +12,6 @@ from pyspark.sql import functions as F
 
 from areaday.session import materialise
 
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` written out once, and marked for broadcast only if it has at most ``max_rows`` rows."""
-    kept = materialise(df)
-    return F.broadcast(kept) if kept.limit(max_rows + 1).count() <= max_rows else kept
-
 
 def left_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """All rows of ``left`` with the matching ones of ``right``; null keys match null keys."""
@@ -36,7 +28,7 @@ def lookup(df: DataFrame, mapping: DataFrame, key: str, mapping_key: str, value:
 
 def membership_flag(df: DataFrame, members: DataFrame, key: str, flag: str) -> DataFrame:
     """Add a boolean: does ``key`` occur in the one column of ``members``?"""
-    known = broadcast_if_small(members.toDF(key).filter(F.col(key).isNotNull()).distinct())
+    known = materialise(members.toDF(key).filter(F.col(key).isNotNull()).distinct())
     marked = known.withColumn(flag, F.lit(True))
     return df.join(marked, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False))).select(*df.columns, flag)
 

@@ -9,17 +9,32 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from areaday.fixed import ROWS_FOR_TRAINING, SEED, TEST_SHARE
-from areaday.operators.joins import broadcast_if_small
+from areaday.fixed import SEED, TEST_SHARE
 from areaday.session import materialise, wide_partitions
 
 
-def latest_rows(df: DataFrame, n: int = ROWS_FOR_TRAINING, ties: list[str] | None = None) -> DataFrame:
+def latest_rows(df: DataFrame, n: int, ties: list[str] | None = None) -> DataFrame:
     """The ``n`` last rows by year, month and day, nulls first; ``ties`` orders rows of one day."""
     newest = [F.col(c).desc_nulls_first() for c in ("an", "mois", "jour")]
     return df.orderBy(*newest, *(ties or [])).limit(n)
 
 
+def latest_rows_by_year(df: DataFrame, n: int, ties: list[str] | None = None) -> DataFrame:
+    """The same as ``latest_rows``, out of only as many of the newest years as hold ``n`` rows.
+
+    Of a table that is partitioned by year the other years are not read; counting rows per year reads no column.
+    """
+    found, years = 0, []
+    for row in df.groupBy("an").count().orderBy(F.desc_nulls_first("an")).collect():
+        if found >= n:
+            break
+        found += row["count"]
+        years.append(row["an"])
+    known = [year for year in years if year is not None]
+    newest = F.col("an").isin(known)
+    return latest_rows(df.filter(newest | F.col("an").isNull() if None in years else newest), n, ties)
+
+
 def first_rows(df: DataFrame, order: list[str], n: int = 1) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
@@ -57,7 +72,7 @@ def running_index(df: DataFrame, order: str, name: str) -> DataFrame:
     return (
         ranged.withColumn("_place", in_range)
         .join(F.broadcast(shifts), "_range")
-        .select(*df.columns, (F.col("_place") + F.col("_shift")).cast("int").alias(name))
+        .select(*df.columns, (F.col("_place") + F.col("_shift")).cast("bigint").alias(name))
     )
 
 
@@ -73,38 +88,46 @@ def stratified_split(
     """Add a flag that puts ``ceil(share * rows)`` rows of each class into the test part.
 
     ``key`` must be unique.
-    A class takes its rows with the smallest hashes. The hash of the last row it takes is found from
-    counts per hash prefix, and only rows with that one prefix are ranked; then each row compares its
-    own hash with its class's limit. The rows themselves are not shuffled, and a class that holds most
-    of the table costs no more than another.
+    A class takes its rows with the smallest hashes. The hash of the last row it takes is found from counts per hash
+    prefix, in two levels of four digits, and only rows with that one prefix, one in 2^32, are ranked; then each row
+    compares its own hash with its class's limit. The rows themselves are not shuffled, and a class that holds most of
+    the table costs no more than another.
     """
     hashed = df.select(F.col(label).alias("_label"), F.col(key).alias("_key")).withColumn(
         "_hash", hash_of(F.col("_key"), seed)
     )
-    prefixed = hashed.withColumn("_prefix", F.substring("_hash", 1, 4))
-    per_class = Window.partitionBy("_label")
-    counts = prefixed.groupBy("_label", "_prefix").agg(F.count(F.lit(1)).alias("_rows"))
-    edges = (
-        counts.withColumn("_upto", F.sum("_rows").over(per_class.orderBy("_prefix")))
-        .withColumn("_quota", F.ceil(F.sum("_rows").over(per_class) * F.lit(share)))
-        .filter((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_rows") < F.col("_quota")))
-        .select(
-            F.col("_label").alias("_edge_label"),
-            F.col("_prefix").alias("_edge_prefix"),
-            (F.col("_quota") - F.col("_upto") + F.col("_rows")).alias("_take"),
-        )
-    )
-    on_edge = prefixed.join(
-        broadcast_if_small(edges),
-        F.col("_label").eqNullSafe(F.col("_edge_label")) & (F.col("_prefix") == F.col("_edge_prefix")),
-    )
+    sizes = hashed.groupBy("_label").agg(F.count(F.lit(1)).alias("_size"))
+    quotas = sizes.select("_label", F.ceil(F.col("_size") * F.lit(share)).alias("_quota"))
+    for digits in (4, 8):
+        hashed, quotas = _edge(hashed, quotas, F.substring("_hash", 1, digits))
     rank = F.row_number().over(Window.partitionBy("_label").orderBy("_hash", "_key"))
-    limits = on_edge.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_take")).select(
+    ranked = hashed.withColumn("_rank", rank).join(
+        quotas.select(F.col("_label").alias("_of"), "_quota"), F.col("_label").eqNullSafe(F.col("_of"))
+    )
+    limits = ranked.filter(F.col("_rank") == F.col("_quota")).select(
         F.col("_label").alias("_limit_label"), F.struct("_hash", "_key").alias("_limit")
     )
     own = F.struct(hash_of(F.col(key), seed).alias("_hash"), F.col(key).alias("_key"))
     return (
-        df.join(broadcast_if_small(limits), F.col(label).eqNullSafe(F.col("_limit_label")), "left")
+        df.join(materialise(limits), F.col(label).eqNullSafe(F.col("_limit_label")), "left")
         .withColumn(flag, F.coalesce(own <= F.col("_limit"), F.lit(False)))
         .select(*df.columns, flag)
     )
+
+
+def _edge(hashed: DataFrame, quotas: DataFrame, prefix: Column) -> tuple[DataFrame, DataFrame]:
+    """Of each class the rows with the prefix in which its quota of smallest hashes ends, and how many of them it takes."""
+    counts = hashed.groupBy("_label", prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_rows"))
+    upto = F.sum("_rows").over(Window.partitionBy("_label").orderBy("_prefix"))
+    asked = quotas.select(F.col("_label").alias("_of"), "_quota")
+    edges = (
+        counts.withColumn("_upto", upto)
+        .join(asked, F.col("_label").eqNullSafe(F.col("_of")))
+        .filter((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_rows") < F.col("_quota")))
+    )
+    edges = materialise(
+        edges.select("_label", "_prefix", (F.col("_quota") - F.col("_upto") + F.col("_rows")).alias("_quota"))
+    )
+    chosen = edges.select(F.col("_label").alias("_of"), "_prefix")
+    on_edge = hashed.join(chosen, F.col("_label").eqNullSafe(F.col("_of")) & (prefix == F.col("_prefix")))
+    return on_edge.select(*hashed.columns), edges.select("_label", "_quota")

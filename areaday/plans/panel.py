@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from areaday.fixed import COUNT, COUNT_KEYS, PANEL, WEATHER, ZONES
+from areaday.fixed import COUNT, COUNT_KEYS, PANEL, WEATHER, YEARS, ZONES
 from areaday.functions.dates import date_of_parts, date_of_parts_or_null
 from areaday.functions.text import zero_pad
 from areaday.operators.aggregates import year_bounds
-from areaday.operators.joins import broadcast_if_small, left_join
 from areaday.plans.calendar import calendar
 from areaday.schemas import require_columns
 from areaday.session import wide_partitions
@@ -25,13 +24,13 @@ def communes_by_code(communes: DataFrame) -> DataFrame:
     return communes.groupBy("dep", "com").agg(F.max("population").alias("population"))
 
 
-def count_bounds(counts: DataFrame) -> DataFrame:
-    """One row: first and last day of the years that have accidents, as ``lo`` and ``hi``.
+def count_bounds(counts: DataFrame, allowed: tuple[int, int] = YEARS) -> DataFrame:
+    """One row: first and last day of the years that have accidents, as ``lo`` and ``hi``; all must be ``allowed``.
 
     Asking for positive counts keeps the grouped counts as they are in this plan, so that Spark runs
     their aggregation once for the bounds and for the panel.
     """
-    return year_bounds(counts.filter(F.col(COUNT) > 0))
+    return year_bounds(counts.filter(F.col(COUNT) > 0), allowed=allowed)
 
 
 def dense_counts(communes: DataFrame, counts: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -76,18 +75,24 @@ def panel(days: DataFrame, communes: DataFrame, counts: DataFrame, bounds: DataF
 
 
 def join_counts(spine: DataFrame, counts: DataFrame) -> DataFrame:
-    """Counts for the rows of a ready panel by its five keys, 0 where there is none."""
-    joined = left_join(spine, counts, COUNT_KEYS)
-    return joined.withColumn(COUNT, F.coalesce(COUNT, F.lit(0)).cast("int"))
+    """Counts for the rows of a ready panel by its five keys, which are not null, 0 where there is none.
+
+    For a panel that is not there yet, ``dense_counts`` gives the same without a shuffle of the panel.
+    """
+    joined = spine.join(counts.select(*COUNT_KEYS, COUNT), COUNT_KEYS, "left")
+    return joined.select(*spine.columns, F.coalesce(COUNT, F.lit(0)).cast("int").alias(COUNT))
 
 
 def with_weather(ready: DataFrame, weather: DataFrame) -> DataFrame:
-    """A ready panel with its date and the day's weather."""
+    """A ready panel with its date and the day's weather, which has one row per day.
+
+    Days outside the allowed years match no row, so what is broadcast has a bound.
+    """
     require_columns(ready, ["jour", "mois", "an"])
     numbers = {c: F.col(c).cast("int") for c in ("jour", "mois", "an")}
     dated = ready.withColumns(numbers).withColumn("date", date_of_parts(F.col("an"), F.col("mois"), F.col("jour")))
-    per_day = broadcast_if_small(weather.select("date", *WEATHER))
-    return dated.join(per_day, "date", "left").select(*dated.columns, *WEATHER)
+    per_day = weather.filter(F.year("date").between(*YEARS)).select("date", *WEATHER)
+    return dated.join(F.broadcast(per_day), "date", "left").select(*dated.columns, *WEATHER)
 
 
 def training_set(

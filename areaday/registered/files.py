@@ -9,13 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areaday import schemas
+from areaday.fixed import ROWS_FOR_TRAINING
 from areaday.functions.dates import date_of_parts
 from areaday.ml.training import days_by_commune
-from areaday.operators.ranking import first_seen_index, latest_rows
+from areaday.operators.ranking import first_seen_index, latest_rows_by_year
+from areaday.plans import elt
 from areaday.plans.catalogue import data_files
 from areaday.plans.counts import accident_counts
 from areaday.plans.map_layer import map_extent
 from areaday.registered import given
+from areaday.registered.panels import PANEL
 from areaday.registered.relational import FIRST_SEEN
 from areaday.registered.scalars import DATA_FILES, RESOURCES, resources
 from areaday.session import new_path
@@ -33,12 +36,39 @@ def landed_text(rows: DataFrame, text: Column, name: str) -> str:
     return path
 
 
+def landed_documents(rows: DataFrame, element: Column, field: str | None, name: str) -> str:
+    """A folder of JSON documents over several lines, each with several elements, in an array or under ``field``.
+
+    The rows of a document are those of one value of a hash, so that documents are small.
+    """
+    several = rows.groupBy(F.pmod(F.xxhash64(*rows.columns), F.lit(20)).alias("document")).agg(F.collect_list(element).alias("found"))
+    whole = F.struct(F.col("found").alias(field)) if field else F.col("found")
+    pretty = F.regexp_replace(F.to_json(whole), r'\},\{"', '},\n {"')
+    path = new_path(rows.sparkSession, name)
+    several.select("document", pretty.alias("value")).repartition(20, "document").write.partitionBy("document").text(path)
+    return f"{path}/*"
+
+
 def csv_strings_scan(spark, sf):
     path = new_path(spark, "strings")
     out.write_csv(given.table(spark, sf, "orders").select(*STRINGS), path, sep=";")
     return files.read_strings(spark, path)
 
 
+def csv_text_round_trip(spark, sf):
+    """All documents with their whole texts, which hold line breaks, commas and quotes."""
+    documents = given.table(spark, sf, "documents")
+    quoted = documents.withColumn("text", F.concat(F.lit('"Text", says:\n'), "text", F.lit(' "')))
+    path = out.write_csv(quoted, new_path(spark, "texts"))
+    return files.read_typed(spark, path, documents.schema, multi_line=True)
+
+
+def csv_events_round_trip(spark, sf):
+    """All events; their ``props`` are JSON and so hold quotes."""
+    events = given.table(spark, sf, "events").drop("ts")
+    return files.read_typed(spark, out.write_csv(events, new_path(spark, "events")), events.schema)
+
+
 def csv_typed_scan(spark, sf):
     path = out.write_csv(given.weather_hourly(spark, sf), new_path(spark, "hourly"))
     return files.read_weather_hourly(spark, path)
@@ -63,28 +93,57 @@ def catalogue_scan(spark, sf):
     rows = resources(spark, sf)
     missing = F.when(~F.col("title").startswith("Lieux"), F.col("title"))
     resource = F.struct(missing.alias("title"), "url", F.when(F.col("format") == "csv", F.col("format")).alias("format"))
-    path = landed_text(rows, F.to_json(F.struct(F.array(resource).alias("resources"))), "catalogue")
-    return documents.read_catalogue(spark, path, multi_line=False)
+    path = landed_documents(rows, resource, "resources", "catalogue")
+    return documents.read_catalogue(spark, path)
 
 
 def catalogue_scan_filter(spark, sf):
+    """The resources in one document per line, several in each."""
     row = F.struct("title", "url", "format")
-    path = landed_text(resources(spark, sf), F.to_json(F.struct(F.array(row).alias("resources"))), "catalogue")
+    documents_of = resources(spark, sf).groupBy(F.pmod(F.xxhash64("title", "url"), F.lit(50))).agg(F.collect_list(row).alias("resources"))
+    path = landed_text(documents_of, F.to_json(F.struct("resources")), "catalogue")
     return data_files(documents.read_catalogue(spark, path, multi_line=False))
 
 
-def json_map_last_wins(spark, sf):
-    """One document per order: its date and priority. The order with the highest key wins a date."""
-    orders = given.table(spark, sf, "orders").select(
-        "o_orderkey",
-        F.to_json(F.create_map(F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority")).alias("document"),
-    )
-    return documents.holidays_of_maps(orders, "document", "o_orderkey")
+def public_holidays_by_year(spark, sf):
+    """One file per year with a map of its days; each day has the priority of its last order."""
+    orders = given.table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"), "o_orderpriority")
+    last = orders.groupBy("date").agg(F.max_by("o_orderpriority", "o_orderkey").alias("name"))
+    per_year = last.groupBy(F.year("date").alias("year")).agg(F.map_from_entries(F.collect_list(F.struct(F.date_format("date", "yyyy-MM-dd"), "name"))).alias("days"))
+    folder = new_path(spark, "holidays")
+    first, final = 1993, 1997
+    for year in range(first - 1, final + 2):
+        # The last day of a year is given again in the file of the next year, under another name: the later file wins.
+        days = per_year.filter(F.col("year") == year).select(F.map_concat("days", F.create_map(F.lit(f"{year - 1}-12-31"), F.lit(f"again in {year}"))).alias("days"))
+        days.coalesce(1).select(F.to_json("days").alias("value")).write.text(f"{folder}/{year}")
+    return documents.read_public_holidays(spark, folder, first, final)
 
 
-def json_records_flatten(spark, sf):
-    """One document per supplier: its range as a school holiday, in school years from 1995 to 2001."""
-    rows = given.school_holidays(spark, sf)
+def elt_run(spark, sf):
+    """All files of one department landed, turned into the training set, loaded, published, and read from there."""
+    landing, audit = new_path(spark, "landing"), AUDIT
+    rows = given.accidents(spark, sf).withColumn("caracteristiques", F.col("an"))
+    rows.write.partitionBy("caracteristiques").options(header=True, sep=";").csv(f"{landing}/accidents")
+    commune = F.struct(F.col("com").alias("nom"), F.col("dep").alias("codeRegion"), F.col("com").alias("code"), "population")
+    parts = given.communes(spark, sf, given.DEPARTMENT).groupBy().agg(F.collect_list(commune).alias("all"))
+    parts.select(F.to_json("all").alias("value")).write.text(f"{landing}/communes")
+    holidays = given.public_holidays(spark, sf).groupBy(F.year("date").alias("year")).agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct(F.date_format("date", "yyyy-MM-dd"), "public_holiday")))).alias("value")
+    )
+    years = [row.year for row in holidays.select("year").collect()]
+    for year in years:
+        holidays.filter(F.col("year") == year).select("value").coalesce(1).write.text(f"{landing}/public_holidays/{year}")
+    records = given.school_holidays(spark, sf).groupBy().agg(F.collect_list(school_record()).alias("records"))
+    records.select(F.to_json(F.struct("records")).alias("value")).write.text(f"{landing}/school_holidays")
+    out.write_csv(given.weather_hourly(spark, sf), f"{landing}/weather_history")
+    table, published = table_name("elt"), new_path(spark, "published")
+    elt.run(spark, landing, table, audit, given.DEPARTMENT, 2000, new_path(spark, "table"), n_files=7, publish=published)
+    read = files.read_typed(spark, published, spark.table(table).schema)
+    return given.rounded(read)
+
+
+def school_record() -> Column:
+    """A row of school holidays as the landed documents hold it."""
     year = F.year("start_date")
     iso = "yyyy-MM-dd'T'HH:mm:ssXXX"
     fields = F.struct(
@@ -94,9 +153,22 @@ def json_records_flatten(spark, sf):
         F.date_format("start_date", iso).alias("start_date"),
         F.date_format("end_date", iso).alias("end_date"),
     )
-    record = F.struct(fields.alias("fields"))
-    path = landed_text(rows, F.to_json(F.struct(F.array(record).alias("records"))), "school")
-    read = documents.read_school_holidays(spark, path, 2000, multi_line=False)
+    return F.struct(fields.alias("fields"))
+
+
+def json_map_last_wins(spark, sf):
+    """One document per order: its date and priority. The order with the highest key wins a date."""
+    orders = given.table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.to_json(F.create_map(F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority")).alias("document"),
+    )
+    return documents.holidays_of_maps(orders, "document", "o_orderkey")
+
+
+def json_records_flatten(spark, sf):
+    """One document per supplier: its range as a school holiday, in school years from 1995 to 2001."""
+    path = landed_documents(given.school_holidays(spark, sf), school_record(), "records", "school")
+    read = documents.read_school_holidays(spark, path, 2000)
     time = "yyyy-MM-dd HH:mm:ss"
     return read.withColumns({c: F.date_format(c, time) for c in ("start_date", "end_date")})
 
@@ -110,15 +182,15 @@ def commune_documents(spark: SparkSession, sf: str) -> str:
         F.floor("c_acctbal").cast("int").alias("population"),
         F.array(code, F.col("c_nationkey").cast("string")).alias("codesPostaux"),
     )
-    return landed_text(given.table(spark, sf, "customer"), F.to_json(F.array(commune)), "communes")
+    return landed_documents(given.table(spark, sf, "customer"), commune, None, "communes")
 
 
 def communes_scan(spark, sf):
-    return documents.read_communes(spark, commune_documents(spark, sf), multi_line=False)
+    return documents.read_communes(spark, commune_documents(spark, sf))
 
 
 def postal_codes(spark, sf):
-    return documents.read_postal_codes(spark, commune_documents(spark, sf), multi_line=False)
+    return documents.read_postal_codes(spark, commune_documents(spark, sf))
 
 
 def html_rows(spark, sf):
@@ -213,8 +285,8 @@ def load_metrics(spark, sf):
 
 def table_scan_top(spark, sf):
     table = table_name("scan")
-    load(given.accidents(spark, sf), table, AUDIT, path=new_path(spark, "table"))
-    return latest_rows(spark.table(table), ties=["com", "Num_Acc"])
+    load(given.accidents(spark, sf), table, AUDIT, path=new_path(spark, "table"), partition_by=["an"])
+    return latest_rows_by_year(spark.table(table), ROWS_FOR_TRAINING, ["com", "Num_Acc"])
 
 
 def publish_if_absent(spark, sf):
@@ -275,12 +347,21 @@ def landed_dates(spark, sf):
 AUDITED = "'2025-03-08 06:30:00' AS execution_date, 'elt' AS dag_id, 'load_accidents' AS task_id"
 ORDERED = "an DESC NULLS FIRST, mois DESC NULLS FIRST, jour DESC NULLS FIRST, com, Num_Acc"
 
+# The landed school holidays are read for the school years around 2000 only.
+SOME_SCHOOL = f"SELECT * FROM ({given.SCHOOL}) WHERE year(start_date) BETWEEN 1996 AND 2001"
+ELT_PANEL = PANEL.replace(given.SCHOOL, SOME_SCHOOL)
+
 QUERIES = {
     "csv_strings_scan": (
         csv_strings_scan,
         "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in STRINGS) + " FROM orders",
     ),
     "csv_typed_scan": (csv_typed_scan, given.HOURLY),
+    "csv_text_round_trip": (
+        csv_text_round_trip,
+        """SELECT doc_id, '"Text", says:' || chr(10) || text || ' "' AS text, lang, source, n_chars FROM documents""",
+    ),
+    "csv_events_round_trip": (csv_events_round_trip, "SELECT event_id, user_id, event_type, value, props FROM events"),
     "recent_files_counts": (
         recent_files_counts,
         f"SELECT * FROM ({given.COUNTS}) WHERE an > (SELECT max(an) - 2 FROM ({given.COUNTS}))",
@@ -295,6 +376,18 @@ QUERIES = {
                    CASE WHEN format = 'csv' THEN format ELSE '' END AS format FROM ({RESOURCES})""",
     ),
     "catalogue_scan_filter": (catalogue_scan_filter, f"SELECT title, url, format, name FROM ({DATA_FILES})"),
+    "public_holidays_by_year": (
+        public_holidays_by_year,
+        """WITH o AS (SELECT CAST(o_orderdate AS DATE) AS date, arg_max(o_orderpriority, o_orderkey) AS name FROM orders GROUP BY 1),
+                f AS (SELECT year(date) AS y, date, name FROM o UNION ALL
+                      SELECT y, make_date(y - 1, 12, 31), 'again in ' || y FROM (SELECT DISTINCT CAST(year(date) AS INTEGER) AS y FROM o))
+           SELECT date, arg_max(name, y) AS public_holiday FROM f WHERE y BETWEEN 1993 AND 1997 GROUP BY 1""",
+    ),
+    "elt_run": (
+        elt_run,
+        f"""WITH t AS (SELECT p.*, w.* EXCLUDE (date) FROM ({ELT_PANEL}) p LEFT JOIN ({given.DAILY}) w ON w.date = p.date)
+            SELECT * REPLACE (CAST(jour AS INTEGER) AS jour), {AUDITED} FROM t""",
+    ),
     "json_map_last_wins": (
         json_map_last_wins,
         """SELECT CAST(o_orderdate AS DATE) AS date, arg_max(o_orderpriority, o_orderkey) AS public_holiday

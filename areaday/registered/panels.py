@@ -128,6 +128,21 @@ def training_set_by_month(spark, sf):
     return per_month.withColumn("mois", zero_pad(F.col("mois").cast("string")))
 
 
+def panel_by_commune(spark, sf):
+    """The panel of all departments, summed up per commune and year."""
+    counts = count_accidents(given.accidents(spark, sf))
+    bounds = pan.count_bounds(counts)
+    days = cal.calendar(bounds, given.public_holidays(spark, sf), given.school_holidays(spark, sf))
+    whole = pan.panel(days, given.communes(spark, sf), counts, bounds)
+    return whole.groupBy("dep", "com", "population", "an").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.sum("nombre_d_accidents").alias("accidents"),
+        F.count_if("public_holidays").alias("public_holidays"),
+        F.count_if("zone_b").alias("zone_b"),
+        F.min("mois").alias("first_month"),
+    )
+
+
 DEP = given.DEPARTMENT
 DEP_COUNTS = f"SELECT * FROM ({given.COUNTS}) WHERE dep = '{DEP}'"
 DEP_COMMUNES = f"SELECT * FROM ({given.COMMUNES}) WHERE dep = '{DEP}'"
@@ -163,6 +178,16 @@ QUERIES = {
         panel,
         f"SELECT * EXCLUDE (date) REPLACE (lpad(CAST(mois AS VARCHAR), 2, '0') AS mois) FROM ({PANEL})",
     ),
+    "panel_by_commune": (
+        panel_by_commune,
+        f"""WITH cal AS ({given.calendar_sql(given.SPINE)}),
+                 y AS (SELECT an, count(*) AS days, CAST(count_if(public_holidays) AS BIGINT) AS public_holidays,
+                              CAST(count_if(zone_b) AS BIGINT) AS zone_b FROM cal GROUP BY 1),
+                 n AS (SELECT dep, com, an, CAST(sum(nombre_d_accidents) AS BIGINT) AS accidents FROM ({given.COUNTS}) GROUP BY ALL)
+            SELECT c.dep, c.com, c.population, y.an, y.days, coalesce(n.accidents, 0) AS accidents, y.public_holidays,
+                   y.zone_b, '01' AS first_month
+            FROM ({given.COMMUNES}) c CROSS JOIN y LEFT JOIN n ON n.dep = c.dep AND n.com = c.com AND n.an = y.an""",
+    ),
     "panel_cross": (
         panel_cross,
         f"""SELECT CAST(day(date) AS INTEGER) AS jour, CAST(month(date) AS INTEGER) AS mois,

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from areaday import schemas
+from areaday.fixed import ROWS_FOR_TRAINING
 from areaday.ml import features
 from areaday.ml.training import at_threshold, days_by_commune
 from areaday.operators import aggregates, evaluation, joins, ranking
 from areaday.plans import catalogue, map_layer
 from areaday.registered import given
+from areaday.session import materialise, new_path
+from areaday.sinks.files import write_csv
+from areaday.sources import files
 from areaday.sources.files import files_by_year as by_year
 from areaday.sources.files import recent_files as latest
 
@@ -64,7 +68,7 @@ def null_safe_left_join(spark, sf):
     documents, labels = given.table(spark, sf, "documents"), given.table(spark, sf, "labels")
     quality = documents.join(labels, "doc_id", "left").select("doc_id", "lang", "quality")
     names = quality.groupBy("quality").agg(F.count(F.lit(1)).alias("documents"))
-    return joins.left_join(quality, joins.broadcast_if_small(names), ["quality"])
+    return joins.left_join(quality, materialise(names), ["quality"])
 
 
 def membership_flag(spark, sf):
@@ -84,7 +88,7 @@ def first_seen_index(spark, sf):
 
 def dim_lookup(spark, sf):
     orders = given.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    mapping = joins.broadcast_if_small(ranking.first_seen_index(orders, "o_custkey", "o_orderkey"))
+    mapping = materialise(ranking.first_seen_index(orders, "o_custkey", "o_orderkey"))
     return joins.lookup(orders, mapping, "o_custkey", "o_custkey", "id")
 
 
@@ -98,7 +102,7 @@ def seeded_sample(spark, sf):
 
 
 def top_k_desc(spark, sf):
-    return ranking.latest_rows(given.accidents(spark, sf), ties=["com", "Num_Acc"])
+    return ranking.latest_rows(given.accidents(spark, sf), ROWS_FOR_TRAINING, ["com", "Num_Acc"])
 
 
 def first_rows(spark, sf):
@@ -118,7 +122,10 @@ def files_per_year(spark, sf):
 
 
 def incomplete_years(spark, sf):
-    return catalogue.incomplete_years(given.file_names(spark, sf).distinct())
+    """All years have a file of every source and language; three files less make some years incomplete."""
+    names = given.file_names(spark, sf).distinct()
+    per_year = names.filter(F.col("name").rlike("_src(0|1|2|3)_en_|_src4_.*[02468][.]csv$"))
+    return catalogue.incomplete_years(per_year)
 
 
 def distinct_values(spark, sf):
@@ -130,7 +137,7 @@ def value_counts(spark, sf):
 
 
 def document_labels(spark, sf):
-    return given.table(spark, sf, "documents").drop("text").join(given.table(spark, sf, "labels"), "doc_id", "left")
+    return given.table(spark, sf, "documents").join(given.table(spark, sf, "labels"), "doc_id", "left")
 
 
 def null_profile(spark, sf):
@@ -162,6 +169,12 @@ def confusion_matrix(spark, sf):
     return evaluation.confusion_matrix(given.predictions(spark, sf), "truth", "prediction")
 
 
+def confusion_matrix_classes(spark, sf):
+    """Ten true classes, and guesses that are off by up to two, so two classes are only guessed."""
+    vectors = given.table(spark, sf, "embeddings")
+    return evaluation.confusion_matrix(vectors.withColumn("guess", F.col("label") + F.col("vec_id") % 3), "label", "guess")
+
+
 def last_wins(spark, sf):
     orders = given.table(spark, sf, "orders").withColumn("month_day", F.date_format("o_orderdate", "MM-dd"))
     return aggregates.last_wins(orders, "month_day", "o_orderpriority", F.col("o_orderkey"))
@@ -175,16 +188,17 @@ def bbox(spark, sf):
 def union_by_name(spark, sf):
     orders = given.table(spark, sf, "orders")
     old = orders.select(F.col("o_orderkey").alias("Num_Acc"), "o_orderstatus")
-    new = orders.select(F.col("o_custkey").alias("Accident_Id"), "o_orderstatus")
-    both = old.unionByName(new, allowMissingColumns=True)
-    return both.select(F.coalesce("Accident_Id", "Num_Acc").alias("id"), "o_orderstatus")
+    new = orders.select("o_orderstatus", F.col("o_custkey").alias("Accident_Id"))
+    both = files.read_union(spark, [write_csv(x, new_path(spark, "union"), sep=";") for x in (old, new)])
+    return files.with_accident_id(both).select(F.col("id").cast("bigint").alias("id"), "o_orderstatus")
 
 
 def union_same_columns(spark, sf):
     customer, supplier = given.table(spark, sf, "customer"), given.table(spark, sf, "supplier")
     first = customer.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("dep"))
     second = supplier.select(F.col("s_suppkey").alias("Accident_Id"), F.col("s_nationkey").alias("dep"))
-    return first.union(schemas.conform(second.withColumnRenamed("Accident_Id", "id"), first.columns))
+    paths = [write_csv(x, new_path(spark, "same"), sep=";") for x in (first, second)]
+    return files.read_same_columns(spark, paths, {"Accident_Id": "id"}).select(*[F.col(c).cast("bigint").alias(c) for c in first.columns])
 
 
 def map_flags(spark, sf):
@@ -230,10 +244,10 @@ def threshold_flag(spark, sf):
     return lines.withColumn("predicted", at_threshold(F.col("score")))
 
 
-FIRST_SEEN = "SELECT o_custkey, CAST(row_number() OVER (ORDER BY min(o_orderkey)) - 1 AS INTEGER) AS id FROM orders GROUP BY 1"
+FIRST_SEEN = "SELECT o_custkey, row_number() OVER (ORDER BY min(o_orderkey)) - 1 AS id FROM orders GROUP BY 1"
 DAY_ROWS = f"SELECT * FROM ({given.DATED_PREDICTIONS}) WHERE year = {DAY[0]} AND month = {DAY[1]} AND day = {DAY[2]}"
-DOCUMENT_LABELS = "SELECT doc_id, lang, source, n_chars, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)"
-PROFILED = [("doc_id", "bigint"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"), ("quality", "int"), ("toxic", "int")]
+DOCUMENT_LABELS = "SELECT doc_id, text, lang, source, n_chars, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)"
+PROFILED = [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"), ("quality", "int"), ("toxic", "int")]
 
 
 def map_sql(rows: str) -> str:
@@ -243,6 +257,13 @@ FROM (SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS nom,
              CAST(c_custkey AS VARCHAR) IN (SELECT com FROM ({rows})) AS flag FROM customer)"""
 
 
+def confusion_sql(rows: str) -> str:
+    return f"""
+WITH r AS ({rows}), k AS (SELECT t AS k FROM r UNION SELECT p FROM r)
+SELECT CAST(a.k AS DOUBLE) AS truth, CAST(b.k AS DOUBLE) AS predicted,
+       (SELECT count(*) FROM r WHERE t = a.k AND p = b.k) AS n FROM k a CROSS JOIN k b"""
+
+
 QUERIES = {
     "filter_eq": (filter_eq, f"SELECT * FROM ({given.ACCIDENTS}) WHERE dep = '{given.DEPARTMENT}'"),
     "filter_day": (filter_day, DAY_ROWS),
@@ -329,7 +350,8 @@ QUERIES = {
     "incomplete_years": (
         incomplete_years,
         f"""SELECT split_part(split_part(name, '_', -1), '.', 1) AS year, count(DISTINCT name) AS files
-            FROM ({given.FILES}) GROUP BY 1 HAVING count(DISTINCT name) <> 4""",
+            FROM ({given.FILES}) WHERE regexp_matches(name, '_src(0|1|2|3)_en_|_src4_.*[02468][.]csv$')
+            GROUP BY 1 HAVING count(DISTINCT name) <> 4""",
     ),
     "distinct_values": (distinct_values, f"SELECT DISTINCT an FROM ({given.ACCIDENTS})"),
     "value_counts": (value_counts, 'SELECT quality AS truth, count(*) AS "count" FROM labels GROUP BY 1'),
@@ -374,9 +396,11 @@ QUERIES = {
     ),
     "confusion_matrix": (
         confusion_matrix,
-        """SELECT quality AS truth, CAST(count_if(toxic = 0) AS BIGINT) AS predicted_0,
-                  CAST(count_if(toxic = 1) AS BIGINT) AS predicted_1
-           FROM labels GROUP BY 1""",
+        confusion_sql("SELECT quality AS t, toxic AS p FROM labels"),
+    ),
+    "confusion_matrix_classes": (
+        confusion_matrix_classes,
+        confusion_sql("SELECT label AS t, label + vec_id % 3 AS p FROM embeddings"),
     ),
     "last_wins": (
         last_wins,
@@ -395,7 +419,7 @@ QUERIES = {
     ),
     "union_same_columns": (
         union_same_columns,
-        "SELECT c_custkey AS id, c_nationkey AS dep FROM customer UNION ALL SELECT s_suppkey, s_nationkey FROM supplier",
+        "SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) AS dep FROM customer UNION ALL SELECT s_suppkey, s_nationkey FROM supplier",
     ),
     "map_flags": (map_flags, map_sql(DAY_ROWS)),
     "map_flags_predicted": (map_flags_predicted, map_sql(f"SELECT * FROM ({DAY_ROWS}) WHERE accident = 1")),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +17,13 @@ from areaday.sinks.tables import Audit
 from areaday.streaming.ingest import csv_stream, ingest_once, stream_daily, stream_load
 
 AUDIT = Audit(datetime(2025, 3, 8, 6, 30), "elt", "stream_accidents")
-EVENTS = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
+EVENTS = "event_id BIGINT, ts STRING, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
 def stream_ingest_once(spark, sf):
     """Purchases arrive after the other events; a run between them finds nothing new."""
     landing, out, checkpoint = (new_path(spark, name) for name in ("landing", "ingested", "checkpoint"))
-    events = given.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    events = given.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("string"))
     write_csv(events.filter(F.col("event_type") != "purchase"), landing, mode="append")
     ingest_once(csv_stream(spark, landing, EVENTS), out, checkpoint)
     ingest_once(csv_stream(spark, landing, EVENTS), out, checkpoint)
@@ -37,11 +38,15 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_append_audit(spark, sf):
-    out, checkpoint = new_path(spark, "loaded"), new_path(spark, "checkpoint")
-    stream = event_stream(spark, sf).select("event_id", "user_id", "event_type")
-    stream_load(stream, out, checkpoint, AUDIT)
-    stream_load(stream, out, checkpoint, AUDIT)
-    return spark.read.parquet(out)
+    """Two sources with checkpoints of their own go into one table, and each is run again without new rows."""
+    table, path = f"areaday_stream_{uuid.uuid4().hex}", new_path(spark, "loaded")
+    events = event_stream(spark, sf).select("event_id", "user_id", "event_type", "props")
+    sources = [events.filter("event_type = 'purchase'"), events]
+    for stream in sources:
+        checkpoint = new_path(spark, "checkpoint")
+        for _ in range(2):
+            stream_load(stream, table, checkpoint, AUDIT, path)
+    return spark.table(table).drop("load_id")
 
 
 def stream_daily_window(spark, sf):
@@ -57,11 +62,12 @@ def stream_daily_window(spark, sf):
 
 
 QUERIES = {
-    "stream_ingest_once": (stream_ingest_once, "SELECT event_id, user_id, event_type, value FROM events"),
+    "stream_ingest_once": (stream_ingest_once, "SELECT * REPLACE (CAST(ts AS VARCHAR) AS ts) FROM events"),
     "stream_append_audit": (
         stream_append_audit,
-        """SELECT event_id, user_id, event_type, '2025-03-08 06:30:00' AS execution_date, 'elt' AS dag_id,
-                  'stream_accidents' AS task_id, 0 AS batch_id FROM events""",
+        """SELECT event_id, user_id, event_type, props, '2025-03-08 06:30:00' AS execution_date, 'elt' AS dag_id,
+                  'stream_accidents' AS task_id, 0 AS batch_id
+           FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_type = 'purchase')""",
     ),
     "stream_daily_window": (
         stream_daily_window,

@@ -2,6 +2,7 @@ import datetime as dt
 import hashlib
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from areaday import schemas
 from areaday.operators import aggregates, evaluation, joins, ranking
 from areaday.operators.intervals import flag_days
+from areaday.session import materialise
 
 D = dt.date
 
@@ -40,11 +42,23 @@ def test_lookup_keeps_columns_and_gives_null_for_unknown(spark, rows):
     assert rows(got) == [(0, 1), (None, 2)]
 
 
-def test_broadcast_only_below_the_row_limit(spark):
-    frame = spark.range(10)
-    plan = lambda df: spark.range(100).join(df, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in plan(joins.broadcast_if_small(frame, 10))
-    assert "strategy=broadcast" not in plan(joins.broadcast_if_small(frame, 9))
+def test_a_written_side_is_broadcast_by_its_size(spark):
+    plan = lambda df: spark.range(100).join(df, "id")._jdf.queryExecution().executedPlan().toString()
+    kept = materialise(spark.range(10))
+    assert "BroadcastHashJoin" in plan(kept)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        assert "BroadcastHashJoin" not in plan(kept)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_years_outside_the_allowed_ones_raise(spark):
+    frame = spark.createDataFrame([(2023,), (9999,)], "an int")
+    with pytest.raises(Exception, match="years outside 1900 to 2100: 2023 to 9999"):
+        aggregates.year_bounds(frame).collect()
+    assert aggregates.year_bounds(frame, allowed=(1, 9999)).first().hi == dt.date(9999, 12, 31)
 
 
 def brute_flags(days, ranges, keys):
@@ -127,6 +141,19 @@ def test_latest_rows_put_nulls_first_and_run_as_top_n(spark):
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
 
 
+def test_latest_rows_of_a_partitioned_table_read_the_newest_years(spark, tmp_path):
+    data = [(y, m, 1, f"{y}{m}") for y in (2019, 2020, 2021) for m in range(1, 7)]
+    frame = spark.createDataFrame(data, "an int, mois int, jour int, com string")
+    frame.write.partitionBy("an").parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    top = ranking.latest_rows_by_year(table, 8, ["com"])
+    assert [r.com for r in top.collect()] == [r.com for r in ranking.latest_rows(frame, 8, ["com"]).collect()]
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "2021" in plan and "2020" in plan and "2019" not in plan and "PartitionFilters: [an" in plan
+    nulls = frame.unionByName(frame.limit(2).withColumn("an", F.lit(None).cast("int")))
+    assert [r.an for r in ranking.latest_rows_by_year(nulls, 3, ["com"]).collect()] == [None, None, 2021]
+
+
 def test_profiles(spark, rows):
     frame = spark.createDataFrame([(1, None), (2, "a"), (None, None)], "n int, s string")
     assert rows(aggregates.null_counts(frame)) == [("n", 1), ("s", 2)]
@@ -166,7 +193,14 @@ def test_scores_of_a_class_that_never_occurs(spark):
     frame = spark.createDataFrame([(0, 0), (0, 0)], "t int, p int")
     assert tuple(evaluation.accuracy_f1(frame, "t", "p").first()) == (1.0, 0.0)
     assert evaluation.class_ratio(frame, "t").first().ratio is None
-    assert [tuple(r) for r in evaluation.confusion_matrix(frame, "t", "p").collect()] == [(0, 2, 0)]
+    assert [tuple(r) for r in evaluation.confusion_matrix(frame, "t", "p").collect()] == [(0, 0, 2)]
+
+
+def test_confusion_matrix_has_every_class(spark, rows):
+    frame = spark.createDataFrame([(0, 0), (1, 2), (1, 1), (0, 0), (2, 1), (1, 7), (None, 1)], "t int, p int")
+    pairs = Counter((t, p) for t, p in [(0, 0), (1, 2), (1, 1), (0, 0), (2, 1), (1, 7)])
+    want = sorted((float(t), float(p), pairs[t, p]) for t in (0, 1, 2, 7) for p in (0, 1, 2, 7))
+    assert sorted(rows(evaluation.confusion_matrix(frame, "t", "p"))) == want
 
 
 def test_contracts(spark):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from areaday.operators import joins
+from areaday.session import materialise
 
 SMALL_SCALE = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -16,10 +17,8 @@ ROWS, KEYS = 400_000, 20_000
 
 
 @pytest.fixture
-def large_sides(spark, monkeypatch):
+def large_sides(spark):
     """Sizes at which a test's tables count as too large to broadcast, and a hot partition as hot."""
-    checked = joins.broadcast_if_small
-    monkeypatch.setattr(joins, "broadcast_if_small", lambda df: checked(df, 0))
     before = {k: spark.conf.get(k, None) for k in SMALL_SCALE}
     for key, value in SMALL_SCALE.items():
         spark.conf.set(key, value)
@@ -46,7 +45,7 @@ def run(df):
 
 def test_lookup_splits_the_hot_partition(large_sides, hot, keys):
     mapping = keys.withColumn("id", F.when(F.col("com") == "hot", -1).otherwise(F.col("com").cast("int")))
-    mapping = joins.broadcast_if_small(mapping)
+    mapping = materialise(mapping)
     rows, plan = run(joins.lookup(hot.withColumn("n", F.col("id")), mapping, "com", "com", "id"))
     assert "SortMergeJoin(skew=true)" in plan
     assert len(rows) == ROWS
