@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
@@ -25,44 +26,74 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areaday.llm.common import SKETCH_BITS, add_blocks, blocks_of, bucket_counts, bucket_of, small_batches, space_words, whole_text
+from areaday.llm.common import SKETCH_BITS, add_blocks, blocks_of, bucket_counts, bucket_of, mixed, small_batches, whole_text
 from areaday.llm.linking import Postings, Seen, levels, linked_components, shared_keys
 from areaday.session import materialise
 
 SHINGLE = 5
 SHARE = 80
+MARKS = 256
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                      0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
-_CACHED_WORDS = 200_000
+_NEXT_SPACE = re.compile(rb"\s")
 
 
-def mixed(numbers: np.ndarray) -> np.ndarray:
-    """64-bit numbers with all bits spread."""
-    numbers = (numbers ^ (numbers >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return numbers ^ (numbers >> np.uint64(29))
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_LETTER = np.where(_SPACE, np.uint64(0), mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1))
+_PIECE = 1 << 18
 
 
-class WordHashes(dict):
-    """The 64-bit hash of each word, kept for a bounded number of words."""
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The start and the hash of each word between white space, piece by piece of the bytes.
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-def shingle_set(text: str, hashes: WordHashes, size: int = SHINGLE) -> np.ndarray:
-    """The sorted hashes of the different shingles of a text."""
-    words = space_words(text)
-    if not words:
-        return np.empty(0, np.uint64)
-    numbers = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    width = min(size, len(words))
-    total = np.full(len(words) - width + 1, width, np.uint64)
+    A hash is the sum of a number per byte times a power for its place in the word, so all words are hashed at once.
+    """
+    starts, hashes, first = [], [], 0
+    while first < len(text):
+        last = first + _PIECE
+        if last < len(text):  # go on to the end of the word
+            found = _NEXT_SPACE.search(text, last)
+            last = found.end() if found else len(text)
+        piece = np.frombuffer(text[first:last], np.uint8)
+        inside = ~_SPACE[piece]
+        at = np.flatnonzero(inside & np.concatenate(([True], ~inside[:-1])))
+        if len(at):
+            lengths = np.diff(np.append(at, len(piece)))
+            place = np.arange(at[0], len(piece), dtype=np.int64) - np.repeat(at, lengths)
+            powers = np.cumprod(np.full(int(place.max()) + 1, 0xD6E8FEB86659FD93, np.uint64))
+            numbers = _LETTER[piece[at[0] :]] * powers[place]
+            starts.append(at + first)
+            hashes.append(np.add.reduceat(numbers, at - at[0]))
+        first = last
+    none = np.empty(0, np.int64)
+    return np.concatenate(starts or [none]), np.concatenate(hashes or [none.astype(np.uint64)])
+
+
+def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
+    """The sorted hashes of the different shingles of each text, computed for all texts side by side."""
+    encoded = [text.encode().lower() for text in texts]  # of bytes, lower() changes A-Z only
+    starts, numbers = word_hashes(b"\n".join(encoded))
+    ends = np.searchsorted(starts, np.cumsum([len(text) + 1 for text in encoded]))
+    whole = shingle_hashes(numbers, size) if len(numbers) >= size else np.empty(0, np.uint64)
+    sets, start = [], 0
+    for end in ends.tolist():
+        count = end - start
+        if count >= size:
+            found = np.sort(whole[start : end - size + 1])
+            sets.append(found[np.concatenate(([True], found[1:] != found[:-1]))])
+        else:  # all words are one shingle
+            sets.append(shingle_hashes(numbers[start:end], count) if count else np.empty(0, np.uint64))
+        start = end
+    return sets
+
+
+def shingle_hashes(numbers: np.ndarray, width: int) -> np.ndarray:
+    """The hash of each stretch of ``width`` word hashes."""
+    n = len(numbers) - width + 1
+    total = np.full(n, width, np.uint64)
     for i in range(width):
-        total += mixed(numbers[i : len(words) - width + 1 + i] * _FACTORS[i % 8] + np.uint64(i))
-    return np.unique(mixed(total))
+        total += mixed(numbers[i : n + i] * _FACTORS[i % 8] + np.uint64(i))
+    return mixed(total)
 
 
 def item_of(shingles: np.ndarray) -> int:
@@ -84,48 +115,45 @@ def prefix(shingles: np.ndarray, level: np.ndarray, share: int) -> tuple[np.ndar
 
     From the place of a shingle on, at most the rest of the set can be shared.
     """
-    ordered = shingles[np.lexsort((shingles, level[bucket_of(shingles)]))]
-    n = len(ordered)
+    levels, n = level[bucket_of(shingles)], len(shingles)
+    ordered = shingles[np.argsort(levels, kind="stable")] if levels.any() else shingles
     most = largest_partner(n, n - np.arange(n), share)
     kept = most >= -(-share * n // 100)
     return ordered[kept], most[kept]
 
 
 def documents_and_sketch(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id, n_shingles, item`` of all rows (item is null for empty sets), and a count sketch of all shingles."""
+    """``doc_id, n_shingles, item, mark`` of all rows (item is null for empty sets), and a count sketch of all shingles."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int64)
-        names = ["doc_id", "n_shingles", "item", "block", "counts"]
+        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        names = ["doc_id", "n_shingles", "item", "mark", "block", "counts"]
         for frame in frames:
-            sets = [shingle_set(text, hashes, size) for text in frame.column("text").to_pylist()]
+            sets = shingle_sets(frame.column("text").to_pylist(), size)
             if sets:
                 counts += bucket_counts(np.concatenate(sets))
             items = np.array([item_of(s) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
             empty = np.array([not len(s) for s in sets], bool)
             none = pa.nulls(len(sets), pa.int64())
             yield pa.record_batch(
-                [frame.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(items, mask=empty), none,
-                 pa.nulls(len(sets), pa.binary())], names=names,
+                [frame.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(items, mask=empty),
+                 pa.array([mark_of(s) for s in sets], pa.binary()), none, pa.nulls(len(sets), pa.binary())], names=names,
             )
-        none = pa.nulls(1, pa.int64())
+        none, no_mark = pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())
         for block, part in blocks_of(counts):
-            yield pa.record_batch([none, none, none, pa.array([block]), pa.array([part])], names=names)
+            yield pa.record_batch([none, none, none, no_mark, pa.array([block]), pa.array([part])], names=names)
 
-    rows = docs.mapInArrow(run, "doc_id long, n_shingles long, item long, block long, counts binary")
+    rows = docs.mapInArrow(run, "doc_id long, n_shingles long, item long, mark binary, block long, counts binary")
     written = materialise(rows)
     blocks = written.filter("block IS NOT NULL").select("block", "counts")
-    return written.filter("block IS NULL").select("doc_id", "n_shingles", "item"), add_blocks(blocks, 1 << SKETCH_BITS)
+    return written.filter("block IS NULL").select("doc_id", "n_shingles", "item", "mark"), add_blocks(blocks, 1 << SKETCH_BITS)
 
 
 def postings(share: int, size: int) -> Callable[[list[str], Seen, np.ndarray], Postings]:
     """The prefix postings of texts: ``a`` is the size of the set, ``b`` the largest partner."""
-    hashes = WordHashes()
-
     def post(texts: list[str], seen: Seen, level: np.ndarray) -> Postings:
         keys, items, sizes, most = [], [], [], []
-        for text in texts:
-            shingles = shingle_set(text, hashes, size)
+        for shingles in shingle_sets(texts, size):
             if len(shingles) and seen.new(item := item_of(shingles)):
                 first, largest = prefix(shingles, level, share)
                 keys.append(first)
@@ -140,17 +168,36 @@ def postings(share: int, size: int) -> Callable[[list[str], Seen, np.ndarray], P
 
 def sets_of(size: int) -> Callable[[list[str]], Iterator[tuple[int, Callable[[], bytes]]]]:
     """The item of each text, and its set as bytes."""
-    hashes = WordHashes()
-
     def content(texts: list[str]) -> Iterator[tuple[int, Callable[[], bytes]]]:
-        for text in texts:
-            shingles = shingle_set(text, hashes, size)
+        for shingles in shingle_sets(texts, size):
             if len(shingles):
                 yield item_of(shingles), shingles.tobytes
 
     return content
 
 
+def mark_of(shingles: np.ndarray) -> bytes:
+    """How many shingles fall in each of ``MARKS`` parts of the hash space; empty if a count is above 255."""
+    counts = np.bincount((shingles & np.uint64(MARKS - 1)).astype(np.int64), minlength=MARKS)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def may_reach(share: int) -> Callable[[bytes, list[bytes]], np.ndarray]:
+    """Whether the marks leave room for the overlap: no more can be shared in a part than the smaller count."""
+
+    def check(one: bytes, others: list[bytes]) -> np.ndarray:
+        known = np.array([len(other) == MARKS for other in others])
+        if not len(one) or not known.any():
+            return np.ones(len(others), bool)
+        query = np.frombuffer(one, np.uint8).astype(np.int64)
+        block = np.frombuffer(b"".join(other for other in others if len(other)), np.uint8).reshape(-1, MARKS).astype(np.int64)
+        passed = np.ones(len(others), bool)
+        passed[known] = np.minimum(query, block).sum(axis=1) >= least_overlap(query.sum(), block.sum(axis=1), share)
+        return passed
+
+    return check
+
+
 #: Weight of the binary searches against the merge when lists are divided.
 _PROBE_COST = 0.0085
 
@@ -208,7 +255,10 @@ def jaccard_join(docs: DataFrame, share: int = SHARE, size: int = SHINGLE) -> Da
 
     # The set with the most room for partners is the likeliest to be linked with all others of a list.
     room = F.col("a") - F.col("b")
-    found = linked_components(texts.select("text"), lists, admits, room, sets_of(size), reaches(share))
+    marks = materialise(rows.filter("item IS NOT NULL").groupBy("item").agg(F.any_value("mark").alias("content")))
+    found = linked_components(
+        texts.select("text"), lists, admits, room, sets_of(size), reaches(share), screen=(marks, may_reach(share))
+    )
     classes = rows.join(found, "item", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "item").alias("class")
     )

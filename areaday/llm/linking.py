@@ -54,6 +54,11 @@ def _signed(numbers: np.ndarray) -> pa.Array:
     return pa.array(numbers.view(np.int64))
 
 
+def _placed(key: np.ndarray, item: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Where a posting is sent: by its key, or by key and item if the key is hot. The same step leads back to the key."""
+    return np.where(hot, key ^ (item * np.uint64(0x9E3779B97F4A7C15)), key)
+
+
 def shared_keys(texts: DataFrame, post: Callable[[list[str], Seen, np.ndarray], Postings], level: np.ndarray) -> DataFrame:
     """``key, item, a, b``: the postings of all keys that more than one item has, each once (with its smallest a, b)."""
     sent = texts.sparkSession.sparkContext.broadcast(level)
@@ -63,11 +68,10 @@ def shared_keys(texts: DataFrame, post: Callable[[list[str], Seen, np.ndarray],
         for frame in frames:
             p = post(frame.column("text").to_pylist(), seen, level)
             hot = level[bucket_of(p["key"])] > 0
-            place = np.where(hot, p["key"] ^ (p["item"] * np.uint64(0x9E3779B97F4A7C15)), p["key"])
             yield pa.record_batch(
-                [_signed(place), pa.array(hot), _signed(p["key"]), _signed(p["item"]), pa.array(p["a"], pa.int32()),
+                [_signed(_placed(p["key"], p["item"], hot)), pa.array(hot), _signed(p["item"]), pa.array(p["a"], pa.int32()),
                  pa.array(p["b"], pa.int32())],
-                names=["place", "hot", "key", "item", "a", "b"],
+                names=["place", "hot", "item", "a", "b"],
             )
 
     def repeated(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,19 +79,22 @@ def shared_keys(texts: DataFrame, post: Callable[[list[str], Seen, np.ndarray],
         if not held:
             return
         table = pa.Table.from_batches(held)
-        key, item = table["key"].to_numpy(), table["item"].to_numpy()
+        item, hot = table["item"].to_numpy().view(np.uint64), table["hot"].to_numpy()
+        key = _placed(table["place"].to_numpy().view(np.uint64), item, hot)
         a, b = table["a"].to_numpy(), table["b"].to_numpy()
         order = np.lexsort((b, a, item, key))
         key, item = key[order], item[order]
         same_key = np.concatenate(([False], key[1:] == key[:-1]))
         first = ~(same_key & np.concatenate(([False], item[1:] == item[:-1])))
-        order, key = order[first], key[first]
+        order, key, item = order[first], key[first], item[first]
         same = key[1:] == key[:-1]
-        shared = np.concatenate(([False], same)) | np.concatenate((same, [False])) | table["hot"].to_numpy()[order]
-        kept = table.select(["key", "item", "a", "b"]).take(pa.array(order[shared]))
-        yield from kept.to_batches(max_chunksize=50_000)
+        shared = np.concatenate(([False], same)) | np.concatenate((same, [False])) | hot[order]
+        order = order[shared]
+        yield pa.record_batch(
+            [_signed(key[shared]), _signed(item[shared]), pa.array(a[order]), pa.array(b[order])], names=["key", "item", "a", "b"]
+        )
 
-    rows = texts.mapInArrow(emit, "place long, hot boolean, key long, item long, a int, b int")
+    rows = texts.mapInArrow(emit, "place long, hot boolean, item long, a int, b int")
     dealt = rows.repartition(wide_partitions(texts.sparkSession), "place")
     return materialise(dealt.mapInArrow(repeated, "key long, item long, a int, b int"))
 
@@ -163,40 +170,46 @@ def linked_components(
     preference: Column,
     content: Callable,
     check: Callable[[bytes, list[bytes]], list[bool]],
+    screen: tuple[DataFrame, Callable] | None = None,
 ) -> DataFrame:
     """``item, component`` of all items with a link.
 
     ``lists`` are postings from ``shared_keys``; ``admits`` tells whether two of them (by their aliases) can be linked;
     the pivot of a key has the smallest ``preference`` of ``lists``; ``content`` and ``check`` are those of ``payloads``
-    and ``verified``.
+    and ``verified``. ``screen`` has small contents per item, and a check that only pairs without a link fail.
     """
     ranked = lists.select("key", "item", "a", "b", F.struct(preference.alias("order"), "item", "a", "b").alias("rank"))
     pivots = materialise(ranked.groupBy("key").agg(F.min("rank").alias("rank")).select("key", F.col("rank.item").alias("item"), F.col("rank.a").alias("a"), F.col("rank.b").alias("b")))
     x, y = lists.alias("x"), pivots.alias("y")
     first = x.join(y, F.col("x.key") == F.col("y.key")).filter((F.col("x.item") != F.col("y.item")) & admits("x", "y"))
     first = materialise(first.select(F.col("y.item").alias("one"), F.col("x.item").alias("other")).distinct())
-    links = _links(texts, first, content, check)
+    links = _links(texts, first, content, check, screen)
     found = components(links)
 
     # Items that are not in the component of the pivot of one of their keys.
     label = found.select(F.col("item").alias("of"), "component")
-    placed = materialise(
-        lists.join(label, F.col("item") == F.col("of"), "left").select("key", "item", "a", "b", F.coalesce("component", "item").alias("component"))
+    placed = lists.join(label, F.col("item") == F.col("of"), "left").select(
+        "key", "item", "a", "b", F.coalesce("component", "item").alias("component")
     )
+    # Each pair of them once: the other one is no such item, or the larger one.
     pivot_label = pivots.join(label, F.col("item") == F.col("of"), "left").select(
         "key", F.coalesce("component", "item").alias("pivot_component")
     )
-    strays = materialise(placed.join(materialise(pivot_label), "key").filter("component != pivot_component").drop("pivot_component"))
-    x, y = strays.alias("x"), placed.alias("y")
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & admits("x", "y"))
+    away = (F.col("component") != F.col("pivot_component")).alias("away")
+    placed = materialise(placed.join(materialise(pivot_label), "key").select(*placed.columns, away))
+    x, y = placed.filter("away").alias("x"), placed.alias("y")
+    apart = (F.col("x.component") != F.col("y.component")) & (~F.col("y.away") | (F.col("x.item") < F.col("y.item")))
+    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & admits("x", "y"))
     rest = rest.select(F.least("x.item", "y.item").alias("one"), F.greatest("x.item", "y.item").alias("other")).distinct()
     tried = first.select(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other"))
     rest = materialise(rest.join(materialise(tried.distinct()), ["one", "other"], "left_anti"))
     if rest.isEmpty():
         return found
-    return components(links.unionByName(_links(texts, rest, content, check)))
+    return components(links.unionByName(_links(texts, rest, content, check, screen)))
 
 
-def _links(texts: DataFrame, pairs: DataFrame, content: Callable, check: Callable) -> DataFrame:
+def _links(texts: DataFrame, pairs: DataFrame, content: Callable, check: Callable, screen: tuple | None) -> DataFrame:
+    if screen:
+        pairs = verified(pairs, *screen)
     items = pairs.select(F.col("one").alias("item")).unionByName(pairs.select(F.col("other").alias("item"))).distinct()
     return verified(pairs, payloads(texts, items, content), check)

@@ -125,3 +125,18 @@ def test_components(spark, rows):
         for a, b in links:
             label[a] = label[b] = min(label[a], label[b])
     assert found == {x: label[x] for a, b in links if a != b for x in (a, b)}
+
+
+def test_marks_never_reject_a_link():
+    rng = np.random.default_rng(4)
+    check = jj.may_reach(80)
+    for _ in range(300):
+        base = rng.integers(0, 2**63, rng.integers(1, 300)).astype(np.uint64)
+        sets = [np.unique(np.concatenate((base[: rng.integers(1, len(base) + 1)], rng.integers(0, 2**63, 5).astype(np.uint64)))) for _ in range(4)]
+        one = np.unique(base)
+        passed = check(jj.mark_of(one), [jj.mark_of(s) for s in sets])
+        for s, p in zip(sets, passed, strict=True):
+            both = len(np.intersect1d(one, s))
+            assert p or 100 * both < 80 * (len(one) + len(s) - both)
+    large = np.arange(0, 256 * 300, 256, dtype=np.uint64)
+    assert jj.mark_of(large) == b"" and check(b"", [jj.mark_of(base)]).all() and check(jj.mark_of(base), [b""]).all()
