@@ -33,11 +33,11 @@ from areaday.session import materialise
 
 FOLDS, HELD = 7, 2
 SHORT = 1 << 17
-MODEL_WORDS = 2047
-PER_CLASS = 64
+MODEL_WORDS = 1023
+PER_CLASS = 32
 HIDDEN, INPUTS = 24, 16
 ROUNDS = 2
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 22
 #: The end of a document as a word; no word holds white space.
 END = b" "
 _FLUSH = 500_000
@@ -80,7 +80,7 @@ class Vocabulary:
     tokens: int
     different: int
 
-    def places(self) -> dict[int, int]:
+    def by_hash(self) -> dict[int, int]:
         return {h: i for i, h in enumerate(self.hashes.tolist())}
 
     @property
@@ -116,7 +116,7 @@ class Reader(dict):
     """The place of each word in the vocabulary, or -1 and its hash in ``rare``; a bounded number is kept."""
 
     def __init__(self, words: Vocabulary):
-        self.known = words.places()
+        self.known = words.by_hash()
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= 400_000:
@@ -124,6 +124,9 @@ class Reader(dict):
         value = self[word] = self.known.get(hash_of(word), -1)
         return value
 
+    def places(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
 
 def new_model(words: Vocabulary) -> Model:
     model = Model(words.words, PER_CLASS, HIDDEN, INPUTS)
@@ -131,13 +134,9 @@ def new_model(words: Vocabulary) -> Model:
     return model
 
 
-def numbers_of(texts: list[list[bytes]], reader: Reader, model: Model) -> list[np.ndarray]:
-    """Each text as numbers of the model: its words, ``rest`` for any other, and the end."""
-    look, out = reader.__getitem__, []
-    for text in texts:
-        places = np.fromiter(map(look, text), np.int64, len(text))
-        out.append(np.append(np.where((places < 0) | (places >= model.words), model.rest, places), 0))
-    return out
+def numbers_of(places: np.ndarray, model: Model) -> np.ndarray:
+    """A text as numbers of the model: its words, ``rest`` for any other, and the end."""
+    return np.append(np.where((places < 0) | (places >= model.words), model.rest, places), 0).astype(np.int32)
 
 
 def train(training: DataFrame, words: Vocabulary) -> Model:
@@ -157,11 +156,12 @@ def train(training: DataFrame, words: Vocabulary) -> Model:
                 trainer.train(held, max(8, min(512, len(held) // 4)))
 
             for columns in batches(frames):
-                held += numbers_of([space_words(text) for text in columns["text"]], reader, model)
-                size = sum(map(len, held))
+                for text in columns["text"]:
+                    held.append(numbers_of(reader.places(space_words(text)), model))
+                    size += len(held[-1])
                 if size >= CHUNK_TOKENS:
                     learn()
-                    tokens, held = tokens + size, []
+                    tokens, held, size = tokens + size, [], 0
             if held:
                 learn()
                 tokens += size
@@ -174,51 +174,59 @@ def train(training: DataFrame, words: Vocabulary) -> Model:
     return model
 
 
-SCORED = "row long, doc_id long, n_tokens long, n_short long, short_log double, n_rest long, rest_log double, log_likelihood double, rare array<struct<hash: long, times: int>>"
+_SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_short", pa.int64()),
+                     ("short_log", pa.float64()), ("n_rest", pa.int64()), ("rest_log", pa.float64()),
+                     ("log_likelihood", pa.float64()),
+                     ("rare", pa.list_(pa.struct([("hash", pa.int64()), ("times", pa.int32())])))])
+SCORED = (
+    "row long, doc_id long, n_tokens long, n_short long, short_log double, n_rest long, rest_log double,"
+    " log_likelihood double, rare array<struct<hash: long, times: int>>"
+)
 
 
 def read_documents(texts: DataFrame, words: Vocabulary, model: Model) -> DataFrame:
     """Per document what the model says, the sums over sent words, and its other words with their hashes."""
     sent = texts.sparkSession.sparkContext.broadcast((words, model.flat))
-    rare_type = pa.list_(pa.struct([("hash", pa.int64()), ("times", pa.int32())]))
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, flat = sent.value
         model, reader = new_model(words), Reader(words)
         model.set(flat)
+        # Of each text only numbers are held until its chunk is full.
         logs = np.log10(words.counts + 1.0)
         known = words.counts > 0
         first, done = TaskContext.get().partitionId() << 33, 0
 
-        def finish(held: list) -> pa.RecordBatch:
+        def counted(doc_id: int | None, text: list[bytes]) -> dict:
+            places = reader.places(text)
+            short = np.append(places[places >= 0], 0)
+            rare = Counter([text[i] for i in np.flatnonzero(places < 0).tolist()])
+            hashes = np.fromiter(map(hash_of, rare), np.uint64, len(rare)).view(np.int64)
+            numbers = numbers_of(places, model)
+            return {
+                "doc_id": doc_id, "numbers": numbers, "n_tokens": len(numbers), "n_short": int(known[short].sum()),
+                "short_log": float(logs[short].sum()), "n_rest": int((numbers == model.rest).sum()),
+                "rest_log": float(logs[short[short >= words.words]].sum()),
+                "rare": (hashes, np.fromiter(rare.values(), np.int32, len(rare))),
+            }
+
+        def finish(held: list[dict]) -> pa.RecordBatch:
             nonlocal done
-            texts = numbers_of([text for _, text in held], reader, model)
-            likely = log_likelihoods(model, texts)
-            columns: list[list] = [[] for _ in range(7)]
-            for (doc_id, text), numbers in zip(held, texts, strict=True):
-                places = np.fromiter(map(reader.__getitem__, text), np.int64, len(text))
-                short = np.append(places[places >= 0], 0)
-                rare = Counter(text[i] for i in np.flatnonzero(places < 0).tolist())
-                hashes = np.fromiter(map(hash_of, rare), np.uint64, len(rare)).view(np.int64).tolist()
-                row = (doc_id, len(text) + 1, int(known[short].sum()), float(logs[short].sum()), int((numbers == model.rest).sum()),
-                       float(logs[short[short >= words.words]].sum()),
-                       [{"hash": h, "times": n} for h, n in zip(hashes, rare.values(), strict=True)])
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
-            rows = first + done + np.arange(len(held))
+            likely = log_likelihoods(model, [row.pop("numbers") for row in held])
+            rare = [row.pop("rare") for row in held]
+            ends = np.cumsum([0, *(len(hashes) for hashes, _ in rare)])
+            parts = [pa.array(np.concatenate([pair[i] for pair in rare])) for i in (0, 1)]
+            made = {name: [row[name] for row in held] for name in held[0]}
+            made |= {"row": first + done + np.arange(len(held)), "log_likelihood": likely}
             done += len(held)
-            return pa.record_batch(
-                [pa.array(rows), pa.array(columns[0], pa.int64()), *[pa.array(c, pa.int64()) for c in columns[1:3]],
-                 pa.array(columns[3], pa.float64()), pa.array(columns[4], pa.int64()), pa.array(columns[5], pa.float64()),
-                 pa.array(likely, pa.float64()), pa.array(columns[6], rare_type)],
-                names=["row", "doc_id", "n_tokens", "n_short", "short_log", "n_rest", "rest_log", "log_likelihood", "rare"],
-            )
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(parts, ["hash", "times"]))
+            return pa.record_batch([listed if f.name == "rare" else pa.array(made[f.name], f.type) for f in _SCORED], schema=_SCORED)
 
         held, size = [], 0
         for columns in batches(frames):
             for doc_id, text in zip(columns["doc_id"], columns["text"], strict=True):
-                held.append((doc_id, space_words(text)))
-                size += len(held[-1][1]) + 1
+                held.append(counted(doc_id, space_words(text)))
+                size += held[-1]["n_tokens"]
             if size >= CHUNK_TOKENS:
                 yield finish(held)
                 held, size = [], 0
