@@ -205,7 +205,8 @@ def linked_components(
     rest = materialise(rest.join(materialise(tried.distinct()), ["one", "other"], "left_anti"))
     if rest.isEmpty():
         return found
-    return components(links.unionByName(_links(texts, rest, content, check, screen)))
+    more = _links(texts, rest, content, check, screen)
+    return found if more.isEmpty() else components(found.toDF("one", "other").unionByName(more))
 
 
 def _links(texts: DataFrame, pairs: DataFrame, content: Callable, check: Callable, screen: tuple | None) -> DataFrame:
