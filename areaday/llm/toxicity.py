@@ -29,6 +29,7 @@ LEAST_TEXTS = 3
 PENALTY = 1e-4
 ROUNDS = 150
 TOXIC = 0.3
+_FIT_CHUNK = 1000
 
 _KEEP = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _STEP, _MIX = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
@@ -79,18 +80,29 @@ def texts_with(rows: DataFrame) -> np.ndarray:
 
 
 def fit_weights(columns: list[np.ndarray], ratios: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression on presence times ``ratios`` with an L2 penalty, by Adam over all rows."""
-    row = np.repeat(np.arange(len(columns)), [len(c) for c in columns])
-    flat = np.concatenate(columns)
-    scaled, n = ratios[flat], len(columns)
+    """Logistic regression on presence times ``ratios`` with an L2 penalty, by Adam over all rows.
+
+    Rows are gone through in chunks, so that beside the columns little is held at once.
+    """
+    n, chunks = len(columns), []
+    for start in range(0, n, _FIT_CHUNK):
+        part = columns[start : start + _FIT_CHUNK]
+        chunks.append((slice(start, start + len(part)), np.concatenate(part), np.array([len(c) for c in part])))
     weights, intercept = np.zeros(len(ratios) + 1), np.log(labels.sum() / (n - labels.sum()))
     weights[-1] = intercept
     mean, square = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, ROUNDS + 1):
-        margin = np.bincount(row, scaled * weights[flat], n) + weights[-1]
-        error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels
-        slope = np.append(np.bincount(flat, scaled * error[row], len(ratios)), error.sum()) / n
-        slope[:-1] += PENALTY * weights[:-1]
+        slope, scaled = np.zeros_like(weights), weights[:-1] * ratios
+        for rows, flat, sizes in chunks:
+            held = sizes > 0
+            margin = np.full(len(sizes), weights[-1])
+            if held.any():
+                margin[held] += np.add.reduceat(scaled[flat], (np.cumsum(sizes) - sizes)[held])
+            error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[rows]
+            slope[:-1] += np.bincount(flat, np.repeat(error, sizes), len(ratios))
+            slope[-1] += error.sum()
+        slope[:-1] = slope[:-1] * ratios + n * PENALTY * weights[:-1]
+        slope /= n
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
         weights = weights - 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
     return weights[:-1] * ratios, float(weights[-1])
@@ -120,10 +132,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int =
             blobs = [np.unique(c[c >= 0]).astype(np.int32).tobytes() for c in found]
             yield pa.record_batch([pa.array(blobs, pa.binary()), pa.array(columns["label"], pa.int32())], names=["columns", "label"])
 
-    fit = rows.mapInArrow(present, "columns binary, label int").limit(2 * limit).collect()
-    weights, intercept = fit_weights(
-        [np.frombuffer(r["columns"], np.int32) for r in fit], ratio[chosen], np.array([r["label"] > 0 for r in fit], float)
-    )
+    fit = rows.mapInArrow(present, "columns binary, label int").limit(2 * limit).toArrow()
+    held = [np.frombuffer(blob, np.int32) for blob in fit["columns"].to_pylist()]
+    weights, intercept = fit_weights(held, ratio[chosen], (fit["label"].to_numpy() > 0).astype(float))
     return Model(column, weights, intercept)
 
 
