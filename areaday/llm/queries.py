@@ -95,7 +95,7 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = rf"""
     WITH RECURSIVE words AS (
-        SELECT doc_id, list_filter(string_split_regex({_LOWERED}, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+        SELECT doc_id, list_filter(string_split_regex({_LOWERED}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
     shingles AS (
         SELECT DISTINCT doc_id, w[i:i + 4] AS s FROM words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i)
         WHERE len(w) > 0),
