@@ -15,20 +15,23 @@ columns take no part, except that those named in ``keep`` are handed on. An empt
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache, reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areaday.llm.common import SKETCH_BITS, bucket_counts, carried, row_type, small_batches, summed, whole_text
+from areaday.llm.common import SKETCH_BITS, bucket_counts, carried, mixed, row_type, small_batches, summed, whole_text
 from areaday.llm.linking import Postings, Seen, levels, linked_components, shared_keys
 from areaday.session import materialise
 
 EDITS = 2
 LEAST_CHARS = 40
 _INDEXED, _PROBE = 0, 1
+_AT_ONCE = 1 << 17
 
 
 def lines_of(text: str) -> list[str]:
@@ -73,43 +76,120 @@ def probes(length: int, edits: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def postings(edits: int, least: int) -> Callable[[list[str], Seen, np.ndarray], Postings]:
-    """Postings of the different lines of texts: ``a`` tells whether the line is indexed or probes, ``b`` is its length."""
-    known: dict[int, tuple] = {}
+@cache
+def plan(length: int, edits: int) -> tuple[np.ndarray, ...]:
+    """Start, end, mark, and a number for the segment and the indexed length, of all postings of a line."""
+    rows = [(start, start + size, _INDEXED, length * (edits + 1) + i) for i, (start, size) in enumerate(segments(length, edits))]
+    rows += [(at, at + size, _PROBE, shorter * (edits + 1) + i) for shorter, i, at, size in probes(length, edits)]
+    return tuple(np.array(column, np.int64) for column in zip(*rows, strict=True))
 
-    def plan(length: int) -> tuple:
-        if length not in known:
-            own = [(i, start, start + size, _INDEXED, length) for i, (start, size) in enumerate(segments(length, edits))]
-            other = [(i, at, at + size, _PROBE, shorter) for shorter, i, at, size in probes(length, edits)]
-            known[length] = tuple((s, e, mark, (n * (edits + 1) + i) & 0xFFFFFFFF) for i, s, e, mark, n in own + other)
-        return known[length]
 
-    digest = xxhash.xxh64_intdigest
+@cache
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 2^``bits`` powers of an odd number and of its inverse modulo 2^64."""
+    factor = 0xD6E8FEB86659FD93
+    return tuple(np.cumprod(np.append(np.uint64(1), np.full((1 << bits) - 1, f, np.uint64))) for f in (factor, pow(factor, -1, 1 << 64)))
+
+
+def substring_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """For all postings of the lines: the number of the line, the key, the mark; and the kinds of signs per line.
+
+    Substrings are hashed as differences of running sums of numbers per sign times powers of a factor, brought to the
+    same power by its inverse. The kinds are counts of signs by two classifications, modulo 32, five bits a class.
+    """
+    lengths = np.array([len(line) for line in lines], np.int64)
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    up, down = _powers(max(16, int(len(codes)).bit_length()))
+    numbers, *packed = (of[codes] for of in _SIGNS) if codes.max() < _USUAL else _signs(codes)
+    sums = _running(numbers * up[: len(codes)])
+    first = np.cumsum(lengths) - lengths
+    plans = [plan(n, edits) for n in lengths.tolist()]
+    owner = np.repeat(np.arange(len(lines)), [len(p[0]) for p in plans])
+    start, end, mark, place = (np.concatenate([p[i] for p in plans]) for i in range(4))
+    start, end = start + first[owner], end + first[owner]
+    keys = mixed((sums[end] - sums[start]) * down[start] + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    kinds = []
+    for (classify, classes), ones in zip(_CLASSES, packed, strict=True):
+        running = _running(ones)
+        counts = running[first + lengths] - running[first]
+        found = sum(((counts >> np.uint64(10 * k)) & np.uint64(31)) << np.uint64(5 * k) for k in range(classes))
+        for line in np.flatnonzero(lengths >= 1 << 10).tolist():  # too long for fields of ten bits
+            own = np.bincount(classify(codes[first[line] : first[line] + lengths[line]]), minlength=classes) & 31
+            found[line] = int((own << (5 * np.arange(classes))).sum())
+        kinds.append(found.astype(np.int64))
+    return owner, keys, mark, kinds
+
+
+def _running(numbers: np.ndarray) -> np.ndarray:
+    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(numbers)))
+
+
+#: How signs are classified, and into how many classes.
+_CLASSES = ((lambda codes: codes % 6, 6), (lambda codes: codes // 6 % 5, 5))
+
+
+def _signs(codes: np.ndarray) -> list[np.ndarray]:
+    """A random number per sign, and for both classifications a 1 in the field of its class, ten bits each."""
+    codes = codes.astype(np.uint64)
+    ones = [np.uint64(1) << (np.uint64(10) * classify(codes).astype(np.uint64)) for classify, _ in _CLASSES]
+    return [mixed(codes + np.uint64(1)) | np.uint64(1), *ones]
+
+
+_USUAL = 1024
+_SIGNS = _signs(np.arange(_USUAL))
+
+
+def postings(edits: int, least: int) -> Callable[[list[str], Seen, np.ndarray | None], Postings]:
+    """Postings of the different lines of texts.
+
+    ``a`` holds the mark and one classification of the signs, ``b`` the length modulo 64 and the other one.
+    """
 
     def post(texts: list[str], seen: Seen, level: np.ndarray | None = None) -> Postings:
-        keys, items, marks, sizes = [], [], [], []
+        lines, items, parts, size = [], [], [], 0
+
+        def flush() -> None:
+            nonlocal lines, items, size
+            if lines:
+                owner, keys, mark, kinds = substring_keys(lines, edits)
+                sizes = np.array([len(line) for line in lines]) & 63
+                a, b = (kinds[0][owner] << 1) | mark, (kinds[1][owner] << 6) | sizes[owner]
+                parts.append((keys, np.array(items, np.uint64)[owner], a, b))
+            lines, items, size = [], [], 0
+
         for text in texts:
             for line in lines_of(text):
-                if (line := comparable(line, least)) is None or not seen.new(item := item_of(line)):
-                    continue
-                if line.isascii():  # one byte a character
-                    line = line.encode()
-                    for start, end, mark, seed in plan(len(line)):
-                        keys.append(digest(line[start:end], seed))
-                        marks.append(mark)
-                else:
-                    for start, end, mark, seed in plan(len(line)):
-                        keys.append(digest(line[start:end].encode("utf-8", "surrogatepass"), seed))
-                        marks.append(mark)
-                made = len(keys) - len(items)
-                items += [item] * made
-                sizes += [len(line)] * made
-        return {"key": np.array(keys, np.uint64), "item": np.array(items, np.uint64), "a": np.array(marks, np.int32),
-                "b": np.array(sizes, np.int32)}
+                if (line := comparable(line, least)) is not None and seen.new(item := item_of(line)):
+                    lines.append(line)
+                    items.append(item)
+                    size += len(line)
+                    if size >= _AT_ONCE:
+                        flush()
+        flush()
+        kinds = (np.uint64, np.uint64, np.int32, np.int32)
+        made = [np.concatenate([p[i] for p in parts]) if parts else np.empty(0) for i in range(4)]
+        return {name: x.astype(kind) for name, x, kind in zip(("key", "item", "a", "b"), made, kinds, strict=True)}
 
     return post
 
 
+def may_be_close(x: str, y: str, edits: int) -> Column:
+    """Whether two postings can be those of linked lines: one is indexed, and neither lengths nor signs differ too much.
+
+    An edit changes the number of signs of a class by one, in two classes at most.
+    """
+
+    def apart(field: str, shift: int, size: int) -> Column:
+        one, other = (F.shiftright(F.col(f"{name}.{field}"), shift).bitwiseAND(size - 1) for name in (x, y))
+        return F.least(F.pmod(one - other, F.lit(size)), F.pmod(other - one, F.lit(size)))
+
+    indexed = (F.col(f"{x}.a").bitwiseAND(1) == _INDEXED) | (F.col(f"{y}.a").bitwiseAND(1) == _INDEXED)
+    alike = apart("b", 0, 64) <= edits
+    for field, first, (_, classes) in (("a", 1, _CLASSES[0]), ("b", 6, _CLASSES[1])):
+        alike = alike & (reduce(add, [apart(field, first + 5 * k, 32) for k in range(classes)]) <= 2 * edits)
+    return indexed & alike
+
+
 def contents(least: int) -> Callable[[list[str]], Iterator[tuple[int, Callable[[], bytes]]]]:
     def content(texts: list[str]) -> Iterator[tuple[int, Callable[[], bytes]]]:
         for text in texts:
@@ -181,13 +261,11 @@ def line_classes(texts: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS)
     level = levels(summed(texts, count, 1 << SKETCH_BITS))
     lists = shared_keys(texts, post, level)
 
-    def admits(x: str, y: str):
-        return ((F.col(f"{x}.a") == _INDEXED) | (F.col(f"{y}.a") == _INDEXED)) & (
-            F.abs(F.col(f"{x}.b") - F.col(f"{y}.b")) <= edits
-        )
+    def admits(x: str, y: str) -> Column:
+        return may_be_close(x, y, edits)
 
     # An indexed line comes first, as all that probe may be linked with it.
-    return linked_components(texts, lists, admits, F.col("a"), contents(least), close(edits))
+    return linked_components(texts, lists, admits, F.col("a").bitwiseAND(1), contents(least), close(edits))
 
 
 def occurrences(texts: DataFrame, least: int) -> DataFrame:
