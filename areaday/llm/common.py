@@ -44,11 +44,6 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)), F.lit(0)).cast("int")
 
 
-def space_words(text: str) -> list[bytes]:
-    """Words between ASCII white space, A-Z lowered: ``bytes`` methods touch ASCII only."""
-    return text.encode().lower().split()
-
-
 def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
     """Arrow batches as dictionaries of Python lists."""
     for frame in frames:

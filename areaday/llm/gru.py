@@ -90,14 +90,11 @@ class Model:
         """
         group = np.minimum(y // self.per_class, self.classes)
         logits = states @ self.class_w + self.class_b
-        logits -= logits.max(axis=1, keepdims=True)
-        shares = np.exp(logits)
-        total = shares.sum(axis=1, keepdims=True)
+        shares, logs = _softmax(logits)
         at = np.arange(len(y))
-        found = logits[at, group] - np.log(total[:, 0])
+        found = logits[at, group] - logs
         back = None
         if slopes is not None:
-            shares /= total
             shares[at, group] -= 1
             slopes["class_w"] += states.T @ shares
             slopes["class_b"] += shares.sum(axis=0)
@@ -110,13 +107,10 @@ class Model:
                 continue
             inside, word = states[rows], y[rows] - c * self.per_class
             logits = inside @ self.word_w[c] + self.word_b[c]
-            logits -= logits.max(axis=1, keepdims=True)
-            shares = np.exp(logits)
-            total = shares.sum(axis=1, keepdims=True)
+            shares, logs = _softmax(logits)
             own = np.arange(len(rows))
-            found[rows] += logits[own, word] - np.log(total[:, 0])
+            found[rows] += logits[own, word] - logs
             if slopes is not None:
-                shares /= total
                 shares[own, word] -= 1
                 slopes["word_w"][c] += inside.T @ shares
                 slopes["word_b"][c] += shares.sum(axis=0)
@@ -151,6 +145,19 @@ class Model:
         slopes["embed"][words[order[starts]]] += np.add.reduceat(onto[order], starts)
 
 
+def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shares of each row, and the logarithm of the sum of its exponentials."""
+    top = None
+    shares = np.exp(logits)
+    total = shares @ np.ones(logits.shape[1], logits.dtype)
+    if not (np.isfinite(total).all() and total.min(initial=1) > 1e-30):  # rare: numbers too large or too small
+        top = logits.max(axis=1)
+        shares = np.exp(logits - top[:, None])
+        total = shares.sum(axis=1)
+    shares *= (1 / total)[:, None]
+    return shares, np.log(total) if top is None else np.log(total) + top
+
+
 def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
     """Documents dealt to lanes, longest first onto the shortest lane, lanes in falling order of length."""
     import heapq

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import heapq
 import math
-import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 
 from areaday.llm.common import SKETCH_BITS, add_blocks, blocks_of, bucket_counts, bucket_of, mixed, small_batches, whole_text
 from areaday.llm.linking import Postings, Seen, levels, linked_components, shared_keys
+from areaday.llm.words import hashes_of
 from areaday.session import materialise
 
 SHINGLE = 5
@@ -35,45 +35,11 @@ SHARE = 80
 MARKS = 256
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                      0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
-_NEXT_SPACE = re.compile(rb"\s")
-
-
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_LETTER = np.where(_SPACE, np.uint64(0), mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1))
-_PIECE = 1 << 18
-
-
-def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The start and the hash of each word between white space, piece by piece of the bytes.
-
-    A hash is the sum of a number per byte times a power for its place in the word, so all words are hashed at once.
-    """
-    starts, hashes, first = [], [], 0
-    while first < len(text):
-        last = first + _PIECE
-        if last < len(text):  # go on to the end of the word
-            found = _NEXT_SPACE.search(text, last)
-            last = found.end() if found else len(text)
-        piece = np.frombuffer(text[first:last], np.uint8)
-        inside = ~_SPACE[piece]
-        at = np.flatnonzero(inside & np.concatenate(([True], ~inside[:-1])))
-        if len(at):
-            lengths = np.diff(np.append(at, len(piece)))
-            place = np.arange(at[0], len(piece), dtype=np.int64) - np.repeat(at, lengths)
-            powers = np.cumprod(np.full(int(place.max()) + 1, 0xD6E8FEB86659FD93, np.uint64))
-            numbers = _LETTER[piece[at[0] :]] * powers[place]
-            starts.append(at + first)
-            hashes.append(np.add.reduceat(numbers, at - at[0]))
-        first = last
-    none = np.empty(0, np.int64)
-    return np.concatenate(starts or [none]), np.concatenate(hashes or [none.astype(np.uint64)])
 
 
 def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
     """The sorted hashes of the different shingles of each text, computed for all texts side by side."""
-    encoded = [text.encode().lower() for text in texts]  # of bytes, lower() changes A-Z only
-    starts, numbers = word_hashes(b"\n".join(encoded))
-    ends = np.searchsorted(starts, np.cumsum([len(text) + 1 for text in encoded]))
+    numbers, ends = hashes_of(texts)
     whole = shingle_hashes(numbers, size) if len(numbers) >= size else np.empty(0, np.uint64)
     sets, start = [], 0
     for end in ends.tolist():

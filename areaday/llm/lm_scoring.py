@@ -1,6 +1,6 @@
 """Log-likelihoods of whole documents by a gated recurrent language model that is trained here.
 
-Words are counted over all training documents. The ``SHORT`` most frequent words at most go to the tasks with their
+Words are told apart by 64-bit hashes and counted over all training documents. The ``SHORT`` most frequent words at most go to the tasks with their
 counts; the ``MODEL_WORDS`` most frequent of these are the words of the recurrent model. All other words are one class
 of its output, within which a word has the probability ``(c + 1) / (sum of c + 1 over them and one unknown word)``, so
 the model spreads the probability of 1 over the known words and one unknown word, as the base model does. Counts of
@@ -16,56 +16,50 @@ documents the counts are 0 and only the unknown word is left. Other columns are
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areaday.llm.common import batches, fold, small_batches, space_words, summed, whole_text
+from areaday.llm.common import batches, fold, small_batches, summed, whole_text
 from areaday.llm.gru import Model, Trainer, log_likelihoods
+from areaday.llm.words import Places, hashes_of
 from areaday.session import materialise
 
 FOLDS, HELD = 7, 2
 SHORT = 1 << 17
-MODEL_WORDS = 1023
-PER_CLASS = 32
-HIDDEN, INPUTS = 24, 16
+MODEL_WORDS = 575
+PER_CLASS = 24
+HIDDEN, INPUTS = 16, 12
 ROUNDS = 2
 CHUNK_TOKENS = 1 << 22
-#: The end of a document as a word; no word holds white space.
-END = b" "
-_FLUSH = 500_000
+#: The end of a document in place of the hash of a word.
+END = 0
 _LOG10 = np.log(10.0)
 
 
-def hash_of(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word)
-
-
 def word_counts(training: DataFrame) -> DataFrame:
     """``hash, c`` of every word of the texts, the end included; tasks count before they send."""
 
     def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        held, size = [], 0
 
-        def flush():
-            hashes = np.fromiter(map(hash_of, counts), np.uint64, len(counts)).view(np.int64)
-            yield pa.record_batch([pa.array(hashes), pa.array(list(counts.values()), pa.int64())], names=["hash", "c"])
-            counts.clear()
+        def flush() -> pa.RecordBatch:
+            hashes, counts = np.unique(np.concatenate(held), return_counts=True)
+            return pa.record_batch([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["hash", "c"])
 
         for columns in batches(frames):
-            for text in columns["text"]:
-                counts.update(space_words(text))
-            counts[END] += len(columns["text"])
-            if len(counts) > _FLUSH:
-                yield from flush()
-        yield from flush()
+            held += [hashes_of(columns["text"])[0], np.full(len(columns["text"]), END, np.uint64)]
+            size += len(held[-2])
+            if size >= CHUNK_TOKENS:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
 
     return materialise(training.mapInArrow(count, "hash long, c long").groupBy("hash").agg(F.sum("c").alias("c")))
 
@@ -80,9 +74,6 @@ class Vocabulary:
     tokens: int
     different: int
 
-    def by_hash(self) -> dict[int, int]:
-        return {h: i for i, h in enumerate(self.hashes.tolist())}
-
     @property
     def rest_weight(self) -> int:
         """The sum of c + 1 over the known words that are not words of the model, and the unknown word."""
@@ -99,35 +90,18 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         if kept + n > SHORT:
             break
         kept, least = kept + n, place
-    end = hash_of(END) - (1 << 64) * (hash_of(END) >> 63)
-    rows = counts.filter((F.floor(F.log2("c") * 16) >= least) | (F.col("hash") == end)).collect()
+    rows = counts.filter((F.floor(F.log2("c") * 16) >= least) | (F.col("hash") == END)).collect()
     # The end is word 0, the others follow by count.
-    rows.sort(key=lambda r: (r["hash"] != end, -r["c"], r["hash"]))
+    rows.sort(key=lambda r: (r["hash"] != END, -r["c"], r["hash"]))
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     hashes, found = [r["hash"] for r in rows], [r["c"] for r in rows]
-    if not rows or hashes[0] != end:
-        hashes, found = [end, *hashes], [0, *found]
+    if not rows or hashes[0] != END:
+        hashes, found = [END, *hashes], [0, *found]
     return Vocabulary(
         np.array(hashes, np.int64).view(np.uint64), np.array(found, np.int64), min(len(hashes), MODEL_WORDS), total[0], total[1]
     )
 
 
-class Reader(dict):
-    """The place of each word in the vocabulary, or -1 and its hash in ``rare``; a bounded number is kept."""
-
-    def __init__(self, words: Vocabulary):
-        self.known = words.by_hash()
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-        value = self[word] = self.known.get(hash_of(word), -1)
-        return value
-
-    def places(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
-
-
 def new_model(words: Vocabulary) -> Model:
     model = Model(words.words, PER_CLASS, HIDDEN, INPUTS)
     model.start(words.counts[: words.words], words.rest_weight)
@@ -148,7 +122,7 @@ def train(training: DataFrame, words: Vocabulary) -> Model:
 
         def run(frames: Iterator[pa.RecordBatch], sent=sent) -> np.ndarray:
             words, flat = sent.value
-            model, reader, tokens = new_model(words), Reader(words), 0
+            model, places, tokens = new_model(words), Places(words.hashes), 0
             model.set(flat)
             trainer, held, size = Trainer(model), [], 0
 
@@ -156,9 +130,9 @@ def train(training: DataFrame, words: Vocabulary) -> Model:
                 trainer.train(held, max(8, min(512, len(held) // 4)))
 
             for columns in batches(frames):
-                for text in columns["text"]:
-                    held.append(numbers_of(reader.places(space_words(text)), model))
-                    size += len(held[-1])
+                hashes, ends = hashes_of(columns["text"])
+                held += [numbers_of(part, model) for part in np.split(places.find(hashes), ends[:-1])]
+                size += len(hashes) + len(ends)
                 if size >= CHUNK_TOKENS:
                     learn()
                     tokens, held, size = tokens + size, [], 0
@@ -190,24 +164,22 @@ def read_documents(texts: DataFrame, words: Vocabulary, model: Model) -> DataFra
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, flat = sent.value
-        model, reader = new_model(words), Reader(words)
+        model, vocabulary = new_model(words), Places(words.hashes)
         model.set(flat)
         # Of each text only numbers are held until its chunk is full.
         logs = np.log10(words.counts + 1.0)
         known = words.counts > 0
         first, done = TaskContext.get().partitionId() << 33, 0
 
-        def counted(doc_id: int | None, text: list[bytes]) -> dict:
-            places = reader.places(text)
+        def counted(doc_id: int | None, hashes: np.ndarray, places: np.ndarray) -> dict:
             short = np.append(places[places >= 0], 0)
-            rare = Counter([text[i] for i in np.flatnonzero(places < 0).tolist()])
-            hashes = np.fromiter(map(hash_of, rare), np.uint64, len(rare)).view(np.int64)
+            rare, times = np.unique(hashes[places < 0], return_counts=True)
             numbers = numbers_of(places, model)
             return {
                 "doc_id": doc_id, "numbers": numbers, "n_tokens": len(numbers), "n_short": int(known[short].sum()),
                 "short_log": float(logs[short].sum()), "n_rest": int((numbers == model.rest).sum()),
                 "rest_log": float(logs[short[short >= words.words]].sum()),
-                "rare": (hashes, np.fromiter(rare.values(), np.int32, len(rare))),
+                "rare": (rare.view(np.int64), times.astype(np.int32)),
             }
 
         def finish(held: list[dict]) -> pa.RecordBatch:
@@ -224,9 +196,10 @@ def read_documents(texts: DataFrame, words: Vocabulary, model: Model) -> DataFra
 
         held, size = [], 0
         for columns in batches(frames):
-            for doc_id, text in zip(columns["doc_id"], columns["text"], strict=True):
-                held.append(counted(doc_id, space_words(text)))
-                size += held[-1]["n_tokens"]
+            hashes, ends = hashes_of(columns["text"])
+            parts = zip(columns["doc_id"], np.split(hashes, ends[:-1]), np.split(vocabulary.find(hashes), ends[:-1]), strict=True)
+            held += [counted(*part) for part in parts]
+            size += len(hashes) + len(ends)
             if size >= CHUNK_TOKENS:
                 yield finish(held)
                 held, size = [], 0

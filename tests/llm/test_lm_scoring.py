@@ -133,7 +133,7 @@ def check(documents, pairs):
     return rows
 
 
-@pytest.mark.parametrize("short, model_words", [(1 << 17, 1023), (64, 20)])
+@pytest.mark.parametrize("short, model_words", [(1 << 17, 575), (64, 20)])
 def test_given_documents(spark, sf, documents, monkeypatch, short, model_words):
     monkeypatch.setattr(lm, "SHORT", short)
     monkeypatch.setattr(lm, "MODEL_WORDS", model_words)
