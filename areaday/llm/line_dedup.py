@@ -91,7 +91,7 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.cumprod(np.append(np.uint64(1), np.full((1 << bits) - 1, f, np.uint64))) for f in (factor, pow(factor, -1, 1 << 64)))
 
 
-def substring_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+def substring_keys(lines: list[str], edits: int, classify_signs: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """For all postings of the lines: the number of the line, the key, the mark; and the kinds of signs per line.
 
     Substrings are hashed as differences of running sums of numbers per sign times powers of a factor, brought to the
@@ -100,7 +100,8 @@ def substring_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray
     lengths = np.array([len(line) for line in lines], np.int64)
     codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
     up, down = _powers(max(16, int(len(codes)).bit_length()))
-    numbers, *packed = (of[codes] for of in _SIGNS) if codes.max() < _USUAL else _signs(codes)
+    usual, needed = codes.max() < _USUAL, 3 if classify_signs else 1
+    numbers, *packed = (of[codes] for of in _SIGNS[:needed]) if usual else _signs(codes)[:needed]
     sums = _running(numbers * up[: len(codes)])
     first = np.cumsum(lengths) - lengths
     plans = [plan(n, edits) for n in lengths.tolist()]
@@ -109,7 +110,7 @@ def substring_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray
     start, end = start + first[owner], end + first[owner]
     keys = mixed((sums[end] - sums[start]) * down[start] + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     kinds = []
-    for (classify, classes), ones in zip(_CLASSES, packed, strict=True):
+    for (classify, classes), ones in zip(_CLASSES, packed, strict=True) if classify_signs else ():
         running = _running(ones)
         counts = running[first + lengths] - running[first]
         found = sum(((counts >> np.uint64(10 * k)) & np.uint64(31)) << np.uint64(5 * k) for k in range(classes))
@@ -139,33 +140,35 @@ _USUAL = 1024
 _SIGNS = _signs(np.arange(_USUAL))
 
 
-def postings(edits: int, least: int) -> Callable[[list[str], Seen, np.ndarray | None], Postings]:
+def new_lines(texts: list[str], seen: Seen, least: int) -> Iterator[tuple[list[str], list[int]]]:
+    """The lines that are compared and were not seen before, with their items, some at a time."""
+    lines, items, size = [], [], 0
+    for text in texts:
+        for line in lines_of(text):
+            if (line := comparable(line, least)) is not None and seen.new(item := item_of(line)):
+                lines.append(line)
+                items.append(item)
+                size += len(line)
+                if size >= _AT_ONCE:
+                    yield lines, items
+                    lines, items, size = [], [], 0
+    if lines:
+        yield lines, items
+
+
+def postings(edits: int, least: int) -> Callable[[list[str], Seen, np.ndarray], Postings]:
     """Postings of the different lines of texts.
 
     ``a`` holds the mark and one classification of the signs, ``b`` the length modulo 64 and the other one.
     """
 
-    def post(texts: list[str], seen: Seen, level: np.ndarray | None = None) -> Postings:
-        lines, items, parts, size = [], [], [], 0
-
-        def flush() -> None:
-            nonlocal lines, items, size
-            if lines:
-                owner, keys, mark, kinds = substring_keys(lines, edits)
-                sizes = np.array([len(line) for line in lines]) & 63
-                a, b = (kinds[0][owner] << 1) | mark, (kinds[1][owner] << 6) | sizes[owner]
-                parts.append((keys, np.array(items, np.uint64)[owner], a, b))
-            lines, items, size = [], [], 0
-
-        for text in texts:
-            for line in lines_of(text):
-                if (line := comparable(line, least)) is not None and seen.new(item := item_of(line)):
-                    lines.append(line)
-                    items.append(item)
-                    size += len(line)
-                    if size >= _AT_ONCE:
-                        flush()
-        flush()
+    def post(texts: list[str], seen: Seen, level: np.ndarray) -> Postings:
+        parts = []
+        for lines, items in new_lines(texts, seen, least):
+            owner, keys, mark, kinds = substring_keys(lines, edits)
+            sizes = np.array([len(line) for line in lines]) & 63
+            a, b = (kinds[0][owner] << 1) | mark, (kinds[1][owner] << 6) | sizes[owner]
+            parts.append((keys, np.array(items, np.uint64)[owner], a, b))
         kinds = (np.uint64, np.uint64, np.int32, np.int32)
         made = [np.concatenate([p[i] for p in parts]) if parts else np.empty(0) for i in range(4)]
         return {name: x.astype(kind) for name, x, kind in zip(("key", "item", "a", "b"), made, kinds, strict=True)}
@@ -255,7 +258,8 @@ def line_classes(texts: DataFrame, edits: int = EDITS, least: int = LEAST_CHARS)
     def count(frames):
         seen, counts = Seen(), np.zeros(1 << SKETCH_BITS, np.int64)
         for frame in frames:
-            counts += bucket_counts(post(frame.column("text").to_pylist(), seen)["key"])
+            for lines, _ in new_lines(frame.column("text").to_pylist(), seen, least):
+                counts += bucket_counts(substring_keys(lines, edits, classify_signs=False)[1])
         return counts
 
     level = levels(summed(texts, count, 1 << SKETCH_BITS))
