@@ -32,9 +32,9 @@ from areaday.session import materialise
 
 FOLDS, HELD = 7, 2
 SHORT = 1 << 17
-MODEL_WORDS = 575
-PER_CLASS = 24
-HIDDEN, INPUTS = 16, 12
+MODEL_WORDS = 1023
+PER_CLASS = 32
+HIDDEN, INPUTS = 24, 16
 ROUNDS = 2
 CHUNK_TOKENS = 1 << 22
 #: The end of a document in place of the hash of a word.

@@ -163,3 +163,10 @@ def test_probabilities_of_the_vocabulary_sum_to_one(documents):
 def test_extra_columns(documents):
     docs = documents(["a b", "c"]).withColumn("hash", F.lit(1)).withColumn("row", F.lit(2)).withColumn("score", F.lit(3))
     assert lm.score(docs).count() == 2
+
+
+def test_the_model_has_all_its_words_and_units(documents):
+    """1,022 words and the end have outputs of their own, whatever the time it takes."""
+    counts = lm.word_counts(documents([" ".join(f"w{i}" for i in range(n)) for n in (1500, 1100, 1022)]))
+    model = lm.new_model(lm.vocabulary(counts))
+    assert (model.words, model.hidden, model.embed.shape[1]) == (1023, 24, 16)
