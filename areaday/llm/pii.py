@@ -1,10 +1,10 @@
 """Personal data: patterns for what is surely personal, and terms that reveal it by information theory.
 
 Patterns find e-mail addresses, IP addresses, payment cards and phone numbers. Each value found is a protected entity.
-Words near a mention of an entity are terms that may reveal it. Over all documents it is counted how many hold the
-entity, the term, and the term near the entity. Their pointwise mutual information, as a share of the information
+The words of a document with an entity are terms that may reveal it (``find`` without ``whole``: those near a mention).
+Over all documents it is counted how many hold the entity, the term, and the term with the entity. Their pointwise mutual information, as a share of the information
 content of the entity, says how much of it the term discloses: all of it if the term is never without the entity. Terms
-met near the entity in ``LEAST_JOINT`` documents that disclose more than ``GENERALISE`` of it are generalised to a
+met with the entity in ``LEAST_JOINT`` documents that disclose more than ``GENERALISE`` of it are generalised to a
 placeholder, and those above ``REMOVE`` are removed.
 
 Only DataFrame functions run here. Patterns are written so that they neither recurse nor go back over long runs. Null
@@ -38,6 +38,12 @@ PATTERNS = {
 _HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 KINDS = [*PATTERNS, "term"]
 _TERM = r"\p{L}{3,}"
+#: Stands for the signs of base spans; a noncharacter, which no text holds. Words that touch it hold it too.
+_MASK = "\uffff"
+_WORD = r"[\p{L}\x{FFFF}]{3,}+"
+#: Every text consists of blocks, and every block of pieces that end with a word, or with its end.
+_BLOCK = r"(?s).{1,400}+[\p{L}\x{FFFF}]*+"
+_PIECE = r"[^\p{L}\x{FFFF}]*+[\p{L}\x{FFFF}]++|[^\p{L}\x{FFFF}]++"
 SPAN = "struct<start: bigint, rank: int, end: bigint, kind: string, entity: string, before: string, after: string>"
 
 
@@ -137,31 +143,112 @@ def terms_near(documents: DataFrame) -> DataFrame:
     )
 
 
-def disclosures(near: DataFrame, documents: DataFrame, texts: DataFrame) -> DataFrame:
-    """``entity, term, share``: how much of an entity's information a term discloses, for terms with enough evidence."""
+def masked(text: Column) -> Column:
+    """``text`` with the mask in place of every sign of a base span, so that places stay."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+
+    def put(state: Column, s: Column) -> Column:
+        gap = F.substring(text, (state["at"] + 1).cast("int"), F.greatest(s["start"] - state["at"], F.lit(0)).cast("int"))
+        mask = F.repeat(F.lit(_MASK), F.greatest(s["end"] - F.greatest(s["start"], state["at"]), F.lit(0)).cast("int"))
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], gap, mask).alias("out"))
+
+    return F.aggregate("base", start, put, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.char_length(text))))
+
+
+def words_of(documents: DataFrame) -> DataFrame:
+    """``doc_id, hash, term``: the different words of the whole text that neither lie in a base span nor touch one."""
+    words = F.array_distinct(F.regexp_extract_all("text", F.lit(_WORD), 0))
+    words = F.array_distinct(F.transform(F.filter(words, lambda w: ~F.contains(w, F.lit(_MASK))), F.lower))
+    return documents.dropDuplicates(["doc_id", "hash"]).select("doc_id", "hash", F.explode(words).alias("term"))
+
+
+def occurrences(documents: DataFrame, revealing: DataFrame) -> DataFrame:
+    """``doc_id, hash, start, end, share`` of every occurrence of a document's ``term, share``.
+
+    Texts are cut at ends of words into blocks, and places are found only in blocks that hold such a term.
+    """
+    nothing = F.expr("cast(array() as array<struct<start: bigint, text: string>>)")
+    start = F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("found"))
+
+    def add(state: Column, value: Column) -> Column:
+        found = F.array_append(state["found"], F.struct(state["at"].alias("start"), value.alias("text")))
+        return F.struct((state["at"] + F.char_length(value)).alias("at"), found.alias("found"))
+
+    def cut(text: Column, pattern: str) -> Column:
+        return F.aggregate(F.regexp_extract_all(text, F.lit(pattern), 0), start, add, lambda s: s["found"])
+
+    terms = revealing.groupBy("doc_id", "hash").agg(F.collect_set("term").alias("terms"))
+    terms = materialise(terms).select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"), "terms")
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash"))
+    block = documents.dropDuplicates(["doc_id", "hash"]).join(terms, same).select("doc_id", "hash", "terms", F.explode(cut(F.col("text"), _BLOCK)).alias("b"))
+    words = F.transform(F.regexp_extract_all("b.text", F.lit(_WORD), 0), F.lower)
+    block = block.filter(F.arrays_overlap(words, "terms")).select("doc_id", "hash", "b.*")
+    piece = block.select("doc_id", "hash", F.col("start").alias("at"), F.explode(cut(F.col("text"), _PIECE)).alias("p"))
+    piece = piece.withColumn("word", F.regexp_extract("p.text", _WORD, 0)).filter("word != ''")
+    end = F.col("at") + F.col("p.start") + F.char_length("p.text")
+    found = piece.select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"), F.lower("word").alias("lowered"), (end - F.char_length("word")).alias("start"), end.alias("end"))
+    return revealing.join(found, same & (F.col("term") == F.col("lowered"))).select("doc_id", "hash", "start", "end", "share")
+
+
+def counts(documents: DataFrame, texts: DataFrame) -> tuple[int, DataFrame, DataFrame]:
+    """How many documents there are, ``entity, of_entity`` and ``term, of_term``."""
     total = texts.select("doc_id", "hash").distinct().count()
-    joint = near.select("doc_id", "hash", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("joint"))
-    joint = materialise(joint.filter(F.col("joint") >= LEAST_JOINT))
     mentions = documents.select("doc_id", "hash", F.explode(F.array_distinct(F.col("base.entity"))).alias("entity"))
     of_entity = materialise(mentions.distinct().groupBy("entity").agg(F.count("*").alias("of_entity")))
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), 0))
     of_term = texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("of_term"))
-    counted = joint.join(of_entity, "entity").join(materialise(of_term.filter(F.col("of_term") >= LEAST_JOINT)), "term")
+    return total, of_entity, materialise(of_term)
+
+
+def pairs_of(words: DataFrame, documents: DataFrame, counted: tuple[int, DataFrame, DataFrame]) -> DataFrame:
+    """``doc_id, hash, entity, term`` of every entity and word of one document, without those that cannot be revealing.
+
+    As ``joint`` is ``of_entity`` at most, the share is above ``GENERALISE`` only if ``of_term`` is below the bound.
+    """
+    total, of_entity, of_term = counted
+    mentions = documents.select("doc_id", "hash", F.explode(F.array_distinct(F.col("base.entity"))).alias("entity")).distinct()
+    held = mentions.join(of_entity, "entity").select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"), "entity", "of_entity")
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash"))
+    bound = F.lit(float(total)) * F.pow(F.col("of_entity") / F.lit(float(total)), F.lit(GENERALISE))
+    rare = words.select("doc_id", "hash", "term").join(of_term, "term")
+    return rare.join(held, same).filter(F.col("of_term") <= bound * 1.000001).select("doc_id", "hash", "entity", "term")
+
+
+def disclosures(pairs: DataFrame, counted: tuple[int, DataFrame, DataFrame]) -> DataFrame:
+    """``entity, term, share``: how much of an entity's information a term discloses, for terms with enough evidence."""
+    total, of_entity, of_term = counted
+    joint = pairs.select("doc_id", "hash", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("joint"))
+    joint = materialise(joint.filter(F.col("joint") >= LEAST_JOINT))
+    counted = joint.join(of_entity, "entity").join(of_term, "term")
     mutual = F.log(F.col("joint") * F.lit(float(total)) / (F.col("of_entity") * F.col("of_term")))
     content = F.log(F.lit(float(total)) / F.col("of_entity"))
     share = F.when(content > 0, mutual / content).otherwise(0.0)
     return counted.select("entity", "term", share.alias("share")).filter(F.col("share") > GENERALISE)
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """``doc_id, hash, base, terms`` of every row: spans of the patterns, and ``(start, end, share)`` of revealing terms."""
+def find(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """``doc_id, hash, base, terms`` of every row: spans of the patterns, and ``(start, end, share)`` of revealing terms.
+
+    Terms are the words next to a mention, or with ``whole`` all words of a document with a mention.
+    """
     text = whole_text(docs)
     texts = docs.select(docs["doc_id"].alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
-    rows = materialise(texts.select("doc_id", "hash", base_spans(F.col("text")).alias("base")))
-    documents = rows.filter(F.size("base") > 0)
-    near = materialise(terms_near(documents).distinct())
-    revealing = materialise(disclosures(near, documents, texts))
-    spans = near.join(revealing, ["entity", "term"]).groupBy("doc_id", "hash", "start", "end").agg(F.max("share").alias("share"))
+    held = texts.select("doc_id", "hash", base_spans(F.col("text")).alias("base"), "text")
+    held = held.withColumn("text", F.when(F.size("base") > 0, masked(F.col("text")) if whole else F.col("text")))
+    held = materialise(held)
+    rows = held.drop("text")
+    documents = held.filter(F.size("base") > 0)
+    counted = counts(documents, texts)
+    if whole:
+        words = materialise(words_of(documents))
+        pairs = materialise(pairs_of(words, documents, counted))
+        revealing = materialise(disclosures(pairs, counted))
+        per_term = pairs.join(revealing, ["entity", "term"]).groupBy("doc_id", "hash", "term").agg(F.max("share").alias("share"))
+        spans = occurrences(documents, materialise(per_term))
+    else:
+        near = materialise(terms_near(documents).distinct())
+        revealing = materialise(disclosures(near, counted))
+        spans = near.join(revealing, ["entity", "term"]).groupBy("doc_id", "hash", "start", "end").agg(F.max("share").alias("share"))
     terms = materialise(
         spans.groupBy("doc_id", "hash").agg(F.array_sort(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
     ).select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"), "terms")
@@ -201,7 +288,7 @@ def sanitised(text: Column) -> Column:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` sanitised."""
-    found = find(docs).select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"), "base", "terms").distinct()
+    found = find(docs, whole=True).select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"), "base", "terms").distinct()
     rows = carried(docs, tuple(docs.columns), id=docs["doc_id"], hash=F.xxhash64(whole_text(docs)))
     both = rows.join(found, F.col("id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash")))
     clean = sanitised(F.col("text"))

@@ -166,7 +166,7 @@ OP9_SQL = r"""
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find(table(spark, sf_dir, "documents"))
+    found = find(table(spark, sf_dir, "documents"), whole=True)
 
     def number(kind: str):
         return F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long").alias(f"n_{kind}")

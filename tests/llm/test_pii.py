@@ -146,3 +146,15 @@ def test_repeated_rows_extra_columns_and_no_python(documents):
 def test_digest_of_no_spans(documents, spark):
     rows = pii.find(documents([None])).select(F.sha2(pii.joined(F.col("base")), 256).alias("h")).collect()
     assert rows[0].h == hashlib.sha256(b"").hexdigest()
+
+
+def test_terms_far_from_the_mention(documents):
+    """A revealing term goes wherever it stands in a document with the entity, near the mention or not."""
+    filler = "the office is open about it please mail or ask " * 60
+    texts = [f"Quillon {filler}jo@site.org {filler}quillon", f"jo@site.org {filler} quillon", f"{filler} quillonxx", *[filler] * 12]
+    found = {r.doc_id: r for r in pii.find(documents(texts), whole=True).collect()}
+    places = lambda i: [(t.start, t.end) for t in found[i].terms]
+    assert places(0) == [(m.start(), m.end()) for m in re.finditer("(?i)quillon", texts[0])] and len(places(0)) == 2
+    assert places(1) == [(texts[1].index("quillon"), len(texts[1]))] and not places(2) and not places(3)
+    clean = {r.doc_id: r.text for r in pii.sanitise(documents(texts)).collect()}
+    assert "uillon" not in clean[0] + clean[1] and clean[2] == texts[2]
