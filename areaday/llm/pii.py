@@ -3,9 +3,10 @@
 Patterns find e-mail addresses, IP addresses, payment cards and phone numbers. Each value found is a protected entity.
 The words of a document with an entity are terms that may reveal it (``find`` without ``whole``: those near a mention).
 Over all documents it is counted how many hold the entity, the term, and the term with the entity. Their pointwise mutual information, as a share of the information
-content of the entity, says how much of it the term discloses: all of it if the term is never without the entity. Terms
-met with the entity in ``LEAST_JOINT`` documents that disclose more than ``GENERALISE`` of it are generalised to a
-placeholder, and those above ``REMOVE`` are removed.
+content of the entity, says how much of it the term discloses: all of it if the term is never without the entity. If
+only one document holds both, which may be chance, the term counts as if ``UNSEEN`` more documents without the entity held
+it. Terms that disclose more than ``GENERALISE`` of an entity are generalised to a placeholder, and those above ``REMOVE``
+are removed.
 
 Only DataFrame functions run here. Patterns are written so that they neither recurse nor go back over long runs. Null
 texts count as empty and hold nothing. Rows that repeat both ``doc_id`` and text are one document in the counts, and
@@ -22,7 +23,8 @@ from areaday.llm.common import carried, whole_text
 from areaday.session import materialise
 
 CONTEXT_CHARS = 80
-LEAST_JOINT = 2
+#: Of how many more documents with the term, but without the entity, is assumed where one document only holds both.
+UNSEEN = 2
 GENERALISE = 0.5
 REMOVE = 0.9
 
@@ -215,12 +217,13 @@ def pairs_of(words: DataFrame, documents: DataFrame, counted: tuple[int, DataFra
 
 
 def disclosures(pairs: DataFrame, counted: tuple[int, DataFrame, DataFrame]) -> DataFrame:
-    """``entity, term, share``: how much of an entity's information a term discloses, for terms with enough evidence."""
+    """``entity, term, share``: how much of an entity's information a term discloses, where it is more than ``GENERALISE``."""
     total, of_entity, of_term = counted
     joint = pairs.select("doc_id", "hash", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("joint"))
-    joint = materialise(joint.filter(F.col("joint") >= LEAST_JOINT))
+    joint = materialise(joint)
     counted = joint.join(of_entity, "entity").join(of_term, "term")
-    mutual = F.log(F.col("joint") * F.lit(float(total)) / (F.col("of_entity") * F.col("of_term")))
+    held = F.col("of_term") + F.when(F.col("joint") == 1, UNSEEN).otherwise(0)
+    mutual = F.log(F.col("joint") * F.lit(float(total)) / (F.col("of_entity") * held))
     content = F.log(F.lit(float(total)) / F.col("of_entity"))
     share = F.when(content > 0, mutual / content).otherwise(0.0)
     return counted.select("entity", "term", share.alias("share")).filter(F.col("share") > GENERALISE)

@@ -158,3 +158,12 @@ def test_terms_far_from_the_mention(documents):
     assert places(1) == [(texts[1].index("quillon"), len(texts[1]))] and not places(2) and not places(3)
     clean = {r.doc_id: r.text for r in pii.sanitise(documents(texts)).collect()}
     assert "uillon" not in clean[0] + clean[1] and clean[2] == texts[2]
+
+
+def test_terms_of_an_entity_in_one_document(documents):
+    """A rare term beside an entity that is mentioned once is found; frequent terms are not."""
+    texts = ["ask quillon about the office, mail jo@site.org", *["ask about the office by mail"] * 99]
+    (row,) = [r for r in pii.find(documents(texts), whole=True).collect() if r.doc_id == 0]
+    assert [texts[0][t.start : t.end] for t in row.terms] == ["quillon"]
+    assert math.isclose(row.terms[0].share, math.log(100 / 3) / math.log(100))
+    assert "quillon" not in {r.doc_id: r.text for r in pii.sanitise(documents(texts)).collect()}[0]
