@@ -1,7 +1,8 @@
 """Lines that repeat, exactly or with up to ``EDITS`` edits, by a segment-partition edit join.
 
-Lines of at least ``LEAST_CHARS`` characters are compared, in their text without white space at both ends; shorter ones
-are left alone, as they repeat by chance. A line is split into ``EDITS + 1`` segments of even length. A line within
+Lines are compared in their text without white space at both ends: equal lines of at least ``LEAST_EXACT`` characters
+are repeats, and lines of at least ``LEAST_CHARS`` also where they differ by a few edits. Shorter ones are left alone, as
+they repeat by chance. A line is split into ``EDITS + 1`` segments of even length. A line within
 ``EDITS`` edits that is no shorter must hold one of them unchanged, near its place; so the segments are indexed by length
 and place, lines probe the index with the few substrings that length and place allow, and candidates are verified by a
 bit-parallel edit distance that is limited to a band around the diagonal.
@@ -30,6 +31,7 @@ from areaday.session import materialise
 
 EDITS = 2
 LEAST_CHARS = 40
+LEAST_EXACT = 20
 _INDEXED, _PROBE = 0, 1
 _AT_ONCE = 1 << 17
 
@@ -296,13 +298,13 @@ def occurrences(texts: DataFrame, least: int) -> DataFrame:
 
 
 def line_dedup(
-    docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), edits: int = EDITS, least: int = LEAST_CHARS
+    docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), edits: int = EDITS, least: int = LEAST_CHARS, exact: int = LEAST_EXACT
 ) -> DataFrame:
     """``row, n_lines, removed, text`` of every document: the line numbers that go (from 0), and the text that is left."""
     small_batches(docs.sparkSession)
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), whole_text(docs).alias("text"))
     linked = line_classes(texts.select("text"), edits, least)
-    found = occurrences(texts, least).join(linked, "item", "left").select(
+    found = occurrences(texts, min(exact, least)).join(linked, "item", "left").select(
         "doc_id", "text_hash", "line", F.coalesce("component", "item").alias("class")
     )
     found = materialise(found)

@@ -125,3 +125,11 @@ def test_close_lines_share_a_key(a, data, edits):
     asked = {(n, i, longer[at : at + size]) for n, i, at, size in ld.probes(len(longer), edits)}
     asked |= {(len(longer), i, longer[s : s + n]) for i, (s, n) in enumerate(ld.segments(len(longer), edits))}
     assert own & asked
+
+
+def test_equal_lines_below_the_floor_of_the_edit_join(documents):
+    """Equal lines of 20 to 39 characters go; lines of that size that differ by an edit and shorter ones stay."""
+    licence = "Released under the MIT License."
+    docs = documents([f"{licence}\nOf.\n{'a' * 19}", f" {licence}\nOf.\n{'a' * 19}", licence.replace("MIT", "BIT")])
+    found = {r.doc_id: r.removed for r in ld.line_dedup(docs).select("row.doc_id", "removed").collect()}
+    assert found == {0: [], 1: [0], 2: []}
