@@ -27,6 +27,8 @@ from areaday.sinks.tables import Audit, load
 from areaday.sources import documents, files
 
 AUDIT = Audit(datetime(2025, 3, 8, 6, 30), "elt", "load_accidents")
+#: About so many rows share a landed document.
+DOCUMENT_ROWS = 1000
 STRINGS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 
 
@@ -36,16 +38,22 @@ def landed_text(rows: DataFrame, text: Column, name: str) -> str:
     return path
 
 
-def landed_documents(rows: DataFrame, element: Column, field: str | None, name: str) -> str:
+def document_of(rows: DataFrame, least: int = 20) -> Column:
+    """The document of a row by a hash: as many as ``DOCUMENT_ROWS`` rows each need, and ``least`` at least."""
+    return F.pmod(F.xxhash64(*rows.columns), F.lit(max(least, -(-rows.count() // DOCUMENT_ROWS)))).alias("document")
+
+
+def landed_documents(rows: DataFrame, element: Column, field: str | None, name: str, path: str | None = None) -> str:
     """A folder of JSON documents over several lines, each with several elements, in an array or under ``field``.
 
-    The rows of a document are those of one value of a hash, so that documents are small.
+    The rows of a document are those of one value of a hash, of which there are more in larger tables, so that documents
+    are small.
     """
-    several = rows.groupBy(F.pmod(F.xxhash64(*rows.columns), F.lit(20)).alias("document")).agg(F.collect_list(element).alias("found"))
+    several = rows.groupBy(document_of(rows)).agg(F.collect_list(element).alias("found"))
     whole = F.struct(F.col("found").alias(field)) if field else F.col("found")
     pretty = F.regexp_replace(F.to_json(whole), r'\},\{"', '},\n {"')
-    path = new_path(rows.sparkSession, name)
-    several.select("document", pretty.alias("value")).repartition(20, "document").write.partitionBy("document").text(path)
+    path = path or new_path(rows.sparkSession, name)
+    several.select("document", pretty.alias("value")).repartition("document").write.partitionBy("document").text(path)
     return f"{path}/*"
 
 
@@ -100,7 +108,8 @@ def catalogue_scan(spark, sf):
 def catalogue_scan_filter(spark, sf):
     """The resources in one document per line, several in each."""
     row = F.struct("title", "url", "format")
-    documents_of = resources(spark, sf).groupBy(F.pmod(F.xxhash64("title", "url"), F.lit(50))).agg(F.collect_list(row).alias("resources"))
+    rows = resources(spark, sf).select("title", "url", "format")
+    documents_of = rows.groupBy(document_of(rows, 50)).agg(F.collect_list(row).alias("resources"))
     path = landed_text(documents_of, F.to_json(F.struct("resources")), "catalogue")
     return data_files(documents.read_catalogue(spark, path, multi_line=False))
 
@@ -125,16 +134,14 @@ def elt_run(spark, sf):
     rows = given.accidents(spark, sf).withColumn("caracteristiques", F.col("an"))
     rows.write.partitionBy("caracteristiques").options(header=True, sep=";").csv(f"{landing}/accidents")
     commune = F.struct(F.col("com").alias("nom"), F.col("dep").alias("codeRegion"), F.col("com").alias("code"), "population")
-    parts = given.communes(spark, sf, given.DEPARTMENT).groupBy().agg(F.collect_list(commune).alias("all"))
-    parts.select(F.to_json("all").alias("value")).write.text(f"{landing}/communes")
+    landed_documents(given.communes(spark, sf, given.DEPARTMENT), commune, None, "communes", f"{landing}/communes")
     holidays = given.public_holidays(spark, sf).groupBy(F.year("date").alias("year")).agg(
         F.to_json(F.map_from_entries(F.collect_list(F.struct(F.date_format("date", "yyyy-MM-dd"), "public_holiday")))).alias("value")
     )
     years = [row.year for row in holidays.select("year").collect()]
     for year in years:
         holidays.filter(F.col("year") == year).select("value").coalesce(1).write.text(f"{landing}/public_holidays/{year}")
-    records = given.school_holidays(spark, sf).groupBy().agg(F.collect_list(school_record()).alias("records"))
-    records.select(F.to_json(F.struct("records")).alias("value")).write.text(f"{landing}/school_holidays")
+    landed_documents(given.school_holidays(spark, sf), school_record(), "records", "school", f"{landing}/school_holidays")
     out.write_csv(given.weather_hourly(spark, sf), f"{landing}/weather_history")
     table, published = table_name("elt"), new_path(spark, "published")
     elt.run(spark, landing, table, audit, given.DEPARTMENT, 2000, new_path(spark, "table"), n_files=7, publish=published)

@@ -33,3 +33,16 @@ def test_stream_takes_a_folder_of_files_as_well(spark, sf, tmp_path):
     events = given.table(spark, sf, "events")
     loaded = queries()["stream_append_audit"](spark, str(tmp_path))
     assert loaded.count() == events.count() + events.filter("event_type = 'purchase'").count()
+
+
+def test_landed_documents_stay_small(spark):
+    """More rows make more documents, not larger ones."""
+    from pyspark.sql import functions as F
+
+    from areaday.registered import files
+
+    rows = spark.range(40_000)
+    path = files.landed_documents(rows, F.struct("id"), "records", "small")
+    found = spark.read.schema("records array<struct<id: long>>").json(path, multiLine=True)
+    sizes = [r.n for r in found.select(F.size("records").alias("n")).collect()]
+    assert sum(sizes) == 40_000 and len(sizes) == 40 and max(sizes) < 1300
