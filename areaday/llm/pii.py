@@ -192,13 +192,21 @@ def occurrences(documents: DataFrame, revealing: DataFrame) -> DataFrame:
     return revealing.join(found, same & (F.col("term") == F.col("lowered"))).select("doc_id", "hash", "start", "end", "share")
 
 
+def each_once(texts: DataFrame) -> DataFrame:
+    """``texts`` without repeated rows; only those that repeat are grouped."""
+    times = texts.groupBy("doc_id", "hash").agg(F.count("*").alias("times"))
+    several = materialise(times.filter("times > 1")).select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash"))
+    return texts.join(several, same, "left_anti").unionByName(texts.join(several, same, "left_semi").dropDuplicates(["doc_id", "hash"]))
+
+
 def counts(documents: DataFrame, texts: DataFrame) -> tuple[int, DataFrame, DataFrame]:
     """How many documents there are, ``entity, of_entity`` and ``term, of_term``."""
     total = texts.select("doc_id", "hash").distinct().count()
     mentions = documents.select("doc_id", "hash", F.explode(F.array_distinct(F.col("base.entity"))).alias("entity"))
     of_entity = materialise(mentions.distinct().groupBy("entity").agg(F.count("*").alias("of_entity")))
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), 0))
-    of_term = texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("of_term"))
+    of_term = each_once(texts).select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("of_term"))
     return total, of_entity, materialise(of_term)
 
 

@@ -167,3 +167,11 @@ def test_terms_of_an_entity_in_one_document(documents):
     assert [texts[0][t.start : t.end] for t in row.terms] == ["quillon"]
     assert math.isclose(row.terms[0].share, math.log(100 / 3) / math.log(100))
     assert "quillon" not in {r.doc_id: r.text for r in pii.sanitise(documents(texts)).collect()}[0]
+
+
+def test_repeated_rows_count_once_for_terms(documents):
+    """Rows that repeat do not lower the share of a term."""
+    secret = [(i, f"ask quillon, mail jo@site.org {'x' * i}") for i in range(2)]
+    others = [(i, "ask about the office by mail") for i in range(10, 40)]
+    shares = [{(t.start, t.share) for r in pii.find(documents(pairs)).collect() for t in r.terms} for pairs in (secret + others, secret * 20 + others)]
+    assert shares[0] == shares[1] and any(math.isclose(share, 1) for _, share in shares[1])
