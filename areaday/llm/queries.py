@@ -8,16 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaday.llm.common import fold, table
+from areaday.llm.common import fold, table, whole_text
 from areaday.llm.decontamination import contaminated, contamination, hit_words
 from areaday.llm.exact_dedup import exact_dedup
 from areaday.llm.jaccard_join import jaccard_join
 from areaday.llm.line_dedup import line_dedup
 from areaday.llm.lm_scoring import score
 from areaday.llm.packing import pack_documents
+from areaday.llm.periodic_runs import longest, periodic_runs
 from areaday.llm.pii import PATTERNS, all_spans, find, joined
 from areaday.llm.quality import good, quality
 from areaday.llm.quality import train as train_quality
+from areaday.llm.quality_rules import MEASURES, SPACES, STOP_WORDS, bound, quality_rules
+from areaday.llm.ranked_search import ranked_search
 from areaday.llm.toxicity import rejected, toxicity
 from areaday.llm.toxicity import train as train_toxicity
 from areaday.llm.url_filters import host_of, judge, parents
@@ -178,3 +181,92 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"))
+
+
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = rf"""
+    WITH docs AS (
+        SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+    items AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark),
+    sizes AS (SELECT doc_id, count(*) AS n FROM docs GROUP BY doc_id),
+    totals AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM sizes),
+    tfs AS (SELECT doc_id, term, count(*) AS tf FROM docs GROUP BY doc_id, term),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM tfs, totals WHERE term IN (SELECT term FROM items) GROUP BY term),
+    scored AS (
+        SELECT item_id, doc_id,
+               CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nn) // ll)))) AS BIGINT) AS score
+        FROM items JOIN weights USING (term) JOIN tfs USING (term) JOIN sizes USING (doc_id), totals
+        GROUP BY item_id, doc_id)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).select("row.doc_id", *MEASURES, "base_failed", "kept")
+
+
+OP12_SQL = rf"""
+    WITH texts AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+               list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS x
+        FROM documents),
+    windows AS (SELECT doc_id, i, w[i:i + 2] AS s FROM texts, unnest(range(1, len(w) - 1)) AS t(i)),
+    twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+    covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM twice, unnest(range(i, i + 3)) AS t(p) GROUP BY doc_id),
+    measured AS (
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(array_to_string(w, '')) AS BIGINT) AS word_chars,
+               CAST(len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+               CAST(len(x) - len(list_distinct(x)) AS BIGINT) AS n_dup_lines,
+               coalesce(c.n, 0) AS n_repeat_words, CAST(len(x) AS BIGINT) AS n_lines,
+               CAST(len(list_filter(w, lambda one: trim(translate(one, '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+                   '.,;:!?()"''') IN ({", ".join(f"'{w}'" for w in STOP_WORDS)}))) AS BIGINT) AS n_stop_words,
+               CAST(len(list_filter(w, lambda one: regexp_matches(one, '[A-Za-z]|[^\x00-\x7F]'))) AS BIGINT) AS n_letter_words,
+               CAST(len(list_filter(x, lambda one: regexp_matches(one, '^[\x20\x09-\x0D]*[-*•]'))) AS BIGINT) AS n_bullet_lines,
+               CAST(len(list_filter(x, lambda one: regexp_matches(one, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS BIGINT) AS n_cut_lines
+        FROM texts LEFT JOIN covered c USING (doc_id)),
+    judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
+    SELECT *, NOT base_failed AND n_words <= 100000 AND 1000 * word_chars BETWEEN 2500 * n_words AND 12000 * n_words
+           AND 1000 * n_symbols <= 100 * n_words AND n_stop_words >= 2 AND 1000 * n_stop_words >= 20 * n_words
+           AND 1000 * n_letter_words >= 800 * n_words AND 1000 * n_dup_lines <= 300 * n_lines
+           AND 1000 * n_bullet_lines <= 900 * n_lines AND 1000 * n_cut_lines <= 300 * n_lines AS kept
+    FROM judged
+"""
+
+
+def planted(doc_id, text):
+    """The text, which for one id in ten repeats some of its words from a place on, as the id's crc32 says."""
+    number = F.crc32(doc_id.cast("string").cast("binary"))
+    part = F.floor(number / 10).cast("long")
+
+    def repeated(words):
+        n = F.size(words).cast("long")
+        first = F.pmod(part, n)
+        period = 1 + F.floor((n - first) / (3 + F.pmod(part, F.lit(8)))).cast("long")
+        places = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < first, i).otherwise(first + F.pmod(i - first, period)))
+        chosen = bound(places, lambda at: F.transform(at, lambda i: F.get(words, i.cast("int"))))
+        return F.when(n > 0, F.array_join(chosen, " ")).otherwise("")
+
+    words = F.filter(F.split(text, SPACES), lambda w: w != "")
+    return F.when(F.pmod(number, F.lit(10)) == 0, bound(words, repeated)).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its runs, the longest of them, and digests of all runs and of the words without repetitions."""
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs(docs.withColumn("text", planted(docs["doc_id"], whole_text(docs))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    top = found.withColumn("top", longest(F.col("runs")))
+    return top.select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

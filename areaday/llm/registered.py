@@ -15,4 +15,7 @@ QUERIES = {
     "op8_line_dedup": (q.op8_line_dedup, None),
     "op9_url_filters": (q.op9_url_filters, q.OP9_SQL),
     "op10_pii": (q.op10_pii, None),
+    "op11_ranked_search": (q.op11_ranked_search, q.OP11_SQL),
+    "op12_quality_rules": (q.op12_quality_rules, q.OP12_SQL),
+    "op13_periodic_runs": (q.op13_periodic_runs, None),
 }
