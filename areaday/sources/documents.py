@@ -7,13 +7,14 @@ import html
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from areaday import schemas
 from areaday.fixed import SCHOOL_HOLIDAY_YEARS, TITLE_DEFAULT
 from areaday.functions.dates import utc_instant, years_around
 from areaday.functions.text import part, strip
 from areaday.operators.aggregates import last_wins
+from areaday.sources.boundaries import json_elements
 
 # The table markup that rows are read from.
 ROW = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
@@ -24,10 +25,23 @@ FAIL = {"mode": "FAILFAST"}
 GEOMETRY_DEPTHS = {"Point": 0, "MultiPoint": 1, "LineString": 1, "MultiLineString": 2, "Polygon": 2, "MultiPolygon": 3}
 
 
+def elements(spark: SparkSession, path: str, schema: str, key: str | None, multi_line: bool) -> DataFrame:
+    """The objects of the lists in JSON documents as column ``r``: of the lists that they are, or of those below ``key``.
+
+    With ``multi_line`` a file is one document, which several tasks read where it is large (``json_elements``); otherwise
+    each line is one.
+    """
+    if not multi_line:
+        documents = spark.read.schema(schema).options(**FAIL).json(path)
+        return documents.select(F.struct("*").alias("r") if key is None else F.explode(key).alias("r"))
+    kind = StructType.fromDDL(schema)
+    kind = kind if key is None else kind[key].dataType.elementType
+    return json_elements(spark, path, key).select(F.from_json("element", kind, FAIL).alias("r"))
+
+
 def read_catalogue(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The resources of catalogue documents, with defaults for missing fields."""
-    documents = spark.read.schema(schemas.CATALOGUE_JSON).options(mode="FAILFAST", multiLine=multi_line).json(path)
-    resource = documents.select(F.explode("resources").alias("r"))
+    resource = elements(spark, path, schemas.CATALOGUE_JSON, "resources", multi_line)
     return resource.select(
         F.coalesce("r.title", F.lit(TITLE_DEFAULT)).alias("title"),
         F.coalesce("r.url", F.lit("")).alias("url"),
@@ -59,8 +73,7 @@ def read_school_holidays(
     spark: SparkSession, path: str, year: int, span: tuple[int, int] = SCHOOL_HOLIDAY_YEARS, multi_line: bool = True
 ) -> DataFrame:
     """School holidays of the school years around ``year``, one row per zone and range."""
-    documents = spark.read.schema(schemas.SCHOOL_JSON).options(mode="FAILFAST", multiLine=multi_line).json(path)
-    fields = documents.select(F.explode("records").alias("r")).select("r.fields.*")
+    fields = elements(spark, path, schemas.SCHOOL_JSON, "records", multi_line).select("r.fields.*")
     first, last = years_around(year, span)
     in_span = part(F.col("annee_scolaire"), "-", 1).cast("int").between(first, last)
     return fields.filter(in_span).select(
@@ -73,14 +86,14 @@ def read_school_holidays(
 
 def read_communes(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Communes from any number of files, each an array of objects."""
-    documents = spark.read.schema(schemas.COMMUNES_JSON).options(mode="FAILFAST", multiLine=multi_line).json(path)
+    documents = elements(spark, path, schemas.COMMUNES_JSON, None, multi_line).select("r.*")
     return documents.select(
         F.col("nom").alias("commune"), F.col("codeRegion").alias("code_region"), "code", "population"
     )
 
 
 def read_postal_codes(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    documents = spark.read.schema(schemas.COMMUNES_JSON).options(mode="FAILFAST", multiLine=multi_line).json(path)
+    documents = elements(spark, path, schemas.COMMUNES_JSON, None, multi_line).select("r.*")
     return documents.select(
         F.col("nom").alias("commune"), F.array_join("codesPostaux", ", ").alias("postal_codes")
     )
@@ -132,8 +145,8 @@ def read_geojson(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
     All geometries come in the form of multi-polygons, lists of polygons of rings of points of coordinates: a polygon as
     a list of one, lines as rings, points as rings of one point. A feature without a geometry has null.
     """
-    documents = spark.read.schema(schemas.GEOJSON).options(mode="FAILFAST", multiLine=multi_line).json(path)
-    feature = documents.select(F.explode("features").alias("f")).select("f.properties.*", "f.geometry.*")
+    feature = elements(spark, path, schemas.GEOJSON, "features", multi_line).select("r.properties.*", "r.geometry.*")
+
     def coordinates(depth: int) -> Column:
         """The coordinates as nested lists that many levels above a point, wrapped up to the depth of multi-polygons."""
         kind = "double"

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from areaday import schemas
 from areaday.fixed import FILES_READ, YEAR_IN_FILE_NAME
 from areaday.functions.text import first_match
-
+from areaday.sources.boundaries import quoted_records
 
 #: Quotes within quotes are doubled. Rows with too many or too few fields raise an error; they can only be told when all
 #: columns are parsed.
@@ -23,17 +23,46 @@ CSV_DIALECT = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST",
 def read_strings(spark: SparkSession, path: str | list[str], sep: str = ";", multi_line: bool = False) -> DataFrame:
     """A delimited file with a header, every column a string.
 
-    With ``multi_line`` fields may hold line breaks; a file is then read by one task.
+    With ``multi_line`` fields may hold line breaks; several tasks read a large file even then, see ``read_records``.
     """
-    return spark.read.options(**CSV_DIALECT, sep=sep, multiLine=multi_line).csv(path)
+    if multi_line:
+        return read_records(spark, path, None, sep)
+    return spark.read.options(**CSV_DIALECT, sep=sep).csv(path)
 
 
 def read_typed(
     spark: SparkSession, path: str | list[str], schema: StructType | str, sep: str = ",", multi_line: bool = False
 ) -> DataFrame:
     """A delimited file with a header that must match ``schema``; malformed rows raise an error."""
-    options = {**CSV_DIALECT, "sep": sep, "multiLine": multi_line, "enforceSchema": False}
-    return spark.read.schema(schema).options(**options).csv(path)
+    if multi_line:
+        return read_records(spark, path, StructType.fromDDL(schema) if isinstance(schema, str) else schema, sep)
+    return spark.read.schema(schema).options(**CSV_DIALECT, sep=sep, enforceSchema=False).csv(path)
+
+
+def read_records(spark: SparkSession, path: str | list[str], schema: StructType | None, sep: str) -> DataFrame:
+    """Delimited files whose fields may hold line breaks, read in splits; without a schema all columns are strings.
+
+    Counting the quotes of all splits happens here, the rest when the result is used. All files must have the header of
+    the first one, and that must match the schema, or an error is raised.
+    """
+    dialect = {**CSV_DIALECT, "sep": sep, "multiLine": True}
+    first = spark.read.options(**{**dialect, "header": False}).csv(path).first()
+    whole = spark.read.options(**dialect)
+    frame = whole.csv(path) if schema is None else whole.schema(schema).csv(path)
+    if first is None:
+        return frame
+    titles = [f"c{i} STRING" for i in range(len(first))]
+    if schema is not None and [str(title).lower() for title in first] != [name.lower() for name in schema.names]:
+        raise ValueError(f"columns {list(first)} where the schema has {schema.names}")
+    options = {key: str(value).lower() if isinstance(value, bool) else value for key, value in dialect.items()}
+    parsed = lambda ddl: F.from_csv("record", ddl, options)
+    of_first = F.struct(*[F.lit(title).cast("string").alias(f"c{i}") for i, title in enumerate(first)])
+    header = parsed(", ".join(titles))
+    other = F.raise_error(F.concat(F.lit("a file with another header: "), "record")).cast("boolean")
+    is_row = F.when(~F.col("header"), True).when(header.eqNullSafe(of_first), False).otherwise(other)
+    records = quoted_records(spark, path).filter(is_row)
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in frame.schema)
+    return records.select(parsed(ddl).alias("r")).select("r.*")
 
 
 def read_weather_hourly(spark: SparkSession, path: str) -> DataFrame:
