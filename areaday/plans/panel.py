@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from areaday.fixed import COUNT, COUNT_KEYS, PANEL, WEATHER, YEARS, ZONES
+from areaday.fixed import COUNT, PANEL, WEATHER, YEARS, ZONES
 from areaday.functions.dates import date_of_parts, date_of_parts_or_null
 from areaday.functions.text import zero_pad
 from areaday.operators.aggregates import year_bounds
@@ -74,13 +74,31 @@ def panel(days: DataFrame, communes: DataFrame, counts: DataFrame, bounds: DataF
     return dense.withColumn("mois", zero_pad(F.col("mois").cast("string"))).select(*PANEL)
 
 
+def count_calendars(counts: DataFrame) -> DataFrame:
+    """One row per department and commune: its counts as a map of years to maps of days (``100 * mois + jour``).
+
+    Rows are bounded: a commune has at most one count per day of the years. Two counts of a day raise an error.
+    """
+    numbers = {name: F.col(name).cast("int") for name in ("jour", "mois", "an")}
+    known = counts.select("dep", "com", COUNT, *[c.alias(name) for name, c in numbers.items()]).dropna(subset=list(numbers))
+    day = F.struct((100 * F.col("mois") + F.col("jour")).alias("day"), F.col(COUNT).alias("n"))
+    years = known.groupBy("dep", "com", "an").agg(F.map_from_entries(F.collect_list(day)).alias("days"))
+    return years.groupBy("dep", "com").agg(F.map_from_entries(F.collect_list(F.struct("an", "days"))).alias("calendar"))
+
+
 def join_counts(spine: DataFrame, counts: DataFrame) -> DataFrame:
     """Counts for the rows of a ready panel by its five keys, which are not null, 0 where there is none.
 
-    For a panel that is not there yet, ``dense_counts`` gives the same without a shuffle of the panel.
+    The counts are first put together per commune, so the join needs the panel by department and commune only: a panel
+    that is partitioned or bucketed by these is not shuffled, and none is sorted. For a panel that is not there yet,
+    ``dense_counts`` gives the same.
     """
-    joined = spine.join(counts.select(*COUNT_KEYS, COUNT), COUNT_KEYS, "left")
-    return joined.select(*spine.columns, F.coalesce(COUNT, F.lit(0)).cast("int").alias(COUNT))
+    calendars = count_calendars(counts).withColumnsRenamed({"dep": "_dep", "com": "_com", "calendar": "_calendar"})
+    same = (F.col("dep") == F.col("_dep")) & (F.col("com") == F.col("_com"))
+    joined = spine.join(calendars.hint("shuffle_hash"), same, "left")
+    days = F.try_element_at("_calendar", F.col("an").cast("int"))
+    found = F.try_element_at(days, (100 * F.col("mois") + F.col("jour")).cast("int"))
+    return joined.select(*spine.columns, F.coalesce(found, F.lit(0)).cast("int").alias(COUNT))
 
 
 def with_weather(ready: DataFrame, weather: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from areaday.registered.relational import FIRST_SEEN
 from areaday.registered.scalars import DATA_FILES, RESOURCES, resources
 from areaday.session import new_path
 from areaday.sinks import files as out
-from areaday.sinks.tables import Audit, load
+from areaday.sinks.tables import Audit, load, load_once
 from areaday.sources import documents, files
 
 AUDIT = Audit(datetime(2025, 3, 8, 6, 30), "elt", "load_accidents")
@@ -285,6 +285,16 @@ def load_append(spark, sf):
     return spark.table(table)
 
 
+def load_append_once(spark, sf):
+    """A load that is run twice, the second time after one of another task: its rows are there once."""
+    table, path = table_name("once"), new_path(spark, "table")
+    rows = given.accidents(spark, sf)
+    other = AUDIT._replace(task_id="load_again")
+    for audit in (AUDIT, other, AUDIT):
+        load_once(rows, table, audit, columns=["Num_Acc", "com"], path=path)
+    return spark.table(table)
+
+
 def load_metrics(spark, sf):
     result = load(given.accidents(spark, sf), table_name("metrics"), AUDIT, path=new_path(spark, "table"))
     return spark.createDataFrame([result], "rows_inserted BIGINT, execution_time STRING")
@@ -444,6 +454,12 @@ QUERIES = {
         load_append,
         f"SELECT Num_Acc, com, {AUDITED} FROM ({given.ACCIDENTS}) CROSS JOIN (SELECT unnest([1, 2]))",
     ),
+    "load_append_once": (
+        load_append_once,
+        f"""SELECT * EXCLUDE (task) REPLACE (task AS task_id), 'elt/' || task || '/2025-03-08T06:30:00' AS load_id
+            FROM (SELECT Num_Acc, com, {AUDITED} FROM ({given.ACCIDENTS}))
+            CROSS JOIN (SELECT unnest(['load_accidents', 'load_again']) AS task)""",
+    ),
     "load_metrics": (
         load_metrics,
         f"SELECT count(*) AS rows_inserted, '2025-03-08 06:30:00' AS execution_time FROM ({given.ACCIDENTS})",

@@ -40,19 +40,58 @@ def load(
     columns: list[str] | None = None,
     path: str | None = None,
     partition_by: list[str] | None = None,
+    bucket_by: tuple[int, list[str]] | None = None,
 ) -> LoadResult:
     """Write ``df`` with audit columns to ``table`` and count its rows in the same pass.
 
     ``overwrite`` replaces the table with the schema of the data; ``append`` adds to it by column
     name. ``columns`` names the columns to load; ``path`` puts a new table's files there, and ``partition_by`` lays
-    them out by columns of few values, such as the year.
+    them out by columns of few values, such as the year. ``bucket_by`` deals the rows into that many buckets by columns,
+    one file each, so that later joins and groupings by them need no shuffle; Spark keeps to the buckets if they are no
+    fewer than its shuffle partitions.
     """
     loaded = with_audit(require_columns(df, columns).select(*columns) if columns else df, audit)
+    if bucket_by:
+        loaded = loaded.repartition(bucket_by[0], *bucket_by[1])
     counted = Observation()
     writer = loaded.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if path:
         writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(bucket_by[0], *bucket_by[1])
     writer.saveAsTable(table)
     return LoadResult(counted.get["rows"], str(audit.execution_date))
+
+
+def load_once(
+    df: DataFrame, table: str, audit: Audit, load_id: str | None = None, columns: list[str] | None = None, path: str | None = None
+) -> LoadResult:
+    """Add ``df`` with audit columns to ``table`` so that the same load run again changes nothing.
+
+    A load owns the partition of its ``load_id``, by default the run, task and time of the audit, and replaces it: a
+    repeated or resumed load leaves the rows of its last run, and other loads are untouched. A table that is there must be
+    partitioned by ``load_id``.
+    """
+    spark = df.sparkSession
+    name = "/".join((audit.dag_id, audit.task_id, audit.execution_date.isoformat())) if load_id is None else load_id
+    loaded = with_audit(require_columns(df, columns).select(*columns) if columns else df, audit).withColumn("load_id", F.lit(name))
+    if not spark.catalog.tableExists(table):
+        creator = loaded.limit(0).write.partitionBy("load_id")
+        (creator.option("path", path) if path else creator).saveAsTable(table)
+    if not any(c.name == "load_id" and c.isPartition for c in spark.catalog.listColumns(table)):
+        raise ValueError(f"{table} is not partitioned by load_id")
+    counted = Observation()
+    ordered = require_columns(loaded, spark.table(table).columns).select(*spark.table(table).columns)
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        ordered.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(setting, before)
+    if counted.get["rows"] == 0:  # a load without rows writes no partition, so an earlier run's would stay
+        quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (load_id = '{quoted}')")
+    return LoadResult(counted.get["rows"], str(audit.execution_date))

@@ -7,7 +7,8 @@ from areaday.fixed import WEATHER
 from areaday.functions.dates import reading_time
 from areaday.plans.weather import weather_daily
 from areaday.session import new_path, shared_dir
-from areaday.sinks.tables import Audit, load
+from areaday.plans import panel as pan
+from areaday.sinks.tables import Audit, load, load_once
 from areaday.streaming.ingest import csv_stream, ingest_once, stream_daily, stream_load
 from pyspark.sql import functions as F
 
@@ -37,6 +38,55 @@ def test_load_appends_chosen_columns(spark, target):
         load(frame, table, AUDIT, mode="append", columns=["nothing"])
 
 
+def test_a_load_that_is_run_again_changes_nothing(spark, target, rows):
+    table, path = target
+    frame = spark.range(3).selectExpr("id", "id AS x")
+    other = AUDIT._replace(task_id="it's another")
+    for audit in (AUDIT, other, AUDIT, other):
+        assert load_once(frame, table, audit, columns=["x"], path=path).rows_inserted == 3
+    assert rows(spark.table(table), "x", "task_id") == sorted([(i, t) for i in range(3) for t in ("task", "it's another")], key=repr)
+    load_once(frame.limit(1), table, AUDIT)  # a repeated load with other rows replaces its own
+    load_once(frame.limit(0), table, other)  # and one without rows leaves none
+    assert rows(spark.table(table), "x", "task_id") == [(0, "task")]
+    load_once(frame, table, AUDIT, load_id="by hand")
+    assert spark.table(table).count() == 4
+    with pytest.raises(ValueError, match="missing columns"):
+        load_once(frame.select("id"), table, AUDIT)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
+
+
+def test_load_once_refuses_tables_without_load_ids(spark, target):
+    table, path = target
+    load(spark.range(2), table, AUDIT, path=path)
+    with pytest.raises(ValueError, match="load_id"):
+        load_once(spark.range(2), table, AUDIT)
+
+
+def exchanges_above_scan(df, scan):
+    """How many exchanges lie between the result and the scan whose line of the plan has ``scan``."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(lines) if scan in line)
+    depth, found = len(lines[at]) - len(lines[at].lstrip(" :+-")), 0
+    for line in reversed(lines[:at]):
+        indent = len(line) - len(line.lstrip(" :+-"))
+        if indent < depth:
+            depth, found = indent, found + ("Exchange" in line and "Broadcast" not in line)
+    return found
+
+
+def test_a_bucketed_panel_is_joined_and_grouped_without_a_shuffle(spark, target):
+    table, path = target
+    days = spark.range(400).selectExpr("int(id % 28 + 1) AS jour", "int(id % 12 + 1) AS mois", "int(2000 + id % 2) AS an", "id AS n")
+    spine = days.crossJoin(spark.range(5).selectExpr("'77' AS dep", "string(id) AS com")).drop("n").distinct()
+    load(spine, table, AUDIT, path=path, bucket_by=(8, ["dep", "com"]))
+    counts = spark.createDataFrame([(1, 1, 2000, "77", "3", 7), (2, 2, 2001, "77", "4", 2)], "jour int, mois int, an int, dep string, com string, nombre_d_accidents bigint")
+    joined = pan.join_counts(spark.table(table), counts)
+    sums = joined.groupBy("dep", "com", "an").agg(F.sum("nombre_d_accidents").alias("n"))
+    assert exchanges_above_scan(sums, "Batched") == 0
+    want = {("77", str(c), a): 0 for c in range(5) for a in (2000, 2001)} | {("77", "3", 2000): 7, ("77", "4", 2001): 2}
+    assert {(r.dep, r.com, r.an): r.n for r in sums.collect()} == want
+
+
 class OtherSession:
     """As much of a session as the choice of the shared folder looks at."""
 

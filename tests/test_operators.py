@@ -85,6 +85,39 @@ def test_flag_days_equals_the_definition(spark):
     assert sorted(map(tuple, got.collect())) == brute_flags(days, ranges, keys)
 
 
+def test_long_ranges_are_two_rows_each_and_not_their_days(spark):
+    bounds = spark.createDataFrame([(D(1900, 1, 1), D(2100, 12, 31))], "lo date, hi date")
+    days = bounds.select(F.explode(F.sequence("lo", "hi")).alias("date"))
+    ranges = spark.range(200_000).selectExpr(
+        "timestamp(date_add(date'1900-06-01', int(id % 30000))) AS start_date", "timestamp(date_add(date'2000-01-01', int(id % 100))) AS end_date"
+    )
+    got = flag_days(days, ranges, {"any": F.lit(True)}, bounds)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "inline" in plan
+    inside = got.groupBy("any").agg(F.min("date"), F.max("date"), F.count("*")).collect()
+    first, last = D(1900, 6, 1), D(2000, 4, 9)
+    (row,) = [tuple(r)[1:] for r in inside if r["any"]]
+    assert row == (first, last, (last - first).days + 1)
+
+
+def test_ranges_outside_the_bounds_and_none_at_all(spark):
+    bounds = spark.createDataFrame([(D(2023, 1, 1), D(2023, 1, 3))], "lo date, hi date")
+    days = bounds.select(F.explode(F.sequence("lo", "hi")).alias("date"))
+    moment = lambda *d: dt.datetime(*d)
+    ranges = [(moment(2020, 1, 1), moment(2022, 1, 1), True), (moment(2024, 1, 1), moment(2025, 1, 1), True), (None, moment(2023, 1, 2), True), (moment(2023, 1, 2), moment(2023, 1, 2), None)]
+    frame = spark.createDataFrame(ranges, "start_date timestamp, end_date timestamp, f boolean")
+    for some in (frame, frame.limit(0)):
+        got = flag_days(days, some, {"f": F.col("f")}, bounds).orderBy("date").collect()
+        assert [r.f for r in got] == brute_open(days, some)
+
+
+def brute_open(days, ranges):
+    """By SQL's own comparison, where a null start is no start."""
+    joined = days.join(ranges, (F.col("date").cast("timestamp") >= F.col("start_date")) & (F.col("date").cast("timestamp") <= F.col("end_date")) & F.col("f"), "left_semi")
+    hit = {r.date for r in joined.collect()}
+    return [r.date in hit for r in days.orderBy("date").collect()]
+
+
 def test_running_index_of_uneven_order(spark):
     values = [i if i < 900 else i * 10**9 for i in range(1000)]
     random.Random(1).shuffle(values)

@@ -222,6 +222,21 @@ TEXT_ROWS = [
 ]
 
 
+def test_files_with_one_header_are_one_scan(spark, tmp_path, rows):
+    headers = ["id;dep", "dep;id;x", "y;id"]
+    for i in range(90):
+        names = headers[i % 3].split(";")
+        (tmp_path / f"f {i:02d}.csv").write_text(headers[i % 3] + "\n" + "".join(";".join(f"{n}{i}" for n in names) + "\n" for _ in range(2)))
+    (tmp_path / "empty.csv").write_text("")
+    read = files.read_union(spark, [f"{tmp_path}/f {i:02d}.csv" for i in range(90)] + [f"{tmp_path}/empty.csv"])
+    assert read.columns == ["id", "dep", "x", "y"]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3
+    has = {"id": (0, 1, 2), "dep": (0, 1), "x": (1,), "y": (2,)}
+    want = [tuple(f"{n}{i}" if i % 3 in has[n] else None for n in ("id", "dep", "x", "y")) for i in range(90) for _ in range(2)]
+    assert rows(read) == sorted(want, key=repr)
+
+
 def test_csv_dialect_is_that_of_pandas(spark, tmp_path, rows):
     frame = spark.createDataFrame(TEXT_ROWS, "id string, a string, b string")
     path = out.write_csv(frame.coalesce(1), str(tmp_path / "spark"), sep=";")
