@@ -17,6 +17,7 @@ import numpy as np
 
 WINDOW = 16
 LANES = 512
+READING_LANES = 1024
 _CLIP = 1.0
 
 
@@ -66,21 +67,30 @@ class Model:
         ``x`` are the words read, ``fresh`` tells where a document starts.
         """
         steps, lanes, h = *x.shape, self.hidden
-        given = (self.embed[x.ravel()] @ self.w + self.b).reshape(steps, lanes, 3 * h)
+        # Sigmoids are written as hyperbolic tangents of half their argument, so the halves are taken beforehand.
+        half = np.concatenate((np.full(2 * h, 0.5, np.float32), np.ones(h, np.float32)))
+        given = ((self.embed @ self.w + self.b) * half)[x.ravel()].reshape(steps, lanes, 3 * h)
+        u = self.u * half
         states, befores = np.empty((steps, lanes, h), np.float32), np.empty((steps, lanes, h), np.float32)
         gates, news, recurs = np.empty((steps, lanes, 2 * h), np.float32), np.empty_like(states), np.empty_like(states)
+        goes_on = (~fresh).astype(np.float32)[:, :, None]
+        own = np.empty((lanes, 3 * h), np.float32)
         for t in range(steps):
-            if fresh[t].any():
-                state = np.where(fresh[t][:, None], np.float32(0), state)
-            befores[t] = state
-            own = state @ self.u
-            gate = np.tanh((given[t, :, : 2 * h] + own[:, : 2 * h]) * np.float32(0.5))
+            np.multiply(state, goes_on[t], out=befores[t])
+            np.matmul(befores[t], u, out=own)
+            gate, new = gates[t], news[t]
+            np.add(given[t, :, : 2 * h], own[:, : 2 * h], out=gate)
+            np.tanh(gate, out=gate)
             gate += 1
             gate *= np.float32(0.5)
             recurs[t] = own[:, 2 * h :]
-            new = np.tanh(given[t, :, 2 * h :] + gate[:, h:] * recurs[t])
-            state = new + gate[:, :h] * (state - new)
-            states[t], gates[t], news[t] = state, gate, new
+            np.multiply(gate[:, h:], recurs[t], out=new)
+            new += given[t, :, 2 * h :]
+            np.tanh(new, out=new)
+            state = states[t]
+            np.subtract(befores[t], new, out=state)
+            state *= gate[:, :h]
+            state += new
         return states, (befores, gates, news, recurs)
 
     def predict(self, states: np.ndarray, y: np.ndarray, slopes: dict[str, np.ndarray] | None = None):
@@ -99,43 +109,54 @@ class Model:
             slopes["class_w"] += states.T @ shares
             slopes["class_b"] += shares.sum(axis=0)
             back = shares @ self.class_w.T
+        # Words in the order of their classes: a product per class, and all else for all of them at once.
         order = np.argsort(group, kind="stable")
         edges = np.searchsorted(group[order], np.arange(self.classes + 1))
-        for c in range(self.classes):
-            rows = order[edges[c] : edges[c + 1]]
-            if not len(rows):
-                continue
-            inside, word = states[rows], y[rows] - c * self.per_class
-            logits = inside @ self.word_w[c] + self.word_b[c]
-            shares, logs = _softmax(logits)
-            own = np.arange(len(rows))
-            found[rows] += logits[own, word] - logs
-            if slopes is not None:
-                shares[own, word] -= 1
-                slopes["word_w"][c] += inside.T @ shares
-                slopes["word_b"][c] += shares.sum(axis=0)
-                back[rows] += shares @ self.word_w[c].T
+        order = order[: edges[-1]]
+        spans = [(c, slice(edges[c], edges[c + 1])) for c in range(self.classes) if edges[c] < edges[c + 1]]
+        inside, own = states[order], np.arange(len(order))
+        word = y[order] - group[order] * self.per_class
+        logits = self.word_b[group[order]]
+        for c, rows in spans:
+            logits[rows] += inside[rows] @ self.word_w[c]
+        shares, logs = _softmax(logits)
+        found[order] += logits[own, word] - logs
+        if slopes is not None:
+            shares[own, word] -= 1
+            onto = np.empty_like(inside)
+            for c, rows in spans:
+                slopes["word_w"][c] += inside[rows].T @ shares[rows]
+                slopes["word_b"][c] += shares[rows].sum(axis=0)
+                np.matmul(shares[rows], self.word_w[c].T, out=onto[rows])
+            back[order] += onto
         return found, back
 
     def back(self, x, fresh, held, back: np.ndarray, slopes: dict[str, np.ndarray]) -> None:
         """Backpropagation through the window, no further: adds the gradients of the recurrent part to ``slopes``."""
         befores, gates, news, recurs = held
         steps, lanes, h = befores.shape
-        given = np.empty((steps, lanes, 3 * h), np.float32)
+        z, r = gates[:, :, :h], gates[:, :, h:]
+        to_new = (1 - z) * (1 - news * news)
+        to_z = (befores - news) * z * (1 - z)
+        to_r = recurs * r * (1 - r)
+        goes_on = (~fresh).astype(np.float32)[:, :, None]
+        own = np.empty((steps, lanes, 3 * h), np.float32)
+        news_given = np.empty((steps, lanes, h), np.float32)
+        back_u = np.ascontiguousarray(self.u.T)
         onto = np.zeros((lanes, h), np.float32)
         for t in range(steps - 1, -1, -1):
-            total = back[t] + onto
-            z, r = gates[t, :, :h], gates[t, :, h:]
-            new = total * (1 - z) * (1 - news[t] ** 2)
-            given[t, :, :h] = total * (befores[t] - news[t]) * z * (1 - z)
-            given[t, :, h : 2 * h] = new * recurs[t] * r * (1 - r)
-            given[t, :, 2 * h :] = new
-            own = given[t].copy()
-            own[:, 2 * h :] *= r
-            slopes["u"] += befores[t].T @ own
-            onto = total * z + own @ self.u.T
-            if fresh[t].any():
-                onto[fresh[t]] = 0
+            onto += back[t]
+            new = news_given[t]
+            np.multiply(onto, to_new[t], out=new)
+            np.multiply(onto, to_z[t], out=own[t, :, :h])
+            np.multiply(new, to_r[t], out=own[t, :, h : 2 * h])
+            np.multiply(new, r[t], out=own[t, :, 2 * h :])
+            onto *= z[t]
+            onto += own[t] @ back_u
+            onto *= goes_on[t]
+        slopes["u"] += befores.reshape(-1, h).T @ own.reshape(-1, 3 * h)
+        given = own
+        given[:, :, 2 * h :] = news_given
         flat, words = given.reshape(-1, 3 * h), x.ravel()
         slopes["b"] += flat.sum(axis=0)
         slopes["w"] += self.embed[words].T @ flat
@@ -194,11 +215,11 @@ def windows(texts: list[np.ndarray], lanes: int, steps: int) -> Iterator[tuple[n
         yield np.where(there, x[at], 0), np.where(there, y[at], -1), fresh[at] & there, np.where(there, doc[at], -1)
 
 
-def log_likelihoods(model: Model, texts: list[np.ndarray]) -> np.ndarray:
+def log_likelihoods(model: Model, texts: list[np.ndarray], lanes: int = READING_LANES) -> np.ndarray:
     """The natural log-probability of each whole text."""
     total = np.zeros(len(texts))
-    state = np.zeros((LANES, model.hidden), np.float32)
-    for x, y, fresh, doc in windows(texts, LANES, WINDOW):
+    state = np.zeros((lanes, model.hidden), np.float32)
+    for x, y, fresh, doc in windows(texts, lanes, WINDOW):
         states, _ = model.read(x, fresh, state[: x.shape[1]])
         state = states[-1]
         there = doc.ravel() >= 0
