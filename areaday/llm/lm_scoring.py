@@ -113,26 +113,25 @@ def numbers_of(places: np.ndarray, model: Model) -> np.ndarray:
     return np.append(np.where((places < 0) | (places >= model.words), model.rest, places), 0).astype(np.int32)
 
 
-def train(training: DataFrame, words: Vocabulary) -> Model:
-    """The model after each training document has been trained on once."""
+def train(numbered: DataFrame, words: Vocabulary) -> Model:
+    """The model after each training document, given as ``numbers``, has been trained on once."""
     model = new_model(words)
-    context = training.sparkSession.sparkContext
+    context = numbered.sparkSession.sparkContext
     for turn in range(ROUNDS):
         sent = context.broadcast((words, model.flat))
 
         def run(frames: Iterator[pa.RecordBatch], sent=sent) -> np.ndarray:
             words, flat = sent.value
-            model, places, tokens = new_model(words), Places(words.hashes), 0
+            model, tokens = new_model(words), 0
             model.set(flat)
             trainer, held, size = Trainer(model), [], 0
 
             def learn() -> None:
                 trainer.train(held, max(8, min(512, len(held) // 4)))
 
-            for columns in batches(frames):
-                hashes, ends = hashes_of(columns["text"])
-                held += [numbers_of(part, model) for part in np.split(places.find(hashes), ends[:-1])]
-                size += len(hashes) + len(ends)
+            for frame in frames:
+                held += read_numbers(frame)
+                size += sum(map(len, held[len(held) - frame.num_rows :]))
                 if size >= CHUNK_TOKENS:
                     learn()
                     tokens, held, size = tokens + size, [], 0
@@ -141,32 +140,37 @@ def train(training: DataFrame, words: Vocabulary) -> Model:
                 tokens += size
             return np.append(model.flat.astype(np.float64) * tokens, tokens)
 
-        part = training.filter(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn)
+        part = numbered.select("numbers").filter(F.pmod(F.xxhash64("numbers"), F.lit(ROUNDS)) == turn)
         total = summed(part, run, len(model.flat) + 1, np.float64)
         if total[-1]:
             model.set(total[:-1] / total[-1])
     return model
 
 
-_SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_short", pa.int64()),
-                     ("short_log", pa.float64()), ("n_rest", pa.int64()), ("rest_log", pa.float64()),
-                     ("log_likelihood", pa.float64()),
-                     ("rare", pa.list_(pa.struct([("hash", pa.int64()), ("times", pa.int32())])))])
-SCORED = (
+def read_numbers(frame: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.int16).astype(np.int32) for x in frame.column("numbers").to_pylist()]
+
+
+_NUMBERED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_short", pa.int64()),
+                       ("short_log", pa.float64()), ("n_rest", pa.int64()), ("rest_log", pa.float64()),
+                       ("rare", pa.list_(pa.struct([("hash", pa.int64()), ("times", pa.int32())]))),
+                       ("numbers", pa.binary())])
+NUMBERED = (
     "row long, doc_id long, n_tokens long, n_short long, short_log double, n_rest long, rest_log double,"
-    " log_likelihood double, rare array<struct<hash: long, times: int>>"
+    " rare array<struct<hash: long, times: int>>"
 )
 
 
-def read_documents(texts: DataFrame, words: Vocabulary, model: Model) -> DataFrame:
-    """Per document what the model says, the sums over sent words, and its other words with their hashes."""
-    sent = texts.sparkSession.sparkContext.broadcast((words, model.flat))
+def number_documents(texts: DataFrame, words: Vocabulary) -> DataFrame:
+    """Per document its ``numbers`` for the model, 16 bits each, the sums over sent words, and its other words' hashes.
+
+    Texts are read and looked up here, once; training and scoring take the numbers.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(words)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, flat = sent.value
+        words = sent.value
         model, vocabulary = new_model(words), Places(words.hashes)
-        model.set(flat)
-        # Of each text only numbers are held until its chunk is full.
         logs = np.log10(words.counts + 1.0)
         known = words.counts > 0
         first, done = TaskContext.get().partitionId() << 33, 0
@@ -176,37 +180,56 @@ def read_documents(texts: DataFrame, words: Vocabulary, model: Model) -> DataFra
             rare, times = np.unique(hashes[places < 0], return_counts=True)
             numbers = numbers_of(places, model)
             return {
-                "doc_id": doc_id, "numbers": numbers, "n_tokens": len(numbers), "n_short": int(known[short].sum()),
+                "doc_id": doc_id, "numbers": numbers.astype(np.int16).tobytes(), "n_tokens": len(numbers), "n_short": int(known[short].sum()),
                 "short_log": float(logs[short].sum()), "n_rest": int((numbers == model.rest).sum()),
                 "rest_log": float(logs[short[short >= words.words]].sum()),
                 "rare": (rare.view(np.int64), times.astype(np.int32)),
             }
 
-        def finish(held: list[dict]) -> pa.RecordBatch:
-            nonlocal done
-            likely = log_likelihoods(model, [row.pop("numbers") for row in held])
+        for columns in batches(frames):
+            hashes, ends = hashes_of(columns["text"])
+            parts = zip(columns["doc_id"], np.split(hashes, ends[:-1]), np.split(vocabulary.find(hashes), ends[:-1]), strict=True)
+            held = [counted(*part) for part in parts]
+            if not held:
+                continue
             rare = [row.pop("rare") for row in held]
-            ends = np.cumsum([0, *(len(hashes) for hashes, _ in rare)])
-            parts = [pa.array(np.concatenate([pair[i] for pair in rare])) for i in (0, 1)]
+            sizes = np.cumsum([0, *(len(hashes) for hashes, _ in rare)])
+            pair = [pa.array(np.concatenate([x[i] for x in rare])) for i in (0, 1)]
             made = {name: [row[name] for row in held] for name in held[0]}
-            made |= {"row": first + done + np.arange(len(held)), "log_likelihood": likely}
+            made["row"] = first + done + np.arange(len(held))
             done += len(held)
-            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(parts, ["hash", "times"]))
-            return pa.record_batch([listed if f.name == "rare" else pa.array(made[f.name], f.type) for f in _SCORED], schema=_SCORED)
+            listed = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.StructArray.from_arrays(pair, ["hash", "times"]))
+            yield pa.record_batch([listed if f.name == "rare" else pa.array(made[f.name], f.type) for f in _NUMBERED], schema=_NUMBERED)
 
-        held, size = [], 0
-        for columns in batches(frames):
-            hashes, ends = hashes_of(columns["text"])
-            parts = zip(columns["doc_id"], np.split(hashes, ends[:-1]), np.split(vocabulary.find(hashes), ends[:-1]), strict=True)
-            held += [counted(*part) for part in parts]
-            size += len(hashes) + len(ends)
+    return materialise(texts.select("doc_id", "text").mapInArrow(run, f"{NUMBERED}, numbers binary"))
+
+
+def read_documents(numbered: DataFrame, words: Vocabulary, model: Model) -> DataFrame:
+    """``numbered`` with what the model says of each document, as ``log_likelihood``, in place of its numbers."""
+    sent = numbered.sparkSession.sparkContext.broadcast((words, model.flat))
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, flat = sent.value
+        model = new_model(words)
+        model.set(flat)
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            likely = np.split(log_likelihoods(model, texts), np.cumsum([frame.num_rows for frame in held])[:-1])
+            for frame, found in zip(held, likely, strict=True):
+                yield frame.drop_columns("numbers").append_column("log_likelihood", pa.array(found))
+
+        held, texts, size = [], [], 0
+        for frame in frames:
+            held.append(frame)
+            texts += read_numbers(frame)
+            size += sum(map(len, texts[len(texts) - frame.num_rows :]))
             if size >= CHUNK_TOKENS:
-                yield finish(held)
-                held, size = [], 0
-        if held:
-            yield finish(held)
+                yield from finish()
+                held, texts, size = [], [], 0
+        if texts:
+            yield from finish()
 
-    return materialise(texts.select("doc_id", "text").mapInArrow(run, SCORED))
+    return materialise(numbered.mapInArrow(run, f"{NUMBERED}, log_likelihood double"))
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -217,8 +240,9 @@ def score(docs: DataFrame) -> DataFrame:
     training = texts.filter(~held_out)
     counts = word_counts(training)
     words = vocabulary(counts)
-    model = train(training.select("text"), words)
-    read = read_documents(texts, words, model)
+    numbered = number_documents(texts, words)
+    model = train(numbered.filter(~held_out), words)
+    read = read_documents(numbered, words, model)
     rare = read.select("row", F.explode("rare").alias("w")).select("row", "w.hash", "w.times")
     joined = rare.join(counts, "hash").groupBy("row").agg(
         F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("rare_log")

@@ -1,30 +1,38 @@
 """Personal data: patterns for what is surely personal, and terms that reveal it by information theory.
 
 Patterns find e-mail addresses, IP addresses, payment cards and phone numbers. Each value found is a protected entity.
-The words of a document with an entity are terms that may reveal it (``find`` without ``whole``: those near a mention).
-Over all documents it is counted how many hold the entity, the term, and the term with the entity. Their pointwise mutual information, as a share of the information
-content of the entity, says how much of it the term discloses: all of it if the term is never without the entity. If
-only one document holds both, which may be chance, the term counts as if ``UNSEEN`` more documents without the entity held
-it. Terms that disclose more than ``GENERALISE`` of an entity are generalised to a placeholder, and those above ``REMOVE``
-are removed.
+The words of a document with an entity are terms that may reveal it. Over all documents it is counted how many hold the
+entity, the term, and the term with the entity, and in how many of these the term stands within ``NEAR`` signs of a
+mention, which counts as seen once more. How much a term discloses of an entity is the chance that the entity is there
+where the term is, from the mutual information ``log(P(entity | term) / P(entity))`` without the entity's own rarity; it
+is estimated from below, as if one more document had the term without the entity. So neither a larger corpus nor a rarer
+entity raises it, only more evidence does: a word seen once with an entity, away from it, discloses a half and is no
+more than a chance; one that stands beside it, or comes with it again, discloses more. Terms that disclose more than
+``GENERALISE`` are generalised to a placeholder, and those above ``REMOVE`` are removed, wherever they stand in documents
+with the entity.
+
+Documents are told apart by their texts here: copies of a text are no further evidence, and count as one document. Entities
+that occur in the same documents are counted as one, so a document with many entities does not have each of them beside
+each of its words. All steps on a text take time in proportion to its length.
 
 Only DataFrame functions run here. Patterns are written so that they neither recurse nor go back over long runs. Null
-texts count as empty and hold nothing. Rows that repeat both ``doc_id`` and text are one document in the counts, and
-each gets its own result row. A null ``doc_id`` is kept. Other columns are not read, except that ``sanitise`` hands them
-on. An empty table gives no rows.
+texts count as empty and hold nothing. Repeated rows each get their own result row. A null ``doc_id`` is kept. Other
+columns are not read, except that ``sanitise`` hands them on. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areaday.llm.common import carried, whole_text
+from areaday.llm.quality_rules import bound
 from areaday.session import materialise
 
-CONTEXT_CHARS = 80
-#: Of how many more documents with the term, but without the entity, is assumed where one document only holds both.
-UNSEEN = 2
+#: Signs to either side of a mention within which a word is near it.
+NEAR = 40
 GENERALISE = 0.5
 REMOVE = 0.9
 
@@ -46,7 +54,7 @@ _WORD = r"[\p{L}\x{FFFF}]{3,}+"
 #: Every text consists of blocks, and every block of pieces that end with a word, or with its end.
 _BLOCK = r"(?s).{1,400}+[\p{L}\x{FFFF}]*+"
 _PIECE = r"[^\p{L}\x{FFFF}]*+[\p{L}\x{FFFF}]++|[^\p{L}\x{FFFF}]++"
-SPAN = "struct<start: bigint, rank: int, end: bigint, kind: string, entity: string, before: string, after: string>"
+SPAN = "struct<start: bigint, rank: int, end: bigint, kind: string, entity: string, near: array<string>, byte: bigint>"
 
 
 def digits(value: Column) -> Column:
@@ -84,23 +92,60 @@ def entity(kind: str, value: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), plain)
 
 
+_CHUNK = 64
+
+
+def running(values: Column, join: Callable[[Column, Column], Column], none: Column) -> Column:
+    """For each value all those before it joined, ``none`` for the first; by chunks, as lists cannot be added to in place.
+
+    ``values`` is bound by the caller, not computed here.
+    """
+    fold = lambda part: F.aggregate(part, none, join)
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _CHUNK).cast("int")), lambda k: F.slice(values, k * _CHUNK + 1, F.lit(_CHUNK)))
+    state = F.struct(none.alias("so_far"), F.slice(F.array(none), 1, 0).alias("before"))
+    before = lambda parts: F.aggregate(
+        parts, state,
+        lambda s, part: F.struct(join(s["so_far"], fold(part)).alias("so_far"), F.array_append(s["before"], s["so_far"]).alias("before")),
+        lambda s: s["before"],
+    )
+
+    def of_chunks(parts: Column) -> Column:
+        return bound(before(parts), lambda b: F.flatten(F.transform(
+            parts, lambda part, k: F.transform(part, lambda _, i: F.aggregate(F.slice(part, F.lit(1), i), F.get(b, k), join)))))
+
+    return F.when(F.size(values) > 0, bound(chunks, of_chunks)).otherwise(F.slice(F.array(none), 1, 0))
+
+
+def sums(values: Column) -> Column:
+    return running(values, lambda a, x: a + x, F.lit(0).cast("long"))
+
+
 def matches(text: Column, pattern: str) -> Column:
-    """Every match as ``(start, value, before, after)``; the places are sums of the lengths of what lies between."""
-    between, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
-    nothing = F.expr("cast(array() as array<struct<start: bigint, value: string, before: string, after: string>>)")
-
-    def add(state: Column, i: Column) -> Column:
-        value, before = F.get(values, i), F.get(between, i)
-        start = state["at"] + F.char_length(before)
-        found = F.struct(
-            start.alias("start"), value.alias("value"), F.right(before, F.lit(CONTEXT_CHARS + 1)).alias("before"),
-            F.left(F.get(between, i + 1), F.lit(CONTEXT_CHARS + 1)).alias("after"),
+    """Every match as ``(start, byte, value, before, after)``: its place in signs and bytes, and what lies to its sides.
+
+    The places are sums of the lengths of what lies between.
+    """
+
+    def of(between: Column, values: Column) -> Column:
+        lengths = lambda size: F.transform(values, lambda v, i: (size(F.get(between, i)) + size(v)).cast("long"))
+        make = lambda at, byte: F.transform(
+            values,
+            lambda v, i: F.struct(
+                (F.get(at, i) + F.char_length(F.get(between, i))).alias("start"), (F.get(byte, i) + F.octet_length(F.get(between, i))).alias("byte"),
+                v.alias("value"), F.right(F.get(between, i), F.lit(NEAR + 1)).alias("before"), F.left(F.get(between, i + 1), F.lit(NEAR + 1)).alias("after"),
+            ),
         )
-        return F.struct((start + F.char_length(value)).alias("at"), F.array_append(state["found"], found).alias("found"))
+        return bound(lengths(F.char_length), lambda c: bound(lengths(F.octet_length), lambda b: bound(sums(c), lambda at: bound(sums(b), lambda byte: make(at, byte)))))
 
-    state = F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("found"))
-    places = F.sequence(F.lit(0), F.size(values) - 1)
-    return F.when(F.size(values) == 0, nothing).otherwise(F.aggregate(places, state, add, lambda s: s["found"]))
+    values = F.regexp_extract_all(text, F.lit(pattern), 0)
+    return bound(values, lambda v: bound(F.split(text, pattern, -1), lambda between: of(between, v)))
+
+
+def near_words(before: Column, after: Column) -> Column:
+    """The different words that lie wholly within ``NEAR`` signs before or after a mention, lowered."""
+    cut = lambda side, edge: F.when(F.char_length(side) > NEAR, F.regexp_replace(side, edge, "")).otherwise(side)
+    sides = F.concat_ws(" ", cut(before, r"^\p{L}++"), cut(after, r"(?<!\p{L})\p{L}++$"))
+    return F.array_distinct(F.transform(F.regexp_extract_all(sides, F.lit(_TERM), 0), F.lower))
 
 
 def base_spans(text: Column) -> Column:
@@ -114,158 +159,149 @@ def base_spans(text: Column) -> Column:
             lambda m: F.struct(
                 m["start"].alias("start"), F.lit(rank).alias("rank"),
                 (m["start"] + F.char_length(m["value"])).alias("end"), F.lit(kind).alias("kind"),
-                entity(kind, m["value"]).alias("entity"), m["before"].alias("before"), m["after"].alias("after"),
+                entity(kind, m["value"]).alias("entity"), near_words(m["before"], m["after"]).alias("near"), m["byte"].alias("byte"),
             ),
         )
         hint = F.contains(text, F.lit(_HINTS[kind])) if _HINTS[kind] else F.lit(True)
         return F.when(hint & F.regexp_like(text, F.lit(PATTERNS[kind])), made).otherwise(nothing)
 
-    return F.array_sort(F.concat(*[spans(rank, kind) for rank, kind in enumerate(PATTERNS)]))
-
-
-def terms_near(documents: DataFrame) -> DataFrame:
-    """``doc_id, hash, entity, term, start, end``: the whole words next to each mention that lie in no base span."""
-    mention = documents.select("doc_id", "hash", "base", F.explode("base").alias("m"))
-    far = CONTEXT_CHARS + 1
-    sides = F.array(
-        F.struct(F.col("m.before").alias("text"), (F.col("m.start") - F.char_length("m.before")).alias("at"), F.lit(True).alias("left")),
-        F.struct(F.col("m.after").alias("text"), F.col("m.end").alias("at"), F.lit(False).alias("left")),
-    )
-    side = mention.select("doc_id", "hash", "base", "m.entity", F.explode(sides).alias("side"))
-    word = side.select("doc_id", "hash", "base", "entity", "side", F.explode(matches(F.col("side.text"), _TERM)).alias("w"))
-    word = word.withColumn("from", F.col("w.start")).withColumn("to", F.col("w.start") + F.char_length("w.value"))
-    # A word at the far edge of a full context may be cut, one at the near edge may belong to the mention.
-    full = F.char_length("side.text") == far
-    whole = F.when(F.col("side.left"), (F.col("from") > 0) | ~full).otherwise((F.col("to") < far) | ~full)
-    apart = F.when(F.col("side.left"), F.col("to") < F.char_length("side.text")).otherwise(F.col("from") > 0)
-    start, end = F.col("side.at") + F.col("from"), F.col("side.at") + F.col("to")
-    free = ~F.exists("base", lambda b: (b["start"] < end) & (b["end"] > start))
-    return word.filter(whole & apart & free).select(
-        "doc_id", "hash", "entity", F.lower("w.value").alias("term"), start.alias("start"), end.alias("end")
-    )
+    return F.sort_array(F.concat(*[spans(rank, kind) for rank, kind in enumerate(PATTERNS)]))
 
 
-def masked(text: Column) -> Column:
-    """``text`` with the mask in place of every sign of a base span, so that places stay."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+def rebuilt(text: Column, spans: Column, put: Callable[[Column, Column], Column]) -> Column:
+    """``text`` with ``put(span, reach)`` in place of what each span covers beyond ``reach``, up to where others came.
 
-    def put(state: Column, s: Column) -> Column:
-        gap = F.substring(text, (state["at"] + 1).cast("int"), F.greatest(s["start"] - state["at"], F.lit(0)).cast("int"))
-        mask = F.repeat(F.lit(_MASK), F.greatest(s["end"] - F.greatest(s["start"], state["at"]), F.lit(0)).cast("int"))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], gap, mask).alias("out"))
+    ``spans`` are ``start, end, byte, byte_end`` in order of start, and whatever ``put`` needs. What lies between them is
+    cut out by bytes, since places in signs have to be counted from the start of a text.
+    """
+    ends = F.transform(spans, lambda s: F.struct(s["end"].alias("end"), s["byte_end"].alias("byte")))
+    reach_of = running(ends, lambda a, x: F.greatest(a, x), F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("byte")))
 
-    return F.aggregate("base", start, put, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.char_length(text))))
+    def between(data: Column, first: Column, last: Column) -> Column:
+        return F.substring(data, (first + 1).cast("int"), F.greatest(last - first, F.lit(0)).cast("int")).cast("string")
+
+    def pieces(data: Column, reach: Column) -> Column:
+        made = F.transform(spans, lambda s, i: F.concat(between(data, F.get(reach, i)["byte"], s["byte"]), put(s, F.get(reach, i)["end"])))
+        last = F.array_max(F.transform(spans, lambda s: s["byte_end"]))
+        return F.concat(F.array_join(made, ""), between(data, last, F.octet_length(data).cast("long")))
+
+    whole = bound(text.cast("binary"), lambda data: bound(reach_of, lambda reach: pieces(data, reach)))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
+
+
+def masked(text: Column) -> Column:
+    """``text`` with the mask in place of every sign of a base span, so that places stay; those signs are ASCII."""
+    spans = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["byte"].alias("byte"), (s["byte"] + s["end"] - s["start"]).alias("byte_end")))
+    hide = lambda s, reach: F.repeat(F.lit(_MASK), F.greatest(s["end"] - F.greatest(s["start"], reach), F.lit(0)).cast("int"))
+    return bound(spans, lambda x: rebuilt(text, x, hide))
 
 
 def words_of(documents: DataFrame) -> DataFrame:
-    """``doc_id, hash, term``: the different words of the whole text that neither lie in a base span nor touch one."""
+    """``hash, term``: the different words of the whole text that neither lie in a base span nor touch one."""
     words = F.array_distinct(F.regexp_extract_all("text", F.lit(_WORD), 0))
     words = F.array_distinct(F.transform(F.filter(words, lambda w: ~F.contains(w, F.lit(_MASK))), F.lower))
-    return documents.dropDuplicates(["doc_id", "hash"]).select("doc_id", "hash", F.explode(words).alias("term"))
+    return documents.select("hash", F.explode(words).alias("term"))
 
 
-def occurrences(documents: DataFrame, revealing: DataFrame) -> DataFrame:
-    """``doc_id, hash, start, end, share`` of every occurrence of a document's ``term, share``.
+def cut(text: Column, pattern: str) -> Column:
+    """The matches of a pattern, which cover the text, as ``(start, byte, text)``; the mask counts as one byte."""
 
-    Texts are cut at ends of words into blocks, and places are found only in blocks that hold such a term.
-    """
-    nothing = F.expr("cast(array() as array<struct<start: bigint, text: string>>)")
-    start = F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("found"))
+    def of(values: Column) -> Column:
+        size = lambda v: F.octet_length(F.replace(v, F.lit(_MASK), F.lit("."))).cast("long")
+        lengths = lambda measure: sums_of(F.transform(values, measure))
+        return bound(lengths(lambda v: F.char_length(v).cast("long")), lambda at: bound(lengths(size), lambda byte: F.transform(
+            values, lambda v, i: F.struct(F.get(at, i).alias("start"), F.get(byte, i).alias("byte"), v.alias("text")))))
+
+    return bound(F.regexp_extract_all(text, F.lit(pattern), 0), of)
 
-    def add(state: Column, value: Column) -> Column:
-        found = F.array_append(state["found"], F.struct(state["at"].alias("start"), value.alias("text")))
-        return F.struct((state["at"] + F.char_length(value)).alias("at"), found.alias("found"))
 
-    def cut(text: Column, pattern: str) -> Column:
-        return F.aggregate(F.regexp_extract_all(text, F.lit(pattern), 0), start, add, lambda s: s["found"])
+def sums_of(values: Column) -> Column:
+    """``sums`` of values that are computed once."""
+    return bound(values, sums)
 
-    terms = revealing.groupBy("doc_id", "hash").agg(F.collect_set("term").alias("terms"))
-    terms = materialise(terms).select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"), "terms")
-    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash"))
-    block = documents.dropDuplicates(["doc_id", "hash"]).join(terms, same).select("doc_id", "hash", "terms", F.explode(cut(F.col("text"), _BLOCK)).alias("b"))
+
+def occurrences(documents: DataFrame, revealing: DataFrame) -> DataFrame:
+    """``hash, start, end, byte, byte_end, share`` of every occurrence of a document's ``term, share``.
+
+    Texts are cut at ends of words into blocks, and places are found only in blocks that hold such a term.
+    """
+    terms = materialise(revealing.groupBy("hash").agg(F.collect_set("term").alias("terms")))
+    block = documents.select("hash", "text").join(terms, "hash").select("hash", "terms", F.explode(cut(F.col("text"), _BLOCK)).alias("b"))
     words = F.transform(F.regexp_extract_all("b.text", F.lit(_WORD), 0), F.lower)
-    block = block.filter(F.arrays_overlap(words, "terms")).select("doc_id", "hash", "b.*")
-    piece = block.select("doc_id", "hash", F.col("start").alias("at"), F.explode(cut(F.col("text"), _PIECE)).alias("p"))
-    piece = piece.withColumn("word", F.regexp_extract("p.text", _WORD, 0)).filter("word != ''")
+    block = block.filter(F.arrays_overlap(words, "terms")).select("hash", "b.*")
+    piece = block.select("hash", F.col("start").alias("at"), F.col("byte").alias("byte_at"), F.explode(cut(F.col("text"), _PIECE)).alias("p"))
+    piece = piece.withColumn("word", F.regexp_extract("p.text", _WORD, 0)).filter((F.col("word") != "") & ~F.contains("word", F.lit(_MASK)))
     end = F.col("at") + F.col("p.start") + F.char_length("p.text")
-    found = piece.select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"), F.lower("word").alias("lowered"), (end - F.char_length("word")).alias("start"), end.alias("end"))
-    return revealing.join(found, same & (F.col("term") == F.col("lowered"))).select("doc_id", "hash", "start", "end", "share")
+    byte_end = F.col("byte_at") + F.col("p.byte") + F.octet_length(F.replace("p.text", F.lit(_MASK), F.lit(".")))
+    found = piece.select(
+        "hash", F.lower("word").alias("term"), (end - F.char_length("word")).alias("start"), end.alias("end"),
+        (byte_end - F.octet_length("word")).alias("byte"), byte_end.alias("byte_end"),
+    )
+    return found.join(revealing, ["hash", "term"]).select("hash", "start", "end", "byte", "byte_end", "share")
 
 
 def each_once(texts: DataFrame) -> DataFrame:
-    """``texts`` without repeated rows; only those that repeat are grouped."""
-    times = texts.groupBy("doc_id", "hash").agg(F.count("*").alias("times"))
-    several = materialise(times.filter("times > 1")).select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash"))
-    return texts.join(several, same, "left_anti").unionByName(texts.join(several, same, "left_semi").dropDuplicates(["doc_id", "hash"]))
+    """``texts`` without repeated ones; only those that repeat are grouped."""
+    times = texts.groupBy("hash").agg(F.count("*").alias("times"))
+    several = materialise(times.filter("times > 1").select("hash"))
+    return texts.join(several, "hash", "left_anti").unionByName(texts.join(several, "hash", "left_semi").dropDuplicates(["hash"]))
 
 
-def counts(documents: DataFrame, texts: DataFrame) -> tuple[int, DataFrame, DataFrame]:
-    """How many documents there are, ``entity, of_entity`` and ``term, of_term``."""
-    total = texts.select("doc_id", "hash").distinct().count()
-    mentions = documents.select("doc_id", "hash", F.explode(F.array_distinct(F.col("base.entity"))).alias("entity"))
-    of_entity = materialise(mentions.distinct().groupBy("entity").agg(F.count("*").alias("of_entity")))
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), 0))
-    of_term = each_once(texts).select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("of_term"))
-    return total, of_entity, materialise(of_term)
+def disclosures(documents: DataFrame, words: DataFrame, texts: DataFrame) -> DataFrame:
+    """``hash, term, share`` of the terms that disclose more than ``GENERALISE`` of an entity of the document.
 
-
-def pairs_of(words: DataFrame, documents: DataFrame, counted: tuple[int, DataFrame, DataFrame]) -> DataFrame:
-    """``doc_id, hash, entity, term`` of every entity and word of one document, without those that cannot be revealing.
-
-    As ``joint`` is ``of_entity`` at most, the share is above ``GENERALISE`` only if ``of_term`` is below the bound.
+    A share is ``(joint + near) / (of_term + near + 1)``. It is above the half only if ``of_term`` is below twice
+    ``joint + near``, so frequent words drop out before pairs are made.
     """
-    total, of_entity, of_term = counted
-    mentions = documents.select("doc_id", "hash", F.explode(F.array_distinct(F.col("base.entity"))).alias("entity")).distinct()
-    held = mentions.join(of_entity, "entity").select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"), "entity", "of_entity")
-    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash"))
-    bound = F.lit(float(total)) * F.pow(F.col("of_entity") / F.lit(float(total)), F.lit(GENERALISE))
-    rare = words.select("doc_id", "hash", "term").join(of_term, "term")
-    return rare.join(held, same).filter(F.col("of_term") <= bound * 1.000001).select("doc_id", "hash", "entity", "term")
-
-
-def disclosures(pairs: DataFrame, counted: tuple[int, DataFrame, DataFrame]) -> DataFrame:
-    """``entity, term, share``: how much of an entity's information a term discloses, where it is more than ``GENERALISE``."""
-    total, of_entity, of_term = counted
-    joint = pairs.select("doc_id", "hash", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("joint"))
-    joint = materialise(joint)
-    counted = joint.join(of_entity, "entity").join(of_term, "term")
-    held = F.col("of_term") + F.when(F.col("joint") == 1, UNSEEN).otherwise(0)
-    mutual = F.log(F.col("joint") * F.lit(float(total)) / (F.col("of_entity") * held))
-    content = F.log(F.lit(float(total)) / F.col("of_entity"))
-    share = F.when(content > 0, mutual / content).otherwise(0.0)
-    return counted.select("entity", "term", share.alias("share")).filter(F.col("share") > GENERALISE)
-
-
-def find(docs: DataFrame, whole: bool = False) -> DataFrame:
-    """``doc_id, hash, base, terms`` of every row: spans of the patterns, and ``(start, end, share)`` of revealing terms.
-
-    Terms are the words next to a mention, or with ``whole`` all words of a document with a mention.
+    mentions = documents.select("hash", F.explode("base").alias("m")).select("hash", "m.entity", "m.near")
+    held = materialise(mentions.select("hash", "entity").distinct())
+    # Entities of the same documents have the same sums of the documents' hashes, and one of them stands for all.
+    code = F.xxhash64("hash").cast("decimal(38,0)")
+    profiles = held.groupBy("entity").agg(F.count("*").alias("of_entity"), F.sum(code).alias("in_documents"))
+    first = profiles.groupBy("of_entity", "in_documents").agg(F.min("entity").alias("group"))
+    profiles = materialise(profiles.join(first, ["of_entity", "in_documents"]).select("entity", "group", "of_entity"))
+
+    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), 0))
+    asked = materialise(words.select("term").distinct())
+    of_term = texts.select(F.explode(found).alias("term")).join(asked, "term", "left_semi").groupBy("term").agg(F.count("*").alias("of_term"))
+    of_term = materialise(of_term)
+
+    groups = held.join(profiles.filter("of_entity > 1"), "entity").select("hash", "group", "of_entity").distinct()
+    rare = words.join(of_term, "term")
+    joint = groups.join(rare, "hash").filter(F.col("of_term") < 4 * F.col("of_entity"))
+    joint = materialise(joint.groupBy("group", "term").agg(F.count("*").alias("joint"), F.first("of_term").alias("of_term")))
+    share = lambda near: (F.col("joint") + near) / (F.col("of_term") + near + 1)
+    far = joint.withColumn("share", share(F.lit(0))).filter(F.col("share") > GENERALISE).select("group", "term", "share")
+    far = groups.select("hash", "group").join(far, "group").join(words, ["hash", "term"], "left_semi")
+
+    beside = mentions.select("hash", "entity", F.explode("near").alias("term")).distinct().join(words, ["hash", "term"], "left_semi")
+    beside = beside.groupBy("entity", "term").agg(F.count("*").alias("near")).join(profiles, "entity").join(of_term, "term")
+    once = beside.filter("of_entity = 1").withColumn("joint", F.lit(1).cast("long"))
+    more = beside.filter("of_entity > 1").join(joint.select("group", "term", "joint"), ["group", "term"])
+    close = once.unionByName(more.select(once.columns)).withColumn("share", share(F.col("near"))).filter(F.col("share") > GENERALISE)
+    close = held.join(close.select("entity", "term", "share"), "entity").join(words, ["hash", "term"], "left_semi")
+    both = far.select("hash", "term", "share").unionByName(close.select("hash", "term", "share"))
+    return both.groupBy("hash", "term").agg(F.max("share").alias("share"))
+
+
+TERMS = "array<struct<start: bigint, end: bigint, byte: bigint, byte_end: bigint, share: double>>"
+
+
+def find(docs: DataFrame) -> DataFrame:
+    """``doc_id, hash, base, terms`` of every row: spans of the patterns, and places and shares of revealing terms.
+
+    Places of terms are ``start, end`` in signs and ``byte, byte_end``; ``hash`` is the digest of the text.
     """
     text = whole_text(docs)
-    texts = docs.select(docs["doc_id"].alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    texts = docs.select(docs["doc_id"].alias("doc_id"), F.md5(text.cast("binary")).alias("hash"), text.alias("text"))
     held = texts.select("doc_id", "hash", base_spans(F.col("text")).alias("base"), "text")
-    held = held.withColumn("text", F.when(F.size("base") > 0, masked(F.col("text")) if whole else F.col("text")))
-    held = materialise(held)
-    rows = held.drop("text")
-    documents = held.filter(F.size("base") > 0)
-    counted = counts(documents, texts)
-    if whole:
-        words = materialise(words_of(documents))
-        pairs = materialise(pairs_of(words, documents, counted))
-        revealing = materialise(disclosures(pairs, counted))
-        per_term = pairs.join(revealing, ["entity", "term"]).groupBy("doc_id", "hash", "term").agg(F.max("share").alias("share"))
-        spans = occurrences(documents, materialise(per_term))
-    else:
-        near = materialise(terms_near(documents).distinct())
-        revealing = materialise(disclosures(near, counted))
-        spans = near.join(revealing, ["entity", "term"]).groupBy("doc_id", "hash", "start", "end").agg(F.max("share").alias("share"))
-    terms = materialise(
-        spans.groupBy("doc_id", "hash").agg(F.array_sort(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
-    ).select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"), "terms")
-    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash"))
-    none = F.expr("cast(array() as array<struct<start: bigint, end: bigint, share: double>>)")
-    return rows.join(terms, same, "left").select("doc_id", "hash", "base", F.coalesce("terms", none).alias("terms"))
+    held = materialise(held.withColumn("text", F.when(F.size("base") > 0, masked(F.col("text")))))
+    documents = materialise(each_once(held.filter(F.size("base") > 0).select("hash", "base", "text")))
+    words = materialise(words_of(documents))
+    revealing = materialise(disclosures(documents, words, each_once(texts.select("hash", "text"))))
+    spans = occurrences(documents, revealing)
+    terms = materialise(spans.groupBy("hash").agg(F.sort_array(F.collect_list(F.struct("start", "end", "byte", "byte_end", "share"))).alias("terms")))
+    return held.drop("text").join(terms, "hash", "left").select("doc_id", "hash", "base", F.coalesce("terms", F.expr(f"cast(array() as {TERMS})")).alias("terms"))
 
 
 def joined(spans: Column) -> Column:
@@ -278,29 +314,24 @@ def all_spans() -> Column:
     short = lambda s, rank, kind: F.struct(s["start"].alias("start"), rank.alias("rank"), s["end"].alias("end"), kind.alias("kind"))
     base = F.transform("base", lambda s: short(s, s["rank"], s["kind"]))
     terms = F.transform("terms", lambda s: short(s, F.lit(len(PATTERNS)), F.lit("term")))
-    return F.array_sort(F.concat(base, terms))
+    return F.sort_array(F.concat(base, terms))
 
 
 def sanitised(text: Column) -> Column:
-    """``text`` without its personal data: base spans and generalised terms as placeholders, the rest of terms removed."""
-    base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), s["kind"], F.lit("]")).alias("put")))
-    terms = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["share"] > REMOVE, "").otherwise("[term]").alias("put")))
-    spans = F.array_sort(F.concat(base, terms))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    """``text`` without its personal data: base spans and generalised terms as placeholders, the rest of terms removed.
 
-    def put(state: Column, s: Column) -> Column:
-        # What overlaps a span before it is covered by that span's placeholder as far as that reaches.
-        gap = F.substring(text, (state["at"] + 1).cast("int"), F.greatest(s["start"] - state["at"], F.lit(0)).cast("int"))
-        new = F.when(s["start"] >= state["at"], F.concat(gap, s["put"])).otherwise("")
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], new).alias("out"))
-
-    return F.aggregate(spans, start, put, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.char_length(text))))
+    What overlaps a span before it is covered by that span's placeholder as far as that reaches.
+    """
+    base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["byte"].alias("byte"), (s["byte"] + s["end"] - s["start"]).alias("byte_end"), F.concat(F.lit("["), s["kind"], F.lit("]")).alias("put")))
+    terms = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["byte"].alias("byte"), s["byte_end"].alias("byte_end"), F.when(s["share"] > REMOVE, "").otherwise("[term]").alias("put")))
+    put = lambda s, reach: F.when(s["start"] >= reach, s["put"]).otherwise("")
+    return bound(F.sort_array(F.concat(base, terms)), lambda x: rebuilt(text, x, put))
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` sanitised."""
-    found = find(docs, whole=True).select(F.col("doc_id").alias("of"), F.col("hash").alias("of_hash"), "base", "terms").distinct()
-    rows = carried(docs, tuple(docs.columns), id=docs["doc_id"], hash=F.xxhash64(whole_text(docs)))
-    both = rows.join(found, F.col("id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("of_hash")))
+    found = find(docs).drop("doc_id").dropDuplicates(["hash"]).select(F.col("hash").alias("of"), "base", "terms")
+    rows = carried(docs, tuple(docs.columns), hash=F.md5(whole_text(docs).cast("binary")))
+    both = rows.join(found, F.col("hash") == F.col("of"))
     clean = sanitised(F.col("text"))
     return both.select(*[(clean if name == "text" else F.col(f"row.`{name}`")).alias(name) for name in docs.columns])

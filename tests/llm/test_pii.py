@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,64 +74,151 @@ def test_given_documents(spark, sf):
     assert len(rows) == len(texts) and all(r.base == ",".join(brute(texts[r.doc_id])) for r in rows)
 
 
-def near(text, spans):
-    """The terms within reach of each base span, as the module defines them."""
-    out = set()
-    for start, end in spans:
-        for m in re.finditer(r"[^\W\d_]{3,}", text):
-            before = start - 80 <= m.start() and m.end() < start
-            after = m.start() > end and m.end() <= end + 80
-            # A word that touches the cut is not whole.
-            if (before or after) and not any(m.start() < e and m.end() > s for s, e in spans):
-                out.add((start, m[0].lower(), m.start(), m.end()))
+LETTERS = r"[^\W\d_]+"
+
+
+def entity_of(kind, value):
+    return kind + ":" + (re.sub("[^0-9]", "", value) if kind in ("card", "phone") else value.lower())
+
+
+def plain_terms(texts):
+    """For each text the places and shares of revealing terms, by loops over all texts, entities and words."""
+    different = sorted({t or "" for t in texts})
+    mentions, free = {}, {}
+    for text in different:
+        spans = [(int(s), int(e), k) for k, s, e in (x.split(":") for x in brute(text))]
+        mentions[text] = []
+        for kind, pattern in BASE.items():
+            found = list(re.finditer(pattern, text))
+            for i, m in enumerate(found):
+                if (m.start(), m.end(), kind) in spans:
+                    first = max(m.start() - pii.NEAR, found[i - 1].end() if i else 0)
+                    last = min(m.end() + pii.NEAR, found[i + 1].start() if i + 1 < len(found) else len(text))
+                    mentions[text].append((entity_of(kind, m[0]), first, m.start(), m.end(), last))
+        touches = lambda w, spans=spans: any(w.start() <= e and w.end() >= s for s, e, _ in spans)
+        free[text] = [w for w in re.finditer(LETTERS, text) if len(w[0]) >= 3 and not touches(w)]
+    held = {text: {w[0].lower() for w in free[text]} for text in different}
+    of_term, of_entity, joint, near = {}, {}, {}, {}
+    for text in different:
+        for term in {w.lower() for w in re.findall(LETTERS, text) if len(w) >= 3}:
+            of_term[term] = of_term.get(term, 0) + 1
+        for e in {m[0] for m in mentions[text]}:
+            of_entity[e] = of_entity.get(e, 0) + 1
+            for term in held[text]:
+                joint[e, term] = joint.get((e, term), 0) + 1
+        close = {
+            (e, w[0].lower())
+            for e, first, start, end, last in mentions[text]
+            for w in re.finditer(LETTERS, text)
+            if len(w[0]) >= 3 and (first <= w.start() and w.end() <= start or end <= w.start() and w.end() <= last)
+        }
+        for e, term in close:
+            if term in held[text]:
+                near[e, term] = near.get((e, term), 0) + 1
+    share = {p: (n + near.get(p, 0)) / (of_term[p[1]] + near.get(p, 0) + 1) for p, n in joint.items()}
+    out = {}
+    for i, text in enumerate(texts):
+        entities = {m[0] for m in mentions[text or ""]}
+        for w in free[text or ""]:
+            most = max((share[e, w[0].lower()] for e in entities), default=0)
+            if most > pii.GENERALISE:
+                out.setdefault(i, {})[w.start(), w.end()] = most
     return out
 
 
+def found_terms(documents, texts):
+    return {r.doc_id: {(t.start, t.end): t.share for t in r.terms} for r in pii.find(documents(texts)).collect() if r.terms}
+
+
+def check_terms(documents, texts):
+    found, want = found_terms(documents, texts), plain_terms(texts)
+    assert {i: set(x) for i, x in found.items()} == {i: set(x) for i, x in want.items()}
+    assert all(math.isclose(found[i][place], share) for i, x in want.items() for place, share in x.items())
+    return want
+
+
 def test_terms_that_reveal_an_entity(documents):
-    secret = "Please ask quillon about it, mail jo@site.org or the office"
-    texts = [secret, "the office of quillon is here, jo@site.org", "about the office", "please mail the office about it",
-             "mail me at me@other.org about the office", *["the office is open about it please mail or ask"] * 12]
-    docs = documents(texts)
-    found = {r.doc_id: r for r in pii.find(docs).collect()}
-    words = lambda i: {texts[i][t.start : t.end].lower(): t.share for t in found[i].terms}
-    assert set(words(0)) == {"quillon"} and set(words(1)) == {"quillon"} and not words(5) and not words(4)
-    assert math.isclose(words(0)["quillon"], 1.0)
-    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
-    assert clean[0] == "Please ask  about it, mail [email] or the office"
+    texts = ["Please ask Quillon about it, mail jo@site.org or the office", "the office of quillon is open, jo@site.org", "about the office", "please mail the office about it",
+             "mail me at me@other.org about the office", *[f"the office is open about it please mail me or ask {i}" for i in range(12)]]
+    want = check_terms(documents, texts)
+    words = {texts[i][a:b].lower() for i, x in want.items() for a, b in x}
+    assert words == {"quillon"} and set(want) == {0, 1}
+    assert math.isclose(want[0][texts[0].index("Quillon"), texts[0].index("Quillon") + 7], 4 / 5)
+    clean = {r.doc_id: r.text for r in pii.sanitise(documents(texts)).collect()}
+    assert clean[0] == "Please ask [term] about it, mail [email] or the office"
     assert clean[4] == "mail me at [email] about the office" and clean[5] == texts[5]
 
 
-def test_shares_equal_counts_over_all_documents(documents):
-    rng = random.Random(9)
-    vocabulary = [f"{a}{b}" for a in ("kor", "mel", "tan", "siv") for b in ("ab", "ec", "ido", "une")]
+def random_corpus(seed, n):
+    rng = random.Random(seed)
+    vocabulary = [f"{a}{b}" for a in ("kor", "mél", "tan", "siv") for b in ("ab", "ec", "ido", "une")]
     texts = []
-    for i in range(150):
-        words = [rng.choice(vocabulary) for _ in range(rng.randint(3, 30))]
-        if i % 2:
-            person = rng.randrange(4)
-            words.insert(rng.randrange(len(words)), f"p{person}@mail.org")
-            words.insert(rng.randrange(len(words)), f"nick{'abcd'[person]}")
-        texts.append(" ".join(words))
-    with_entity, with_term, joint = {}, {}, {}
-    spans = [[(m.start(), m.end()) for m in re.finditer(BASE["email"], t)] for t in texts]
-    for i, text in enumerate(texts):
-        for term in set(re.findall(r"[^\W\d_]{3,}", text.lower())):
-            with_term.setdefault(term, set()).add(i)
-        for start, term, _, _ in near(text, spans[i]):
-            joint.setdefault((text[start : start + 11], term), set()).add(i)
-        for start, end in spans[i]:
-            with_entity.setdefault(text[start:end], set()).add(i)
-    expected = set()
-    for i, text in enumerate(texts):
-        for start, term, s, e in near(text, spans[i]):
-            entity = text[start : start + 11]
-            both = len(joint[entity, term])
-            content = math.log(len(texts) / len(with_entity[entity]))
-            mutual = math.log(both * len(texts) / (len(with_entity[entity]) * len(with_term[term])))
-            if both >= 2 and mutual / content > pii.GENERALISE:
-                expected.add((i, s, e))
-    found = {(r.doc_id, t.start, t.end) for r in pii.find(documents(texts)).collect() for t in r.terms}
-    assert found == expected and expected
+    for i in range(n):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(3, 60))]
+        for _ in range(i % 3):
+            person = rng.randrange(6)
+            put = [f"p{person}@mail.org", f"10.0.0.{person}", f"+1 555 000 111{person}", "4111 1111 1111 1111", f"{person}@x.y1.2.3.4"]
+            words.insert(rng.randrange(len(words)), rng.choice(put))
+            words.insert(rng.randrange(len(words)), f"nick{'abcdef'[person]}")
+            words.insert(rng.randrange(len(words)), f"Once{''.join(rng.choices('abcdef', k=6))}")
+        texts.append(rng.choice([" ", ", ", "\n", "é "]).join(words))
+    return texts + texts[: n // 5] + [None, "", "jo@site.org"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_terms_equal_counts_over_all_documents(documents, seed):
+    assert check_terms(documents, random_corpus(seed, 90))
+
+
+def test_shares_do_not_rise_with_the_corpus(documents):
+    secret = ["ask quillon about the office, mail jo@site.org"]
+    shares = [found_terms(documents, secret + [f"ask about the office by mail {i}" for i in range(n)])[0] for n in (20, 400)]
+    assert shares[0] == shares[1] and list(shares[0].values()) == [2 / 3]
+
+
+def test_words_far_from_a_single_mention_stay(documents):
+    """A word that is seen once, away from the mention, may be there by chance: it is left; beside it, it goes."""
+    filler = "the office is open about it please mail or ask " * 4
+    texts = [f"farword {filler} nearword jo@site.org {filler}", *[f"{filler} {i}" for i in range(9)]]
+    (places,) = check_terms(documents, texts).values()
+    assert {texts[0][a:b] for a, b in places} == {"nearword"}
+
+
+def test_terms_that_keep_company_are_removed(documents):
+    texts = [f"ask Quillon {i}, jo@site.org, the office {i}" for i in range(6)] + [f"the office ask {i}" for i in range(30)]
+    want = check_terms(documents, texts)
+    assert all(s > pii.REMOVE for x in want.values() for s in x.values()) and len(want) == 6
+    assert {r.doc_id: r.text for r in pii.sanitise(documents(texts)).collect()}[0] == "ask  0, [email], the office 0"
+
+
+def test_sanitising_equals_a_plain_replacement(documents):
+    texts = random_corpus(3, 60)
+    terms = plain_terms(texts)
+    for row in pii.sanitise(documents(texts)).collect():
+        text, at, out = texts[row.doc_id] or "", 0, ""
+        spans = [(int(s), int(e), f"[{k}]") for k, s, e in (x.split(":") for x in brute(text))]
+        spans += [(a, b, "" if s > pii.REMOVE else "[term]") for (a, b), s in terms.get(row.doc_id, {}).items()]
+        for start, end, put in sorted(spans, key=lambda s: s[:1]):
+            out += text[at:start] + (put if start >= at else "")
+            at = max(at, end)
+        assert row.text == out + text[at:], text
+
+
+def test_one_text_with_very_many_entities_takes_time_in_proportion(documents):
+    n = 20_000
+    text = " ".join(f"user{i}@mail{i}.org wrote on {i}.1.2.3" for i in range(n))
+    began = time.time()
+    (row,) = pii.find(documents([text])).collect()
+    assert len(row.base) == n + 256 and time.time() - began < 60
+    (clean,) = pii.sanitise(documents([text])).collect()
+    assert "@" not in clean.text and time.time() - began < 120
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 4097])
+def test_running_sums(spark, n):
+    values = [(7 * i) % 11 for i in range(n)]
+    frame = spark.createDataFrame([(values,)], "v array<long>").select(pii.sums_of(F.col("v")).alias("s"))
+    assert frame.first().s == [sum(values[:i]) for i in range(n)]
 
 
 def test_repeated_rows_extra_columns_and_no_python(documents):
@@ -151,27 +239,16 @@ def test_digest_of_no_spans(documents, spark):
 def test_terms_far_from_the_mention(documents):
     """A revealing term goes wherever it stands in a document with the entity, near the mention or not."""
     filler = "the office is open about it please mail or ask " * 60
-    texts = [f"Quillon {filler}jo@site.org {filler}quillon", f"jo@site.org {filler} quillon", f"{filler} quillonxx", *[filler] * 12]
-    found = {r.doc_id: r for r in pii.find(documents(texts), whole=True).collect()}
-    places = lambda i: [(t.start, t.end) for t in found[i].terms]
-    assert places(0) == [(m.start(), m.end()) for m in re.finditer("(?i)quillon", texts[0])] and len(places(0)) == 2
-    assert places(1) == [(texts[1].index("quillon"), len(texts[1]))] and not places(2) and not places(3)
+    texts = [f"Quillon {filler}jo@site.org {filler}quillon", f"jo@site.org {filler} quillon", f"{filler} quillonxx", *[f"{filler} {i}" for i in range(12)]]
+    want = check_terms(documents, texts)
+    assert sorted(want[0]) == [(m.start(), m.end()) for m in re.finditer("(?i)quillon", texts[0])] and set(want) == {0, 1}
     clean = {r.doc_id: r.text for r in pii.sanitise(documents(texts)).collect()}
     assert "uillon" not in clean[0] + clean[1] and clean[2] == texts[2]
 
 
-def test_terms_of_an_entity_in_one_document(documents):
-    """A rare term beside an entity that is mentioned once is found; frequent terms are not."""
-    texts = ["ask quillon about the office, mail jo@site.org", *["ask about the office by mail"] * 99]
-    (row,) = [r for r in pii.find(documents(texts), whole=True).collect() if r.doc_id == 0]
-    assert [texts[0][t.start : t.end] for t in row.terms] == ["quillon"]
-    assert math.isclose(row.terms[0].share, math.log(100 / 3) / math.log(100))
-    assert "quillon" not in {r.doc_id: r.text for r in pii.sanitise(documents(texts)).collect()}[0]
-
-
-def test_repeated_rows_count_once_for_terms(documents):
-    """Rows that repeat do not lower the share of a term."""
-    secret = [(i, f"ask quillon, mail jo@site.org {'x' * i}") for i in range(2)]
-    others = [(i, "ask about the office by mail") for i in range(10, 40)]
-    shares = [{(t.start, t.share) for r in pii.find(documents(pairs)).collect() for t in r.terms} for pairs in (secret + others, secret * 20 + others)]
-    assert shares[0] == shares[1] and any(math.isclose(share, 1) for _, share in shares[1])
+def test_copies_count_once_for_terms(documents):
+    """Copies of a text, as other documents or as repeated rows, neither raise nor lower the share of a term."""
+    secret = [f"ask quillon, mail jo@site.org {'x' * i}" for i in range(2)]
+    others = ["ask about the office by mail"]
+    shares = [{share for x in found_terms(documents, texts).values() for share in x.values()} for texts in (secret + others, secret * 20 + others * 9)]
+    assert shares[0] == shares[1] and shares[0]

@@ -55,6 +55,17 @@ def test_one_of_each_group_stays(stages):
     assert all(r.doc_id == r.component_id for r in jaccard_join(kept).collect())
 
 
+def test_rows_without_an_id_or_with_a_repeated_one_leave_one_of_each_group(spark, documents, sf):
+    texts = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abc"}
+    pairs = [(5, texts["a"]), (5, texts["a"]), (None, texts["a"]), (7, texts["a"] + " more"), (None, texts["b"]), (None, texts["b"]), (5, texts["c"]), (None, ""), (None, None)]
+    docs = documents(pairs).withColumn("number", F.lit("x"))
+    kept = cp.keep_one_of_each_group(spark, docs, sf)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(5, texts["a"]), (None, texts["b"]), (5, texts["c"]), (None, ""), (None, None)], key=repr
+    )
+
+
 def test_contaminated_documents_go(stages, spark, sf):
     from areaday.llm.decontamination import contaminated, contamination, hit_words
 
@@ -84,7 +95,7 @@ def test_odd_documents_pass_through_all_stages(spark, documents, tmp_path, sf):
 
 
 def test_registered_queries():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", [name for name, (_, sql) in QUERIES.items() if sql])
