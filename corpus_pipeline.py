@@ -1,7 +1,9 @@
 """A corpus for training in five stages: toxicity, line dedup, near duplicates, decontamination, packing.
 
 Every stage reads what the one before has kept, as a Parquet table, and all but the last return the columns of
-``documents``. Null texts count as empty throughout; no stage drops a document for that. Extra columns are handed on.
+``documents``. Null texts count as empty throughout; no stage drops a document for that. Extra columns are handed on. Rows
+that repeat a ``doc_id`` or have none are documents of their own, except that line dedup reads rows with one id and one text
+as copies of one document and leaves their lines; near duplicates then keep one of them.
 """
 
 from __future__ import annotations
@@ -44,10 +46,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are linked by a Jaccard similarity of 0.8 or more, the one with the smallest ``doc_id``."""
-    other = jaccard_join(docs).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("other"))
-    other = materialise(other.distinct())
-    return docs.join(other, docs["doc_id"] == other["other"], "left_anti")
+    """Of documents that are linked by a Jaccard similarity of 0.8 or more, the one with the smallest ``doc_id``.
+
+    Each row is a document of its own here, by a number that it gets: of rows that repeat an id, or have none, one stays of
+    each group as well. A null ``doc_id`` stays only where its group has no other.
+    """
+    rows = materialise(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("number")))
+    found = jaccard_join(rows.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")))
+    several = found.join(materialise(found.groupBy("component_id").count().filter("count > 1")), "component_id")
+    member = rows.select(F.col("row.doc_id").alias("id"), F.col("number").alias("doc_id")).join(several, "doc_id")
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("doc_id"))
+    stays = member.groupBy("component_id").agg(F.min_by("doc_id", order).alias("stays"))
+    gone = several.join(materialise(stays), "component_id").filter(F.col("doc_id") != F.col("stays"))
+    return rows.join(materialise(gone.select(F.col("doc_id").alias("number"))), "number", "left_anti").select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
