@@ -133,7 +133,35 @@ def gbt_threshold_score(spark, sf):
     return training.train_boosted(numbered, "o_orderkey").predictions
 
 
+def imbalanced_known(spark: SparkSession, sf: str) -> training.Trained:
+    """The whole imbalanced training where the label is known: an order counts as an accident on Saturdays and Sundays."""
+    planted = rows_to_boost(spark, sf).withColumn(COUNT, (F.weekday("date") >= 5).cast("int"))
+    numbered, _ = training.imbalanced_features(planted, FLAGS, "o_orderkey")
+    return training.train_boosted(numbered, "o_orderkey", rounds=3)
+
+
+def imbalanced_held_out(spark, sf):
+    """The held-out orders with the class that probability and threshold give, and on which side of a half each lies."""
+    likelier = (F.col("probability") > 0.5).cast("int").alias("likelier")
+    return imbalanced_known(spark, sf).predictions.select("o_orderkey", "accident", "prediction", likelier)
+
+
+def imbalanced_confusion(spark, sf):
+    return training.confusion(imbalanced_known(spark, sf), "accident")
+
+
+IMBALANCED = """
+    SELECT o_orderkey, CAST(isodow(CAST(o_orderdate AS DATE)) >= 6 AS INTEGER) AS accident FROM orders QUALIFY
+    row_number() OVER (PARTITION BY isodow(CAST(o_orderdate AS DATE)) >= 6 ORDER BY md5(CAST(o_orderkey AS VARCHAR) || '42'), o_orderkey)
+    <= ceil(0.2 * count(*) OVER (PARTITION BY isodow(CAST(o_orderdate AS DATE)) >= 6))"""
+
 QUERIES = {
+    "imbalanced_held_out": (imbalanced_held_out, f"SELECT *, accident AS prediction, accident AS likelier FROM ({IMBALANCED})"),
+    "imbalanced_confusion": (
+        imbalanced_confusion,
+        f"""SELECT CAST(t AS DOUBLE) AS truth, CAST(p AS DOUBLE) AS predicted, count(accident) FILTER (accident = t AND t = p) AS n
+            FROM ({IMBALANCED}) CROSS JOIN (SELECT unnest([0, 1]) AS t) CROSS JOIN (SELECT unnest([0, 1]) AS p) GROUP BY t, p""",
+    ),
     "one_hot": (
         one_hot,
         """WITH p AS (SELECT o_orderpriority, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS place
