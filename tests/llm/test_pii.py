@@ -126,29 +126,6 @@ def plain_terms(texts):
     return out
 
 
-def found_terms(documents, texts):
-    return {r.doc_id: {(t.start, t.end): t.share for t in r.terms} for r in pii.find(documents(texts)).collect() if r.terms}
-
-
-def check_terms(documents, texts):
-    found, want = found_terms(documents, texts), plain_terms(texts)
-    assert {i: set(x) for i, x in found.items()} == {i: set(x) for i, x in want.items()}
-    assert all(math.isclose(found[i][place], share) for i, x in want.items() for place, share in x.items())
-    return want
-
-
-def test_terms_that_reveal_an_entity(documents):
-    texts = ["Please ask Quillon about it, mail jo@site.org or the office", "the office of quillon is open, jo@site.org", "about the office", "please mail the office about it",
-             "mail me at me@other.org about the office", *[f"the office is open about it please mail me or ask {i}" for i in range(12)]]
-    want = check_terms(documents, texts)
-    words = {texts[i][a:b].lower() for i, x in want.items() for a, b in x}
-    assert words == {"quillon"} and set(want) == {0, 1}
-    assert math.isclose(want[0][texts[0].index("Quillon"), texts[0].index("Quillon") + 7], 4 / 5)
-    clean = {r.doc_id: r.text for r in pii.sanitise(documents(texts)).collect()}
-    assert clean[0] == "Please ask [term] about it, mail [email] or the office"
-    assert clean[4] == "mail me at [email] about the office" and clean[5] == texts[5]
-
-
 def random_corpus(seed, n):
     rng = random.Random(seed)
     vocabulary = [f"{a}{b}" for a in ("kor", "mél", "tan", "siv") for b in ("ab", "ec", "ido", "une")]
@@ -165,60 +142,114 @@ def random_corpus(seed, n):
     return texts + texts[: n // 5] + [None, "", "jo@site.org"]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_terms_equal_counts_over_all_documents(documents, seed):
-    assert check_terms(documents, random_corpus(seed, 90))
+def own_words(mark, texts):
+    """The texts with words and addresses that no other case has."""
+    return [re.sub(r"[A-Za-z]{2,}", lambda w: w[0] + mark, text) for text in texts]
 
 
-def test_shares_do_not_rise_with_the_corpus(documents):
-    secret = ["ask quillon about the office, mail jo@site.org"]
-    shares = [found_terms(documents, secret + [f"ask about the office by mail {i}" for i in range(n)])[0] for n in (20, 400)]
-    assert shares[0] == shares[1] and list(shares[0].values()) == [2 / 3]
+_FILLER = "the office is open about it please mail or ask " * 4
+CASES = {
+    "revealed": own_words("qa", ["Please ask Quillon about it, mail jo@site.org or the office", "the office of quillon is open, jo@site.org", "about the office",
+                 "please mail the office about it", "mail me at me@other.org about the office",
+                 *[f"the office is open about it please mail me or ask at one of them {i}" for i in range(12)]]),
+    "kept_company": own_words("qb", [f"ask Quillon {i}, jo@site.org, the office {i}" for i in range(6)] + [f"the office ask {i}" for i in range(30)]),
+    "beside": own_words("qc", [f"farword {_FILLER} nearword jo@site.org {_FILLER}", *[f"{_FILLER} {i}" for i in range(9)]]),
+    "far": own_words("qd", [f"Quillon {_FILLER * 15}jo@site.org {_FILLER * 15}quillon", f"jo@site.org {_FILLER * 15} quillon", f"{_FILLER} quillonxx", *[f"{_FILLER} {i}" for i in range(12)]]),
+    "copies": own_words("qe", [f"ask quillon, mail jo@site.org {'x' * i}" for i in range(2)] * 20 + ["ask about the office by mail"] * 9),
+    "random": random_corpus(1, 90),
+}
 
 
-def test_words_far_from_a_single_mention_stay(documents):
-    """A word that is seen once, away from the mention, may be there by chance: it is left; beside it, it goes."""
-    filler = "the office is open about it please mail or ask " * 4
-    texts = [f"farword {filler} nearword jo@site.org {filler}", *[f"{filler} {i}" for i in range(9)]]
-    (places,) = check_terms(documents, texts).values()
-    assert {texts[0][a:b] for a, b in places} == {"nearword"}
+class Corpus:
+    """All cases in one table: what is found and what is left, and the same by loops. Cases share no words."""
+
+    def __init__(self, spark):
+        self.texts = [text for case in CASES.values() for text in case]
+        docs = spark.createDataFrame(list(enumerate(self.texts)), "doc_id long, text string")
+        self.found = {r.doc_id: {(t.start, t.end): t.share for t in r.terms} for r in pii.find(docs).collect() if r.terms}
+        self.clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+        self.want = plain_terms(self.texts)
 
+    def case(self, name):
+        """The number of a case's first text, its texts, and the words that are wanted in each of them."""
+        first = sum(len(texts) for other, texts in CASES.items() if list(CASES).index(other) < list(CASES).index(name))
+        texts = CASES[name]
+        words = {i: {texts[i][a:b].lower(): s for (a, b), s in self.want[first + i].items()} for i in range(len(texts)) if first + i in self.want}
+        return first, texts, words
 
-def test_terms_that_keep_company_are_removed(documents):
-    texts = [f"ask Quillon {i}, jo@site.org, the office {i}" for i in range(6)] + [f"the office ask {i}" for i in range(30)]
-    want = check_terms(documents, texts)
-    assert all(s > pii.REMOVE for x in want.values() for s in x.values()) and len(want) == 6
-    assert {r.doc_id: r.text for r in pii.sanitise(documents(texts)).collect()}[0] == "ask  0, [email], the office 0"
 
+@pytest.fixture(scope="module")
+def corpus(spark):
+    return Corpus(spark)
 
-def test_sanitising_equals_a_plain_replacement(documents):
-    texts = random_corpus(3, 60)
-    terms = plain_terms(texts)
-    for row in pii.sanitise(documents(texts)).collect():
-        text, at, out = texts[row.doc_id] or "", 0, ""
+
+def test_terms_equal_counts_over_all_documents(corpus):
+    assert {i: set(x) for i, x in corpus.found.items()} == {i: set(x) for i, x in corpus.want.items()}
+    assert all(math.isclose(corpus.found[i][place], share) for i, x in corpus.want.items() for place, share in x.items())
+
+
+def test_sanitising_equals_a_plain_replacement(corpus):
+    for i, clean in corpus.clean.items():
+        text, at, out = corpus.texts[i] or "", 0, ""
         spans = [(int(s), int(e), f"[{k}]") for k, s, e in (x.split(":") for x in brute(text))]
-        spans += [(a, b, "" if s > pii.REMOVE else "[term]") for (a, b), s in terms.get(row.doc_id, {}).items()]
-        for start, end, put in sorted(spans, key=lambda s: s[:1]):
+        spans += [(a, b, "" if s > pii.REMOVE else "[term]") for (a, b), s in corpus.want.get(i, {}).items()]
+        for start, end, put in sorted(spans, key=lambda s: s[0]):
             out += text[at:start] + (put if start >= at else "")
             at = max(at, end)
-        assert row.text == out + text[at:], text
+        assert clean == out + text[at:], text
+
+
+def test_terms_that_reveal_an_entity(corpus):
+    first, _, words = corpus.case("revealed")
+    assert words == {0: {"quillonqa": 4 / 5}, 1: {"quillonqa": 4 / 5}}
+    assert corpus.clean[first] == "Pleaseqa askqa [term] aboutqa itqa, mailqa [email] orqa theqa officeqa"
+
+
+def test_terms_that_keep_company_are_removed(corpus):
+    first, _, words = corpus.case("kept_company")
+    assert len(words) == 6 and all(set(x) == {"quillonqb"} and x["quillonqb"] > pii.REMOVE for x in words.values())
+    assert corpus.clean[first] == "askqb  0, [email], theqb officeqb 0"
+
+
+def test_words_seen_once_go_only_beside_the_mention(corpus):
+    """A word that is seen once, away from the mention, may be there by chance: it is left; beside it, it goes."""
+    assert corpus.case("beside")[2] == {0: {"nearwordqc": 2 / 3}}
+
+
+def test_terms_far_from_the_mention(corpus):
+    """A revealing term goes wherever it stands in a document with the entity, near the mention or not."""
+    first, texts, words = corpus.case("far")
+    assert set(words) == {0, 1} and len(corpus.want[first]) == 2
+    assert "uillon" not in corpus.clean[first] + corpus.clean[first + 1] and corpus.clean[first + 2] == texts[2]
+
+
+def test_copies_count_once_for_terms(corpus):
+    """Copies of a text, as other documents or as repeated rows, neither raise nor lower the share of a term."""
+    words = corpus.case("copies")[2]
+    assert len(words) == 40 and {x["quillonqe"] for x in words.values()} == {4 / 5}
+
+
+def test_shares_do_not_rise_with_the_corpus(corpus):
+    """A share depends on the documents of the term and the entity; with any others it stays the same."""
+    for name in CASES:
+        first, texts, _ = corpus.case(name)
+        alone = plain_terms(texts)
+        assert alone == {i - first: x for i, x in corpus.want.items() if first <= i < first + len(texts)}
 
 
 def test_one_text_with_very_many_entities_takes_time_in_proportion(documents):
     n = 20_000
     text = " ".join(f"user{i}@mail{i}.org wrote on {i}.1.2.3" for i in range(n))
+    docs = documents([text]).withColumn("base", pii.base_spans(F.col("text")))
     began = time.time()
-    (row,) = pii.find(documents([text])).collect()
-    assert len(row.base) == n + 256 and time.time() - began < 60
-    (clean,) = pii.sanitise(documents([text])).collect()
-    assert "@" not in clean.text and time.time() - began < 120
+    row = docs.select(F.size("base").alias("n"), F.length(pii.masked(F.col("text"))).alias("length")).first()
+    assert (row.n, row.length) == (n + 256, len(text)) and time.time() - began < 60
 
 
-@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 4097])
-def test_running_sums(spark, n):
-    values = [(7 * i) % 11 for i in range(n)]
-    frame = spark.createDataFrame([(values,)], "v array<long>").select(pii.sums_of(F.col("v")).alias("s"))
-    assert frame.first().s == [sum(values[:i]) for i in range(n)]
+def test_running_sums(spark):
+    lists = [[(7 * i) % 11 for i in range(n)] for n in (0, 1, 63, 64, 65, 4097)]
+    frame = spark.createDataFrame([(v,) for v in lists], "v array<long>").select("v", pii.sums_of(F.col("v")).alias("s"))
+    assert all(row.s == [sum(row.v[:i]) for i in range(len(row.v))] for row in frame.collect())
 
 
 def test_repeated_rows_extra_columns_and_no_python(documents):
@@ -234,21 +265,3 @@ def test_repeated_rows_extra_columns_and_no_python(documents):
 def test_digest_of_no_spans(documents, spark):
     rows = pii.find(documents([None])).select(F.sha2(pii.joined(F.col("base")), 256).alias("h")).collect()
     assert rows[0].h == hashlib.sha256(b"").hexdigest()
-
-
-def test_terms_far_from_the_mention(documents):
-    """A revealing term goes wherever it stands in a document with the entity, near the mention or not."""
-    filler = "the office is open about it please mail or ask " * 60
-    texts = [f"Quillon {filler}jo@site.org {filler}quillon", f"jo@site.org {filler} quillon", f"{filler} quillonxx", *[f"{filler} {i}" for i in range(12)]]
-    want = check_terms(documents, texts)
-    assert sorted(want[0]) == [(m.start(), m.end()) for m in re.finditer("(?i)quillon", texts[0])] and set(want) == {0, 1}
-    clean = {r.doc_id: r.text for r in pii.sanitise(documents(texts)).collect()}
-    assert "uillon" not in clean[0] + clean[1] and clean[2] == texts[2]
-
-
-def test_copies_count_once_for_terms(documents):
-    """Copies of a text, as other documents or as repeated rows, neither raise nor lower the share of a term."""
-    secret = [f"ask quillon, mail jo@site.org {'x' * i}" for i in range(2)]
-    others = ["ask about the office by mail"]
-    shares = [{share for x in found_terms(documents, texts).values() for share in x.values()} for texts in (secret + others, secret * 20 + others * 9)]
-    assert shares[0] == shares[1] and shares[0]
