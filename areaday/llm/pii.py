@@ -262,9 +262,8 @@ def disclosures(documents: DataFrame, words: DataFrame, texts: DataFrame) -> Dat
     profiles = materialise(profiles.join(first, ["of_entity", "in_documents"]).select("entity", "group", "of_entity"))
 
     found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), 0))
-    asked = materialise(words.select("term").distinct())
-    of_term = texts.select(F.explode(found).alias("term")).join(asked, "term", "left_semi").groupBy("term").agg(F.count("*").alias("of_term"))
-    of_term = materialise(of_term)
+    of_term = texts.select(F.explode(found).alias("term")).groupBy("term").agg(F.count("*").alias("of_term"))
+    of_term = materialise(of_term.join(words.select("term").distinct(), "term", "left_semi"))
 
     groups = held.join(profiles.filter("of_entity > 1"), "entity").select("hash", "group", "of_entity").distinct()
     rare = words.join(of_term, "term")
