@@ -241,10 +241,8 @@ def occurrences(documents: DataFrame, revealing: DataFrame) -> DataFrame:
 
 
 def each_once(texts: DataFrame) -> DataFrame:
-    """``texts`` without repeated ones; only those that repeat are grouped."""
-    times = texts.groupBy("hash").agg(F.count("*").alias("times"))
-    several = materialise(times.filter("times > 1").select("hash"))
-    return texts.join(several, "hash", "left_anti").unionByName(texts.join(several, "hash", "left_semi").dropDuplicates(["hash"]))
+    """``texts`` without repeated ones; copies go within the tasks that read them, before anything is sent."""
+    return texts.dropDuplicates(["hash"])
 
 
 def disclosures(documents: DataFrame, words: DataFrame, texts: DataFrame) -> DataFrame:
