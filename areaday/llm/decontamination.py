@@ -1,13 +1,14 @@
 """Benchmark passages in documents, by an FM-index per shard of the documents.
 
 A window is ``WINDOW`` consecutive words of an item, or all its words if it has fewer. Each task cuts its documents into
-shards. A shard's index holds every stretch of its texts that could hold a window: words that no window has separate
-stretches, and stretches shorter than the shortest window are left out, which changes no result. Backward search over
-wavelet-tree ranks finds the windows, sampled suffix positions tell where they are, and overlapping places are merged
-into spans.
+shards and numbers the words of a shard. Its index holds all of them, whatever is searched for; equal texts of a shard
+are in it once. Backward search over wavelet-tree ranks finds the windows, sampled suffix positions tell where they are,
+and overlapping places are merged into spans. A shard of more than ``SHARD_WORDS`` words, as one long text can be, is
+indexed in parts that overlap by the longest window.
 
-The windows go to the tasks in blocks of at most ``BLOCK_BYTES`` of item text, one pass over the documents for each
-block, so what is broadcast stays bounded however large the benchmark is.
+The windows are prepared in blocks of at most ``BLOCK_BYTES`` of item text. All blocks are searched in the same index;
+beyond ``PASS_BLOCKS`` blocks there is one more pass over the documents, so what is broadcast stays bounded however large
+the benchmark is.
 
 Null texts have no words, and neither documents nor items without words match anything. Repeated documents are searched
 one by one, and repeated items count once by their id (a null id counts as an empty one). Other columns take no part,
@@ -17,6 +18,9 @@ except that those named in ``keep`` are handed on. An empty table on either side
 from __future__ import annotations
 
 import math
+from collections import defaultdict
+from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +33,8 @@ from areaday.session import materialise
 
 WINDOW = 13
 BLOCK_BYTES = 4_000_000
+PASS_BLOCKS = 8
+WINDOWS_AT_ONCE = 1 << 16
 SHARD_WORDS = 1 << 20
 SHARD_DOCUMENTS = 8 * 1000
 
@@ -44,119 +50,133 @@ def plain_words(text: str) -> list[bytes]:
 
 
 class Phrases:
-    """The different windows of items, as numbers, and the items that have each."""
+    """The different windows of items, as places in the items' numbered words, and the items that have each."""
 
     def __init__(self, items: list[tuple[str, str]], window: int):
-        windows: dict[tuple[bytes, ...], set[str]] = {}
-        for item_id, text in items:
-            words = plain_words(text)
-            for start in range(max(1, len(words) - window + 1)) if words else ():
-                windows.setdefault(tuple(words[start : start + window]), set()).add(item_id)
-        self.number = {w: _FIRST_WORD + i for i, w in enumerate(sorted({w for key in windows for w in key}))}
-        self.size = _FIRST_WORD + len(self.number)
-        self.lengths = np.array([len(key) for key in windows], np.int64)
-        self.shortest = int(self.lengths.min()) if windows else 0
-        self.words = np.zeros((len(windows), int(self.lengths.max()) if windows else 0), np.int64)
-        for i, key in enumerate(windows):
-            self.words[i, self.words.shape[1] - len(key) :] = [self.number[w] for w in key]
-        self.items = sorted({item_id for ids in windows.values() for item_id in ids})
+        number: dict[bytes, int] = defaultdict(count().__next__)
+        windows: dict[tuple[int, ...], int] = {}
+        owners: list[set[int]] = []
+        words, ends, lengths = [], [], []
+        self.items = sorted({item_id for item_id, _ in items})
         place = {item_id: i for i, item_id in enumerate(self.items)}
-        owners = [sorted(place[x] for x in ids) for ids in windows.values()]
-        self.owned = np.array([i for ids in owners for i in ids], np.int64)
+        for item_id, text in items:
+            found = [number[w] for w in plain_words(text)]
+            length = min(window, len(found))
+            for start in range(len(found) - length + 1) if found else ():
+                key = tuple(found[start : start + length])
+                if key not in windows:
+                    windows[key] = len(ends)
+                    owners.append(set())
+                    ends.append(len(words) + start + length)
+                    lengths.append(length)
+                owners[windows[key]].add(place[item_id])
+            words += found
+        self.vocabulary = list(number)
+        self.words = np.array(words, np.int32)
+        self.ends, self.lengths = np.array(ends, np.int32), np.array(lengths, np.int32)
+        self.owned = np.array([i for ids in owners for i in sorted(ids)], np.int32)
         self.owns_from = np.concatenate(([0], np.cumsum([len(ids) for ids in owners], dtype=np.int64))).astype(np.int64)
 
+    def numbered(self, number: dict[bytes, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Windows all of whose words have a number, and a row of these per window, aligned to the right; in parts."""
+        words = np.array([number.get(w, 0) for w in self.vocabulary], np.int64)[self.words]
+        unknown = np.concatenate(([0], np.cumsum(words == 0)))
+        known = np.flatnonzero(unknown[self.ends] == unknown[self.ends - self.lengths])
+        for start in range(0, len(known), WINDOWS_AT_ONCE):
+            part = known[start : start + WINDOWS_AT_ONCE]
+            width = int(self.lengths[part].max())
+            yield part, words[np.maximum(self.ends[part, None] - width + np.arange(width), 0)]
 
-def stretches(numbers: np.ndarray, shortest: int) -> np.ndarray:
-    """Places of the runs of at least ``shortest`` words that are numbered (not 0), each run with the place after it."""
-    inside = np.concatenate(([0], (numbers > 0).astype(np.int8), [0]))
-    edges = np.flatnonzero(np.diff(inside))
-    starts, ends = edges[::2], edges[1::2]
-    long = ends - starts >= shortest
-    starts, lengths = starts[long], (ends - starts)[long] + 1
-    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges of ``lengths`` from ``starts`` on."""
+    return np.arange(lengths.sum()) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
 
 
 class Shard:
     """Documents that are indexed and searched together."""
 
-    def __init__(self, phrases: Phrases):
-        self.phrases = phrases
-        self.n_words: list[int] = []
+    def __init__(self):
+        self.number: dict[bytes, int] = defaultdict(count(_FIRST_WORD).__next__)
+        self.text_of: list[int] = []
+        self.places: dict[str, int] = {}
         self.symbols: list[np.ndarray] = []
-        self.document: list[np.ndarray] = []
-        self.word: list[np.ndarray] = []
         self.indexed = 0
 
     def add(self, texts: list[str]) -> None:
-        look = self.phrases.number.get
-        words = [plain_words(text) for text in texts]
-        counts = [len(w) for w in words]
-        # A 0 after each document keeps stretches within one.
-        numbers = np.zeros(sum(counts) + len(counts), np.int64)
-        at, starts = 0, []
-        for found in words:
-            starts.append(at)
-            numbers[at : at + len(found)] = [look(w, 0) for w in found]
-            at += len(found) + 1
-        places = stretches(numbers, max(1, self.phrases.shortest))
-        owner = np.searchsorted(np.array(starts, np.int64), places, side="right") - 1
-        self.symbols.append(np.where(numbers[places] > 0, numbers[places], _SEPARATOR))
-        self.word.append(places - np.array(starts, np.int64)[owner] if len(places) else places)
-        self.document.append(owner + len(self.n_words))
-        self.n_words += counts
-        self.indexed += len(places)
-
-    def found(self) -> tuple[list[list[dict]], list[list[str]]]:
+        for text in texts:
+            place = self.places.setdefault(text, len(self.symbols))
+            self.text_of.append(place)
+            if place == len(self.symbols):
+                words = plain_words(text)
+                self.symbols.append(np.array([*map(self.number.__getitem__, words), _SEPARATOR], np.int32))
+                self.indexed += len(words)
+
+    def n_words(self) -> list[int]:
+        return [len(self.symbols[place]) - 1 for place in self.text_of]
+
+    def indexes(self, overlap: int) -> Iterator[tuple[int, FMIndex]]:
+        """The parts of the shard's index, each with its place in the shard."""
+        symbols = np.concatenate(self.symbols)
+        step = -(-len(symbols) // max(1, -(-len(symbols) // SHARD_WORDS)))
+        for start in range(0, len(symbols), step):
+            yield start, FMIndex(symbols[start : start + step + overlap], _FIRST_WORD + len(self.number))
+
+    def found(self, blocks: list[Phrases]) -> tuple[list[list[dict]], list[list[str]]]:
         """Per document its merged spans and the items with occurring windows."""
-        spans: list[list[dict]] = [[] for _ in self.n_words]
-        items: list[list[str]] = [[] for _ in self.n_words]
-        if not self.indexed or not len(self.phrases.lengths):
-            return spans, items
-        symbols, document, word = map(np.concatenate, (self.symbols, self.document, self.word))
-        index = FMIndex(symbols, self.phrases.size)
-        low, high = index.search(self.phrases.words, self.phrases.lengths)
-        times = high - low
-        phrase = np.repeat(np.arange(len(times)), times)
-        rows = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + low[phrase]
-        at = index.locate(rows)
-
-        edge = np.zeros(len(symbols) + 1, np.int64)
-        np.add.at(edge, at, 1)
-        np.add.at(edge, at + self.phrases.lengths[phrase], -1)
+        spans: list[list[dict]] = [[] for _ in self.symbols]
+        items: list[set[str]] = [set() for _ in self.symbols]
+        longest = max((int(b.lengths.max()) for b in blocks if len(b.lengths)), default=0)
+        if not self.indexed or not longest:
+            return [[] for _ in self.text_of], [[] for _ in self.text_of]
+        starts = np.concatenate(([0], np.cumsum([len(s) for s in self.symbols])))
+        number = dict(self.number)
+        edge = np.zeros(starts[-1] + 1, np.int64)
+        for first, index in self.indexes(longest - 1):
+            for block in blocks:
+                for part, words in block.numbered(number):
+                    low, high = index.search(words, block.lengths[part])
+                    hits = np.flatnonzero(high > low)
+                    times = (high - low)[hits]
+                    at = first + index.locate(ranges(low[hits], times))
+                    window = np.repeat(part[hits], times)
+                    np.add.at(edge, at, 1)
+                    np.add.at(edge, at + block.lengths[window], -1)
+                    # Each window of a text once, then each item of these.
+                    text = np.searchsorted(starts, at, side="right") - 1
+                    seen = np.unique(text * len(block.ends) + window)
+                    text, window = seen // len(block.ends), seen % len(block.ends)
+                    many = block.owns_from[window + 1] - block.owns_from[window]
+                    owned = block.owned[ranges(block.owns_from[window], many)]
+                    for pair in np.unique(np.repeat(text, many) * len(block.items) + owned).tolist():
+                        items[pair // len(block.items)].add(block.items[pair % len(block.items)])
         covered = np.concatenate(([0], (np.cumsum(edge)[:-1] > 0).astype(np.int8), [0]))
         bounds = np.flatnonzero(np.diff(covered))
-        for start, end in zip(bounds[::2].tolist(), bounds[1::2].tolist(), strict=True):
-            first = int(word[start])
-            spans[document[start]].append({"start": first, "end": first + end - start})
-
-        seen = np.unique(document[at] * len(times) + phrase)
-        doc, phrase = seen // len(times), seen % len(times)
-        first, many = self.phrases.owns_from[phrase], np.diff(self.phrases.owns_from)[phrase]
-        owned = self.phrases.owned[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)]
-        pairs = np.unique(np.repeat(doc, many) * len(self.phrases.items) + owned)
-        for pair in pairs.tolist():
-            items[pair // len(self.phrases.items)].append(self.phrases.items[pair % len(self.phrases.items)])
-        return spans, items
+        text = np.searchsorted(starts, bounds[::2], side="right") - 1
+        begins, ends = bounds[::2] - starts[text], bounds[1::2] - starts[text]
+        for place, start, end in zip(text.tolist(), begins.tolist(), ends.tolist(), strict=True):
+            spans[place].append({"start": start, "end": end})
+        return [spans[place] for place in self.text_of], [sorted(items[place]) for place in self.text_of]
 
 
 RESULT = "n_words long, spans array<struct<start: long, end: long>>, items array<string>"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def search(rows: DataFrame, row: str, phrases: Phrases) -> DataFrame:
-    """``rows`` (``row, text``) with the words, spans and items of each text."""
-    sent = rows.sparkSession.sparkContext.broadcast(phrases)
+def search(rows: DataFrame, row: str, blocks: list[Phrases]) -> DataFrame:
+    """``rows`` (``row, text``) with the words, spans and items of each text, in one pass for all ``blocks``."""
+    sent = [rows.sparkSession.sparkContext.broadcast(block) for block in blocks]
 
     def run(frames):
-        held, shard = [], Shard(sent.value)
+        held, shard = [], Shard()
 
         def emit():
-            spans, items = shard.found()
+            n_words, (spans, items) = shard.n_words(), shard.found([block.value for block in sent])
             at = 0
             for frame in held:
                 part = slice(at, at := at + frame.num_rows)
                 yield pa.record_batch(
-                    [frame.column("row"), frame.column("text"), pa.array(shard.n_words[part], pa.int64()),
+                    [frame.column("row"), frame.column("text"), pa.array(n_words[part], pa.int64()),
                      pa.array(spans[part], _SPANS), pa.array(items[part], pa.list_(pa.string()))],
                     names=["row", "text", "n_words", "spans", "items"],
                 )
@@ -164,25 +184,28 @@ def search(rows: DataFrame, row: str, phrases: Phrases) -> DataFrame:
         for frame in frames:
             held.append(frame)
             shard.add(frame.column("text").to_pylist())
-            if shard.indexed >= SHARD_WORDS or len(shard.n_words) >= SHARD_DOCUMENTS:
+            if shard.indexed >= SHARD_WORDS or len(shard.text_of) >= SHARD_DOCUMENTS:
                 yield from emit()
-                held, shard = [], Shard(sent.value)
+                held, shard = [], Shard()
         if held:
             yield from emit()
 
     return rows.select("row", "text").mapInArrow(run, f"row {row}, text string, {RESULT}")
 
 
-def blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, str]]]:
-    """The items in blocks of about ``block_bytes`` of text, fetched one at a time."""
+def passes(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[tuple[list[Phrases], bool]]:
+    """The windows in blocks of about ``block_bytes`` of item text, fetched one at a time; those of a pass together."""
     items = benchmark.select(
         F.coalesce(benchmark["item_id"].cast("string"), F.lit("")).alias("item_id"), benchmark["text"].alias("text")
     ).filter(F.col("text").isNotNull()).distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
-    count = max(1, math.ceil(size / block_bytes))
-    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    for block in range(count):
-        yield [(r["item_id"], r["text"]) for r in items.filter(place == block).collect()], block == count - 1
+    many = max(1, math.ceil(size / block_bytes))
+    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(many))
+    for first in range(0, many, PASS_BLOCKS):
+        part = range(first, min(many, first + PASS_BLOCKS))
+        yield [
+            Phrases([(r["item_id"], r["text"]) for r in items.filter(place == block).collect()], window) for block in part
+        ], part.stop == many
 
 
 def contamination(
@@ -198,14 +221,14 @@ def contamination(
     """
     small_batches(docs.sparkSession)
     row, rows, so_far = row_type(docs, keep), carried(docs, keep), None
-    for items, last in blocks(benchmark, block_bytes):
+    for blocks, last in passes(benchmark, window, block_bytes):
         if so_far is None:
-            found = search(rows, row, Phrases(items, window))
+            found = search(rows, row, blocks)
         else:  # what was found before travels in the row
             found = search(
                 so_far.select(F.struct("row", "spans", "items").alias("row"), "text"),
                 f"struct<row: {row}, spans: array<struct<start: bigint, end: bigint>>, items: array<string>>",
-                Phrases(items, window),
+                blocks,
             ).select("row.row", "text", "n_words", merged("row.spans", "spans"),
                      F.array_sort(F.array_union("row.items", "items")).alias("items"))
         so_far = found if last else materialise(found)

@@ -11,40 +11,72 @@ SAMPLE = 16
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Starts of the suffixes in their order, by prefix doubling; the last symbol must be the only smallest."""
-    n, span = len(symbols), 1
-    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
-    while True:
-        after = np.full(n, -1, np.int64)
-        after[: max(n - span, 0)] = rank[span:]
-        key = rank * (n + 1) + after + 1
-        order = np.argsort(key, kind="stable")
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate(([0], np.cumsum(np.diff(key[order]) != 0)))
+    """Starts of the suffixes in their order, by prefix doubling; the last symbol must be the only smallest.
+
+    The first order is by as many symbols as one number holds. Later rounds sort only suffixes that are still alike.
+    """
+    n = len(symbols)
+    bits = max(1, int(symbols.max()).bit_length())
+    span = max(1, 62 // bits)
+    key = np.zeros(n, np.int64)
+    for ahead in range(min(span, n)):
+        key[: n - ahead] |= symbols[ahead:].astype(np.int64) << (bits * (span - 1 - ahead))
+    order = np.argsort(key, kind="stable")
+    # The rank of a suffix is the first place of those that are alike so far.
+    new = np.concatenate(([True], np.diff(key[order]) != 0))
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    places = np.flatnonzero(~(new & np.append(new[1:], True)))
+    while len(places):
+        suffixes = order[places]
+        after = suffixes + span
+        key = rank[suffixes] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        by_key = np.argsort(key, kind="stable")
+        suffixes, key = suffixes[by_key], key[by_key]
+        order[places] = suffixes
+        new = np.concatenate(([True], np.diff(key) != 0))
+        rank[suffixes] = places[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        places = places[~(new & np.append(new[1:], True))]
         span *= 2
-        if rank[order[-1]] == n - 1:
-            return order
+    return order
+
+
+class Bits:
+    """Bits in words of 64, with the count of ones before each word."""
+
+    def __init__(self, bits: np.ndarray):
+        packed = np.zeros((len(bits) // 64 + 1) * 8, np.uint8)
+        packed[: (len(bits) + 7) // 8] = np.packbits(bits, bitorder="little")
+        self.words = packed.view("<u8")
+        self.counts = np.concatenate(([0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)))
+
+    def ones(self, before: np.ndarray) -> np.ndarray:
+        word, bit = before >> 6, (before & 63).astype(np.uint64)
+        below = self.words[word] & ((np.uint64(1) << bit) - np.uint64(1))
+        return self.counts[word] + np.bitwise_count(below)
 
 
 class WaveletTree:
-    """Counts of a symbol before a position, by one array of running bit counts per level (a wavelet matrix)."""
+    """Counts of a symbol before a position, by the bits of one level after the other (a wavelet matrix)."""
 
     def __init__(self, symbols: np.ndarray, size: int):
         self.levels = max(1, int(size - 1).bit_length())
-        self.ones, self.zeros = [], []
+        self.bits, self.zeros = [], []
         for level in range(self.levels - 1, -1, -1):
-            bits = (symbols >> level) & 1
-            self.ones.append(np.concatenate(([0], np.cumsum(bits))))
-            self.zeros.append(len(symbols) - int(self.ones[-1][-1]))
-            symbols = np.concatenate((symbols[bits == 0], symbols[bits == 1]))
+            ones = (symbols >> level) & 1 == 1
+            self.bits.append(Bits(ones))
+            zeros = symbols[~ones]
+            self.zeros.append(len(zeros))
+            symbols = np.concatenate((zeros, symbols[ones]))
 
     def rank(self, symbol: np.ndarray, before: np.ndarray) -> np.ndarray:
         """How often each symbol occurs before each position."""
         first = np.zeros_like(before)
-        for depth, (ones, zeros) in enumerate(zip(self.ones, self.zeros, strict=True)):
-            bit = (symbol >> (self.levels - 1 - depth)) & 1 == 1
-            before = np.where(bit, zeros + ones[before], before - ones[before])
-            first = np.where(bit, zeros + ones[first], first - ones[first])
+        for depth, (bits, zeros) in enumerate(zip(self.bits, self.zeros, strict=True)):
+            one = (symbol >> (self.levels - 1 - depth)) & 1 == 1
+            ones_before, ones_first = bits.ones(before), bits.ones(first)
+            before = np.where(one, zeros + ones_before, before - ones_before)
+            first = np.where(one, zeros + ones_first, first - ones_first)
         return before - first
 
 
@@ -52,7 +84,7 @@ class FMIndex:
     """The index of ``symbols``, which are at least 1 and below ``size``; 0 is the end mark."""
 
     def __init__(self, symbols: np.ndarray, size: int, sample: int = SAMPLE):
-        whole = np.append(symbols, 0).astype(np.int64)
+        whole = np.append(symbols, 0).astype(np.int32)
         suffixes = suffix_array(whole)
         self.last = whole[suffixes - 1]
         self.before = np.concatenate(([0], np.cumsum(np.bincount(whole, minlength=size))))

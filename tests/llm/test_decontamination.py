@@ -61,6 +61,35 @@ def test_equals_brute_force(spark, documents, seed, block_bytes):
     assert run(spark, documents, texts, items, 3, block_bytes=block_bytes) == brute(texts, items, 3)
 
 
+def test_blocks_are_searched_in_one_pass(spark, documents, monkeypatch):
+    texts, items = random_case(5)
+    passes = []
+    search = dc.search
+    monkeypatch.setattr(dc, "search", lambda rows, row, blocks: passes.append(len(blocks)) or search(rows, row, blocks))
+    size = sum(len((text or "").encode()) + 16 for _, text in set(items) if text is not None)
+    assert run(spark, documents, texts, items, 3, block_bytes=-(-size // 3)) == brute(texts, items, 3) and passes == [3]
+
+
+def test_all_words_are_indexed(sf, spark):
+    texts = sorted({r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()})
+    shard = dc.Shard()
+    shard.add(texts + texts[:5])
+    assert shard.indexed == sum(len(words(t)) for t in texts) and len(shard.n_words()) == len(texts) + 5
+    ((first, index),) = shard.indexes(0)
+    assert first == 0 and len(index.last) == shard.indexed + len(texts) + 1
+
+
+def test_long_shards_are_indexed_in_parts(monkeypatch):
+    monkeypatch.setattr(dc, "SHARD_WORDS", 7)
+    texts, items = random_case(11)
+    shard = dc.Shard()
+    shard.add([text for _, text in texts])
+    spans, found = shard.found([dc.Phrases([(str(i or ""), t) for i, t in items if t is not None], 3)])
+    hit = [sum(x["end"] - x["start"] for x in s) for s in spans]
+    expected = {r[0]: (r[2], r[3]) for r in brute(texts, [(i or "", t) for i, t in items], 3)}
+    assert {i: (hit[i], found[i]) for i in range(len(texts))} == expected
+
+
 def test_given_tables(spark, documents, sf):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
@@ -115,5 +144,10 @@ def test_index_finds_every_occurrence():
 def test_suffixes_and_ranks():
     text = np.array([2, 1, 2, 1, 2, 1, 0])
     assert suffix_array(text).tolist() == sorted(range(7), key=lambda i: text[i:].tolist())
+    rng = np.random.default_rng(2)
+    for size in (1, 5, 200):
+        for text_ in (rng.integers(1, 3, size), np.ones(size, np.int64), rng.integers(1, 1 << 20, size)):
+            whole = np.append(text_, 0)
+            assert suffix_array(whole).tolist() == sorted(range(size + 1), key=lambda i: whole[i:].tolist())
     tree = WaveletTree(text, 3)
     assert tree.rank(np.array([1, 2, 0]), np.array([4, 3, 7])).tolist() == [2, 2, 1]
