@@ -25,6 +25,7 @@ from areaday.session import new_path
 from areaday.sinks import files as out
 from areaday.sinks.tables import Audit, load, load_once
 from areaday.sources import documents, files
+from areaday.sources.quarantine import Quarantine
 
 AUDIT = Audit(datetime(2025, 3, 8, 6, 30), "elt", "load_accidents")
 #: About so many rows share a landed document.
@@ -196,6 +197,42 @@ def communes_scan(spark, sf):
     return documents.read_communes(spark, commune_documents(spark, sf))
 
 
+def partly_broken_documents(spark: SparkSession, sf: str) -> str:
+    """The customers as documents of ten communes each, one per line; four of each nine cannot be read, each in its way."""
+    number = F.floor(F.col("c_custkey") / 10)
+    population = F.when(number % 9 == 2, "many").otherwise(F.floor("c_acctbal").cast("string"))
+    commune = F.format_string(
+        '{"nom": "%s", "codeRegion": "%s", "code": "%s", "population": %s}',
+        "c_name",
+        "c_nationkey",
+        "c_custkey",
+        F.when(number % 9 == 2, F.concat(F.lit('"'), population, F.lit('"'))).otherwise(population),
+    )
+    several = given.table(spark, sf, "customer").groupBy(number.alias("number")).agg(F.collect_list(commune).alias("found"))
+    whole = F.concat(F.lit("["), F.array_join("found", ", "), F.lit("]"))
+    broken = (
+        F.when(F.col("number") % 9 == 0, F.substring(whole, 1, 30))
+        .when(F.col("number") % 9 == 1, F.concat(F.lit('{"message": '), whole, F.lit("}")))
+        .when(F.col("number") % 9 == 3, F.lit("  "))
+        .otherwise(whole)
+    )
+    return landed_text(several, broken, "communes")
+
+
+def communes_readable(spark, sf):
+    """The communes of the documents that can be read."""
+    aside = Quarantine(new_path(spark, "quarantine"))
+    return documents.read_communes(spark, partly_broken_documents(spark, sf), multi_line=False, quarantine=aside)
+
+
+def quarantine_reasons(spark, sf):
+    """The documents that cannot be read by reason, beside the counts of the pass that put them aside."""
+    aside = Quarantine(new_path(spark, "quarantine"))
+    documents.read_communes(spark, partly_broken_documents(spark, sf), multi_line=False, quarantine=aside)
+    counts = [F.lit(value).cast("long").alias(f"all_{name}") for name, value in aside.counts["communes"]._asdict().items()]
+    return aside.read(spark).groupBy("source", "reason").agg(F.count("*").alias("documents")).select("*", *counts)
+
+
 def postal_codes(spark, sf):
     return documents.read_postal_codes(spark, commune_documents(spark, sf))
 
@@ -421,6 +458,24 @@ QUERIES = {
         """SELECT c_name AS commune, CAST(c_nationkey AS VARCHAR) AS code_region, CAST(c_custkey AS VARCHAR) AS code,
                   CAST(floor(c_acctbal) AS INTEGER) AS population FROM customer""",
     ),
+    "communes_readable": (
+        communes_readable,
+        """SELECT c_name AS commune, CAST(c_nationkey AS VARCHAR) AS code_region, CAST(c_custkey AS VARCHAR) AS code,
+                  CAST(floor(c_acctbal) AS INTEGER) AS population FROM customer WHERE (c_custkey // 10) % 9 > 3""",
+    ),
+    "quarantine_reasons": (
+        quarantine_reasons,
+        """WITH d AS (SELECT c_custkey // 10 AS number, count(*) AS n FROM customer GROUP BY 1),
+                totals AS (SELECT count(*) AS all_documents, count(*) FILTER (WHERE number % 9 < 4) AS all_quarantined,
+                                  coalesce(sum(n) FILTER (WHERE number % 9 > 3), 0) AS all_elements FROM d)
+           SELECT 'communes' AS source,
+                  CASE number % 9 WHEN 0 THEN 'malformed' WHEN 1 THEN 'no list' WHEN 2 THEN 'value of another type'
+                       ELSE 'empty' END AS reason, count(*) AS documents,
+                  CAST(any_value(all_documents) AS BIGINT) AS all_documents,
+                  CAST(any_value(all_quarantined) AS BIGINT) AS all_quarantined,
+                  CAST(any_value(all_elements) AS BIGINT) AS all_elements
+           FROM d, totals WHERE number % 9 < 4 GROUP BY ALL""",
+    ),
     "postal_codes": (
         postal_codes,
         """SELECT c_name AS commune, CAST(c_custkey AS VARCHAR) || ', ' || CAST(c_nationkey AS VARCHAR) AS postal_codes

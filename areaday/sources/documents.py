@@ -1,4 +1,8 @@
-"""Landed JSON and HTML payloads as rows. A document that is cut off or has values of another type raises an error."""
+"""Landed JSON and HTML payloads as rows.
+
+A document that is cut off or has values of another type raises an error, unless a ``Quarantine`` is given, which such
+documents go to.
+"""
 
 from __future__ import annotations
 
@@ -15,6 +19,7 @@ from areaday.functions.dates import utc_instant, years_around
 from areaday.functions.text import part, strip
 from areaday.operators.aggregates import last_wins
 from areaday.sources.boundaries import json_elements
+from areaday.sources.quarantine import Quarantine, readable_elements
 
 # The table markup that rows are read from.
 ROW = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
@@ -25,12 +30,22 @@ FAIL = {"mode": "FAILFAST"}
 GEOMETRY_DEPTHS = {"Point": 0, "MultiPoint": 1, "LineString": 1, "MultiLineString": 2, "Polygon": 2, "MultiPolygon": 3}
 
 
-def elements(spark: SparkSession, path: str, schema: str, key: str | None, multi_line: bool) -> DataFrame:
+def elements(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    key: str | None,
+    multi_line: bool,
+    quarantine: Quarantine | None = None,
+    name: str = "documents",
+) -> DataFrame:
     """The objects of the lists in JSON documents as column ``r``: of the lists that they are, or of those below ``key``.
 
     With ``multi_line`` a file is one document, which several tasks read where it is large (``json_elements``); otherwise
-    each line is one.
+    each line is one. With ``quarantine`` documents that cannot be read go there as those of the source ``name``.
     """
+    if quarantine is not None:
+        return readable_elements(spark, path, schema, key, multi_line, quarantine, name)
     if not multi_line:
         documents = spark.read.schema(schema).options(**FAIL).json(path)
         return documents.select(F.struct("*").alias("r") if key is None else F.explode(key).alias("r"))
@@ -39,9 +54,11 @@ def elements(spark: SparkSession, path: str, schema: str, key: str | None, multi
     return json_elements(spark, path, key).select(F.from_json("element", kind, FAIL).alias("r"))
 
 
-def read_catalogue(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_catalogue(
+    spark: SparkSession, path: str, multi_line: bool = True, quarantine: Quarantine | None = None
+) -> DataFrame:
     """The resources of catalogue documents, with defaults for missing fields."""
-    resource = elements(spark, path, schemas.CATALOGUE_JSON, "resources", multi_line)
+    resource = elements(spark, path, schemas.CATALOGUE_JSON, "resources", multi_line, quarantine, "catalogue")
     return resource.select(
         F.coalesce("r.title", F.lit(TITLE_DEFAULT)).alias("title"),
         F.coalesce("r.url", F.lit("")).alias("url"),
@@ -70,10 +87,16 @@ def read_public_holidays(spark: SparkSession, path: str, first: int, last: int)
 
 
 def read_school_holidays(
-    spark: SparkSession, path: str, year: int, span: tuple[int, int] = SCHOOL_HOLIDAY_YEARS, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    year: int,
+    span: tuple[int, int] = SCHOOL_HOLIDAY_YEARS,
+    multi_line: bool = True,
+    quarantine: Quarantine | None = None,
 ) -> DataFrame:
     """School holidays of the school years around ``year``, one row per zone and range."""
-    fields = elements(spark, path, schemas.SCHOOL_JSON, "records", multi_line).select("r.fields.*")
+    records = elements(spark, path, schemas.SCHOOL_JSON, "records", multi_line, quarantine, "school_holidays")
+    fields = records.select("r.fields.*")
     first, last = years_around(year, span)
     in_span = part(F.col("annee_scolaire"), "-", 1).cast("int").between(first, last)
     return fields.filter(in_span).select(
@@ -84,16 +107,20 @@ def read_school_holidays(
     )
 
 
-def read_communes(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_communes(
+    spark: SparkSession, path: str, multi_line: bool = True, quarantine: Quarantine | None = None
+) -> DataFrame:
     """Communes from any number of files, each an array of objects."""
-    documents = elements(spark, path, schemas.COMMUNES_JSON, None, multi_line).select("r.*")
+    documents = elements(spark, path, schemas.COMMUNES_JSON, None, multi_line, quarantine, "communes").select("r.*")
     return documents.select(
         F.col("nom").alias("commune"), F.col("codeRegion").alias("code_region"), "code", "population"
     )
 
 
-def read_postal_codes(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    documents = elements(spark, path, schemas.COMMUNES_JSON, None, multi_line).select("r.*")
+def read_postal_codes(
+    spark: SparkSession, path: str, multi_line: bool = True, quarantine: Quarantine | None = None
+) -> DataFrame:
+    documents = elements(spark, path, schemas.COMMUNES_JSON, None, multi_line, quarantine, "postal_codes").select("r.*")
     return documents.select(
         F.col("nom").alias("commune"), F.array_join("codesPostaux", ", ").alias("postal_codes")
     )
@@ -139,13 +166,16 @@ def read_fire_brigades(spark: SparkSession, path: str) -> DataFrame:
     return fire_brigades(spark.read.text(path, wholetext=True), "value")
 
 
-def read_geojson(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_geojson(
+    spark: SparkSession, path: str, multi_line: bool = True, quarantine: Quarantine | None = None
+) -> DataFrame:
     """``code``, ``nom``, ``type`` and ``polygons`` of the features of GeoJSON documents.
 
     All geometries come in the form of multi-polygons, lists of polygons of rings of points of coordinates: a polygon as
     a list of one, lines as rings, points as rings of one point. A feature without a geometry has null.
     """
-    feature = elements(spark, path, schemas.GEOJSON, "features", multi_line).select("r.properties.*", "r.geometry.*")
+    features = elements(spark, path, schemas.GEOJSON, "features", multi_line, quarantine, "geojson")
+    feature = features.select("r.properties.*", "r.geometry.*")
 
     def coordinates(depth: int) -> Column:
         """The coordinates as nested lists that many levels above a point, wrapped up to the depth of multi-polygons."""
