@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+import shutil
 import uuid
 
 import pytest
@@ -15,6 +16,7 @@ from areaday.operators.ranking import latest_rows
 from areaday.session import new_path
 from areaday.sinks.files import json_records
 from areaday.sinks.tables import Audit
+from areaday.sources.quarantine import Counts, Quarantine
 
 COMMUNES = ["77001", "77002", "77003"]
 YEARS = [2022, 2023]
@@ -70,6 +72,20 @@ def test_training_set_of_the_files(spark, landing):
             assert r.temp is None and r.temp_max is None
 
 
+def test_a_broken_department_does_not_stop_the_load(spark, landing, tmp_path):
+    root, accidents = landing
+    landed = shutil.copytree(root, tmp_path / "landing")
+    (landed / "communes" / "78.json").write_text('[{"nom": "x", "codeRegion": "11", "code": "78001", "popul')
+    with pytest.raises(Exception):  # noqa: B017
+        elt.training_set_from_files(spark, str(landed), "77", 2025).collect()
+    aside = Quarantine(str(tmp_path / "aside"))
+    found = elt.training_set_from_files(spark, str(landed), "77", 2025, quarantine=aside)
+    assert found.agg(F.sum(COUNT)).first()[0] == sum(n for (com, _), n in accidents.items() if com in COMMUNES)
+    (bad,) = aside.read(spark).collect()
+    assert bad.source == "communes" and bad.reason == "malformed" and bad.document.endswith("78.json")
+    assert aside.counts == {"communes": Counts(2, 1, len(COMMUNES)), "school_holidays": Counts(1, 0, 1)}
+
+
 def test_load_export_train_score_and_map(spark, landing):
     root, _ = landing
     table, audit = f"t_{uuid.uuid4().hex}", Audit(dt.datetime(2025, 3, 8), "elt", "load")
