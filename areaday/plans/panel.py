@@ -38,7 +38,8 @@ def dense_counts(communes: DataFrame, counts: DataFrame, bounds: DataFrame) -> D
 
     Only the counted days are joined to the communes and shuffled. Each of them is then stretched up
     to the day before the commune's next one, and the first also back to the start, so the dense rows
-    come out of a map step. A commune has at most one counted row per day of the bounds.
+    come out of a map step. A commune has at most one counted row per day of the bounds, so its stretches
+    stay in one partition: what is grouped by commune afterwards needs no shuffle of the dense rows.
     """
     n = wide_partitions(communes.sparkSession)
     limit = bounds.select(F.struct("lo", "hi")).scalar()
@@ -60,7 +61,7 @@ def dense_counts(communes: DataFrame, counts: DataFrame, bounds: DataFrame) -> D
             }
         )
     )
-    spread = stretches.repartition(n, "dep", "com", "day")
+    spread = stretches.repartition(n, "com", "dep")
     days = spread.select(
         "com", "population", "dep", "day", COUNT, F.explode(F.sequence("_from", "_to")).alias("date")
     )
@@ -68,10 +69,16 @@ def dense_counts(communes: DataFrame, counts: DataFrame, bounds: DataFrame) -> D
     return days.select("com", "population", "dep", "date", filled.alias(COUNT))
 
 
+def join_days(dense: DataFrame, days: DataFrame) -> DataFrame:
+    """The dense rows with what ``days`` has for their date; only whole numbers as keys are found without hashing a row."""
+    numbered = days.withColumn("_day", F.unix_date("date")).drop("date")
+    return dense.join(F.broadcast(numbered), F.unix_date(dense["date"]) == F.col("_day")).drop("_day")
+
+
 def panel(days: DataFrame, communes: DataFrame, counts: DataFrame, bounds: DataFrame) -> DataFrame:
     """Communes by days of the calendar, with flags and counts; the month is two-digit text."""
-    dense = dense_counts(communes, counts, bounds).join(F.broadcast(days), "date")
-    return dense.withColumn("mois", zero_pad(F.col("mois").cast("string"))).select(*PANEL)
+    padded = days.withColumn("mois", zero_pad(F.col("mois").cast("string")))
+    return join_days(dense_counts(communes, counts, bounds), padded).select(*PANEL)
 
 
 def count_calendars(counts: DataFrame) -> DataFrame:
@@ -129,7 +136,7 @@ def training_set(
     bounds = count_bounds(counts) if bounds is None else bounds
     flags = calendar(bounds, public_holidays, school_holidays)
     days = flags.join(weather.select("date", *WEATHER), "date", "left")
-    dense = dense_counts(communes, counts, bounds).join(F.broadcast(days), "date")
+    dense = join_days(dense_counts(communes, counts, bounds), days)
     return dense.select(
         "com", "population", "jour", "mois", "an", "public_holidays", *ZONES, "dep", COUNT, "date", *WEATHER
     )

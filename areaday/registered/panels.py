@@ -134,13 +134,15 @@ def panel_by_commune(spark, sf):
     bounds = pan.count_bounds(counts)
     days = cal.calendar(bounds, given.public_holidays(spark, sf), given.school_holidays(spark, sf))
     whole = pan.panel(days, given.communes(spark, sf), counts, bounds)
-    return whole.groupBy("dep", "com", "population", "an").agg(
+    # The least of texts would sort all rows of the panel; that of numbers does not.
+    per_year = whole.groupBy("dep", "com", "population", "an").agg(
         F.count(F.lit(1)).alias("days"),
         F.sum("nombre_d_accidents").alias("accidents"),
         F.count_if("public_holidays").alias("public_holidays"),
         F.count_if("zone_b").alias("zone_b"),
-        F.min("mois").alias("first_month"),
+        F.min(F.col("mois").cast("int")).alias("first_month"),
     )
+    return per_year.withColumn("first_month", zero_pad(F.col("first_month").cast("string")))
 
 
 DEP = given.DEPARTMENT

@@ -13,7 +13,7 @@ from areaday.plans.calendar import calendar
 from areaday.plans.counts import accident_counts
 from areaday.plans.weather import weather_daily
 from areaday.registered import given
-from areaday.registered.panels import training
+from areaday.registered.panels import panel_by_commune, panel_counts_by_commune, training
 
 D = dt.date
 COUNT_SCHEMA = "jour int, mois int, an int, dep string, com string, nombre_d_accidents bigint"
@@ -135,6 +135,16 @@ def test_flagship_plan(spark, sf):
     assert "REPARTITION_BY_NUM" in final
 
 
+@pytest.mark.parametrize("query", [panel_by_commune, panel_counts_by_commune])
+def test_rows_of_a_panel_are_summed_up_without_sorting_or_shuffling_them(spark, sf, query):
+    summed = query(spark, sf)
+    summed.collect()
+    final = summed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    after_explode = final.split("Generate ")[0]
+    assert "SortAggregate" not in final
+    assert "HashAggregate" in after_explode and " Exchange" not in after_explode and "Sort [" not in after_explode
+
+
 def test_department_and_columns_reach_the_scan(spark, sf, tmp_path):
     given.accidents(spark, sf).withColumn("unused", F.lit("x")).write.parquet(str(tmp_path / "a"))
     counts = accident_counts(spark.read.parquet(str(tmp_path / "a")), "7")
