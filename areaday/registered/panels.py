@@ -69,12 +69,10 @@ def panel(spark, sf):
 
 def commune_days(spark: SparkSession, sf: str, dep: str | None) -> DataFrame:
     """A ready panel without counts: every commune on every day of the orders."""
-    limit = order_bounds(spark, sf).select(F.struct("lo", "hi")).scalar()
+    day = F.struct(F.dayofmonth("date").alias("jour"), F.month("date").alias("mois"), F.year("date").alias("an"))
+    days = cal.date_spine(order_bounds(spark, sf)).agg(F.collect_list(day)).scalar()
     spread = given.communes(spark, sf, dep).repartition(wide_partitions(spark), "dep", "com")
-    days = spread.withColumn("_limit", limit).select("dep", "com", F.explode(F.sequence("_limit.lo", "_limit.hi")).alias("date"))
-    return days.select(
-        F.dayofmonth("date").alias("jour"), F.month("date").alias("mois"), F.year("date").alias("an"), "dep", "com"
-    )
+    return spread.select("dep", "com", F.inline(days)).select("jour", "mois", "an", "dep", "com")
 
 
 def panel_cross(spark, sf):

@@ -13,7 +13,7 @@ from areaday.plans.calendar import calendar
 from areaday.plans.counts import accident_counts
 from areaday.plans.weather import weather_daily
 from areaday.registered import given
-from areaday.registered.panels import panel_by_commune, panel_counts_by_commune, training
+from areaday.registered.panels import commune_days, panel_by_commune, panel_counts_by_commune, training
 
 D = dt.date
 COUNT_SCHEMA = "jour int, mois int, an int, dep string, com string, nombre_d_accidents bigint"
@@ -145,6 +145,13 @@ def test_rows_of_a_panel_are_summed_up_without_sorting_or_shuffling_them(spark,
     assert "HashAggregate" in after_explode and " Exchange" not in after_explode and "Sort [" not in after_explode
 
 
+def test_days_of_communes_are_taken_from_one_list(spark, sf, rows):
+    days = commune_days(spark, sf, given.DEPARTMENT)
+    assert "Generate inline(" in days._jdf.queryExecution().executedPlan().toString()
+    first = days.filter("an = 1996 AND mois = 2").groupBy("dep", "com").agg(F.max("jour"), F.count("*"))
+    assert {tuple(r)[2:] for r in first.collect()} == {(29, 29)}
+
+
 def test_department_and_columns_reach_the_scan(spark, sf, tmp_path):
     given.accidents(spark, sf).withColumn("unused", F.lit("x")).write.parquet(str(tmp_path / "a"))
     counts = accident_counts(spark.read.parquet(str(tmp_path / "a")), "7")
