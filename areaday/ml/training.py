@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -32,7 +34,11 @@ from areaday.operators.evaluation import accuracy_f1, accuracy_weighted_f1, clas
 from areaday.operators.joins import lookup
 from areaday.operators.ranking import first_seen_index, latest_rows_by_year, seeded_sample, stratified_split
 from areaday.schemas import conform
-from areaday.session import materialise, shared_dir, wide_partitions
+from areaday.session import materialise, setting, shared_dir, wide_partitions
+
+
+#: Rows that one task of a training reads and keeps in memory.
+ROWS_PER_TASK = 250_000
 
 
 class Trained(NamedTuple):
@@ -44,13 +50,35 @@ class Trained(NamedTuple):
     example: DataFrame
 
 
+def parts_to_fit(rows: int) -> int:
+    """Into how many tasks training deals its rows, so that none keeps more than ``ROWS_PER_TASK``."""
+    return -(-rows // ROWS_PER_TASK)
+
+
 def split_parts(df: DataFrame, label: str, key: str) -> tuple[DataFrame, DataFrame]:
     """Training and test part of ``df``, written out once for all the passes over them and spread over all cores."""
-    marked = stratified_split(materialise(df), label, key)
-    kept = materialise(marked.repartition(wide_partitions(df.sparkSession), key))
+    rows = materialise(df)
+    marked = stratified_split(rows, label, key)
+    kept = materialise(marked.repartition(max(wide_partitions(df.sparkSession), parts_to_fit(rows.count())), key))
     return kept.filter(~F.col("is_test")).drop("is_test"), kept.filter("is_test").drop("is_test")
 
 
+@contextmanager
+def tasks_by_rows(train: DataFrame) -> Iterator[None]:
+    """Let the files of ``train`` be read by as many tasks as their rows need.
+
+    Spark reads small files together, as many as give each core one task, so that what a task keeps would grow with the
+    table. A table with fewer rows is read as Spark reads it anyway.
+    """
+    spark = train.sparkSession
+    n = parts_to_fit(train.count())
+    if n <= spark.sparkContext.defaultParallelism:
+        yield
+    else:
+        with setting(spark, "spark.sql.files.minPartitionNum", str(n)):
+            yield
+
+
 def train_forest(
     df: DataFrame, key: str, target: str = COUNT, trees: int = FOREST_TREES, max_depth: int = 30, weighted: bool = False
 ) -> Trained:
@@ -134,7 +162,8 @@ def train_boosted(
         seed=SEED,
     )
     shared_dir(df.sparkSession)
-    model = Pipeline(stages=[*features.assemble(inputs), trees]).fit(features.class_weight(train, label, ratio))
+    with tasks_by_rows(train):
+        model = Pipeline(stages=[*features.assemble(inputs), trees]).fit(features.class_weight(train, label, ratio))
     probability = positive_probability()
     predictions = model.transform(features.class_weight(test, label, ratio)).select(
         key, label, probability.alias("probability"), at_threshold(probability, threshold).alias("prediction")

@@ -108,3 +108,15 @@ def test_training_from_a_loaded_table(spark, sf):
     assert not {"execution_date", "dag_id", "task_id", "date", "row_key", COUNT} & set(trained.features)
     assert 20 <= trained.predictions.count() <= 21
     assert 0 <= trained.scores.first().f1 <= 1
+
+
+def test_the_rows_that_a_task_of_a_training_keeps_do_not_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 100)
+    frame = spark.range(4000).select("id", (F.col("id") % 2).cast("int").alias("accident"), F.rand(1).alias("x"))
+    train, _ = training.split_parts(frame, "accident", "id")
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    with training.tasks_by_rows(train):
+        sizes = train.select("id").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert spark.conf.get(name, None) == before
+    assert sum(sizes) == 3200 and max(sizes) <= 2 * 100
