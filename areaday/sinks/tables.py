@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 from areaday.fixed import AUDIT_TIME_FORMAT
 from areaday.schemas import require_columns
+from areaday.session import setting
+
+#: Partitions that a task of a load writes side by side. Each open file buffers up to a row group.
+FILES_AT_ONCE = 8
 
 
 class Audit(NamedTuple):
@@ -48,7 +52,8 @@ def load(
     name. ``columns`` names the columns to load; ``path`` puts a new table's files there, and ``partition_by`` lays
     them out by columns of few values, such as the year. ``bucket_by`` deals the rows into that many buckets by columns,
     one file each, so that later joins and groupings by them need no shuffle; Spark keeps to the buckets if they are no
-    fewer than its shuffle partitions.
+    fewer than its shuffle partitions. A task keeps a file open for each of up to ``FILES_AT_ONCE`` partitions, so that it
+    need not sort its rows by them; with more partitions Spark sorts the rest.
     """
     loaded = with_audit(require_columns(df, columns).select(*columns) if columns else df, audit)
     if bucket_by:
@@ -61,7 +66,9 @@ def load(
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
         writer = writer.bucketBy(bucket_by[0], *bucket_by[1])
-    writer.saveAsTable(table)
+    at_once = str(FILES_AT_ONCE) if partition_by and not bucket_by else "0"
+    with setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", at_once):
+        writer.saveAsTable(table)
     return LoadResult(counted.get["rows"], str(audit.execution_date))
 
 
@@ -84,13 +91,8 @@ def load_once(
         raise ValueError(f"{table} is not partitioned by load_id")
     counted = Observation()
     ordered = require_columns(loaded, spark.table(table).columns).select(*spark.table(table).columns)
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         ordered.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(setting, before)
     if counted.get["rows"] == 0:  # a load without rows writes no partition, so an earlier run's would stay
         quoted = name.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (load_id = '{quoted}')")

@@ -10,6 +10,7 @@ from areaday.session import new_path, shared_dir
 from areaday.plans import panel as pan
 from areaday.sinks.tables import Audit, load, load_once
 from areaday.streaming.ingest import csv_stream, ingest_once, stream_daily, stream_load
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 AUDIT = Audit(dt.datetime(2025, 3, 8, 6, 30), "elt", "task")
@@ -27,6 +28,17 @@ def test_load_replaces_and_counts(spark, target, rows):
     assert rows(spark.table(table)) == [(i, "2025-03-08 06:30:00", "elt", "task") for i in range(2)]
 
 
+def test_load_by_partition_keeps_files_open_side_by_side(spark, target, monkeypatch):
+    table, path = target
+    name, during = "spark.sql.maxConcurrentOutputFileWriters", []
+    before, write = spark.conf.get(name), DataFrameWriter.saveAsTable
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", lambda *args: (during.append(spark.conf.get(name)), write(*args)))
+    frame = spark.range(300).select("id", (F.col("id") % 11).alias("an"))
+    assert load(frame, table, AUDIT, path=path, partition_by=["an"]).rows_inserted == 300
+    assert during == ["8"] and spark.conf.get(name) == before
+    assert {tuple(r) for r in spark.table(table).select("id", "an").collect()} == {(i, i % 11) for i in range(300)}
+
+
 def test_load_appends_chosen_columns(spark, target):
     table, path = target
     frame = spark.range(3).selectExpr("id", "id AS x", "id AS y")
