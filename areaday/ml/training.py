@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,15 +36,58 @@ from areaday.operators.evaluation import accuracy_f1, accuracy_weighted_f1, clas
 from areaday.operators.joins import lookup
 from areaday.operators.ranking import first_seen_index, latest_rows_by_year, seeded_sample, stratified_split
 from areaday.schemas import conform
-from areaday.session import materialise, setting, shared_dir, wide_partitions
+from areaday.session import materialise, new_path, setting, shared_dir, wide_partitions
 
 
 #: Rows that one task of a training reads and keeps in memory.
 ROWS_PER_TASK = 250_000
 
 
+#: Numbers in the nodes of trees that the driver holds at once; a node has one per class and some ``NODE_NUMBERS`` more.
+FOREST_NUMBERS = 2_500_000
+NODE_NUMBERS = 40
+
+
+class SplitForest:
+    """A fitted forest whose trees are saved in parts, of which the driver loads one at a time.
+
+    ``before`` makes the features, ``after`` the prediction from the class with most votes. A part's votes for all rows are
+    written out before the next one is loaded.
+    """
+
+    def __init__(self, before: PipelineModel, parts: list[str], after: PipelineModel):
+        self.before, self.parts, self.after = before, parts, after
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        numbered = materialise(df.withColumn("_row", F.monotonically_increasing_id()))
+        ready = materialise(self.before.transform(numbered).select("_row", "features"))
+        votes = []
+        for i, part in enumerate(self.parts):
+            scored = RandomForestClassificationModel.load(part).setPredictionCol("").setProbabilityCol("").transform(ready)
+            own = F.struct(F.lit(i).alias("part"), vector_to_array("rawPrediction").alias("votes")).alias("_votes")
+            votes.append(materialise(scored.select("_row", own)))
+        # A row has one list of votes per part, so few.
+        lists = F.transform(F.array_sort(F.collect_list("_votes")), lambda v: v["votes"])
+        together = F.reduce(F.slice(lists, 2, len(votes)), lists[0], lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
+        sums = reduce(DataFrame.unionByName, votes).groupBy("_row").agg(together.alias("_sums"))
+        place = F.array_position("_sums", F.array_max("_sums")) - 1
+        best = sums.select("_row", place.cast("double").alias("_predicted"))
+        return self.after.transform(numbered.join(best, "_row").drop("_row"))
+
+    def save(self, path: str) -> None:
+        self.before.write().overwrite().save(f"{path}/before")
+        self.after.write().overwrite().save(f"{path}/after")
+        for i, part in enumerate(self.parts):
+            RandomForestClassificationModel.load(part).write().overwrite().save(f"{path}/part-{i}")
+
+    @classmethod
+    def load(cls, path: str, parts: int) -> SplitForest:
+        before, after = (PipelineModel.load(f"{path}/{name}") for name in ("before", "after"))
+        return cls(before, [f"{path}/part-{i}" for i in range(parts)], after)
+
+
 class Trained(NamedTuple):
-    model: PipelineModel
+    model: PipelineModel | SplitForest
     features: list[str]
     predictions: DataFrame
     scores: DataFrame
@@ -79,6 +124,27 @@ def tasks_by_rows(train: DataFrame) -> Iterator[None]:
             yield
 
 
+def fit_in_parts(before: PipelineModel, forest: RandomForestClassifier, labelled: DataFrame, classes: int) -> list[str]:
+    """Saved forests of some of the trees each, or none if all trees together have few enough nodes for the driver.
+
+    A tree has fewer nodes than twice its rows. Where that could be too many, one tree shows how many there are.
+    """
+    spark, trees = labelled.sparkSession, forest.getNumTrees()
+    most = FOREST_NUMBERS // (classes + NODE_NUMBERS)
+    if 2 * labelled.count() * trees <= most:
+        return []
+    ready = materialise(before.transform(labelled).select("features", "_class"))
+    at_once = max(1, most // forest.copy({forest.numTrees: 1}).fit(ready).copy().totalNumNodes)
+    if at_once >= trees:
+        return []
+    parts = []
+    for first in range(0, trees, at_once):
+        some = forest.copy({forest.numTrees: min(at_once, trees - first), forest.seed: SEED + first})
+        parts.append(new_path(spark, "trees"))
+        some.fit(ready).write().save(parts[-1])
+    return parts
+
+
 def train_forest(
     df: DataFrame, key: str, target: str = COUNT, trees: int = FOREST_TREES, max_depth: int = 30, weighted: bool = False
 ) -> Trained:
@@ -86,7 +152,7 @@ def train_forest(
 
     ``key`` is a unique column that the split and the example rows are drawn by. The target holds
     numbers, each of which is a class, however many there are. Depth 30 is the most Spark allows. With ``weighted`` the F1 score averages
-    over all classes, otherwise it is that of class 1.
+    over all classes, otherwise it is that of class 1. A forest with too many nodes for the driver becomes a ``SplitForest``.
     """
     used = features.integers_as_double(df.drop(*NOT_FEATURES).withColumn(key, F.col(key).cast("string")))
     inputs = used.drop(target, key)
@@ -103,9 +169,15 @@ def train_forest(
     named = IndexToString(inputCol="_predicted", outputCol="_name", labels=classes.labels)
     number = SQLTransformer(statement="SELECT *, CAST(_name AS DOUBLE) AS prediction FROM __THIS__")
     stages = features.preprocessing(train, features.numeric_columns(inputs), features.other_columns(inputs))
-    # The copy leaves behind the training summary, which holds the session and so keeps the model from
-    # being sent to tasks once the session has observed a write.
-    model = Pipeline(stages=[*stages, forest, named, number]).fit(classes.transform(train)).copy()
+    labelled = classes.transform(train)
+    before = Pipeline(stages=stages).fit(labelled)
+    parts = fit_in_parts(before, forest, labelled, len(classes.labels))
+    if parts:
+        model = SplitForest(before, parts, PipelineModel([named, number]))
+    else:
+        # The copy leaves behind the training summary, which holds the session and so keeps the model from
+        # being sent to tasks once the session has observed a write.
+        model = Pipeline(stages=[*before.stages, forest, named, number]).fit(labelled).copy()
     predictions = model.transform(test).select(key, target, "prediction")
     score = accuracy_weighted_f1 if weighted else accuracy_f1
     example = seeded_sample(train, key, 5).drop(target, key)
@@ -177,7 +249,7 @@ def confusion(trained: Trained, label: str) -> DataFrame:
     return confusion_matrix(trained.predictions, label, "prediction")
 
 
-def score(model: PipelineModel, df: DataFrame, expected: list[str], output: str = "accident") -> DataFrame:
+def score(model: PipelineModel | SplitForest, df: DataFrame, expected: list[str], output: str = "accident") -> DataFrame:
     """``df``, which must have exactly the expected columns, in their order and with the prediction."""
     ready = conform(df, expected)
     return model.transform(ready).select(*expected, F.col("prediction").cast("int").alias(output))
@@ -190,15 +262,28 @@ def metric_rows(scores: DataFrame, run_id: str) -> DataFrame:
 
 def save_model(trained: Trained, path: str, spark: SparkSession) -> str:
     """Model and input signature below ``path``, replacing what is there."""
-    trained.model.write().overwrite().save(f"{path}/model")
+    split = isinstance(trained.model, SplitForest)
+    if split:
+        trained.model.save(f"{path}/trees")
+    else:
+        trained.model.write().overwrite().save(f"{path}/model")
+    parts = spark.createDataFrame([(str(len(trained.model.parts) if split else 0),)], "value STRING")
+    parts.coalesce(1).write.mode("overwrite").text(f"{path}/parts")
     signature = spark.createDataFrame([(trained.signature.json(),)], "value STRING")
     signature.coalesce(1).write.mode("overwrite").text(f"{path}/signature")
     return path
 
 
-def load_model(path: str, spark: SparkSession) -> tuple[PipelineModel, StructType]:
+def load_model(path: str, spark: SparkSession) -> tuple[PipelineModel | SplitForest, StructType]:
     text = spark.read.text(f"{path}/signature").first().value
-    return PipelineModel.load(f"{path}/model"), StructType.fromJson(json.loads(text))
+    try:
+        parts = int(spark.read.text(f"{path}/parts").first().value)
+    except AnalysisException as error:  # a model that was saved whole
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        parts = 0
+    model = SplitForest.load(f"{path}/trees", parts) if parts else PipelineModel.load(f"{path}/model")
+    return model, StructType.fromJson(json.loads(text))
 
 
 def days_by_commune(predictions: DataFrame) -> DataFrame:

@@ -110,6 +110,36 @@ def test_training_from_a_loaded_table(spark, sf):
     assert 0 <= trained.scores.first().f1 <= 1
 
 
+def test_a_forest_too_large_for_the_driver_is_fitted_saved_and_applied_in_parts(spark, monkeypatch):
+    rng = random.Random(3)
+    points = [(i, rng.uniform(-1, 1), rng.uniform(-1, 1), rng.choice([0, 7, 70])) for i in range(300)]
+    rows = spark.createDataFrame(points, "id bigint, x double, y double, class int")
+    whole = training.train_forest(rows, "id", "class", trees=5, weighted=True)
+    nodes = whole.model.stages[-3].totalNumNodes
+    monkeypatch.setattr(training, "FOREST_NUMBERS", nodes // 2 * (3 + training.NODE_NUMBERS))
+    trained = training.train_forest(rows, "id", "class", trees=5, weighted=True)
+    assert 2 <= len(trained.model.parts) <= 5
+    models = [training.RandomForestClassificationModel.load(part) for part in trained.model.parts]
+    assert sum(m.getNumTrees for m in models) == 5 and all(m.totalNumNodes < nodes for m in models)
+    assert len({m.toDebugString.split("\n", 1)[1] for m in models}) == len(models)
+    found = trained.predictions.collect()
+    assert {r.id for r in found} == {r.id for r in whole.predictions.collect()}
+    path = training.save_model(trained, new_path(spark, "forest"), spark)
+    model, signature = training.load_model(path, spark)
+    assert len(model.parts) == len(models) and signature == whole.signature
+    frame = rows.select("x", "y")
+    got = {(r.x, r.y): r.predicted for r in training.score(model, frame, signature.fieldNames(), "predicted").collect()}
+    ready = trained.model.before.transform(frame)
+    votes = {}
+    for m in models:
+        for r in m.transform(ready).select("x", "y", "rawPrediction").collect():
+            votes[r.x, r.y] = [a + b for a, b in zip(votes.get((r.x, r.y), [0.0] * 3), r.rawPrediction)]
+    assert got == {point: [0, 7, 70][v.index(max(v))] for point, v in votes.items()}
+    assert sum(got[x, y] == c for _, x, y, c in points) > 200
+    training.save_model(whole, path, spark)
+    assert not isinstance(training.load_model(path, spark)[0], training.SplitForest)
+
+
 def test_the_rows_that_a_task_of_a_training_keeps_do_not_grow_with_the_table(spark, monkeypatch):
     monkeypatch.setattr(training, "ROWS_PER_TASK", 100)
     frame = spark.range(4000).select("id", (F.col("id") % 2).cast("int").alias("accident"), F.rand(1).alias("x"))
