@@ -23,6 +23,8 @@ from areaday.llm.common import SKETCH_BITS, bucket_of, sketch
 from areaday.session import materialise, wide_partitions
 
 HOT = 200
+#: Links that one task joins up; beyond them all tasks do it in rounds.
+FEW_LINKS = 100_000
 _SEEN = 500_000
 
 Postings = dict[str, np.ndarray]  # key, item: uint64; a, b: int32
@@ -100,7 +102,7 @@ def shared_keys(texts: DataFrame, post: Callable[[list[str], Seen, np.ndarray],
 
 
 def payloads(texts: DataFrame, items: DataFrame, content: Callable[[list[str]], Iterator[tuple[int, Callable[[], bytes]]]]) -> DataFrame:
-    """``item, content`` of ``items`` (a long column ``item``), and of few others, taken from the texts once more.
+    """``item, content`` of ``items`` (a long column ``item``, with repeats), and of few others, taken from the texts once more.
 
     A sketch of the wanted items, of fixed size, goes to the tasks; the joins that follow drop what it lets through.
     """
@@ -142,10 +144,12 @@ def components(links: DataFrame) -> DataFrame:
     """``item, component`` of every item in ``links`` (``one, other``): the smallest item it is joined to.
 
     Large-star and small-star steps in turn, until neither changes a link. Each step is a grouping and a join over links.
+    A round costs some eight stages whatever it moves, so up to ``FEW_LINKS`` links are joined up in one stage instead.
     """
-    edges = materialise(
-        links.filter("one != other").select(F.greatest("one", "other").alias("u"), F.least("one", "other").alias("v")).distinct()
-    )
+    links = links.filter("one != other")
+    if links.count() <= FEW_LINKS:
+        return materialise(links.select("one", "other").repartition(1).mapInArrow(_joined, "item long, component long"))
+    edges = materialise(links.select(F.greatest("one", "other").alias("u"), F.least("one", "other").alias("v")).distinct())
     state = None
     while (now := _state(edges)) != state:
         state = now
@@ -159,6 +163,23 @@ def components(links: DataFrame) -> DataFrame:
     return materialise(edges.select(F.col("u").alias("item"), F.col("v").alias("component")).unionByName(roots))
 
 
+def _joined(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``components`` of few links: a forest whose roots are the smallest items."""
+    above: dict[int, int] = {}
+
+    def root(item: int) -> int:
+        while (up := above.setdefault(item, item)) != item:
+            above[item] = item = above[up]
+        return item
+
+    for frame in frames:
+        for one, other in zip(frame.column("one").to_pylist(), frame.column("other").to_pylist(), strict=True):
+            smaller, larger = sorted((root(one), root(other)))
+            above[larger] = smaller
+    found = [list(above), [root(item) for item in above]]
+    yield pa.record_batch([pa.array(column, pa.int64()) for column in found], names=["item", "component"])
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
@@ -202,7 +223,7 @@ def linked_components(
     rest = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & admits("x", "y"))
     rest = rest.select(F.least("x.item", "y.item").alias("one"), F.greatest("x.item", "y.item").alias("other")).distinct()
     tried = first.select(F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other"))
-    rest = materialise(rest.join(materialise(tried.distinct()), ["one", "other"], "left_anti"))
+    rest = materialise(rest.join(tried, ["one", "other"], "left_anti"))
     if rest.isEmpty():
         return found
     more = _links(texts, rest, content, check, screen)
@@ -212,5 +233,5 @@ def linked_components(
 def _links(texts: DataFrame, pairs: DataFrame, content: Callable, check: Callable, screen: tuple | None) -> DataFrame:
     if screen:
         pairs = verified(pairs, *screen)
-    items = pairs.select(F.col("one").alias("item")).unionByName(pairs.select(F.col("other").alias("item"))).distinct()
+    items = pairs.select(F.col("one").alias("item")).unionByName(pairs.select(F.col("other").alias("item")))
     return verified(pairs, payloads(texts, items, content), check)

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from areaday.llm import line_dedup as ld
+from areaday.llm import linking
 
 
 def distance(a, b):
@@ -133,3 +134,24 @@ def test_equal_lines_below_the_floor_of_the_edit_join(documents):
     docs = documents([f"{licence}\nOf.\n{'a' * 19}", f" {licence}\nOf.\n{'a' * 19}", licence.replace("MIT", "BIT")])
     found = {r.doc_id: r.removed for r in ld.line_dedup(docs).select("row.doc_id", "removed").collect()}
     assert found == {0: [], 1: [0], 2: []}
+
+
+@pytest.mark.parametrize("few, jobs", [(100_000, 8), (60, None)])
+def test_few_links_need_no_rounds(spark, monkeypatch, few, jobs):
+    """Chains, a hub, repeats and links to oneself; up to the bound a fixed number of jobs, beyond it the same components."""
+    monkeypatch.setattr(linking, "FEW_LINKS", few)
+    links = [(i, i + 1) for i in range(-30, 0)] + [(500, i) for i in range(100, 130)] * 2 + [(7, 7), (2**62, -(2**62)), (9, 8)]
+    context = spark.sparkContext
+    context.setJobGroup(group := f"few-links-{few}", "components")
+    try:
+        found = linking.components(spark.createDataFrame(links, "one long, other long"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    expected = {i: -30 for i in range(-30, 1)} | {i: 100 for i in [*range(100, 130), 500]} | {2**62: -(2**62), -(2**62): -(2**62), 9: 8, 8: 8}
+    assert sorted(found.collect()) == sorted(expected.items())
+    ran = len(context.statusTracker().getJobIdsForGroup(group))
+    assert ran and (jobs is None or ran <= jobs), ran
+
+
+def test_no_links(spark):
+    assert linking.components(spark.createDataFrame([(1, 1)], "one long, other long")).collect() == []
