@@ -8,8 +8,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from areaday.fixed import COUNT
+from areaday.fixed import BOOST_ROUNDS, COUNT
 from areaday.ml import features, training
+from areaday.registered import models
 from areaday.session import new_path
 from areaday.sinks.tables import Audit, load
 
@@ -150,3 +151,19 @@ def test_the_rows_that_a_task_of_a_training_keeps_do_not_grow_with_the_table(spa
         sizes = train.select("id").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
     assert spark.conf.get(name, None) == before
     assert sum(sizes) == 3200 and max(sizes) <= 2 * 100
+
+
+def orders_to_boost(spark):
+    """As many orders on each day of two weeks, with nothing else to tell them apart by."""
+    days = [(i, f"{i % 3}", dt.date(2023, 1, 2) + dt.timedelta(i % 14)) for i in range(140)]
+    rows = [(i, com, 100.0 + i % 7, day, day.day, day.month, day.year, 0, *[False] * 4, float(i % 5)) for i, com, day in days]
+    names = f"o_orderkey bigint, com string, o_totalprice double, date date, jour int, mois int, an int, {COUNT} int"
+    return spark.createDataFrame(rows, f"{names}, {', '.join(f'{c} boolean' for c in models.FLAGS)}, temp double")
+
+
+def test_the_imbalanced_confusion_comes_from_a_training_of_all_rounds(spark, rows, monkeypatch):
+    rounds, boosted = [], training.GBTClassifier
+    monkeypatch.setattr(training, "GBTClassifier", lambda **given: rounds.append(given["maxIter"]) or boosted(**given))
+    monkeypatch.setattr(models, "rows_to_boost", lambda *_: orders_to_boost(spark))
+    assert rows(models.imbalanced_confusion(spark, "")) == [(0.0, 0.0, 20), (0.0, 1.0, 0), (1.0, 0.0, 0), (1.0, 1.0, 8)]
+    assert rounds == [BOOST_ROUNDS]
