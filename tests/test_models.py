@@ -167,3 +167,17 @@ def test_the_imbalanced_confusion_comes_from_a_training_of_all_rounds(spark, row
     monkeypatch.setattr(models, "rows_to_boost", lambda *_: orders_to_boost(spark))
     assert rows(models.imbalanced_confusion(spark, "")) == [(0.0, 0.0, 20), (0.0, 1.0, 0), (1.0, 0.0, 0), (1.0, 1.0, 8)]
     assert rounds == [BOOST_ROUNDS]
+
+
+def test_the_imbalanced_held_out_rows_ask_for_a_training_of_all_rounds(spark, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    def boosted(**given):
+        raise Asked(given["maxIter"])
+
+    monkeypatch.setattr(training, "GBTClassifier", boosted)
+    monkeypatch.setattr(models, "rows_to_boost", lambda *_: orders_to_boost(spark))
+    with pytest.raises(Asked) as asked:
+        models.imbalanced_held_out(spark, "")
+    assert asked.value.args == (BOOST_ROUNDS,)
