@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel, RandomForestClassifier  # noqa: F401
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +30,7 @@ from areaday.fixed import (
     THRESHOLD,
 )
 from areaday.functions.dates import calendar_features
-from areaday.ml import features
+from areaday.ml import features, forest
 from areaday.operators.aggregates import distinct_per_group
 from areaday.operators.evaluation import accuracy_f1, accuracy_weighted_f1, class_ratio, confusion_matrix
 from areaday.operators.joins import lookup
@@ -49,36 +49,27 @@ NODE_NUMBERS = 40
 
 
 class SplitForest:
-    """A fitted forest whose trees are saved in parts, of which the driver loads one at a time.
+    """A fitted forest whose trees are saved in parts, each a forest of Spark's own.
 
-    ``before`` makes the features, ``after`` the prediction from the class with most votes. A part's votes for all rows are
-    written out before the next one is loaded.
+    ``before`` makes the features, ``after`` the prediction from the class with most votes. Driver and tasks read the
+    trees one at a time.
     """
 
     def __init__(self, before: PipelineModel, parts: list[str], after: PipelineModel):
-        self.before, self.parts, self.after = before, parts, after
+        self.before, self.parts, self.after, self.trees = before, parts, after, None
 
     def transform(self, df: DataFrame) -> DataFrame:
-        numbered = materialise(df.withColumn("_row", F.monotonically_increasing_id()))
-        ready = materialise(self.before.transform(numbered).select("_row", "features"))
-        votes = []
-        for i, part in enumerate(self.parts):
-            scored = RandomForestClassificationModel.load(part).setPredictionCol("").setProbabilityCol("").transform(ready)
-            own = F.struct(F.lit(i).alias("part"), vector_to_array("rawPrediction").alias("votes")).alias("_votes")
-            votes.append(materialise(scored.select("_row", own)))
-        # A row has one list of votes per part, so few.
-        lists = F.transform(F.array_sort(F.collect_list("_votes")), lambda v: v["votes"])
-        together = F.reduce(F.slice(lists, 2, len(votes)), lists[0], lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
-        sums = reduce(DataFrame.unionByName, votes).groupBy("_row").agg(together.alias("_sums"))
-        place = F.array_position("_sums", F.array_max("_sums")) - 1
-        best = sums.select("_row", place.cast("double").alias("_predicted"))
-        return self.after.transform(numbered.join(best, "_row").drop("_row"))
+        if self.trees is None:
+            self.trees = [forest.read_trees(df.sparkSession, part) for part in self.parts]
+        predicted = forest.predicted_class(F.col("features"), self.trees)
+        ready = self.before.transform(df).withColumn("_predicted", predicted)
+        return self.after.transform(ready.select(*df.columns, "_predicted"))
 
     def save(self, path: str) -> None:
         self.before.write().overwrite().save(f"{path}/before")
         self.after.write().overwrite().save(f"{path}/after")
         for i, part in enumerate(self.parts):
-            RandomForestClassificationModel.load(part).write().overwrite().save(f"{path}/part-{i}")
+            forest.copy_saved(SparkSession.active(), part, f"{path}/part-{i}")
 
     @classmethod
     def load(cls, path: str, parts: int) -> SplitForest:
@@ -124,24 +115,37 @@ def tasks_by_rows(train: DataFrame) -> Iterator[None]:
             yield
 
 
-def fit_in_parts(before: PipelineModel, forest: RandomForestClassifier, labelled: DataFrame, classes: int) -> list[str]:
+def fit_in_parts(before: PipelineModel, whole: RandomForestClassifier, labelled: DataFrame, classes: int) -> list[str]:
     """Saved forests of some of the trees each, or none if all trees together have few enough nodes for the driver.
 
-    A tree has fewer nodes than twice its rows. Where that could be too many, one tree shows how many there are.
+    A tree has fewer nodes than twice its rows. Where that could be too many, one tree shows how many there are. Spark's
+    own fit reads all rows for every few thousand nodes, so these trees are grown in tasks.
     """
-    spark, trees = labelled.sparkSession, forest.getNumTrees()
+    spark, trees, rows = labelled.sparkSession, whole.getNumTrees(), labelled.count()
     most = FOREST_NUMBERS // (classes + NODE_NUMBERS)
-    if 2 * labelled.count() * trees <= most:
+    if 2 * rows * trees <= most:
         return []
     ready = materialise(before.transform(labelled).select("features", "_class"))
-    at_once = max(1, most // forest.copy({forest.numTrees: 1}).fit(ready).copy().totalNumNodes)
+    columns = ready.first().features.size
+    shape = forest.Shape(columns, classes, math.ceil(math.sqrt(columns)), whole.getMaxDepth())
+    cuts = forest.cuts_of(ready, columns)
+    chunks = forest.chunks_of(ready, cuts)
+    first_tree = forest.grow_trees(chunks, rows, range(1), shape, ROWS_PER_TASK)
+    at_once = max(1, most // first_tree.count())
     if at_once >= trees:
         return []
+    nodes = first_tree.unionByName(forest.grow_trees(chunks, rows, range(1, trees), shape, ROWS_PER_TASK))
+    saved: dict[int, str] = {}
     parts = []
     for first in range(0, trees, at_once):
-        some = forest.copy({forest.numTrees: min(at_once, trees - first), forest.seed: SEED + first})
+        n = min(at_once, trees - first)
+        if n not in saved:
+            # A forest of a few rows has everything but the nodes as Spark writes it.
+            saved[n] = new_path(spark, "trees")
+            whole.copy({whole.numTrees: n}).fit(ready.limit(50)).write().save(saved[n])
         parts.append(new_path(spark, "trees"))
-        some.fit(ready).write().save(parts[-1])
+        forest.copy_saved(spark, saved[n], parts[-1], nodes=False)
+        forest.write_nodes(nodes.filter(F.col("tree").between(first, first + n - 1)), cuts, first, parts[-1])
     return parts
 
 
@@ -158,7 +162,7 @@ def train_forest(
     inputs = used.drop(target, key)
     train, test = split_parts(used, target, key)
     classes = StringIndexer(inputCol=target, outputCol="_class", stringOrderType="alphabetAsc").fit(train)
-    forest = RandomForestClassifier(
+    whole = RandomForestClassifier(
         labelCol="_class",
         predictionCol="_predicted",
         numTrees=trees,
@@ -171,13 +175,13 @@ def train_forest(
     stages = features.preprocessing(train, features.numeric_columns(inputs), features.other_columns(inputs))
     labelled = classes.transform(train)
     before = Pipeline(stages=stages).fit(labelled)
-    parts = fit_in_parts(before, forest, labelled, len(classes.labels))
+    parts = fit_in_parts(before, whole, labelled, len(classes.labels))
     if parts:
         model = SplitForest(before, parts, PipelineModel([named, number]))
     else:
         # The copy leaves behind the training summary, which holds the session and so keeps the model from
         # being sent to tasks once the session has observed a write.
-        model = Pipeline(stages=[*before.stages, forest, named, number]).fit(labelled).copy()
+        model = Pipeline(stages=[*before.stages, whole, named, number]).fit(labelled).copy()
     predictions = model.transform(test).select(key, target, "prediction")
     score = accuracy_weighted_f1 if weighted else accuracy_f1
     example = seeded_sample(train, key, 5).drop(target, key)

@@ -2,6 +2,7 @@ import datetime as dt
 import random
 import uuid
 
+import numpy as np
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -9,7 +10,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from areaday.fixed import BOOST_ROUNDS, COUNT
-from areaday.ml import features, training
+from areaday.ml import features, forest, training
 from areaday.registered import models
 from areaday.session import new_path
 from areaday.sinks.tables import Audit, load
@@ -181,3 +182,71 @@ def test_the_imbalanced_held_out_rows_ask_for_a_training_of_all_rounds(spark, mo
     with pytest.raises(Asked) as asked:
         models.imbalanced_held_out(spark, "")
     assert asked.value.args == (BOOST_ROUNDS,)
+
+
+def test_a_large_forest_is_not_fitted_by_passes_over_all_rows_for_some_of_its_nodes(spark, monkeypatch):
+    rng = random.Random(4)
+    points = [(i, rng.uniform(-1, 1), rng.uniform(-1, 1), rng.choice([0, 1])) for i in range(600)]
+    rows = spark.createDataFrame(points, "id bigint, x double, y double, class int")
+    fitted, fit = [], training.RandomForestClassifier._fit
+    monkeypatch.setattr(training, "FOREST_NUMBERS", 100 * (2 + training.NODE_NUMBERS))
+    monkeypatch.setattr(training.RandomForestClassifier, "_fit", lambda self, df: fitted.append(df.count()) or fit(self, df))
+    trained = training.train_forest(rows, "id", "class", trees=4, weighted=True)
+    assert len(trained.model.parts) == 4 and all(n <= 50 for n in fitted)
+    nodes = [training.RandomForestClassificationModel.load(part).totalNumNodes for part in trained.model.parts]
+    assert min(nodes) > 100
+
+
+def nodes_of(frame):
+    return sorted((r.tree, r.id, r.left_child, r.right_child, tuple(r.stats), r.feature, r.cut) for r in frame.collect())
+
+
+def test_trees_grown_from_large_nodes_hold_all_their_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    values = rng.integers(0, 40, (900, 3)).astype(float)
+    kinds = ((values[:, 0] > 20).astype(int) + 2 * (values[:, 1] > 11) + (rng.random(900) < 0.1)) % 4
+    rows = [(i, *v, int(k)) for i, (v, k) in enumerate(zip(values.tolist(), kinds, strict=True))]
+    frame = spark.createDataFrame(rows, "id bigint, a double, b double, c double, _class int").repartition(5, "id")
+    ready = Pipeline(stages=features.preprocessing(frame, ["a", "b", "c"], [])).fit(frame).transform(frame)
+    monkeypatch.setattr(forest, "CHUNK", 300)
+    cuts = forest.cuts_of(ready, 3)
+    assert all(20 <= len(cut) < forest.BINS and (np.diff(cut) > 0).all() for cut in cuts)
+    chunks = forest.chunks_of(ready, cuts)
+    assert 9 <= chunks.count() <= 20
+    shape = forest.Shape(3, 4, 2, 30)
+    drawn = {}
+    for t in range(3):
+        for name, x, y in forest.read_chunks(iter(chunks.toArrow().to_batches()), 3):
+            drawn[t] = drawn.get(t, 0) + np.bincount(y, weights=forest.times_drawn(name, t, len(x)), minlength=4)
+    for most in (2000, 100):
+        nodes = nodes_of(forest.grow_trees(chunks, 900, range(3), shape, most))
+        for t in range(3):
+            own = [n[1:] for n in nodes if n[0] == t]
+            stats = {n[0]: np.array(n[3]) for n in own}
+            assert [n[0] for n in own] == list(range(len(own)))
+            assert stats[0].tolist() == drawn[t].tolist()
+            for number, left, right, _, feature, _ in own:
+                assert (feature < 0) == (left < 0) == (right < 0)
+                if left >= 0:
+                    assert number < left < len(own) and number < right < len(own)
+                    assert (stats[left] + stats[right]).tolist() == stats[number].tolist() and min(stats[left].sum(), stats[right].sum()) > 0
+            children = [child for n in own for child in n[1:3] if child >= 0]
+            assert sorted(children) == list(range(1, len(own)))
+    assert nodes == nodes_of(forest.grow_trees(chunks, 900, range(3), shape, 100))
+
+
+def test_a_grown_tree_separates_what_can_be_and_merges_sides_of_one_class():
+    x = np.array([[0], [1], [2], [3]], np.uint8)
+    shape = forest.Shape(1, 2, 1, 30)
+    rng = np.random.default_rng(0)
+    tree = forest.grown(x, np.array([0, 0, 1, 1]), np.array([1, 2, 1, 1]), shape, 0, rng)
+    assert tree["cut"][0] == 1 and tree["left"].tolist() == [1, -1, -1] and tree["stats"].tolist() == [[3, 2], [3, 0], [0, 2]]
+    same = forest.grown(np.zeros((4, 1), np.uint8), np.array([0, 1, 0, 1]), np.ones(4), shape, 0, rng)
+    assert same["feature"].tolist() == [-1]
+    mostly = forest.grown(x, np.array([0, 0, 0, 1]), np.array([9, 9, 9, 1]), forest.Shape(1, 2, 1, 1), 0, rng)
+    assert mostly["feature"].tolist()[0] >= 0
+    # Both sides predict class 0.
+    level = forest.grown(np.array([[0], [0], [1], [1]], np.uint8), np.array([0, 1, 0, 1]), np.array([9, 1, 9, 4]), forest.Shape(1, 2, 1, 1), 0, rng)
+    assert level["feature"].tolist() == [-1] and level["stats"].tolist() == [[18, 5]]
+    stopped = forest.grown(x, np.array([0, 1, 0, 1]), np.ones(4), shape, 30, rng)
+    assert stopped["feature"].tolist() == [-1]
